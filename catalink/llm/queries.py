@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .token_records import token_records
 from .url_rules import judge_urls
 
 #: The rules of the URL query.
@@ -20,6 +21,12 @@ URL_RULES = (
 )
 
 
+def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_records(table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")), end_id=2)
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -30,6 +37,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_token_records": op3_token_records,
         "op4_url_rules": op4_url_rules,
         "op9_exact_dedup": op9_exact_dedup,
     }
