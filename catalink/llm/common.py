@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -62,13 +64,23 @@ _RANDOM = np.random.default_rng(20260101)
 _BYTE_VALUE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
+SEGMENT = 1 << 20
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
+@functools.lru_cache(maxsize=2)
+def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_INVERSE, _BASE):
+        powers = np.full(n, base, dtype=np.uint64)
+        powers[0] = 1
+        out.append(np.multiply.accumulate(powers))
+    return out[0], out[1]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the inverse base and of the base."""
+    down, up = _powers_to(SEGMENT if n <= SEGMENT else n)
+    return down[:n], up[:n]
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -94,30 +106,39 @@ class Words:
         self.first = np.searchsorted(self.start, self.text_start)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash for each word, the same for the same bytes in any batch."""
-        n = len(self.data)
-        if not len(self.start):
-            return np.empty(0, dtype=np.uint64)
-        block = 1 << 16
-        down, up = _powers(_INVERSE, block), _powers(_BASE, block)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        values = _BYTE_VALUE[self.data]
-        offset = 1
-        for at in range(0, n, block):  # powers of the position, block by block
-            part = values[at : at + block]
-            np.multiply(part, down[: len(part)], out=part)
-            if at:
-                offset = offset * pow(_INVERSE, block, 2**64) % 2**64
-                part *= np.uint64(offset)
-        np.cumsum(values, out=sums[1:])
-        out = sums[self.end] - sums[self.start]
-        high = _powers(pow(_BASE, block, 2**64), n // block + 1)
-        out *= up[self.start & (block - 1)]
-        out *= high[self.start >> 16]
-        out += (self.end - self.start).astype(np.uint64)
+        """A 64-bit hash for each word, the same for the same bytes in any batch.
+
+        A polynomial over the bytes from prefix sums modulo 2**64, made over
+        segments of about a megabyte so that memory stays bounded."""
+        out = np.empty(len(self.start), dtype=np.uint64)
+        at = 0
+        while at < len(out):
+            base = self.start[at]
+            to = max(at + 1, int(np.searchsorted(self.end, base + SEGMENT, side="right")))
+            start, end = self.start[at:to] - base, self.end[at:to] - base
+            down, up = _powers(int(end[-1]))
+            sums = np.zeros(end[-1] + 1, dtype=np.uint64)
+            np.cumsum(_BYTE_VALUE[self.data[base : base + end[-1]]] * down, out=sums[1:])
+            out[at:to] = (sums[end] - sums[start]) * up[start] + (end - start).astype(np.uint64)
+            at = to
         return _mixed(out)
 
 
+def batches_of(texts: list[str | None], most: int = 2 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of texts as UTF-8, of about ``most`` bytes each: the place of the first, and the texts. Null is empty."""
+    run: list[bytes] = []
+    size = first = 0
+    for i, text in enumerate(texts):
+        data = (text or "").encode("utf-8", "surrogatepass")
+        if run and size + len(data) > most:
+            yield first, run
+            run, size, first = [], 0, i
+        run.append(data)
+        size += len(data)
+    if run:
+        yield first, run
+
+
 def byte_table(words: bool = True, *, separators: tuple[int, ...] = (), keep: str = "") -> np.ndarray:
     """A table of 256 booleans: all bytes but ``separators``; with ``keep``, of ASCII only its characters."""
     out = np.ones(256, dtype=bool)
