@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .license_index import scan_licenses
 from .near_dedup import near_groups
 from .token_records import token_records
 from .url_rules import judge_urls
@@ -40,12 +41,17 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_token_records": op3_token_records,
         "op4_url_rules": op4_url_rules,
         "op8_near_dedup": op8_near_dedup,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_license_index": op10_license_index,
     }
 
 
