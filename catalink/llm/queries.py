@@ -10,6 +10,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .license_index import scan_licenses
 from .near_dedup import near_groups
+from .site_style import extract_pages
 from .token_records import token_records
 from .url_rules import judge_urls
 
@@ -33,6 +34,10 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), percent=85)
 
@@ -49,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_token_records": op3_token_records,
         "op4_url_rules": op4_url_rules,
+        "op6_site_style": op6_site_style,
         "op8_near_dedup": op8_near_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_license_index": op10_license_index,
