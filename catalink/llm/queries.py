@@ -12,6 +12,7 @@ from .license_index import scan_licenses
 from .near_dedup import near_groups
 from .site_style import extract_pages
 from .token_records import token_records
+from .toxicity import toxicity_scores
 from .url_rules import judge_urls
 
 #: The rules of the URL query.
@@ -24,6 +25,10 @@ URL_RULES = (
 )
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,6 +57,7 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op3_token_records": op3_token_records,
         "op4_url_rules": op4_url_rules,
         "op6_site_style": op6_site_style,
