@@ -10,7 +10,10 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .license_index import scan_licenses
 from .near_dedup import near_groups
+from .quality import quality_scores
 from .site_style import extract_pages
+from .template_leaks import leaked_items
+from .temperature_mix import mixed
 from .token_records import token_records
 from .toxicity import toxicity_scores
 from .url_rules import judge_urls
@@ -29,6 +32,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -39,10 +46,18 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op7_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"), repetition_limit=1.5).select("doc_id", "source", "mix_epoch", "mix_block", "mix_order", "mix_tokens")
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), percent=85)
 
@@ -58,9 +73,12 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_quality": op2_quality,
         "op3_token_records": op3_token_records,
         "op4_url_rules": op4_url_rules,
+        "op5_template_leaks": op5_template_leaks,
         "op6_site_style": op6_site_style,
+        "op7_temperature_mix": op7_temperature_mix,
         "op8_near_dedup": op8_near_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_license_index": op10_license_index,
