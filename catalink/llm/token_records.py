@@ -27,6 +27,8 @@ empty table writes no frame. Further columns of the input are ignored.
 
 from __future__ import annotations
 
+import itertools
+import os
 import re
 import struct
 import zlib
@@ -45,8 +47,11 @@ PAYLOAD = struct.Struct("<Bq")
 TAIL = struct.Struct("<I")
 MASK = 0xA282EAD8  # fixed value of the masking rule
 
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 700_000
 """Words whose ids a worker keeps; others are encoded again."""
+CLOSING = (".", ",", ";", ":", "!", "?")
+BATCH_CHARS = 2 << 20
+"""Text that is encoded at a time; its words are encoded once."""
 
 _known: dict[str, dict[str, bytes]] = {}
 
@@ -90,17 +95,31 @@ def index_rows(shard: int, content: bytes, width: str) -> Iterator[tuple]:
         before += len(ids)
 
 
+def runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``BATCH_CHARS`` characters."""
+    first = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= BATCH_CHARS:
+            yield first, i + 1
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
 class Encoder:
     """Ids of whole texts. A byte-level tokenizer cuts before the white space that follows a word, so words
     that single spaces part can be encoded alone, each distinct word once; other texts go through as they are."""
 
     def __init__(self, tokenizer_json: str, width: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
         self.width = width
         self.known = _known.setdefault(f"{zlib.crc32(tokenizer_json.encode())} {width}", {})
+        self.marks = dict(zip(CLOSING, self._raw(list(CLOSING)), strict=True))
         pre = str(self.tokenizer.pre_tokenizer)
         self.by_word = self.tokenizer.normalizer is None and pre.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in pre
 
@@ -117,26 +136,28 @@ class Encoder:
             out[i] = ids
         parts = {i: t.split(" ") for i, t in enumerate(texts) if out[i] is None}
         words: set[str] = set()
-        for i, p in parts.items():
+        for p in parts.values():
             words.update(p[1:])
-        known = self.known
-        new = [w for w in words if w not in known]
-        fresh = dict(zip(new, self._raw([f" {w}" for w in new]), strict=True))
-        if len(known) + len(fresh) <= KNOWN_WORDS:
-            known.update(fresh)
-            fresh = known
-            get = known.__getitem__
-        else:
-            def get(w: str) -> bytes:
-                return fresh.get(w) or known[w]
-
         heads = self._raw([p[0] for p in parts.values()])
+        ids_of = self._words(words)
         for (i, p), head in zip(parts.items(), heads, strict=True):
-            out[i] = head + b"".join(map(get, p[1:]))
+            out[i] = head + b"".join(map(ids_of.__getitem__, p[1:]))
         return out
 
+    def _words(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of each word with a space before it. A mark that closes a word of letters is a token of its own."""
+        known = self.known
+        cores = {w: w[:-1] if w[-1:] in CLOSING and w[-2:-1].isalpha() else w for w in words}
+        new = list({c for c in cores.values() if c not in known})
+        fresh = dict(zip(new, self._raw([f" {c}" for c in new]), strict=True))
+        room = KNOWN_WORDS - len(known)
+        known.update(fresh if len(fresh) <= room else itertools.islice(fresh.items(), max(room, 0)))
+        marks = self.marks
+        get = fresh.get
+        return {w: (get(c) or known[c]) if len(c) == len(w) else (get(c) or known[c]) + marks[w[-1]] for w, c in cores.items()}
+
 
-def write_records(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, vocabulary: int, shard_bytes: int = 32 << 20) -> None:
+def write_records(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, vocabulary: int, shard_bytes: int = 8 << 20) -> None:
     """Writes the frames of ``docs`` (doc_id, text) to the folder ``path``, in shards of about ``shard_bytes`` of text."""
     spark = docs.sparkSession
     width = "<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4"
@@ -149,10 +170,9 @@ def write_records(docs: DataFrame, path: str, tokenizer_json: str, end_id: int,
         encoder = Encoder(source.value, width)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(ids), 512):
-                rows = zip(ids[at : at + 512], encoder.encode([t or "" for t in texts[at : at + 512]]), strict=True)
-                made = [frame(i, body + end) for i, body in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["frame"])
+            for at, to in runs(texts):
+                rows = zip(ids[at:to], encoder.encode([t or "" for t in texts[at:to]]), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([frame(i, body + end) for i, body in rows], pa.binary())], ["frame"])
 
     (
         docs.select("doc_id", "text")
@@ -193,7 +213,7 @@ def with_starts(index: DataFrame) -> DataFrame:
     return index.join(bases, "shard").withColumn("start", F.col("base") + F.col("before")).drop("base")
 
 
-def token_records(docs: DataFrame, tokenizer_path: str, end_id: int = 2, path: str | None = None, shard_bytes: int = 32 << 20) -> DataFrame:
+def token_records(docs: DataFrame, tokenizer_path: str, end_id: int = 2, path: str | None = None, shard_bytes: int = 8 << 20) -> DataFrame:
     """Writes ``docs`` as records to ``path`` (default: the work folder), their index beside it, and returns the
     index with starts: doc_id, start, n_tokens, ids_crc32, shard, place, offset, length."""
     from tokenizers import Tokenizer
