@@ -1,9 +1,143 @@
-"""The registered queries and the SQL that they are held against."""
+"""The registered catalog queries and the SQL that they are held against."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def oracle_sql():
-    return {}
+from ..functions import labels as L
+from ..functions import text as T
+from ..operators import ingest, locks, matching, provenance, reports
+from ..sources import json_answers
+from ..sources.workload import relation
+from .oracle import ORACLE
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+class Catalogs:
+    """The catalogs over the tables of one folder, each derived on demand."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return relation(self.spark, self.sf_dir, name)
+
+    def upstream(self) -> DataFrame:
+        return ingest.upsert_fold(self["upstream_log"])
+
+    def classified(self) -> DataFrame:
+        pages = ingest.upsert_fold(self["local_log"])
+        return provenance.classified(pages, self["category_members"], provenance.month_map(self["dated_subcategories"]))
+
+    def local(self) -> DataFrame:
+        """Local pages with the match columns that an earlier run has left, or their defaults."""
+        rows = self.classified().join(self["earlier_matches"], "id", "left")
+        flags = {c: F.coalesce(c, F.lit(False)) for c in ("maybe_deleted_upstream", "normalization_match")}
+        return rows.withColumns({**flags, "match_type": F.coalesce("match_type", F.lit(L.MATCH_NONE))})
+
+    def matched(self) -> DataFrame:
+        return matching.cascade(self.local(), self.upstream(), self["manual_matches"], self["page_content"])
+
+    def missing(self) -> DataFrame:
+        return reports.missing_locally(self.upstream(), self.matched(), self["blocked_titles"])
+
+    def routes(self) -> DataFrame:
+        return locks.routed(self.missing(), self["page_info"])
+
+
+def _stage(*stages: str) -> Callable[[Catalogs], DataFrame]:
+    return lambda c: c.matched().filter(F.col("stage").isin(*stages))
+
+
+def _rule(i: int) -> Callable[[Catalogs], DataFrame]:
+    return lambda c: c["local_log"].select("id", T.RULES[i][1](F.col("title")).alias("title"))
+
+
+def _stale(c: Catalogs) -> DataFrame:
+    return ingest.stale_collisions(c.upstream(), c["upstream_log"].filter("pos % 2 = 0").select("id", "title").distinct())
+
+
+def _upsert(c: Catalogs) -> DataFrame:
+    old = c["earlier_matches"].filter("id % 2 = 0").select("id", F.lit("gone").alias("title"), F.lit(L.STATUS_UNDOCUMENTED).alias("status"), "upstream_id", "match_type")
+    arriving = c.classified().select("id", "title", "status")
+    return ingest.upserted(old, arriving, "id", {"upstream_id": None, "match_type": L.MATCH_NONE})
+
+
+def _domains(c: Catalogs) -> DataFrame:
+    rows = c.matched().select("id", "status", "match_type")
+    return ingest.outside_domain(rows, "status", L.STATUSES).union(ingest.outside_domain(rows, "match_type", L.MATCH_TYPES)).distinct()
+
+
+def _summary(c: Catalogs) -> DataFrame:
+    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    parts = [
+        one(c.upstream(), "upstream_rows"),
+        one(c.local(), "local_rows"),
+        one(provenance.month_map(c["dated_subcategories"]), "dated_titles"),
+        one(c["page_info"].filter("coalesce(allevel, 'none') <> 'none'"), "locked"),
+        one(c.matched().filter("maybe_deleted_upstream"), "maybe_deleted"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:  # single rows side by side
+        out = out.crossJoin(part)
+    return out
+
+
+_QUERIES: dict[str, Callable[[Catalogs], DataFrame]] = {
+    "scan_keyset_topk": lambda c: ingest.scanned(c["upstream_log"], 100).orderBy("id", "title").limit(500).select("id", "title"),
+    "upsert_fold_upstream": lambda c: c.upstream(),
+    "batch_dedupe_last_wins": lambda c: ingest.batch_dedupe(c["upstream_log"]),
+    "stale_collisions": _stale,
+    "fk_release": lambda c: ingest.release_references(c.local(), c.upstream().filter("id % 5 = 0")).select("id", "title", "upstream_id", "match_type"),
+    "upsert_preserving_match_cols": _upsert,
+    "integrity_orphans": lambda c: ingest.orphans(c.local(), c.upstream()),
+    "integrity_domains": _domains,
+    "integrity_duplicates": lambda c: ingest.duplicates(c["upstream_log"], "title"),
+    "category_sets": lambda c: provenance.category_pages(c["category_members"]).groupBy("category").agg(F.countDistinct("title").alias("n")),
+    "category_union": lambda c: provenance.category_union(c["category_members"]),
+    "month_map": lambda c: provenance.month_map(c["dated_subcategories"]),
+    "classify_provenance": lambda c: c.classified().select("id", "title", "status", "source_type", "last_update_month"),
+    "page_flags": lambda c: c.classified().select("id", "needs_attention", "is_dictionary_entry"),
+    "hygiene_titles": lambda c: c["local_log"].select("id", "title", T.hygiene(F.col("title")).alias("key")),
+    **{f"rule_{i + 1}": _rule(i) for i in range(len(T.RULES))},
+    "normalize_titles": lambda c: T.with_rewritten(c.local(), "title", "rewritten", "applied").select("id", "rewritten", "applied"),
+    "template_extract": lambda c: c["page_content"].select("title", T.template_value(F.col("content")).alias("value")),
+    "duration_format": lambda c: c.spark.read.parquet(f"{c.sf_dir}/orders.parquet").select("o_orderkey", T.duration(F.col("o_orderkey") * 7).alias("text")),
+    "json_content": lambda c: json_answers.content_rows(c["content_answers"]),
+    "json_lock": lambda c: json_answers.lock_rows(c["lock_answers"]),
+    "upstream_key_map": lambda c: matching.upstream_keys(c.upstream()),
+    "key_collisions": lambda c: matching.key_collisions(c.upstream()),
+    "match_manual": _stage("manual", "manual_unresolved"),
+    "match_exact": _stage("exact", "hygiene"),
+    "match_semantic": _stage("semantic"),
+    "match_template": _stage("template", "denied"),
+    "match_unmatched": _stage("unmatched"),
+    "match_type": lambda c: c.classified().select("id", matching.match_type_of(F.col("status")).alias("match_type")),
+    "match_cascade": lambda c: c.matched(),
+    "match_stage_counts": lambda c: matching.stage_counts(c.matched()),
+    "report_possibly_deleted": lambda c: reports.possibly_deleted(c.matched()),
+    "report_undocumented": lambda c: reports.undocumented(c.matched()),
+    "report_tasks": lambda c: reports.tasks(c.matched()),
+    "report_missing": lambda c: c.missing(),
+    "lock_route": lambda c: c.routes(),
+    "lock_route_counts": lambda c: locks.route_counts(c.routes()),
+    "lock_to_blocked": lambda c: locks.added(c["blocked_titles"].select("title", "upstream_id", "reason", "added_at"), locks.to_blocked(c.routes()), "title"),
+    "lock_to_manual": lambda c: locks.added(c["curated_manual"], locks.to_manual(c.routes()), "local_page_id"),
+    "run_summary": _summary,
+}
+
+
+def _over(query: Callable[[Catalogs], DataFrame]) -> Query:
+    return lambda spark, sf_dir: query(Catalogs(spark, sf_dir))
+
+
+def queries() -> dict[str, Query]:
+    return {name: _over(query) for name, query in _QUERIES.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLE)
