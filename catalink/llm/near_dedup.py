@@ -206,7 +206,7 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     facts = nodes.select("node", "n", *sketches)
 
     # buckets with several nodes
-    keys = nodes.select("node", F.explode("bands").alias("key"))
+    keys = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = saved(keys.join(sizes, "key"), "near-dedup-members")
 
@@ -222,7 +222,7 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     first = components(links)
 
     # the rest: buckets that still hold several components
-    placed = members.join(first, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
+    placed = members.join(first, "node", "left").select("key", "band", "node", "size", F.coalesce("component", "node").alias("component"))
     placed = saved(placed, "near-dedup-placed")
     mixed = placed.filter("size > 2").groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
     rest = saved(placed.join(mixed, "key"), "near-dedup-rest")
@@ -239,10 +239,10 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("own"))
         )
         # a partner shares at most n - own shingles, and the union holds its own set and what only this node has
-        side = rest.join(facts, "node").join(owned, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+        side = rest.join(nodes, "node").join(owned, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
         side = side.withColumn("most", (F.col("n") - F.col("own")) * 100 - F.col("own") * percent)
         side = saved(side.filter(F.col("most") * 100 >= F.col("n") * percent * percent), "near-dedup-sides")
-        columns = ["key", "node", "component", "n", "most", *sketches]
+        columns = ["key", "band", "bands", "node", "component", "n", "most", *sketches]
         a, b = side.select(columns).alias("a"), side.select(columns).alias("b")
         condition = (
             (F.col("a.key") == F.col("b.key"))
@@ -252,6 +252,8 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
             & (F.col("a.n") * percent <= F.col("b.most"))
             & sizes_fit("a", "b", percent)
             & bayes_passes("a", "b", percent)
+            # the first band in which the two agree makes the pair, not each of them
+            & (F.array_position(F.zip_with("a.bands", "b.bands", lambda x, y: x == y), True) == F.col("a.band") + 1)
         )
         pairs = a.join(b, condition).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
         more = verified(saved(pairs, "near-dedup-pairs"), docs, percent)
