@@ -264,3 +264,10 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     with_sets = sets.select("doc_id", "n_shingles", "digest").join(placed, "digest").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     without = signed.filter("digest is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return with_sets.unionByName(without).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose document is kept, with all columns. A row with a null doc_id always stays; of
+    rows with one doc_id, all stay or none."""
+    gone = near_groups(docs, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")

@@ -204,3 +204,16 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, pena
     weights, intercept = toxicity_model(docs, labels, most, penalty)
     scored = docs.select("doc_id", "text").mapInArrow(lambda it: score_batches(it, weights, intercept), "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, weights: dict[str, float], intercept: float, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` (text, ...) that score below ``least``, with all columns."""
+    number = docs.schema.names.index("text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pair = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(number)], ["doc_id", "text"])
+            score = next(iter(score_batches(iter([pair]), weights, intercept))).column(1)
+            yield batch.filter(pa.array(score.to_numpy() < least))
+
+    return docs.mapInArrow(clean, docs.schema)
