@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .labels import MONTHS
 
@@ -23,7 +24,7 @@ TRANSLATE_FROM, TRANSLATE_TO = QUOTES_FROM + DASHES + NBSP, QUOTES_TO + "-" * le
 _STABLE = r"^[\x{0}-\x{2ff}\x{5be}\x{5d0}-\x{5ea}\x{5f3}\x{5f4}\x{200e}-\x{201f}\x{202a}-\x{202e}]*$"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _compose(titles: pd.Series) -> pd.Series:
     return titles.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
