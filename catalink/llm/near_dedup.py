@@ -5,8 +5,8 @@ have a Jaccard similarity of at least ``percent`` / 100 are linked; a group is a
 connected component of the links.
 
 1. Each distinct set becomes one node (its smallest doc_id), so exact copies
-   cost no pair. A node has 24 band keys of 6 MinHash values and a sketch of 256
-   one-bit MinHash values.
+   cost no pair. A node has band keys (24 of 6 MinHash values at 85 per cent)
+   and a sketch of 256 one-bit MinHash values.
 2. Star links: in each bucket of a band key, every node is paired with one
    pivot, the node that shares most buckets. Pairs number at most nodes x bands.
 3. Rest: nodes of one bucket that are still in different components are
@@ -20,8 +20,8 @@ connected component of the links.
 5. Survivors are verified on their full sets. Components are made by
    contraction, with each round written to the shared work folder.
 
-A pair with similarity 0.85 shares no bucket with a probability of 1.2e-5, and
-less with a higher one; ``MISS`` bounds what the test adds.
+A pair at the threshold shares no bucket with a probability of 1.3e-5 at most,
+and less with a higher similarity; ``MISS`` bounds what the test adds.
 
 Defined cases: a document without words has an empty set, is linked with
 nothing and is kept. With fewer than five words the whole sequence is the one
@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,14 +45,15 @@ from pyspark.sql import functions as F
 from .common import WHITE_BYTES, Words, _mixed, batches_of, byte_table, saved
 
 SHINGLE = 5
-BANDS, ROWS = 24, 6
+MISSED_BAND = 1.3e-5
+"""Chance that two documents at the threshold share no band key."""
 BATCH_BITS, BATCHES = 64, 4
 MISS = 1e-5
 
 _RNG = np.random.default_rng(7_2026)
 _ORDER = _RNG.integers(1, 2**62, SHINGLE + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTORS = (_RNG.integers(1, 2**31, BATCH_BITS * BATCHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
-_BAND = _RNG.integers(1, 2**62, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BAND = _RNG.integers(1, 2**62, (64, 6), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _IS_WORD = byte_table(separators=WHITE_BYTES)
 
 
@@ -74,29 +76,38 @@ def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
                 yield runs[:0]
 
 
-def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def banding(percent: int) -> tuple[int, int]:
+    """Number of bands and MinHash values in each: as many bands as keep the chance of a miss at ``MISSED_BAND``."""
+    rows = 6 if percent >= 85 else 5 if percent >= 75 else 4 if percent >= 65 else 3
+    bands = math.ceil(math.log(MISSED_BAND) / math.log(1 - (percent / 100) ** rows))
+    if percent < 50 or bands > len(_BAND):
+        raise ValueError("the threshold has to be from 50 to 100 per cent")
+    return bands, rows
+
+
+def signature(shingles: np.ndarray, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Band keys and sketch of a set that isn't empty, as signed 64-bit integers."""
     least = None
     values = (shingles >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(values), 2048):
         part = (_FACTORS * values[at : at + 2048]).min(axis=1)
         least = part if least is None else np.minimum(least, part)
-    bands = _mixed((least[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64) * _BAND).sum(axis=1))
+    keys = _mixed((least[: bands * rows].reshape(bands, rows).astype(np.uint64) * _BAND[:bands, :rows]).sum(axis=1) + np.arange(bands, dtype=np.uint64))
     bits = np.packbits(((least >> np.uint32(9)) & np.uint32(1)).astype(np.uint8)).view("<i8")
-    return bands.view(np.int64), bits
+    return keys.view(np.int64), bits
 
 
 SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, " + ", ".join(f"s{i} long" for i in range(BATCHES))
 
 
-def sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sign_batches(batches: Iterator[pa.RecordBatch], n_bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in SIGNED.split(", ")]
     for batch in batches:
         sizes, digests, bands, sketches = [], [], [], []
         for s in shingle_sets(batch.column(1).to_pylist()):
             sizes.append(len(s))
             digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-            b, k = signature(s) if len(s) else (None, np.zeros(BATCHES, dtype=np.int64))
+            b, k = signature(s, n_bands, rows) if len(s) else (None, np.zeros(BATCHES, dtype=np.int64))
             bands.append(b)
             sketches.append(k)
         sketch = np.array(sketches, dtype=np.int64).reshape(-1, BATCHES)
@@ -197,7 +208,8 @@ def components(edges: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    signed = saved(docs.mapInArrow(sign_batches, SIGNED), "near-dedup-signatures")
+    n_bands, rows = banding(percent)
+    signed = saved(docs.mapInArrow(lambda it: sign_batches(it, n_bands, rows), SIGNED), "near-dedup-signatures")
     sets = signed.filter("digest is not null and doc_id is not null")
     node_of = saved(sets.groupBy("digest").agg(F.min("doc_id").alias("node")), "near-dedup-nodes")
     sketches = ["s%d" % i for i in range(BATCHES)]
@@ -270,4 +282,4 @@ def without_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose document is kept, with all columns. A row with a null doc_id always stays; of
     rows with one doc_id, all stay or none."""
     gone = near_groups(docs, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

@@ -19,7 +19,7 @@ block totals are tables; only the bracket of the exponent reaches the driver.
 
 Defined cases: a null source counts as one source of its own; null and empty
 texts have one token. Repeated rows are rows of their own. An empty table gives
-an empty result. Columns of ``docs`` stay as they are; added ones begin with ``mix_``.
+an empty result. Columns of ``docs`` stay as they are, but for those in ``ADDED``.
 """
 
 from __future__ import annotations
@@ -37,6 +37,10 @@ POINTS = 16
 PASSES = 5
 
 
+#: Columns that the mixture adds; a column of the input with such a name is replaced.
+ADDED = {"mix_epoch": "int", "mix_block": "bigint", "mix_order": "double", "mix_tokens": "bigint"}
+
+
 def source_key() -> F.Column:
     """A string for the source that tells null from every value."""
     return F.concat(F.when(F.col("source").isNull(), "n").otherwise("s"), F.coalesce("source", F.lit("")))
@@ -96,12 +100,12 @@ def mixed(
     mix_block, mix_order (the place of the row in its epoch: blocks in permuted order, hashes inside) and mix_tokens."""
     if (target_entropy is None) == (repetition_limit is None):
         raise ValueError("give either target_entropy or repetition_limit")
-    columns = docs.columns
+    columns = [c for c in docs.columns if c not in ADDED]
     sized = docs.select("doc_id", source_key().alias("mix_source"), tokens_of(F.col("text")).alias("mix_tokens"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("mix_hash"))
     sized = saved(sized, "mix-sizes")
     totals = saved(sized.groupBy("mix_source").agg(F.sum("mix_tokens").alias("tokens")), "mix-totals")
     if totals.isEmpty():
-        return docs.select(*columns, *[F.lit(None).cast(k).alias(c) for c, k in (("mix_epoch", "int"), ("mix_block", "bigint"), ("mix_order", "double"), ("mix_tokens", "bigint"))])
+        return docs.select(*columns, *[F.lit(None).cast(k).alias(c) for c, k in ADDED.items()])
     exponent = bisected_exponent(totals, target_entropy, repetition_limit, budget)
 
     # epochs of a source: its weight times the budget, by its tokens
@@ -130,11 +134,12 @@ def mixed(
     taken = taken.select("mix_source", "mix_block", "full", (F.col("part") - F.col("before")).alias("left"), "in_block")
     taken = saved(taken, "mix-blocks")
 
-    rows = docs.select(*columns, source_key().alias("mix_source"), tokens_of(F.col("text")).alias("mix_tokens"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("mix_hash"))
+    # the input's columns travel as one, so that no name of theirs meets one used here
+    rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("mix_row"), source_key().alias("mix_source"), tokens_of(F.col("text")).alias("mix_tokens"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("mix_hash"))
     rows = rows.join(plan.select("mix_source", "blocks"), "mix_source").withColumn("mix_block", block()).drop("blocks")
     rows = rows.join(taken, ["mix_source", "mix_block"])
     cut = (F.col("left") > 0) & (F.col("left") < F.col("in_block"))
-    within = Window.partitionBy("mix_source", "mix_block").orderBy("mix_hash", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("mix_source", "mix_block").orderBy("mix_hash").rowsBetween(Window.unboundedPreceding, -1)
     # only the block in which the budget ends, one for each source, is summed row by row
     ended = rows.filter(cut).withColumn("before", F.coalesce(F.sum("mix_tokens").over(within), F.lit(0)))
     ended = ended.withColumn("copies", F.col("full") + (F.col("before") < F.col("left")).cast("int")).drop("before")
@@ -144,4 +149,4 @@ def mixed(
     # blocks by their order in the epoch, rows by hash inside a block
     unit = lambda c: F.shiftrightunsigned(c, 11).cast("double") / float(1 << 53)
     place = unit(F.xxhash64("mix_source", "mix_block", "mix_epoch", F.lit(seed)))
-    return repeated.withColumn("mix_order", F.col("mix_epoch") + place).select(*columns, "mix_epoch", "mix_block", "mix_order", "mix_tokens")
+    return repeated.withColumn("mix_order", F.col("mix_epoch") + place).select("mix_row.*", *ADDED)

@@ -142,4 +142,4 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose document leaks no item, with all columns."""
     bad = leaked_items(docs, benchmark, **options).select(F.col("doc_id").alias("leaking_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("leaking_id")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["leaking_id"]), "left_anti")
