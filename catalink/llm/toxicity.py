@@ -37,7 +37,8 @@ LEAST_DOCS = 4
 STEMS = (3, 4, 5, 6, 7, 8)
 KNOWN_WORDS = 400_000
 LAMBDA = 1.0
-RIDGE = 2e-3
+RIDGE = 0.5
+"""Weight of the squared norm, divided by the number of features."""
 ROUNDS = 400
 
 #: Identity terms that are swapped among each other, in groups of one grammatical kind.
