@@ -77,7 +77,7 @@ class Shapes(dict):
 def ngrams(text: str | None, shapes: Shapes, words: bool = True) -> set:
     """The n-grams of a text: words as strings, runs of shapes as tuples."""
     found = (text or "").split()
-    shaped = ["=" if w == before else shapes[w] for w, before in zip(found, ["", *found[:-1]], strict=True)]
+    shaped = ["=" if w == before else shapes[w] for w, before in zip(found, ["", *found], strict=False)]
     out: set = set(zip(shaped))
     out.update(zip(shaped, shaped[1:]))
     out.update(zip(shaped, shaped[1:], shaped[2:]))

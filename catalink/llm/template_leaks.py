@@ -24,7 +24,7 @@ result. Further columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -108,8 +108,11 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     else:
         exploded = canonical.select("doc_id", F.explode(array).alias("a")).select("doc_id", "a.doc_size", F.posexplode("a.hashes").alias("doc_at", "doc_hash"))
     met = exploded.join(lookup, (F.col("doc_hash") == F.col("hash")) & (F.col("doc_size") == F.col("size")))
-    # one row for each window of an item and document, however often the document repeats it
-    once = met.groupBy("doc_id", "item_id", "at").agg(F.min(F.col("doc_at") - F.col("at")).alias("shift"))
+    # one row for each window of an item and document, however often they repeat it: at the shift that most windows share
+    shifted = met.select("doc_id", "item_id", "at", (F.col("doc_at") - F.col("at")).alias("shift")).distinct()
+    shifted = shifted.withColumn("sharing", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "item_id", "shift")))
+    once = shifted.groupBy("doc_id", "item_id", "at").agg(F.max(F.struct("sharing", (-F.col("shift")).alias("minus"))).alias("best"))
+    once = once.select("doc_id", "item_id", (-F.col("best.minus")).alias("shift"))
     pairs = once.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("found_windows"), F.collect_set("shift").alias("shifts"))
     pairs = pairs.join(totals.withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i"))).drop("i")
     candidates = saved(pairs.filter(F.col("found_windows") >= F.col("item_windows") * cover), "leak-candidates")
