@@ -45,16 +45,20 @@ _MARK, _NAME, _NUMBER, _UNIT = "\ue000", "\ue001", "\ue002", "\ue003"
 
 
 def slotted(text: Column) -> Column:
-    """The text as words parted by white space, a slot as ``<placeholder>=<value>``."""
+    """The text as words parted by white space, a slot as ``<placeholder>=<value>``.
+
+    The patterns of numbers and units run only on texts that have a digit."""
     other = rf"[^\p{{L}}\p{{N}}\s{_MARK}]+"
     number, ends = r"\d[\d.,:/]*", r"(?![\p{L}\p{N}])"
-    out = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{_MARK}-{_UNIT}=]", "")
+    out = F.translate(F.coalesce(text, F.lit("")), f"{_MARK}{_NAME}{_NUMBER}{_UNIT}=", "")
     out = F.regexp_replace(out, r"(?<=[\p{Ll},;] )\p{Lu}\p{Ll}+", f"{_MARK}$0")
-    out = F.regexp_replace(F.lower(out), rf"(?<!\d){other}|{other}(?!\d)", "")
-    out = F.regexp_replace(out, rf"{_MARK}(\p{{L}}+)", f"{_NAME}=$1")
-    out = F.regexp_replace(out, rf"(?<![\p{{L}}\p{{N}}=])({number})({UNITS}){ends}", f"{_NUMBER}=$1 {_UNIT}=$2")
-    out = F.regexp_replace(out, rf"(?<![\p{{L}}\p{{N}}=])({number}){ends}", f"{_NUMBER}=$1")
-    return F.regexp_replace(out, rf"(?<={_NUMBER}=[\d.,:/]{{1,24}}\s)({UNITS}){ends}", f"{_UNIT}=$1")
+    plain = F.regexp_replace(F.lower(out), other, "")
+    digits = F.regexp_replace(F.lower(out), rf"(?<!\d){other}|{other}(?!\d)", "")
+    named = lambda c: F.regexp_replace(c, rf"{_MARK}(\p{{L}}+)", f"{_NAME}=$1")
+    digits = F.regexp_replace(named(digits), rf"(?<![\p{{L}}\p{{N}}=])({number})({UNITS}){ends}", f"{_NUMBER}=$1 {_UNIT}=$2")
+    digits = F.regexp_replace(digits, rf"(?<![\p{{L}}\p{{N}}=])({number}){ends}", f"{_NUMBER}=$1")
+    digits = F.regexp_replace(digits, rf"(?<={_NUMBER}=[\d.,:/]{{1,24}}\s)({UNITS}){ends}", f"{_UNIT}=$1")
+    return F.when(text.rlike(r"\d"), digits).otherwise(named(plain))
 
 
 def template(slots: Column) -> Column:
@@ -63,24 +67,50 @@ def template(slots: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    """Its words; none of an empty text."""
+    return F.array_remove(F.split(text, r"\s+"), "")
+
+
+def templates(rows: DataFrame, key: str) -> DataFrame:
+    """(key, w): the hashes of the template words of each text of ``rows`` (key, text)."""
+    staged = rows.select(key, slotted(F.col("text")).alias("text"))
+    staged = staged.select(key, words(template(F.col("text"))).alias("w"))
+    return staged.select(key, F.transform("w", lambda w: F.xxhash64(w)).alias("w"))
+
+
+def with_runs(rows: DataFrame, size: int, name: str) -> DataFrame:
+    """Adds the hashes of all runs of ``size`` word hashes of ``w``, in order; those at the end lack words.
+
+    Runs double their length from step to step, and a last step adds what is left: a run is the pair of its
+    first and last run of half the length. Each step is a projection of its own, so none is evaluated twice."""
+
+    def joined(gap: int):
+        return lambda x, i: F.xxhash64(F.lit(gap), x, F.get(F.col(name), i + gap))
+
+    length, kept = 1, [F.col(c) for c in rows.columns]
+    rows = rows.withColumn(name, F.col("w"))
+    while length < size:
+        gap = min(length, size - length)
+        rows = rows.select(*kept, F.transform(name, joined(gap)).alias(name))
+        length += gap
+    return rows
 
 
-def windows(array: Column, size: int) -> Column:
-    """Hashes of all runs of ``size`` words, in order."""
-    n = F.size(array) - size
-    hashes = F.transform(F.sequence(F.lit(1), n + 1), lambda i: F.xxhash64(F.slice(array, i, size)))
-    return F.when(n >= 0, hashes)
+def window_rows(rows: DataFrame, key: str, size: int, place: str, value: str) -> DataFrame:
+    """(key, place, value): a row for each window of each text of ``templates()``."""
+    runs = with_runs(rows, size, "runs")
+    # an expression, not a column: else Spark derives a filter from it that evaluates all steps again
+    whole = F.when(F.size("w") >= size, F.slice("runs", F.lit(1), F.size("w") - (size - 1)))
+    return runs.select(key, F.posexplode(whole).alias(place, value))
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(item_id, size, at, hash) of every window of every item."""
-    items = benchmark.select("item_id", words(template(slotted(F.col("text")))).alias("w")).filter(F.size("w") >= LEAST_WORDS)
-    sizes = [window, *range(LEAST_WORDS, window)]
-    parts = [
-        items.filter(F.size("w") >= window if s == window else F.size("w") == s).select("item_id", F.lit(s).alias("size"), F.posexplode(windows(F.col("w"), s)).alias("at", "hash"))
-        for s in sizes
-    ]
+    items = templates(benchmark.select("item_id", "text"), "item_id").filter(F.size("w") >= LEAST_WORDS)
+    parts = []
+    for s in [window, *range(LEAST_WORDS, window)]:
+        fitting = items.filter(F.size("w") >= window if s == window else F.size("w") == s)
+        parts.append(window_rows(fitting, "item_id", s, "at", "hash").select("item_id", F.lit(s).alias("size"), "at", "hash"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -101,13 +131,16 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     totals = items.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"))
     sizes = [r["size"] for r in items.select("size").distinct().collect()]  # at most ``window`` numbers
     lookup = F.broadcast(items) if items.count() <= most_broadcast else items
-    canonical = docs.select("doc_id", words(template(slotted(F.col("text")))).alias("w"))
-    array = F.array(*[F.struct(F.lit(s).alias("doc_size"), windows(F.col("w"), s).alias("hashes")) for s in sorted(sizes)]) if sizes else F.array().cast("array<struct<doc_size:int,hashes:array<bigint>>>")
-    if len(sizes) == 1:
-        exploded = canonical.select("doc_id", F.lit(sizes[0]).alias("doc_size"), F.posexplode(windows(F.col("w"), sizes[0])).alias("doc_at", "doc_hash"))
+    canonical = templates(docs.select("doc_id", "text"), "doc_id")
+    if sizes:
+        exploded = None
+        for s in sizes:
+            part = window_rows(canonical, "doc_id", s, "doc_at", "doc_hash")
+            exploded = part if exploded is None else exploded.unionByName(part)
     else:
-        exploded = canonical.select("doc_id", F.explode(array).alias("a")).select("doc_id", "a.doc_size", F.posexplode("a.hashes").alias("doc_at", "doc_hash"))
-    met = exploded.join(lookup, (F.col("doc_hash") == F.col("hash")) & (F.col("doc_size") == F.col("size")))
+        exploded = canonical.select("doc_id", F.lit(0).alias("doc_at"), F.lit(0).cast("bigint").alias("doc_hash")).filter("false")
+    # windows of unlike size have unlike hashes: the number of the steps is part of them
+    met = exploded.join(lookup, F.col("doc_hash") == F.col("hash"))
     # one row for each window of an item and document, however often they repeat it: at the shift that most windows share
     shifted = met.select("doc_id", "item_id", "at", (F.col("doc_at") - F.col("at")).alias("shift")).distinct()
     shifted = shifted.withColumn("sharing", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "item_id", "shift")))

@@ -47,10 +47,10 @@ PAYLOAD = struct.Struct("<Bq")
 TAIL = struct.Struct("<I")
 MASK = 0xA282EAD8  # fixed value of the masking rule
 
-KNOWN_WORDS = 700_000
+KNOWN_WORDS = 250_000
 """Words whose ids a worker keeps; others are encoded again."""
 CLOSING = (".", ",", ";", ":", "!", "?")
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
 """Text that is encoded at a time; its words are encoded once."""
 
 _known: dict[str, dict[str, bytes]] = {}
@@ -120,6 +120,8 @@ class Encoder:
         self.width = width
         self.known = _known.setdefault(f"{zlib.crc32(tokenizer_json.encode())} {width}", {})
         self.marks = dict(zip(CLOSING, self._raw(list(CLOSING)), strict=True))
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else None
         pre = str(self.tokenizer.pre_tokenizer)
         self.by_word = self.tokenizer.normalizer is None and pre.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in pre
 
@@ -135,11 +137,13 @@ class Encoder:
         for i, ids in zip(whole, self._raw([texts[i] for i in whole]), strict=True):
             out[i] = ids
         parts = {i: t.split(" ") for i, t in enumerate(texts) if out[i] is None}
-        words: set[str] = set()
-        for p in parts.values():
-            words.update(p[1:])
         heads = self._raw([p[0] for p in parts.values()])
-        ids_of = self._words(words)
+        # a small dictionary for the words at hand, so that most lookups stay in the processor's cache
+        words = set().union(*parts.values())
+        ids_of = dict(zip(words, map(self.known.get, words), strict=True))
+        fresh = self._words({w for w, ids in ids_of.items() if ids is None})
+        ids_of.update(fresh)
+        self.known.update(itertools.islice(fresh.items(), max(KNOWN_WORDS - len(self.known), 0)))
         for (i, p), head in zip(parts.items(), heads, strict=True):
             out[i] = head + b"".join(map(ids_of.__getitem__, p[1:]))
         return out
@@ -147,14 +151,29 @@ class Encoder:
     def _words(self, words: set[str]) -> dict[str, bytes]:
         """Ids of each word with a space before it. A mark that closes a word of letters is a token of its own."""
         known = self.known
-        cores = {w: w[:-1] if w[-1:] in CLOSING and w[-2:-1].isalpha() else w for w in words}
-        new = list({c for c in cores.values() if c not in known})
-        fresh = dict(zip(new, self._raw([f" {c}" for c in new]), strict=True))
-        room = KNOWN_WORDS - len(known)
-        known.update(fresh if len(fresh) <= room else itertools.islice(fresh.items(), max(room, 0)))
-        marks = self.marks
-        get = fresh.get
-        return {w: (get(c) or known[c]) if len(c) == len(w) else (get(c) or known[c]) + marks[w[-1]] for w, c in cores.items()}
+        cores = {w: w[:-1] for w in words if w[-1:] in CLOSING and w[-2:-1].isalpha()}
+        plain = words.difference(cores).union(cores.values()).difference(known)
+        fresh = self._lines([w for w in plain if w.split() == [w]])
+        others = [w for w in plain if w not in fresh]
+        fresh.update(zip(others, self._raw([f" {w}" for w in others]), strict=True))
+        get, marks = fresh.get, self.marks
+        fresh.update({w: (get(c) or known[c]) + marks[w[-1]] for w, c in cores.items()})
+        return fresh
+
+    def _lines(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words without white space, encoded as lines of one text: the line feed is a token that no word holds."""
+        out: dict[str, bytes] = {}
+        if self.feed is None:
+            return out
+        size = np.dtype(self.width).itemsize
+        groups = [words[at : at + 64] for at in range(0, len(words), 64)]
+        for group, ids in zip(groups, self._raw([" " + "\n ".join(g) for g in groups]), strict=True):
+            ends = (np.flatnonzero(np.frombuffer(ids, dtype=self.width) == self.feed) * size).tolist()
+            at = 0
+            for word, end in zip(group, [*ends, len(ids)], strict=True):
+                out[word] = ids[at:end]
+                at = end + size
+        return out
 
 
 def write_records(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, vocabulary: int, shard_bytes: int = 8 << 20) -> None:
