@@ -12,8 +12,11 @@ connected component of the links.
 3. Rest: nodes of one bucket that are still in different components are
    paired, unless exact bounds exclude a link. A node's shingles that occur in
    no other node of the rest can't be shared, so they limit the size of any
-   partner. The bounds and the Bayesian test stand in the join condition: a
-   bucket of near copies doesn't emit its pairs.
+   partner. A bitmap of the hash classes that a set occupies limits the
+   intersection: a shingle in a class that the partner leaves empty isn't
+   shared. The bounds and the Bayesian test stand in the join condition: a
+   bucket of near copies doesn't emit its pairs. The bitmap excludes little
+   once a set has several times ``CLASSES`` shingles.
 4. Bayesian test: the sketches are compared 64 bits at a time; a pair is
    dropped as soon as the posterior probability that its similarity reaches
    the threshold falls below ``MISS``.
@@ -49,6 +52,8 @@ MISSED_BAND = 1.3e-5
 """Chance that two documents at the threshold share no band key."""
 BATCH_BITS, BATCHES = 64, 4
 MISS = 1e-5
+CLASSES = 1024
+"""Hash classes of the bitmap of a set; a multiple of 64."""
 
 _RNG = np.random.default_rng(7_2026)
 _ORDER = _RNG.integers(1, 2**62, SHINGLE + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -97,22 +102,32 @@ def signature(shingles: np.ndarray, bands: int, rows: int) -> tuple[np.ndarray,
     return keys.view(np.int64), bits
 
 
-SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, " + ", ".join(f"s{i} long" for i in range(BATCHES))
+def occupied(shingles: np.ndarray) -> np.ndarray:
+    """The bitmap of the hash classes that a set occupies, as signed 64-bit integers."""
+    seen = np.zeros(CLASSES, dtype=bool)
+    seen[shingles % np.uint64(CLASSES)] = True
+    return np.packbits(seen).view("<i8")
+
+
+SKETCHES = [f"s{i}" for i in range(BATCHES)]
+BITMAP = [f"m{i}" for i in range(CLASSES // 64)]
+SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, " + ", ".join(f"{c} long" for c in SKETCHES + BITMAP)
 
 
 def sign_batches(batches: Iterator[pa.RecordBatch], n_bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in SIGNED.split(", ")]
     for batch in batches:
-        sizes, digests, bands, sketches = [], [], [], []
+        sizes, digests, bands, sketches, bitmaps = [], [], [], [], []
         for s in shingle_sets(batch.column(1).to_pylist()):
             sizes.append(len(s))
             digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
             b, k = signature(s, n_bands, rows) if len(s) else (None, np.zeros(BATCHES, dtype=np.int64))
             bands.append(b)
             sketches.append(k)
-        sketch = np.array(sketches, dtype=np.int64).reshape(-1, BATCHES)
+            bitmaps.append(occupied(s))
+        facts = np.hstack([np.array(sketches, dtype=np.int64).reshape(-1, len(SKETCHES)), np.array(bitmaps, dtype=np.int64).reshape(-1, len(BITMAP))])
         columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns + [pa.array(sketch[:, i]) for i in range(BATCHES)], names)
+        yield pa.RecordBatch.from_arrays(columns + [pa.array(facts[:, i]) for i in range(facts.shape[1])], names)
 
 
 def shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,6 +190,17 @@ def sizes_fit(left: str, right: str, percent: int) -> Column:
     return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
 
+def bitmaps_fit(left: str, right: str, percent: int) -> Column:
+    """False if the occupied classes leave too few shingles that both sets can hold."""
+
+    def most_shared(a: str, b: str) -> Column:
+        alone = [F.bit_count(F.col(f"{a}.{c}").bitwiseAND(F.bitwise_not(F.col(f"{b}.{c}")))) for c in BITMAP]
+        return F.col(f"{a}.n") - functools.reduce(lambda x, y: x + y, alone)
+
+    shared = F.least(most_shared(left, right), most_shared(right, left))
+    return shared * (100 + percent) >= (F.col(f"{left}.n") + F.col(f"{right}.n")) * percent
+
+
 def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (u, v) whose full sets reach the threshold."""
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
@@ -212,10 +238,9 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     signed = saved(docs.mapInArrow(lambda it: sign_batches(it, n_bands, rows), SIGNED), "near-dedup-signatures")
     sets = signed.filter("digest is not null and doc_id is not null")
     node_of = saved(sets.groupBy("digest").agg(F.min("doc_id").alias("node")), "near-dedup-nodes")
-    sketches = ["s%d" % i for i in range(BATCHES)]
     nodes = sets.join(node_of.withColumnRenamed("digest", "d"), (F.col("doc_id") == F.col("node")) & (F.col("digest") == F.col("d")))
-    nodes = saved(nodes.dropDuplicates(["node", "digest"]).select("node", F.col("n_shingles").alias("n"), "bands", *sketches), "near-dedup-sketches")
-    facts = nodes.select("node", "n", *sketches)
+    nodes = saved(nodes.dropDuplicates(["node", "digest"]).select("node", F.col("n_shingles").alias("n"), "bands", *SKETCHES, *BITMAP), "near-dedup-sketches")
+    facts = nodes.select("node", "n", *SKETCHES)
 
     # buckets with several nodes
     keys = nodes.select("node", F.posexplode("bands").alias("band", "key"))
@@ -227,8 +252,8 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     pivots = members.join(shared, "node").groupBy("key").agg(F.max(F.struct("shared", (-F.col("node")).alias("minus"))).alias("best"))
     stars = members.join(pivots.select("key", (-F.col("best.minus")).alias("pivot")), "key")
     stars = stars.filter("node <> pivot").select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v")).distinct()
-    tested = stars.join(facts.select(F.col("node").alias("u"), F.struct("n", *sketches).alias("a")), "u")
-    tested = tested.join(facts.select(F.col("node").alias("v"), F.struct("n", *sketches).alias("b")), "v")
+    tested = stars.join(facts.select(F.col("node").alias("u"), F.struct("n", *SKETCHES).alias("a")), "u")
+    tested = tested.join(facts.select(F.col("node").alias("v"), F.struct("n", *SKETCHES).alias("b")), "v")
     tested = tested.filter(sizes_fit("a", "b", percent) & bayes_passes("a", "b", percent)).select("u", "v")
     links = saved(verified(saved(tested, "near-dedup-stars"), docs, percent), "near-dedup-links")
     first = components(links)
@@ -254,7 +279,7 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
         side = rest.join(nodes, "node").join(owned, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
         side = side.withColumn("most", (F.col("n") - F.col("own")) * 100 - F.col("own") * percent)
         side = saved(side.filter(F.col("most") * 100 >= F.col("n") * percent * percent), "near-dedup-sides")
-        columns = ["key", "band", "bands", "node", "component", "n", "most", *sketches]
+        columns = ["key", "band", "bands", "node", "component", "n", "most", *SKETCHES, *BITMAP]
         a, b = side.select(columns).alias("a"), side.select(columns).alias("b")
         condition = (
             (F.col("a.key") == F.col("b.key"))
@@ -264,6 +289,7 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
             & (F.col("a.n") * percent <= F.col("b.most"))
             & sizes_fit("a", "b", percent)
             & bayes_passes("a", "b", percent)
+            & bitmaps_fit("a", "b", percent)
             # the first band in which the two agree makes the pair, not each of them
             & (F.array_position(F.zip_with("a.bands", "b.bands", lambda x, y: x == y), True) == F.col("a.band") + 1)
         )
