@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from catalink.llm import near_dedup as N
@@ -92,3 +93,23 @@ def test_near_edges(spark, documents):
 def test_thresholds_rise():
     assert N.least_matches(85) == tuple(sorted(N.least_matches(85)))
     assert N.banding(85) == (24, 6)
+
+
+def test_bitmaps_exclude_no_link(spark):
+    """The bitmap bound keeps every pair that reaches the threshold, sets beyond the number of classes included."""
+    rng = np.random.default_rng(3)
+    columns = ["n", *N.BITMAP]
+    rows, linked = [], []
+    for size in (1, 5, 60, 700, 6000):
+        for share in (0.5, 0.75, 0.8, 0.85, 0.95, 1.0):
+            a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+            b = np.concatenate([a[: int(len(a) * share)], rng.integers(0, 2**63, size // 20, dtype=np.uint64)])
+            if len(b):
+                both = len(np.intersect1d(a, b))
+                linked.append(100 * both >= 80 * (len(a) + len(b) - both))
+                rows.append(tuple((len(s), *N.occupied(s).tolist()) for s in (a, b)))
+    side = "struct<" + ", ".join(f"{c}: bigint" for c in columns) + ">"
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"i int, a {side}, b {side}")
+    fits = [r[0] for r in frame.orderBy("i").select(N.bitmaps_fit("a", "b", 80)).collect()]
+    assert all(f for f, needed in zip(fits, linked, strict=True) if needed)
+    assert not all(fits) and any(linked)
