@@ -10,10 +10,11 @@ distinct texts each node gets an importance:
   texts, normalised likewise.
 
 The importance is the larger of the two. A node whose text repeats on nearly
-all pages of a host (menus, notices, share lines) comes near 0, and its branch
-is removed from every page of that host. A node needs ``LEAST_PAGES`` such pages
-to be judged. The body, the article and what holds it are never judged,
-so a host of copies keeps its articles.
+all pages of a host (menus, notices, share lines) comes near 0, and its own
+blocks are removed from every page of that host. The nodes below it are judged
+by themselves, so a wrapper with a fixed line keeps the article that it holds.
+A node needs ``LEAST_PAGES`` such pages to be judged. The body, article and main
+elements are never judged, so a host of copies keeps its articles.
 
 Entropy alone can't tell boilerplate that differs from page to page (adverts
 and footers with changing texts) from an article. Branches whose element says
@@ -190,12 +191,13 @@ class Page:
             self.blocks.append((self._owner, text))
 
     def main_text(self, removed: frozenset[int] = frozenset()) -> str:
-        """The blocks that stay when the style nodes with these hashes are removed."""
-        gone = [False] * len(self.paths)
-        for i, path in enumerate(self.paths):
-            gone[i] = self.noise[i] or gone[self.parents[i]] or self.judged[i] and bool(removed) and path_hash(path) in removed
+        """The blocks that stay when those of the style nodes with these hashes are removed."""
         within = any(self.inside[i] and not self.noise[i] for i, _ in self.blocks)
-        return " ".join(text for i, text in self.blocks if not gone[i] and (self.inside[i] or not within))
+        kept = [(i, text) for i, text in self.blocks if not self.noise[i] and (self.inside[i] or not within)]
+        if removed:
+            low = {i: self.judged[i] and path_hash(self.paths[i]) in removed for i, _ in kept}
+            kept = [(i, text) for i, text in kept if not low[i]]
+        return " ".join(text for _, text in kept)
 
     def style_rows(self) -> Iterator[tuple[int, str, int]]:
         """(hash of the style path, 'c' or 'p', hash of what it shows on this page) of each node that may be judged."""

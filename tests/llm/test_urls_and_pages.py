@@ -67,3 +67,20 @@ def test_site_tree(spark):
     assert all(got[200 + i].text == "same article" for i in range(40))
     assert (got[300].text, got[300].n_chars, got[301].text, got[302].text) == ("", 0, "", "only text")
     assert S.extract_pages(pages.limit(0)).count() == 0
+
+
+def site(spark, sources):
+    """The texts of pages of one host, in order."""
+    rows = [(i, f"http://one.org/{i}", source) for i, source in enumerate(sources)]
+    got = {r.page_id: r.text for r in S.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    return [got[i] for i in range(len(rows))]
+
+
+def test_wrapper_with_fixed_line(spark):
+    """A wrapper whose own text and children are the same on all pages loses that text, not what it holds."""
+    outer = [f"<div id=page>\n<a href=#c>Skip to content</a><article><p>own text {i}</p></article></div>" for i in range(8)]
+    assert site(spark, outer) == [f"own text {i}" for i in range(8)]
+    inner = [f"<article><div class=entry>Share this<p>own text {i}</p></div></article>" for i in range(8)]
+    assert site(spark, inner) == [f"own text {i}" for i in range(8)]
+    plain = [f"<div id=page>Welcome<div class=text><p>own text {i}</p></div></div>" for i in range(8)]
+    assert site(spark, plain) == [f"own text {i}" for i in range(8)]
