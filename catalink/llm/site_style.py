@@ -21,6 +21,10 @@ and footers with changing texts) from an article. Branches whose element says
 what it is (nav, footer, aside, form, script ..., or a class or id such as
 ``ad``, ``sidebar``, ``comments``) therefore have importance 0 from the start,
 and where a page has an article or main element, text outside it is removed.
+A class or id says nothing of an element that holds a main element, or an article
+that stands in no other article: ``has-sidebar`` is a wrapper. Only where such an
+article stands elsewhere outside of all boilerplate, a whole class or id such as
+``comments`` or ``related`` still names the branch, with the articles in it.
 
 Result: blocks in page order, character references decoded, white space inside
 a block made one space, blocks joined by one space.
@@ -78,14 +82,14 @@ ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 NAME_WORD = re.compile(r"[a-z]+")
 
 
-def _named(rest: str) -> tuple[str, bool]:
-    """The style name that class and id give, and whether they or the role name boilerplate."""
+def _named(rest: str) -> tuple[str, bool, bool]:
+    """The style name that class and id give, whether they name boilerplate, and whether the role or a hiding attribute does."""
     if "=" not in rest:
-        return "", False
+        return "", False, False
     values = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(rest)}
     shown = " ".join(values.get(k, "") for k in ("class", "id")).strip().lower()
-    noise = not NOISE_WORDS.isdisjoint(NAME_WORD.findall(shown)) or values.get("role", "").lower() in NOISE_ROLES
-    return re.sub(r"\d+", "0", shown), noise or values.get("hidden") == "hidden" or values.get("aria-hidden") == "true"
+    hard = values.get("role", "").lower() in NOISE_ROLES or values.get("hidden") == "hidden" or values.get("aria-hidden") == "true"
+    return re.sub(r"\d+", "0", shown), not NOISE_WORDS.isdisjoint(NAME_WORD.findall(shown)), hard
 
 
 class Page:
@@ -96,6 +100,19 @@ class Page:
     """
 
     def __init__(self, source: str):
+        self._parse(source, frozenset())
+        wrappers = self._wrappers()
+        if wrappers:
+            self._parse(source, wrappers)
+
+    def _parse(self, source: str, wrappers: frozenset[int]) -> None:
+        """``wrappers``: elements whose class or id doesn't make them boilerplate."""
+        self._exempt = wrappers
+        # elements whose class or id names boilerplate, and whether a whole class or id does; articles that stand in no other, main elements
+        self._worded: dict[int, bool] = {}
+        self._articles: list[int] = []
+        self._mains: list[int] = []
+        self._in_article = [False]
         self.paths, self.children, self.parents = [""], [[]], [0]
         self.noise, self.inside, self.judged = [False], [False], [False]
         self.blocks: list[tuple[int, str]] = []
@@ -148,16 +165,40 @@ class Page:
         self._flush("")
 
     def _open(self, parent: int, tag: str, rest: str) -> int:
-        name, noise = _named(rest)
+        name, worded, hard = _named(rest)
+        place = len(self.paths)
         self.children[parent].append(f"{tag}.{name}" if name else tag)
         self.paths.append(f"{self.paths[parent]}/{tag}" + (f".{name}" if name else ""))
         self.children.append([])
         self.parents.append(parent)
         outer = tag == "header" and not self.inside[parent]
+        noise = hard
+        if worded and tag not in ("html", "body", "article", "main"):
+            self._worded[place] = not NOISE_WORDS.isdisjoint(name.split())
+            noise = hard or place not in self._exempt
         self.noise.append(self.noise[parent] or tag in NOISE_TAGS or outer or noise and tag not in ("html", "body", "article", "main"))
+        if tag == "main":
+            self._mains.append(place)
+        elif tag == "article" and not self._in_article[parent]:
+            self._articles.append(place)
+        self._in_article.append(self._in_article[parent] or tag == "article")
         self.inside.append(self.inside[parent] or tag in MAIN_TAGS)
         self.judged.append(tag not in ("html", "body", "article", "main"))
-        return len(self.paths) - 1
+        return place
+
+    def _wrappers(self) -> frozenset[int]:
+        """The elements that hold the article or main element, so that a class or id doesn't make them boilerplate."""
+        if not self._worded:
+            return frozenset()
+        free = any(not self.noise[i] for i in self._articles)
+        out: set[int] = set()
+        for held, exact_too in ((self._mains, True), (self._articles, not free)):
+            for i in held:
+                while i:
+                    i = self.parents[i]
+                    if i in self._worded and (exact_too or not self._worded[i]):
+                        out.add(i)
+        return frozenset(out)
 
     def _imply(self, stack: list[tuple[str, int]], tag: str) -> None:
         """Closes what the new element ends without an end tag."""

@@ -84,3 +84,16 @@ def test_wrapper_with_fixed_line(spark):
     assert site(spark, inner) == [f"own text {i}" for i in range(8)]
     plain = [f"<div id=page>Welcome<div class=text><p>own text {i}</p></div></div>" for i in range(8)]
     assert site(spark, plain) == [f"own text {i}" for i in range(8)]
+
+
+def test_wrapper_with_boilerplate_word():
+    """A class or id word doesn't mark what holds the article; inside the article and beside it, it does."""
+    for names in ("class='site has-sidebar'", "class=content-sidebar-wrap", "id=header-fixed", "class=comments-open", "class=widget"):
+        assert text(f"<div {names}><p>m</p><article>x<div class=ad>a</div></article><div class=sidebar>s</div></div>") == "x"
+        assert text(f"<div {names}><div {names}><main><p>x</p></main></div></div>") == "x"
+        assert text(f"<main><div {names}>y<article>x</article></div></main>") == "y x"
+        assert text(f"<article>t</article><div {names}><main>x</main></div>") == "t x"
+    assert text("<div class=has-sidebar>y <span class=ad>a</span><main>x</main></div>") == "x"
+    assert text("<main><article>x</article><div id=comments><article>c</article></div></main>") == "x"
+    assert text("<div class=has-sidebar><article>x<div class=related-posts><article>c</article></div></article></div>") == "x"
+    assert text("<div role=navigation class=has-sidebar><article>x</article></div>y") == "y"
