@@ -14,7 +14,14 @@ all pages of a host (menus, notices, share lines) comes near 0, and its own
 blocks are removed from every page of that host. The nodes below it are judged
 by themselves, so a wrapper with a fixed line keeps the article that it holds.
 A node needs ``LEAST_PAGES`` such pages to be judged. The body, article and main
-elements are never judged, so a host of copies keeps its articles.
+elements are never judged as nodes, so a host of copies keeps its articles.
+
+Elements with one path on a page are one node, whose text is all of theirs. A
+line that repeats between siblings of its own kind would hide in it, so every block of
+a path is judged alone too, in any element: by the importance that the node
+would have if it held this block on the pages that do, and on each other page a
+text of its own. Where pages of a host are near copies of one article, what they
+share is therefore removed like any other repeated block.
 
 Entropy alone can't tell boilerplate that differs from page to page (adverts
 and footers with changing texts) from an article. Branches whose element says
@@ -232,35 +239,46 @@ class Page:
             self.blocks.append((self._owner, text))
 
     def main_text(self, removed: frozenset[int] = frozenset()) -> str:
-        """The blocks that stay when those of the style nodes with these hashes are removed."""
+        """The blocks that stay when those of the style nodes with these hashes, and blocks with these hashes, are removed."""
         within = any(self.inside[i] and not self.noise[i] for i, _ in self.blocks)
         kept = [(i, text) for i, text in self.blocks if not self.noise[i] and (self.inside[i] or not within)]
         if removed:
-            low = {i: self.judged[i] and path_hash(self.paths[i]) in removed for i, _ in kept}
-            kept = [(i, text) for i, text in kept if not low[i]]
+            nodes = {i: path_hash(self.paths[i]) for i, _ in kept}
+            kept = [(i, text) for i, text in kept if not (self.judged[i] and nodes[i] in removed or block_hash(nodes[i], text) in removed)]
         return " ".join(text for _, text in kept)
 
     def style_rows(self) -> Iterator[tuple[int, str, int]]:
-        """(hash of the style path, 'c' or 'p', hash of what it shows on this page) of each node that may be judged."""
-        shown: dict[int, list[str]] = {}
-        texts: dict[int, list[str]] = {}
-        own: dict[int, list[str]] = {}
-        for i, text in self.blocks:
-            own.setdefault(i, []).append(text)
+        """(hash of the style path, kind, hash) of what each node shows on this page: the children ('p') and texts ('c')
+        of nodes that may be judged; of all nodes with text outside boilerplate, each block ('b') and once null ('n')."""
+        shown: dict[str, list[str]] = {}
+        texts: dict[str, list[str]] = {}
         for i, path in enumerate(self.paths):
             if self.judged[i] and not self.noise[i]:
-                shown.setdefault(path_hash(path), []).append(",".join(self.children[i]))
-                texts.setdefault(path_hash(path), []).extend(own.get(i, ()))
-        for key, parts in shown.items():
-            yield key, "p", path_hash("|".join(parts))
-            if texts[key]:
-                yield key, "c", path_hash("\n".join(texts[key]))
+                shown.setdefault(path, []).append(",".join(self.children[i]))
+        judged = set(shown)
+        for i, text in self.blocks:
+            if not self.noise[i]:
+                texts.setdefault(self.paths[i], []).append(text)
+        for path in judged.union(texts):
+            key = path_hash(path)
+            if path in judged:
+                yield key, "p", path_hash("|".join(shown[path]))
+                if path in texts:
+                    yield key, "c", path_hash("\n".join(texts[path]))
+            if path in texts:
+                yield key, "n", 0
+                for text in set(texts[path]):
+                    yield key, "b", block_hash(key, text)
 
 
 def path_hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def block_hash(node: int, text: str) -> int:
+    return path_hash(f"{node}\n{text}")
+
+
 def style_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(host, html) to (host, page, node, kind, value): what each style node shows on each page."""
     for batch in batches:
@@ -275,17 +293,25 @@ def style_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def low_importance_nodes(pages: DataFrame) -> DataFrame:
-    """(host, nodes) of the style nodes to remove on each host that has some. ``pages``: host, html.
+    """(host, nodes) of the style nodes and blocks to remove on each host that has some. ``pages``: host, html.
 
     The entropy of n pages with counts c of their values is ln n - sum(c ln c) / n. Pages with distinct
     main texts are counted, so that copies of an article don't make it look like boilerplate. All steps combine before they shuffle."""
     rows = pages.mapInArrow(style_batches, "host string, page long, node long, kind string, value long").distinct()
     values = rows.groupBy("host", "node", "kind", "value").agg(F.count(F.lit(1)).alias("c"))
-    entropy = values.groupBy("host", "node", "kind").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.ln("c")).alias("s"))
-    share = entropy.filter(F.col("n") >= LEAST_PAGES).withColumn("importance", (F.ln("n") - F.col("s") / F.col("n")) / F.ln("n"))
+    # a block is a row of its own; nothing on fewer pages than LEAST_PAGES can be removed
+    block = F.when(F.col("kind") == "b", F.col("value")).alias("block")
+    entropy = values.groupBy("host", "node", "kind", block).agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.ln("c")).alias("s"))
+    often = saved(entropy.filter(F.col("n") >= LEAST_PAGES), "site-style-counts")
+    share = often.filter(F.col("kind").isin("p", "c")).withColumn("importance", (F.ln("n") - F.col("s") / F.col("n")) / F.ln("n"))
     judged = share.groupBy("host", "node").agg(F.max("importance").alias("importance"), F.count_if(F.col("kind") == "c").alias("has_text"))
-    low = judged.filter((F.col("importance") < LEAST_IMPORTANCE) & (F.col("has_text") > 0))
-    return low.groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    low = judged.filter((F.col("importance") < LEAST_IMPORTANCE) & (F.col("has_text") > 0)).select("host", "node")
+    # the pages of a node meet its blocks, which are spread over salts; other pages add nothing to the sum, as ln 1 = 0
+    blocks = often.filter(F.col("kind") == "b").select("host", "node", "block", "s", F.pmod("block", F.lit(SALTS)).alias("salt"))
+    on = often.filter(F.col("kind") == "n").select("host", "node", "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"))
+    met = blocks.join(on, ["host", "node", "salt"])
+    repeated = met.filter((F.ln("n") - F.col("s") / F.col("n")) / F.ln("n") < LEAST_IMPORTANCE)
+    return low.union(repeated.select("host", "block")).groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
 
 
 def text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -97,3 +97,17 @@ def test_wrapper_with_boilerplate_word():
     assert text("<main><article>x</article><div id=comments><article>c</article></div></main>") == "x"
     assert text("<div class=has-sidebar><article>x<div class=related-posts><article>c</article></div></article></div>") == "x"
     assert text("<div role=navigation class=has-sidebar><article>x</article></div>y") == "y"
+
+
+def test_repeated_block_among_siblings(spark):
+    """A line that all pages repeat beside unique elements of the same path goes alone, also where it stands in the article itself."""
+    paragraphs = [f"<article>{'<p>more text</p>' * (i == 3)}<p>own text {i}</p><p>Share this page</p>{f'<p>end {i}</p>' * (i % 3)}</article>" for i in range(20)]
+    assert site(spark, paragraphs) == [" ".join(["more text"] * (i == 3) + [f"own text {i}"] + [f"end {i}"] * (i % 3)) for i in range(20)]
+    items = [f"<div><ul><li>Home<li>own item {i}<li>Contact</ul><p>own text {i}</p></div>" for i in range(8)]
+    assert site(spark, items) == [f"own item {i} own text {i}" for i in range(8)]
+    direct = [f"<article>own text {i}<br>Share this page</article>" for i in range(8)]
+    assert site(spark, direct) == [f"own text {i}" for i in range(8)]
+    # too few pages, or a line that only two of three pages show
+    assert site(spark, paragraphs[4:11])[0] == "own text 4 Share this page end 4"
+    some = [f"<article><p>own text {i}</p>{'<p>Share this page</p>' * (i % 3 > 0)}</article>" for i in range(12)]
+    assert site(spark, some)[1] == "own text 1 Share this page"
