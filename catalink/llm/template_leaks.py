@@ -2,7 +2,11 @@
 
 Texts and benchmark items become templates: numbers, names (capitalised words
 inside a sentence) and units after numbers are replaced by typed placeholders,
-letters are lower-cased, other signs dropped. Windows of ``WINDOW`` template
+letters are lower-cased, other signs dropped. A capitalised word that opens a sentence
+or quotation is a name if the text has it as a name elsewhere. As
+this may err, each text has up to three forms: with these names, with only those
+inside sentences, and without names at all, in which capitals play no part.
+A window of an item is met if a window of the document equals it in any form. Windows of ``WINDOW`` template
 words are hashed and joined by equality. A document leaks an item if it holds at least
 ``LEAST_COVER`` of the item's windows and the slots agree: where the two
 templates meet, one value of the item has to stand for one value of the
@@ -41,17 +45,19 @@ UNITS = (
     "s|ms|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|kmh|mph|percent|dollars?|euros?|cents?|usd|eur|degrees?|celsius|watts?|kw|kwh|volts?|gb|mb|kb|meters?|metres?|kilometers?|kilograms?|grams?"
 )
 # private characters that no text keeps: a mark for names, and the placeholders
-_MARK, _NAME, _NUMBER, _UNIT = "\ue000", "\ue001", "\ue002", "\ue003"
+_MARK, _NAME, _NUMBER, _UNIT, _MAYBE = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
 
 
 def slotted(text: Column) -> Column:
-    """The text as words parted by white space, a slot as ``<placeholder>=<value>``.
+    """The text as words parted by white space, a slot as ``<placeholder>=<value>``; before a capitalised word
+    that may be a name, as it opens a sentence or quotation, stands a mark of its own (see ``resolved``).
 
     The patterns of numbers and units run only on texts that have a digit."""
-    other = rf"[^\p{{L}}\p{{N}}\s{_MARK}]+"
+    other = rf"[^\p{{L}}\p{{N}}\s{_MARK}{_MAYBE}]+"
     number, ends = r"\d[\d.,:/]*", r"(?![\p{L}\p{N}])"
-    out = F.translate(F.coalesce(text, F.lit("")), f"{_MARK}{_NAME}{_NUMBER}{_UNIT}=", "")
-    out = F.regexp_replace(out, r"(?<=[\p{Ll},;] )\p{Lu}\p{Ll}+", f"{_MARK}$0")
+    out = F.translate(F.coalesce(text, F.lit("")), f"{_MARK}{_NAME}{_NUMBER}{_UNIT}{_MAYBE}=", "")
+    out = F.regexp_replace(out, r"(?=\p{Lu})(?<=[\p{Ll},;]\s{1,8})\p{Lu}\p{Ll}+", f"{_MARK}$0")
+    out = F.regexp_replace(out, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}{_MARK}])\p{{Lu}}\p{{Ll}}+", f"{_MAYBE}$0")
     plain = F.regexp_replace(F.lower(out), other, "")
     digits = F.regexp_replace(F.lower(out), rf"(?<!\d){other}|{other}(?!\d)", "")
     named = lambda c: F.regexp_replace(c, rf"{_MARK}(\p{{L}}+)", f"{_NAME}=$1")
@@ -61,6 +67,18 @@ def slotted(text: Column) -> Column:
     return F.when(text.rlike(r"\d"), digits).otherwise(named(plain))
 
 
+def names_of(slots: Column) -> Column:
+    """The names of a slotted text, lower-cased."""
+    return F.array_distinct(F.regexp_extract_all(slots, F.lit(rf"{_NAME}=(\p{{L}}+)"), 1))
+
+
+def resolved(slots: Column, names: Column) -> Column:
+    """The slotted text with words that may be names as slots if they are among ``names``, else as plain words."""
+    pattern = F.concat(F.lit(f"{_MAYBE}("), F.array_join(names, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    known = F.when(slots.contains(_MAYBE) & (F.size(names) > 0), F.regexp_replace(slots, pattern, F.lit(f"{_NAME}=$1"))).otherwise(slots)
+    return F.translate(known, _MAYBE, "")
+
+
 def template(slots: Column) -> Column:
     """The slotted text without the values."""
     return F.regexp_replace(slots, f"([{_NAME}-{_UNIT}])=\\S*", "$1")
@@ -72,9 +90,15 @@ def words(text: Column) -> Column:
 
 
 def templates(rows: DataFrame, key: str) -> DataFrame:
-    """(key, w): the hashes of the template words of each text of ``rows`` (key, text)."""
+    """(key, w): the hashes of the template words of each form of each text of ``rows`` (key, text).
+
+    The forms have a word for each word of the others, so places are the same in all."""
     staged = rows.select(key, slotted(F.col("text")).alias("text"))
-    staged = staged.select(key, words(template(F.col("text"))).alias("w"))
+    staged = staged.select(key, "text", names_of(F.col("text")).alias("names"))
+    inner = F.translate("text", _MAYBE, "")
+    forms = F.array(template(resolved(F.col("text"), F.col("names"))), template(inner), template(F.replace(inner, F.lit(f"{_NAME}="), F.lit(""))))
+    staged = staged.select(key, F.explode(F.array_distinct(forms)).alias("text"))
+    staged = staged.select(key, words(F.col("text")).alias("w"))
     return staged.select(key, F.transform("w", lambda w: F.xxhash64(w)).alias("w"))
 
 
@@ -105,7 +129,7 @@ def window_rows(rows: DataFrame, key: str, size: int, place: str, value: str) ->
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, size, at, hash) of every window of every item."""
+    """(item_id, size, at, hash) of every window of every item in each form."""
     items = templates(benchmark.select("item_id", "text"), "item_id").filter(F.size("w") >= LEAST_WORDS)
     parts = []
     for s in [window, *range(LEAST_WORDS, window)]:
@@ -119,7 +143,8 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def slots_of(rows: DataFrame, key: str) -> DataFrame:
     """(key, place, slot, value) of the slots of each text of ``rows`` (key, text)."""
-    placed = rows.select(key, F.posexplode(words(slotted(F.col("text")))).alias("place", "word"))
+    staged = rows.select(key, slotted(F.col("text")).alias("text"))
+    placed = staged.select(key, F.posexplode(words(resolved(F.col("text"), names_of(F.col("text"))))).alias("place", "word"))
     cut = placed.filter(F.substring("word", 2, 1) == "=")
     return cut.select(key, "place", F.substring("word", 1, 1).alias("slot"), F.expr("substr(word, 3)").alias("value"))
 

@@ -131,3 +131,24 @@ def test_licenses(spark, documents, prose):
     labels = {r.doc_id: r.labels for r in got}
     assert (labels[4], labels[5], labels[6], labels[7], labels[8]) == ("mit", "apache-2.0", "cc-by,cc-by-nc", "gpl,gpl-3.0", "")
     assert all(0 <= r.score <= 1 for r in got) and Li.scan_licenses(documents([])).count() == 0
+
+
+def leaks(spark, documents, item, texts):
+    """The numbers of the texts that leak the item."""
+    got = Le.leaked_items(documents(list(enumerate(texts))), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    return {r.doc_id for r in got}
+
+
+def test_names_anywhere(spark, documents, prose):
+    """A name is one where it opens a sentence, a line or a quotation, and a copy in other letters is a copy."""
+    apples = "Tom has five apples. Tom buys three more. How many apples does Tom have?"
+    renamed = apples.replace("Tom", "Sam")
+    wrapped = renamed.replace("does Sam", "does\nSam").replace(". Sam", ".\nSam")
+    texts = [apples, renamed, f"{prose(20)}. {renamed} {prose(20)}", wrapped, apples.lower(), apples.upper(), f'she said: "{renamed}"', "Sam has five apples"]
+    assert leaks(spark, documents, apples, texts) == {0, 1, 2, 3, 4, 5, 6}
+    # 23 words, eight names
+    many = "when Ann met Bob and Cid near Dora the old dog of Emil ran to Finn, so Gus and Hal took it home"
+    assert leaks(spark, documents, many, [many.lower(), many.replace(" ", "\n"), many.replace("Ann", "Zoe").replace("Gus", "Max"), prose(23)]) == {0, 1, 2}
+    # the first name stays and opens the sentence, the second is another one
+    gift = "Tom gives his old red bike to Bob and then walks home. Later on does Tom miss it?"
+    assert leaks(spark, documents, gift, [gift.replace("Bob", "Jim").replace("does Tom", "does he")]) == {0}
