@@ -8,10 +8,10 @@ this may err, each text has up to three forms: with these names, with only those
 inside sentences, and without names at all, in which capitals play no part.
 A window of an item is met if a window of the document equals it in any form. Windows of ``WINDOW`` template
 words are hashed and joined by equality. A document leaks an item if it holds at least
-``LEAST_COVER`` of the item's windows and the slots agree: where the two
-templates meet, one value of the item has to stand for one value of the
-document and the other way round, so a question with exchanged numbers or
-names is found, and chance meetings of templates full of slots are not.
+``LEAST_COVER`` of the item's windows, and these hold ``LEAST_WORDS`` distinct
+words that are no slots, or the slots agree: under the windows that meet, one value of the item has
+to stand for one value of the document and the other way round. So a question with
+exchanged numbers or names is found, and chance meetings of templates full of slots are not.
 
 The windows of the benchmark are broadcast while they number at most
 ``MOST_BROADCAST`` (24 bytes each), and joined by shuffle beyond that.
@@ -141,19 +141,19 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return out.distinct()
 
 
-def slots_of(rows: DataFrame, key: str) -> DataFrame:
-    """(key, place, slot, value) of the slots of each text of ``rows`` (key, text)."""
+def words_of(rows: DataFrame, key: str) -> DataFrame:
+    """(key, place, slot, value) of the words of each text of ``rows`` (key, text); slot is empty for a word that is none."""
     staged = rows.select(key, slotted(F.col("text")).alias("text"))
     placed = staged.select(key, F.posexplode(words(resolved(F.col("text"), names_of(F.col("text"))))).alias("place", "word"))
-    cut = placed.filter(F.substring("word", 2, 1) == "=")
-    return cut.select(key, "place", F.substring("word", 1, 1).alias("slot"), F.expr("substr(word, 3)").alias("value"))
+    slot = F.substring("word", 2, 1) == "="
+    return placed.select(key, "place", F.when(slot, F.substring("word", 1, 1)).otherwise("").alias("slot"), F.when(slot, F.expr("substr(word, 3)")).otherwise(F.col("word")).alias("value"))
 
 
 def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = LEAST_COVER, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """doc_id, item_id, item_windows, found_windows, coverage, slots, conflicts and changed (slots with another value)
     of each item that a document of ``docs`` (doc_id, text) leaks. ``benchmark``: item_id, text."""
     items = saved(item_windows(benchmark, window), "leak-windows")
-    totals = items.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"))
+    totals = items.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"), F.max("size").alias("size"))
     sizes = [r["size"] for r in items.select("size").distinct().collect()]  # at most ``window`` numbers
     lookup = F.broadcast(items) if items.count() <= most_broadcast else items
     canonical = templates(docs.select("doc_id", "text"), "doc_id")
@@ -170,19 +170,24 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     shifted = met.select("doc_id", "item_id", "at", (F.col("doc_at") - F.col("at")).alias("shift")).distinct()
     shifted = shifted.withColumn("sharing", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "item_id", "shift")))
     once = shifted.groupBy("doc_id", "item_id", "at").agg(F.max(F.struct("sharing", (-F.col("shift")).alias("minus"))).alias("best"))
-    once = once.select("doc_id", "item_id", (-F.col("best.minus")).alias("shift"))
-    pairs = once.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("found_windows"), F.collect_set("shift").alias("shifts"))
+    once = once.select("doc_id", "item_id", "at", (-F.col("best.minus")).alias("shift"))
+    pairs = once.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("found_windows"), F.collect_list(F.struct("at", "shift")).alias("met"))
     pairs = pairs.join(totals.withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i"))).drop("i")
     candidates = saved(pairs.filter(F.col("found_windows") >= F.col("item_windows") * cover), "leak-candidates")
 
-    # slots at the places where item and document meet
-    found = candidates.select("doc_id", "item_id", F.explode("shifts").alias("shift"))
-    in_items = slots_of(benchmark.select("item_id", "text"), "item_id").distinct().withColumnRenamed("item_id", "i")
+    # the places of an item under the windows that meet, each at the shift that most windows over it share
+    found = candidates.select("doc_id", "item_id", "size", F.explode("met").alias("m")).select("doc_id", "item_id", F.col("m.shift").alias("shift"), F.explode(F.sequence("m.at", F.col("m.at") + F.col("size") - 1)).alias("place"))
+    found = found.groupBy("doc_id", "item_id", "place", "shift").agg(F.count(F.lit(1)).alias("sharing"))
+    found = found.groupBy("doc_id", "item_id", "place").agg(F.max(F.struct("sharing", (-F.col("shift")).alias("minus"))).alias("best"))
+    in_items = words_of(benchmark.select("item_id", "text"), "item_id").distinct().withColumnRenamed("item_id", "i").withColumnRenamed("place", "at")
+    expected = found.join(in_items, F.col("item_id").eqNullSafe(F.col("i")) & (F.col("place") == F.col("at")))
+    expected = saved(expected.select("doc_id", "item_id", "slot", "value", (F.col("place") - F.col("best.minus")).alias("doc_place")), "leak-places")
+    literals = expected.filter("slot = ''").groupBy("doc_id", "item_id").agg(F.countDistinct("value").alias("literals"))
+    literals = literals.withColumnsRenamed({"doc_id": "ld", "item_id": "li"})
     hit = candidates.select(F.col("doc_id").alias("d")).distinct()
     texts = docs.select("doc_id", "text").join(hit, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
-    in_docs = slots_of(texts, "doc_id").select(F.col("doc_id").alias("d"), F.col("place").alias("p"), F.col("slot").alias("s"), F.col("value").alias("doc_value"))
-    expected = found.join(in_items, F.col("item_id").eqNullSafe(F.col("i"))).withColumn("doc_place", F.col("place") + F.col("shift"))
-    aligned = expected.join(in_docs, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("doc_place") == F.col("p")) & (F.col("slot") == F.col("s")))
+    in_docs = words_of(texts, "doc_id").filter("slot <> ''").select(F.col("doc_id").alias("d"), F.col("place").alias("p"), F.col("slot").alias("s"), F.col("value").alias("doc_value"))
+    aligned = expected.filter("slot <> ''").join(in_docs, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("doc_place") == F.col("p")) & (F.col("slot") == F.col("s")))
     pairs_of_values = aligned.groupBy("doc_id", "item_id", "slot", "value", "doc_value").agg(F.count(F.lit(1)).alias("n"))
     # how many slots follow the most frequent partner, seen from either side
     forward = pairs_of_values.groupBy("doc_id", "item_id", "slot", "value").agg(F.sum("n").alias("n"), F.max("n").alias("m"), F.sum(F.when(F.col("value") != F.col("doc_value"), F.col("n")).otherwise(0)).alias("changed"))
@@ -195,9 +200,10 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
         .withColumnsRenamed({"doc_id": "d", "item_id": "i"})
     )
     judged = candidates.join(conflicts, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("item_id").eqNullSafe(F.col("i")), "left")
+    judged = judged.join(literals, F.col("doc_id").eqNullSafe(F.col("ld")) & F.col("item_id").eqNullSafe(F.col("li")), "left")
+    judged = judged.filter((F.coalesce("literals", F.lit(0)) >= LEAST_WORDS) | (F.coalesce("conflicts", F.lit(0)) <= F.coalesce("slots", F.lit(0)) * MOST_CONFLICTS))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
-    out = judged.select("doc_id", "item_id", "item_windows", "found_windows", (F.col("found_windows") / F.col("item_windows")).alias("coverage"), zero("slots"), zero("conflicts"), zero("changed"))
-    return out.filter(F.col("conflicts") <= F.col("slots") * MOST_CONFLICTS)
+    return judged.select("doc_id", "item_id", "item_windows", "found_windows", (F.col("found_windows") / F.col("item_windows")).alias("coverage"), zero("slots"), zero("conflicts"), zero("changed"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

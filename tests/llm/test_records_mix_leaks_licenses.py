@@ -152,3 +152,15 @@ def test_names_anywhere(spark, documents, prose):
     # the first name stays and opens the sentence, the second is another one
     gift = "Tom gives his old red bike to Bob and then walks home. Later on does Tom miss it?"
     assert leaks(spark, documents, gift, [gift.replace("Bob", "Jim").replace("does Tom", "does he")]) == {0}
+
+
+def test_slots_of_real_leaks(spark, documents):
+    """Literal words that show the leak outweigh slots that don't agree, and slots are compared only under windows that meet."""
+    pears = "A basket on the table holds 5 apples and 3 pears. How many are in it?"
+    assert leaks(spark, documents, pears, [pears.replace("5", "4").replace("3", "4"), pears.replace("3", "5")]) == {0, 1}
+    same = pears.replace("3", "2").replace("5", "2")
+    assert leaks(spark, documents, same, [same.replace("2", "3", 1).replace("2", "5")]) == {0}
+    # few words beside the numbers, and one inserted word that shifts the rest
+    numbers = "sum of " + " ".join(str(n) for n in range(11, 51))
+    copy = numbers.replace(" 31 ", " 31 x ")
+    assert leaks(spark, documents, numbers, [copy, "sum of " + " ".join(["7", "8"] * 20)]) == {0}
