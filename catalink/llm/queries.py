@@ -39,7 +39,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return token_records(table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")), end_id=2)
+    return token_records(table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")), end_id=2, special_as_text=False)
 
 
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

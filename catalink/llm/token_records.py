@@ -109,16 +109,18 @@ def runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 
 class Encoder:
     """Ids of whole texts. A byte-level tokenizer cuts before the white space that follows a word, so words
-    that single spaces part can be encoded alone, each distinct word once; other texts go through as they are."""
+    that single spaces part can be encoded alone, each distinct word once; other texts, and those that hold the
+    content of an added token, go through as they are."""
 
-    def __init__(self, tokenizer_json: str, width: str):
+    def __init__(self, tokenizer_json: str, width: str, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = width
-        self.known = _known.setdefault(f"{zlib.crc32(tokenizer_json.encode())} {width}", {})
+        self.known = _known.setdefault(f"{zlib.crc32(tokenizer_json.encode())} {width} {special_as_text}", {})
         self.marks = dict(zip(CLOSING, self._raw(list(CLOSING)), strict=True))
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.feed = feed[0] if len(feed) == 1 else None
@@ -133,7 +135,7 @@ class Encoder:
         if not self.by_word:
             return self._raw(texts)
         out: list[bytes | None] = [None] * len(texts)
-        whole = [i for i, t in enumerate(texts) if not t or gap.search(t)]
+        whole = [i for i, t in enumerate(texts) if not t or gap.search(t) or any(a in t for a in self.added)]
         for i, ids in zip(whole, self._raw([texts[i] for i in whole]), strict=True):
             out[i] = ids
         parts = {i: t.split(" ") for i, t in enumerate(texts) if out[i] is None}
@@ -176,7 +178,7 @@ class Encoder:
         return out
 
 
-def write_records(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, vocabulary: int, shard_bytes: int = 8 << 20) -> None:
+def write_records(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, vocabulary: int, shard_bytes: int = 8 << 20, special_as_text: bool = True) -> None:
     """Writes the frames of ``docs`` (doc_id, text) to the folder ``path``, in shards of about ``shard_bytes`` of text."""
     spark = docs.sparkSession
     width = "<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4"
@@ -186,7 +188,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_json: str, end_id: int,
     shards = max(1, -(-total // shard_bytes))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(source.value, width)
+        encoder = Encoder(source.value, width, special_as_text)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at, to in runs(texts):
@@ -232,15 +234,18 @@ def with_starts(index: DataFrame) -> DataFrame:
     return index.join(bases, "shard").withColumn("start", F.col("base") + F.col("before")).drop("base")
 
 
-def token_records(docs: DataFrame, tokenizer_path: str, end_id: int = 2, path: str | None = None, shard_bytes: int = 8 << 20) -> DataFrame:
+def token_records(docs: DataFrame, tokenizer_path: str, end_id: int = 2, path: str | None = None, shard_bytes: int = 8 << 20, special_as_text: bool = True) -> DataFrame:
     """Writes ``docs`` as records to ``path`` (default: the work folder), their index beside it, and returns the
-    index with starts: doc_id, start, n_tokens, ids_crc32, shard, place, offset, length."""
+    index with starts: doc_id, start, n_tokens, ids_crc32, shard, place, offset, length.
+
+    ``special_as_text``: whether special tokens that a text spells out are encoded like any other characters. Without
+    it the ids are those of the tokenizer's plain call, which the registered queries give."""
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
     text = Path(tokenizer_path).read_text(encoding="utf-8")
     vocabulary = Tokenizer.from_str(text).get_vocab_size(with_added_tokens=True)
     path = path or work_path(spark, "token-records")
-    write_records(docs, path, text, end_id, vocabulary, shard_bytes)
+    write_records(docs, path, text, end_id, vocabulary, shard_bytes, special_as_text)
     index = saved(read_index(spark, path, vocabulary, end_id), "token-index")
     return with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "place", "offset", "length")

@@ -46,7 +46,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The index of the written token records."""
     import public_tokenizers
 
-    return token_records.token_records(docs, str(public_tokenizers.path("byte_bpe_50k.json")))
+    return token_records.token_records(docs, str(public_tokenizers.path("byte_bpe_50k.json")), special_as_text=False)
 
 
 STAGES = [

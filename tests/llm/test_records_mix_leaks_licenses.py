@@ -164,3 +164,18 @@ def test_slots_of_real_leaks(spark, documents):
     numbers = "sum of " + " ".join(str(n) for n in range(11, 51))
     copy = numbers.replace(" 31 ", " 31 x ")
     assert leaks(spark, documents, numbers, [copy, "sum of " + " ".join(["7", "8"] * 20)]) == {0}
+
+
+@pytest.mark.skipif(not TOKENIZER.exists(), reason="no tokenizer file")
+def test_plain_call(spark, prose, tmp_path):
+    """The query's ids are those of the plain call, also where a text spells out a special token."""
+    from catalink.llm.queries import op3_token_records
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(str(TOKENIZER))
+    rows = list(enumerate(["a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|>b c, d.", "<|endoftext|>\n x", "a <|endoftext| > b", prose(50), None]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {(i, zlib.crc32(np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], dtype="<u4").tobytes())) for i, t in rows}
+    got = op3_token_records(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.ids_crc32) for r in got} == want
+    assert next(r.n_tokens for r in got if r.doc_id == 0) == len(tokenizer.encode(rows[0][1], add_special_tokens=False).ids) + 1
