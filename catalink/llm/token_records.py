@@ -27,7 +27,9 @@ empty table writes no frame. Further columns of the input are ignored.
 
 from __future__ import annotations
 
-import itertools
+import codecs
+import functools
+import json
 import os
 import re
 import struct
@@ -47,13 +49,22 @@ PAYLOAD = struct.Struct("<Bq")
 TAIL = struct.Struct("<I")
 MASK = 0xA282EAD8  # fixed value of the masking rule
 
-KNOWN_WORDS = 250_000
-"""Words whose ids a worker keeps; others are encoded again."""
-CLOSING = (".", ",", ";", ":", "!", "?")
-BATCH_CHARS = 1 << 20
-"""Text that is encoded at a time; its words are encoded once."""
+KNOWN_UNITS = 150_000
+"""Units of a generation: a worker keeps the ids of at most two generations of units and encodes others again."""
+LONGEST_KNOWN = 40
+"""Longer units aren't kept, so that texts without spaces don't fill a worker's memory."""
+BATCH_CHARS = 1 << 22
+"""Text that is encoded at a time; its units are encoded once."""
 
-_known: dict[str, dict[str, bytes]] = {}
+# classes of bytes; an odd byte makes its whole word one unit
+_LETTER, _DIGIT, _SIGN, _SPACE, _FEED, _ODD = range(1, 7)
+_CLASS = np.full(256, _ODD, dtype=np.uint8)
+_CLASS[33:127] = _SIGN
+_CLASS[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), *range(0xC3, 0xCB), 0xD0, 0xD1]] = _LETTER  # the leads of U+00C0 to U+02BF, U+0400 to U+047F
+_CLASS[48:58], _CLASS[32], _CLASS[10], _CLASS[ord("'")] = _DIGIT, _SPACE, _FEED, _ODD
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[[*range(9, 14), *range(28, 33)]] = True
+_OTHER_WHITE = re.compile("[\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def masked(data: bytes) -> int:
@@ -108,76 +119,146 @@ def runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 
 
 class Encoder:
-    """Ids of whole texts. A byte-level tokenizer cuts before the white space that follows a word, so words
-    that single spaces part can be encoded alone, each distinct word once; other texts, and those that hold the
-    content of an added token, go through as they are."""
+    """Ids of whole texts.
+
+    A byte-level tokenizer cuts a text into units before it merges: runs of letters, of digits or of signs, each with the
+    space before it, and line feeds. Units are found over all bytes of a batch, and each distinct one is encoded once,
+    by the same merges without the search for cuts. A word with other bytes (apostrophes, tabs, other scripts) is one
+    unit that goes through as it is; so does a whole text with a run of white space or the content of an added token.
+
+    Ids of units are remembered for the generation at hand and the one before it: frequent ones stay, memory is bounded."""
 
     def __init__(self, tokenizer_json: str, width: str, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.width = width
-        self.known = _known.setdefault(f"{zlib.crc32(tokenizer_json.encode())} {width} {special_as_text}", {})
-        self.marks = dict(zip(CLOSING, self._raw(list(CLOSING)), strict=True))
-        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.feed = feed[0] if len(feed) == 1 else None
-        pre = str(self.tokenizer.pre_tokenizer)
-        self.by_word = self.tokenizer.normalizer is None and pre.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in pre
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.width).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.width, self.size = width, np.dtype(width).itemsize
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        config = json.loads(tokenizer_json)
+        cuts = config.get("pre_tokenizer") or {}
+        self.by_unit = config.get("normalizer") is None and cuts.get("type") == "ByteLevel" and cuts.get("use_regex") and not cuts.get("add_prefix_space")
+        if self.by_unit:
+            # the character that stands for each byte, as the library has it
+            level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            shown = {b: c for char in map(chr, range(0x800)) for b, c in zip(char.encode(), level.pre_tokenize_str(char)[0][0], strict=True)}
+            self.shown = "".join(shown.get(b, "\ufffd") for b in range(256))
+            self.feed = self._raw(self.tokenizer, ["\n"])[0]
+            config |= {"pre_tokenizer": {"type": "Split", "pattern": {"String": self.shown[10]}, "behavior": "Isolated", "invert": False}, "added_tokens": [], "post_processor": None}
+            self.merges = Tokenizer.from_str(json.dumps(config))
+            self.by_unit = len(self.feed) == self.size
+
+    def _raw(self, tokenizer, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=self.width).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        gap = re.compile(r"\s ")
-        if not self.by_word:
-            return self._raw(texts)
+        if not self.by_unit:
+            return self._raw(self.tokenizer, texts)
+        data = [t.encode("utf-8") for t in texts]
+        whole = np.zeros(len(texts), dtype=bool)
+        joined = b"".join(data)
+        start = np.concatenate([[0], np.cumsum(np.fromiter(map(len, data), dtype=np.int64, count=len(data)))])
+        if any(mark in joined for mark in (b"\xc2", b"\xe1", b"\xe2", b"\xe3")):
+            whole |= [bool(_OTHER_WHITE.search(t)) for t in texts]
+        for content in self.added:
+            if content in joined:
+                whole |= [content in d for d in data]
+        values = np.frombuffer(joined, dtype=np.uint8)
+        white = _WHITE[values]
+        runs_of_white = np.flatnonzero(white[1:] & white[:-1]) + 1
+        owners = np.searchsorted(start, runs_of_white, side="right") - 1
+        whole[owners[start[owners] != runs_of_white]] = True
         out: list[bytes | None] = [None] * len(texts)
-        whole = [i for i, t in enumerate(texts) if not t or gap.search(t) or any(a in t for a in self.added)]
-        for i, ids in zip(whole, self._raw([texts[i] for i in whole]), strict=True):
+        at = np.flatnonzero(whole).tolist()
+        for i, ids in zip(at, self._raw(self.tokenizer, [texts[i] for i in at]), strict=True):
+            out[i] = ids
+        rest = np.flatnonzero(~whole).tolist()
+        if at:
+            return self._with(out, rest, self._by_unit([data[i] for i in rest]))
+        return self._by_unit(data)
+
+    @staticmethod
+    def _with(out: list, places: list[int], found: list[bytes]) -> list[bytes]:
+        for i, ids in zip(places, found, strict=True):
             out[i] = ids
-        parts = {i: t.split(" ") for i, t in enumerate(texts) if out[i] is None}
-        heads = self._raw([p[0] for p in parts.values()])
-        # a small dictionary for the words at hand, so that most lookups stay in the processor's cache
-        words = set().union(*parts.values())
-        ids_of = dict(zip(words, map(self.known.get, words), strict=True))
-        fresh = self._words({w for w, ids in ids_of.items() if ids is None})
-        ids_of.update(fresh)
-        self.known.update(itertools.islice(fresh.items(), max(KNOWN_WORDS - len(self.known), 0)))
-        for (i, p), head in zip(parts.items(), heads, strict=True):
-            out[i] = head + b"".join(map(ids_of.__getitem__, p[1:]))
         return out
 
-    def _words(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of each word with a space before it. A mark that closes a word of letters is a token of its own."""
-        known = self.known
-        cores = {w: w[:-1] for w in words if w[-1:] in CLOSING and w[-2:-1].isalpha()}
-        plain = words.difference(cores).union(cores.values()).difference(known)
-        fresh = self._lines([w for w in plain if w.split() == [w]])
-        others = [w for w in plain if w not in fresh]
-        fresh.update(zip(others, self._raw([f" {w}" for w in others]), strict=True))
-        get, marks = fresh.get, self.marks
-        fresh.update({w: (get(c) or known[c]) + marks[w[-1]] for w, c in cores.items()})
-        return fresh
-
-    def _lines(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words without white space, encoded as lines of one text: the line feed is a token that no word holds."""
-        out: dict[str, bytes] = {}
-        if self.feed is None:
-            return out
-        size = np.dtype(self.width).itemsize
-        groups = [words[at : at + 64] for at in range(0, len(words), 64)]
-        for group, ids in zip(groups, self._raw([" " + "\n ".join(g) for g in groups]), strict=True):
-            ends = (np.flatnonzero(np.frombuffer(ids, dtype=self.width) == self.feed) * size).tolist()
-            at = 0
-            for word, end in zip(group, [*ends, len(ids)], strict=True):
-                out[word] = ids[at:end]
-                at = end + size
+    def _by_unit(self, data: list[bytes]) -> list[bytes]:
+        joined = b"".join(data)
+        if not joined:
+            return [b""] * len(data)
+        start = np.concatenate([[0], np.cumsum(np.fromiter(map(len, data), dtype=np.int64, count=len(data)))])
+        values = np.frombuffer(joined, dtype=np.uint8)
+        kind = _CLASS[values]
+        kind[:-1][(values[:-1] == 0xC3) & ((values[1:] | 0x20) == 0xB7)] = _ODD  # the signs of multiplication and division
+        before = np.concatenate([[_FEED], kind[:-1]]).astype(np.uint8)
+        word = (kind == _SPACE) | (kind == _FEED) | (before == _FEED)
+        word[start[:-1][start[:-1] < len(values)]] = True
+        cut = word | ((kind != before) & (before != _SPACE))
+        odd = np.flatnonzero(kind == _ODD)
+        first = np.flatnonzero(word)
+        odd_words = np.unique(np.searchsorted(first, odd, side="right") - 1)
+        bounds = np.append(first, len(values))
+        for a, b in zip(bounds[odd_words].tolist(), bounds[odd_words + 1].tolist(), strict=True):
+            cut[a + 1 : b] = False
+        offsets = np.append(np.flatnonzero(cut), len(values)).astype(np.int32)
+        units = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(joined)]).dictionary_encode()
+        index = units.indices.to_numpy()
+        odd_units = np.zeros(len(units.dictionary), dtype=bool)
+        odd_units[index[np.searchsorted(offsets, bounds[odd_words])]] = True
+        found = self._ids(units.dictionary.to_pylist(), odd_units.tolist())
+        # the ids of the distinct units one after the other, then those of each unit in its place
+        ids = np.frombuffer(b"".join(found), dtype=self.width)
+        sizes = np.fromiter(map(len, found), dtype=np.int32, count=len(found)) // self.size
+        ends = np.cumsum(sizes, dtype=np.int32)
+        n = sizes[index]
+        stops = np.cumsum(n, dtype=np.int64)
+        flat = ids[np.arange(stops[-1]) + np.repeat(ends[index] - stops, n)].tobytes()
+        bytes_at = (np.concatenate([[0], stops])[np.searchsorted(offsets, start)] * self.size).tolist()
+        return [flat[a:b] for a, b in zip(bytes_at[:-1], bytes_at[1:], strict=True)]
+
+    def _ids(self, units: list[bytes], odd: list[bool]) -> list[bytes]:
+        found = list(map(self.recent.get, units))
+        missed = [i for i, ids in enumerate(found) if ids is None]
+        fresh = []
+        for i in missed:
+            found[i] = self.older.get(units[i])
+            if found[i] is None:
+                fresh.append(i)
+        self._with(found, fresh, self._fresh([units[i] for i in fresh], [odd[i] for i in fresh]))
+        self.recent.update((units[i], found[i]) for i in missed if len(units[i]) <= LONGEST_KNOWN)
+        if len(self.recent) > KNOWN_UNITS:
+            self.recent, self.older = {}, self.recent
+        return found
+
+    def _fresh(self, units: list[bytes], odd: list[bool]) -> list[bytes]:
+        """Ids of units: odd ones as they are, the others as lines of common texts, as the line feed is a token of its own."""
+        out: list[bytes] = [self.feed] * len(units)
+        alone = [i for i, o in enumerate(odd) if o]
+        self._with(out, alone, self._raw(self.tokenizer, [units[i].decode("utf-8") for i in alone]))
+        lines = [i for i, o in enumerate(odd) if not o and units[i] != b"\n"]
+        feed = np.frombuffer(self.feed, dtype=self.width)
+        for at in range(0, len(lines), 256):
+            group = lines[at : at + 256]
+            text = codecs.charmap_decode(b"\n".join([units[i] for i in group]), "strict", self.shown)[0]
+            ids = self._raw(self.merges, [text])[0]
+            ends = (np.flatnonzero(np.frombuffer(ids, dtype=self.width) == feed) * self.size).tolist()
+            begin = 0
+            for i, end in zip(group, [*ends, len(ids)], strict=True):
+                out[i] = ids[begin:end]
+                begin = end + self.size
         return out
 
 
+@functools.lru_cache(maxsize=1)
+def encoder(tokenizer_json: str, width: str, special_as_text: bool) -> Encoder:
+    """The encoder of this worker: later tasks find it with the units that it knows."""
+    return Encoder(tokenizer_json, width, special_as_text)
+
+
 def write_records(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, vocabulary: int, shard_bytes: int = 8 << 20, special_as_text: bool = True) -> None:
     """Writes the frames of ``docs`` (doc_id, text) to the folder ``path``, in shards of about ``shard_bytes`` of text."""
     spark = docs.sparkSession
@@ -188,11 +269,11 @@ def write_records(docs: DataFrame, path: str, tokenizer_json: str, end_id: int,
     shards = max(1, -(-total // shard_bytes))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(source.value, width, special_as_text)
+        known = encoder(source.value, width, special_as_text)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at, to in runs(texts):
-                rows = zip(ids[at:to], encoder.encode([t or "" for t in texts[at:to]]), strict=True)
+                rows = zip(ids[at:to], known.encode([t or "" for t in texts[at:to]]), strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array([frame(i, body + end) for i, body in rows], pa.binary())], ["frame"])
 
     (
