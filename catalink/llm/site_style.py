@@ -32,10 +32,15 @@ A class or id says nothing of an element that holds a main element, or an articl
 that stands in no other article: ``has-sidebar`` is a wrapper. Only where such an
 article stands elsewhere outside of all boilerplate, a whole class or id such as
 ``comments`` or ``related`` still names the branch, with the articles in it.
+Inside an article or main element only the words of adverts, comments and the like (``INNER_NOISE_WORDS``) say
+something: a ``post-header`` or ``notice`` is part of the article there, unless the tree finds that it repeats.
 
 Result: blocks in page order, character references decoded, white space inside
 a block made one space, blocks joined by one space.
 
+Time and memory of a page grow in proportion to its html, however deep the elements nest: an element
+keeps its parent and a hash of its style path.
+
 Defined cases: null, empty or unmarked html (plain text counts as one block);
 unclosed elements end with the element around them; a truncated tag at the end
 is dropped. A null url belongs to the host ''. Repeated rows stay repeated, but
@@ -47,7 +52,7 @@ from __future__ import annotations
 import hashlib
 import html as html_module
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -79,6 +84,11 @@ NOISE_WORDS = frozenset(
     "header login masthead menu menubar modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted promotion related respond "
     "share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: The words that name boilerplate inside an article or main element too.
+INNER_NOISE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments disqus newsletter promo promoted promotion related respond "
+    "share sharing sidebar signup social sponsor sponsored subscribe subscription".split()
+)
 MAIN_TAGS = frozenset({"article", "main"})
 
 TOKEN = re.compile(
@@ -89,20 +99,20 @@ ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 NAME_WORD = re.compile(r"[a-z]+")
 
 
-def _named(rest: str) -> tuple[str, bool, bool]:
+def _named(rest: str, noise_words: frozenset[str]) -> tuple[str, bool, bool]:
     """The style name that class and id give, whether they name boilerplate, and whether the role or a hiding attribute does."""
     if "=" not in rest:
         return "", False, False
     values = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(rest)}
     shown = " ".join(values.get(k, "") for k in ("class", "id")).strip().lower()
     hard = values.get("role", "").lower() in NOISE_ROLES or values.get("hidden") == "hidden" or values.get("aria-hidden") == "true"
-    return re.sub(r"\d+", "0", shown), not NOISE_WORDS.isdisjoint(NAME_WORD.findall(shown)), hard
+    return re.sub(r"\d+", "0", shown), not noise_words.isdisjoint(NAME_WORD.findall(shown)), hard
 
 
 class Page:
     """The elements of a page in order and its text blocks, without a tree of objects.
 
-    ``paths``: style path of each element; ``children``: tags of the children; ``blocks``: (element, text).
+    ``paths``: hash of the style path of each element; ``children``: tags of the children; ``blocks``: (element, text).
     ``noise`` and ``inside``: whether an element lies in a boilerplate branch, in an article or main element.
     """
 
@@ -120,12 +130,15 @@ class Page:
         self._articles: list[int] = []
         self._mains: list[int] = []
         self._in_article = [False]
-        self.paths, self.children, self.parents = [""], [[]], [0]
+        self.paths, self.children, self.parents = [path_hash("")], [[]], [0]
+        self._below: dict[tuple[int, str], int] = {}
         self.noise, self.inside, self.judged = [False], [False], [False]
         self.blocks: list[tuple[int, str]] = []
         self._text: list[str] = []
         self._owner = 0
         stack: list[tuple[str, int]] = [("", 0)]
+        # the places in the stack of the open elements of each tag
+        self._open_at: dict[str, list[int]] = {}
         at, n = 0, len(source)
         while at < n:
             cut = source.find("<", at)
@@ -145,10 +158,8 @@ class Page:
                 continue
             tag = match["tag"].lower()
             if match["end"]:
-                if any(t == tag for t, _ in stack):
-                    while stack[-1][0] != tag:
-                        self._flush(stack.pop()[0])
-                    self._flush(stack.pop()[0])
+                if self._open_at.get(tag):
+                    self._close(stack, self._open_at[tag][-1])
                 elif tag == "p":
                     self._flush(tag)
                 continue
@@ -168,14 +179,26 @@ class Page:
                 if end:
                     at = source.find(">", at) + 1 or n
                 continue
+            self._open_at.setdefault(tag, []).append(len(stack))
             stack.append((tag, element))
         self._flush("")
 
+    def _close(self, stack: list[tuple[str, int]], depth: int) -> None:
+        """Closes the element at this place in the stack, and those in it."""
+        while len(stack) > depth:
+            tag = stack.pop()[0]
+            self._open_at[tag].pop()
+            self._flush(tag)
+
     def _open(self, parent: int, tag: str, rest: str) -> int:
-        name, worded, hard = _named(rest)
+        name, worded, hard = _named(rest, INNER_NOISE_WORDS if self.inside[parent] else NOISE_WORDS)
         place = len(self.paths)
-        self.children[parent].append(f"{tag}.{name}" if name else tag)
-        self.paths.append(f"{self.paths[parent]}/{tag}" + (f".{name}" if name else ""))
+        label = f"{tag}.{name}" if name else tag
+        self.children[parent].append(label)
+        step = (self.paths[parent], label)
+        if step not in self._below:
+            self._below[step] = path_hash(f"{step[0]}/{label}")
+        self.paths.append(self._below[step])
         self.children.append([])
         self.parents.append(parent)
         outer = tag == "header" and not self.inside[parent]
@@ -200,8 +223,10 @@ class Page:
         free = any(not self.noise[i] for i in self._articles)
         out: set[int] = set()
         for held, exact_too in ((self._mains, True), (self._articles, not free)):
+            passed: set[int] = set()
             for i in held:
-                while i:
+                while i and i not in passed:
+                    passed.add(i)
                     i = self.parents[i]
                     if i in self._worded and (exact_too or not self._worded[i]):
                         out.add(i)
@@ -212,15 +237,15 @@ class Page:
         for closed, bounds in ((CLOSES.get(tag), BOUNDS.get(tag)), ({"p"} if tag in ENDS_P else None, BOUNDS["p"])):
             if not closed:
                 continue
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in closed:
-                    while len(stack) > depth:
-                        self._flush(stack.pop()[0])
-                    if tag != "tr":
-                        break
-                elif stack[depth][0] in bounds:
+            while (depth := self._deepest(closed)) > self._deepest(bounds):
+                self._close(stack, depth)
+                if tag != "tr":
                     break
 
+    def _deepest(self, tags: Iterable[str]) -> int:
+        """The place in the stack of the innermost open element with one of the tags, 0 without one."""
+        return max((self._open_at[t][-1] for t in tags if self._open_at.get(t)), default=0)
+
     def _add(self, element: int, text: str) -> None:
         if not self._text:
             self._owner = element
@@ -243,15 +268,14 @@ class Page:
         within = any(self.inside[i] and not self.noise[i] for i, _ in self.blocks)
         kept = [(i, text) for i, text in self.blocks if not self.noise[i] and (self.inside[i] or not within)]
         if removed:
-            nodes = {i: path_hash(self.paths[i]) for i, _ in kept}
-            kept = [(i, text) for i, text in kept if not (self.judged[i] and nodes[i] in removed or block_hash(nodes[i], text) in removed)]
+            kept = [(i, text) for i, text in kept if not (self.judged[i] and self.paths[i] in removed or block_hash(self.paths[i], text) in removed)]
         return " ".join(text for _, text in kept)
 
     def style_rows(self) -> Iterator[tuple[int, str, int]]:
         """(hash of the style path, kind, hash) of what each node shows on this page: the children ('p') and texts ('c')
         of nodes that may be judged; of all nodes with text outside boilerplate, each block ('b') and once null ('n')."""
-        shown: dict[str, list[str]] = {}
-        texts: dict[str, list[str]] = {}
+        shown: dict[int, list[str]] = {}
+        texts: dict[int, list[str]] = {}
         for i, path in enumerate(self.paths):
             if self.judged[i] and not self.noise[i]:
                 shown.setdefault(path, []).append(",".join(self.children[i]))
@@ -259,15 +283,14 @@ class Page:
         for i, text in self.blocks:
             if not self.noise[i]:
                 texts.setdefault(self.paths[i], []).append(text)
-        for path in judged.union(texts):
-            key = path_hash(path)
-            if path in judged:
-                yield key, "p", path_hash("|".join(shown[path]))
-                if path in texts:
-                    yield key, "c", path_hash("\n".join(texts[path]))
-            if path in texts:
+        for key in judged.union(texts):
+            if key in judged:
+                yield key, "p", path_hash("|".join(shown[key]))
+                if key in texts:
+                    yield key, "c", path_hash("\n".join(texts[key]))
+            if key in texts:
                 yield key, "n", 0
-                for text in set(texts[path]):
+                for text in set(texts[key]):
                     yield key, "b", block_hash(key, text)
 
 

@@ -1,6 +1,9 @@
 """URL rules and page texts."""
 
+import math
 import random
+import time
+import tracemalloc
 
 from catalink.llm import site_style as S
 from catalink.llm.queries import URL_RULES
@@ -111,3 +114,55 @@ def test_repeated_block_among_siblings(spark):
     assert site(spark, paragraphs[4:11])[0] == "own text 4 Share this page end 4"
     some = [f"<article><p>own text {i}</p>{'<p>Share this page</p>' * (i % 3 > 0)}</article>" for i in range(12)]
     assert site(spark, some)[1] == "own text 1 Share this page"
+
+
+def test_inside_an_article(spark):
+    """Headings, leads and notices of the article stay, adverts and comments in it go."""
+    inner = "<header class='post-header'><h1>Title</h1></header><div class='article-header'><p>Lead.</p></div><p class='notice'>Mind.</p>"
+    assert text(f"<article>{inner}<p>Body.</p><div class=ad>a</div><div id=comments>c</div></article><div class=notice>n</div>") == "Title Lead. Mind. Body."
+    # the tree still removes a notice that all pages of a host repeat
+    pages = [f"<article><h1>Title {i}</h1><p class=notice>Read the terms</p><p>Body {i}.</p></article>" for i in range(10)]
+    assert site(spark, pages) == [f"Title {i} Body {i}." for i in range(10)]
+    assert [text(p) for p in pages] == [f"Title {i} Read the terms Body {i}." for i in range(10)]
+
+
+def test_deep_pages():
+    """A page of deeply nested elements takes time and memory in proportion."""
+    for source in ("<div>" * 100_000 + "x", "<main>" * 100_000 + "x", "<div class=sidebar>" * 50_000 + "<article>x", "<b>" * 50_000 + "<p>x"):
+        began = time.process_time()
+        tracemalloc.start()
+        page = S.Page(source)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert page.main_text() == "x" and most < 200 << 20 and time.process_time() - began < 60
+    many = text("<li><ul>" + "<div>" * 20_000 + "<li>a</li>" * 20_000)
+    assert many == " ".join(["a"] * 20_000)
+
+
+def test_importance_brute_force(spark):
+    """The nodes and blocks to remove, from entropies over lists of all that each page shows."""
+    draw = random.Random(4)
+    menu = lambda: "".join(f"<li>{draw.choice(['Home', 'News', 'About'])}</li>" for _ in range(draw.randint(1, 3)))
+    part = lambda i: draw.choice([f"<p>own {i}</p>", "<p>Share</p>", "<div class=w>Follow us</div>", f"<div class=v><span>Fixed</span><p>{i % 2}</p></div>"])
+    rows = [(f"h{i % 3}", f"<body><ul>{menu()}</ul>{''.join(part(i) for _ in range(6))}<h2>Contact</h2></body>") for i in range(90)]
+    want: dict[str, set[int]] = {}
+    for host in {h for h, _ in rows}:
+        shows: dict[tuple, dict] = {}
+        for key, page in {S.path_hash(p.main_text()): p for p in (S.Page(s) for h, s in rows if h == host)}.items():
+            for node, kind, value in page.style_rows():
+                shows.setdefault((node, kind), {}).setdefault(key, []).append(value)
+        entropy = lambda values: -sum(values.count(v) / len(values) * math.log(values.count(v) / len(values)) for v in set(values)) / math.log(len(values))
+        for (node, kind), pages in shows.items():
+            n = len(pages)
+            if n < S.LEAST_PAGES:
+                continue
+            if kind == "c" and max(entropy([v for vs in shows[node, k].values() for v in vs]) for k in "pc" if len(shows[node, k]) >= S.LEAST_PAGES) < S.LEAST_IMPORTANCE:
+                want.setdefault(host, set()).add(node)
+            if kind == "b":
+                on = shows[node, "n"]
+                for block in {v for vs in pages.values() for v in vs}:
+                    values = [block if block in pages.get(p, []) else ("own", p) for p in on]
+                    if values.count(block) >= S.LEAST_PAGES and entropy(values) < S.LEAST_IMPORTANCE:
+                        want.setdefault(host, set()).add(block)
+    got = {r.host: set(r.nodes) for r in S.low_importance_nodes(spark.createDataFrame(rows, "host string, html string")).collect()}
+    assert want and got == want
