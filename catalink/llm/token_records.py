@@ -12,7 +12,8 @@ Payload: one byte of flags (1: doc_id is null), doc_id as signed 64 bits, then
 the ids, 16 bits each if the vocabulary fits, else 32 bits. All numbers are
 little-endian. The checksum is CRC-32, rotated and offset by a constant
 ("masked"), so that a checksum of data that holds checksums stays sound.
-Frames stand in ascending order of doc_id over the shards ``part-<number>``.
+Frames stand in ascending order of doc_id over the shards ``part-<number>``, or in
+the order of columns that the caller names (``file_order``: as the files have the rows).
 
 The frames go through Spark's text writer (the closing byte is its line
 separator) and come back through its binary reader, so any store that Spark
@@ -21,8 +22,10 @@ is made from the files: a row for each frame with shard, byte offset and
 length, so that a reader can fetch frames in any order.
 
 Defined cases: a null or empty text has the end id alone. Of rows with one
-doc_id, the order follows a hash of the text. A null doc_id comes first. An
-empty table writes no frame. Further columns of the input are ignored.
+doc_id, the order follows a hash of the text, then the input partition, and these bound
+a shard too: rows with one doc_id, null among them, spread over shards, and so do equal rows, by their
+input partitions. A null doc_id comes first. An empty table writes no frame. Further columns of the
+input are ignored. A shard is read as one value, so it stays below 2 GB: a text may have up to 1 GB.
 """
 
 from __future__ import annotations
@@ -34,12 +37,12 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .common import saved, work_path
@@ -259,8 +262,18 @@ def encoder(tokenizer_json: str, width: str, special_as_text: bool) -> Encoder:
     return Encoder(tokenizer_json, width, special_as_text)
 
 
-def write_records(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, vocabulary: int, shard_bytes: int = 8 << 20, special_as_text: bool = True) -> None:
-    """Writes the frames of ``docs`` (doc_id, text) to the folder ``path``, in shards of about ``shard_bytes`` of text."""
+def file_order(docs: DataFrame) -> list[Column]:
+    """What orders the rows of a frame that is read from Parquet files as the writer of these had them: the part and the place in it."""
+    name = F.col("_metadata.file_name")
+    return [F.length(F.regexp_extract(name, r"^part-\d+", 0)), name, F.col("_metadata.row_index")]
+
+
+def write_records(
+    docs: DataFrame, path: str, tokenizer_json: str, end_id: int, vocabulary: int, shard_bytes: int = 8 << 20, special_as_text: bool = True, order: Sequence[Column] = ()
+) -> None:
+    """Writes the frames of ``docs`` (doc_id, text) to the folder ``path``, in shards of about ``shard_bytes`` of text.
+
+    ``order``: what the frames are ordered by, before doc_id, a hash of the text and the input partition."""
     spark = docs.sparkSession
     width = "<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4"
     source = spark.sparkContext.broadcast(tokenizer_json)
@@ -276,16 +289,19 @@ def write_records(docs: DataFrame, path: str, tokenizer_json: str, end_id: int,
                 rows = zip(ids[at:to], known.encode([t or "" for t in texts[at:to]]), strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array([frame(i, body + end) for i, body in rows], pa.binary())], ["frame"])
 
+    keys = {f"key_{i}": c for i, c in enumerate([*order, F.col("doc_id"), F.xxhash64("text"), F.spark_partition_id()])}
     (
-        docs.select("doc_id", "text")
-        .repartitionByRange(int(shards), "doc_id")
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
+        docs.select("doc_id", "text", *[c.alias(k) for k, c in keys.items()])
+        .repartitionByRange(int(shards), *keys)
+        .sortWithinPartitions(*keys)
+        .select("doc_id", "text")
         .mapInArrow(encoded, "frame binary")
         .select(F.col("frame").cast("string").alias("value"))
         .write.option("lineSep", "\n").text(path)
     )
 
 
+SHARD_GROUP = 4096
 INDEX = "shard int, place long, doc_id long, offset long, length long, n_tokens long, before long, ids_crc32 long"
 
 
@@ -308,25 +324,33 @@ def read_index(spark: SparkSession, path: str, vocabulary: int, end_id: int) ->
 
 
 def with_starts(index: DataFrame) -> DataFrame:
-    """The index with ``start``: the ids of all frames before, over all shards."""
-    shards = index.groupBy("shard").agg(F.sum("n_tokens").alias("in_shard"))
-    before = F.sum("in_shard").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    bases = shards.select("shard", F.coalesce(before, F.lit(0)).alias("base"))
+    """The index with ``start``: the ids of all frames before, over all shards.
+
+    Prefix sums run over groups of ``SHARD_GROUP`` shards, and over the groups, so that no task sees all shards."""
+
+    def before(column: str, window: WindowSpec) -> Column:
+        return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    shards = index.groupBy("shard").agg(F.sum("n_tokens").alias("in_shard")).withColumn("of", F.floor(F.col("shard") / SHARD_GROUP))
+    groups = shards.groupBy("of").agg(F.sum("in_shard").alias("in_group"))
+    groups = groups.select("of", before("in_group", Window.orderBy("of")).alias("group_base"))
+    bases = shards.select("shard", "of", before("in_shard", Window.partitionBy("of").orderBy("shard")).alias("base"))
+    bases = bases.join(groups, "of").select("shard", (F.col("base") + F.col("group_base")).alias("base"))
     return index.join(bases, "shard").withColumn("start", F.col("base") + F.col("before")).drop("base")
 
 
-def token_records(docs: DataFrame, tokenizer_path: str, end_id: int = 2, path: str | None = None, shard_bytes: int = 8 << 20, special_as_text: bool = True) -> DataFrame:
+def token_records(docs: DataFrame, tokenizer_path: str, end_id: int = 2, path: str | None = None, shard_bytes: int = 8 << 20, special_as_text: bool = True, order: Sequence[Column] = ()) -> DataFrame:
     """Writes ``docs`` as records to ``path`` (default: the work folder), their index beside it, and returns the
     index with starts: doc_id, start, n_tokens, ids_crc32, shard, place, offset, length.
 
     ``special_as_text``: whether special tokens that a text spells out are encoded like any other characters. Without
-    it the ids are those of the tokenizer's plain call, which the registered queries give."""
+    it the ids are those of the tokenizer's plain call, which the registered queries give. ``order``: see ``write_records``."""
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
     text = Path(tokenizer_path).read_text(encoding="utf-8")
     vocabulary = Tokenizer.from_str(text).get_vocab_size(with_added_tokens=True)
     path = path or work_path(spark, "token-records")
-    write_records(docs, path, text, end_id, vocabulary, shard_bytes, special_as_text)
+    write_records(docs, path, text, end_id, vocabulary, shard_bytes, special_as_text, order)
     index = saved(read_index(spark, path, vocabulary, end_id), "token-index")
     return with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "place", "offset", "length")

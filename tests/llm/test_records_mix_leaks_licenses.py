@@ -1,5 +1,6 @@
 """Token records, source mixing, benchmark leaks and licence labels."""
 
+import random
 import re
 import zlib
 from pathlib import Path
@@ -16,18 +17,24 @@ from catalink.llm import token_records as R
 TOKENIZER = Path("/opt/tokenizers/byte_bpe_50k.json")
 
 
-@pytest.mark.skipif(not TOKENIZER.exists(), reason="no tokenizer file")
+needs_tokenizer = pytest.mark.skipif(not TOKENIZER.exists(), reason="no tokenizer file")
+
+
+def crc_of(tokenizer, text):
+    return zlib.crc32(np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [2], dtype="<u4").tobytes())
+
+
+@needs_tokenizer
 def test_round_trip(spark, documents, prose, tmp_path):
+    """The frames hold what the tokenizer's plain call gives, in order, and an index row finds its frame."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(str(TOKENIZER))
-    tokenizer.encode_special_tokens = True
-    odd = ["a  b", "x \n y", "<|endoftext|>", "it's 5,000.", " lead", "trail ", "a\tb c", "é… ", "a, b.", "¿x! 中文 字", "w.\nT u"]
+    odd = ["a  b", "x \n y", "<|endoftext|>", "see <|endoftext|> here", "it's 5,000.", " lead", "trail ", "a\tb c", "é… ", "a, b.", "¿x! 中文 字", "w.\nT u"]
     rows = [(3, None), (1, ""), (-2, "neg"), (None, "null id"), (7, prose(30)), (7, prose(20)), (8, prose(30_000)), *[(20 + i, t) for i, t in enumerate(odd)]]
     path = str(tmp_path / "records")
-    got = R.token_records(documents(rows), str(TOKENIZER), path=path, shard_bytes=40_000).collect()
-    want = {(i, zlib.crc32(np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], dtype="<u4").tobytes())) for i, t in rows}
-    assert {(r.doc_id, r.ids_crc32) for r in got} == want and len(got) == len(rows)
+    got = R.token_records(documents(rows), str(TOKENIZER), path=path, shard_bytes=40_000, special_as_text=False).collect()
+    assert {(r.doc_id, r.ids_crc32) for r in got} == {(i, crc_of(tokenizer, t)) for i, t in rows} and len(got) == len(rows)
     start = 0
     for r in sorted(got, key=lambda r: r.start):
         assert r.start == start
@@ -42,6 +49,40 @@ def test_round_trip(spark, documents, prose, tmp_path):
     assert R.token_records(documents([]), str(TOKENIZER)).count() == 0
 
 
+@needs_tokenizer
+def test_units_give_the_plain_ids():
+    """Random strings of letters, digits, signs and all kinds of white space, against the tokenizer's own call."""
+    from tokenizers import Tokenizer
+
+    draw = random.Random(5)
+    parts = ["a", "B", "é", "'s", "'", ".", ",", "#", "\n", "\n", " ", " ", " ", "7", "-", "\t", "ß", "<|endoftext|>", "日", "Z", "'ll", "Ᲊ", "don't", "\x1c", "\x85", "\xa0", "×", "÷", "з", "🙂"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 14))) for _ in range(20_000)]
+    source = TOKENIZER.read_text(encoding="utf-8")
+    for special_as_text in (False, True):
+        tokenizer = Tokenizer.from_str(source)
+        tokenizer.encode_special_tokens = special_as_text
+        want = [np.array(e.ids, dtype="<u2").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        encoder = R.Encoder(source, "<u2", special_as_text)
+        assert encoder.by_unit
+        assert [i for at in range(0, len(texts), 700) for i in encoder.encode(texts[at : at + 700])] == want
+
+
+@needs_tokenizer
+def test_hot_ids_and_given_order(spark, prose, tmp_path):
+    """Rows with one doc_id spread over shards, and so do equal rows; frames can follow the order of the files."""
+    texts = [prose(200) for _ in range(60)]
+    rows = [(None if i % 2 else 5, t) for i, t in enumerate(texts)] + [(9, texts[0])] * 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = R.token_records(docs, str(TOKENIZER), shard_bytes=12_000).collect()
+    shards = {key: len({r.shard for r in got if r.doc_id == key}) for key in (None, 5, 9)}
+    assert len(got) == len(rows) and min(shards.values()) > 2
+    ordered = spark.createDataFrame([(100 - i, f"{i} " + prose(50)) for i in range(100)], "doc_id long, text string").coalesce(1)
+    ordered.write.parquet(str(tmp_path / "docs"))
+    read = spark.read.parquet(str(tmp_path / "docs"))
+    index = R.token_records(read, str(TOKENIZER), shard_bytes=5_000, order=R.file_order(read)).collect()
+    assert len({r.shard for r in index}) > 2 and [r.doc_id for r in sorted(index, key=lambda r: r.start)] == [100 - i for i in range(100)]
+
+
 def test_damage_is_seen():
     data = R.frame(1, b"abcd") + b"\n"
     assert [p for *_, p in R.frames(data)] == [R.PAYLOAD.pack(0, 1) + b"abcd"]
