@@ -8,6 +8,8 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 WHITE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -139,6 +141,18 @@ def batches_of(texts: list[str | None], most: int = 2 << 20) -> Iterator[tuple[i
         yield first, run
 
 
+def sliced(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in parts of about ``most`` bytes of text, so that a worker turns few into Python values at a time."""
+    for batch in batches:
+        size = np.zeros(batch.num_rows, dtype=np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type):
+                size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(np.diff(np.cumsum(size) // most, prepend=-1)).tolist()
+        for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=False):
+            yield batch.slice(a, b - a)
+
+
 def byte_table(words: bool = True, *, separators: tuple[int, ...] = (), keep: str = "") -> np.ndarray:
     """A table of 256 booleans: all bytes but ``separators``; with ``keep``, of ASCII only its characters."""
     out = np.ones(256, dtype=bool)

@@ -15,13 +15,15 @@ connected component of the links.
    partner. A bitmap of the hash classes that a set occupies limits the
    intersection: a shingle in a class that the partner leaves empty isn't
    shared. The bounds and the Bayesian test stand in the join condition: a
-   bucket of near copies doesn't emit its pairs. The bitmap excludes little
+   bucket of near copies doesn't emit its pairs. A large bucket is joined in
+   pairs of blocks, so no task compares more than a block with a block for a key. The bitmap excludes little
    once a set has several times ``CLASSES`` shingles.
 4. Bayesian test: the sketches are compared 64 bits at a time; a pair is
    dropped as soon as the posterior probability that its similarity reaches
    the threshold falls below ``MISS``.
 5. Survivors are verified on their full sets. Components are made by
-   contraction, with each round written to the shared work folder.
+   pointer doubling and contraction, with each step written to the shared work folder, and
+   deleted when the next one stands.
 
 A pair at the threshold shares no bucket with a probability of 1.3e-5 at most,
 and less with a higher similarity; ``MISS`` bounds what the test adds.
@@ -45,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_BYTES, Words, _mixed, batches_of, byte_table, saved
+from .common import WHITE_BYTES, Words, _mixed, batches_of, byte_table, dropped, saved, sliced
 
 SHINGLE = 5
 MISSED_BAND = 1.3e-5
@@ -54,6 +56,8 @@ BATCH_BITS, BATCHES = 64, 4
 MISS = 1e-5
 CLASSES = 1024
 """Hash classes of the bitmap of a set; a multiple of 64."""
+BLOCK = 256
+"""Nodes of a bucket that one join key holds on either side."""
 
 _RNG = np.random.default_rng(7_2026)
 _ORDER = _RNG.integers(1, 2**62, SHINGLE + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -116,7 +120,7 @@ SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, " + ",
 
 def sign_batches(batches: Iterator[pa.RecordBatch], n_bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in SIGNED.split(", ")]
-    for batch in batches:
+    for batch in sliced(batches):
         sizes, digests, bands, sketches, bitmaps = [], [], [], [], []
         for s in shingle_sets(batch.column(1).to_pylist()):
             sizes.append(len(s))
@@ -132,7 +136,7 @@ def sign_batches(batches: Iterator[pa.RecordBatch], n_bands: int, rows: int) ->
 
 def shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(u, v, text_u, text_v) to (u, v, both, either): sizes of the intersection and the union of the full sets."""
-    for batch in batches:
+    for batch in sliced(batches):
         both, either = [], []
         for a, b in zip(shingle_sets(batch.column(2).to_pylist()), shingle_sets(batch.column(3).to_pylist()), strict=True):
             n = len(np.intersect1d(a, b, assume_unique=True))
@@ -143,7 +147,7 @@ def shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, text) to a row (node, shingle) for each shingle."""
-    for batch in batches:
+    for batch in sliced(batches):
         nodes, sets, rows = [], [], 0
         for node, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist()), strict=True):
             nodes.append(np.full(len(s), node, dtype=np.int64))
@@ -202,32 +206,50 @@ def bitmaps_fit(left: str, right: str, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (u, v) whose full sets reach the threshold."""
+    """Those of the pairs (u, v) whose full sets reach the threshold, as a saved table. ``pairs`` is one too, and is deleted."""
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     texts = saved(docs.select(F.col("doc_id").alias("node"), "text").join(nodes, "node", "left_semi"), "near-dedup-texts")
     with_u = pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
     with_v = with_u.join(texts.select(F.col("node").alias("v"), F.col("text").alias("text_v")), "v")
     counts = with_v.select("u", "v", "text_u", "text_v").mapInArrow(shared_counts, "u long, v long, both long, either long")
-    return counts.filter(F.col("both") * 100 >= F.col("either") * percent).select("u", "v")
+    links = saved(counts.filter(F.col("both") * 100 >= F.col("either") * percent).select("u", "v"), "near-dedup-links")
+    dropped(texts)
+    dropped(pairs)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the edges (u, v): the smallest node that is reachable.
 
-    Each round maps a node to its smallest neighbour and contracts the edges, until none is left."""
+    In each round a node points to its smallest neighbour, pointers double until they reach the local minimum
+    at the end of their chain, and edges are contracted to these minima, at most half of the nodes. So rounds and
+    doublings grow with the logarithm of the nodes and of the longest chain."""
     edges = saved(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "near-dedup-edges")
     labels = None
     while True:
         step = saved(edges.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("to")), "near-dedup-step")
-        if labels is None:
-            labels = step.select(F.col("u").alias("node"), F.col("to").alias("component"))
-        else:
+        while True:
+            # a minimum points to itself, so every pointer finds the next one
+            jumped = step.join(step.select(F.col("u").alias("to"), F.col("to").alias("next")), "to")
+            jumped = saved(jumped.select("u", F.col("next").alias("to"), (F.col("to") != F.col("next")).alias("moved")), "near-dedup-step")
+            dropped(step)
+            step = jumped.select("u", "to")
+            if jumped.filter("moved").isEmpty():
+                break
+        placed = step.select(F.col("u").alias("node"), F.col("to").alias("component"))
+        if labels is not None:
             joined = labels.join(step, labels.component == step.u, "left")
-            labels = saved(joined.select("node", F.coalesce("to", "component").alias("component")), "near-dedup-labels")
+            placed = joined.select("node", F.coalesce("to", "component").alias("component"))
+        placed = saved(placed, "near-dedup-labels")
         to_v = step.select(F.col("u").alias("v"), F.col("to").alias("to_v"))
         contracted = edges.join(step, "u").join(to_v, "v").select(F.col("to").alias("u"), F.col("to_v").alias("v"))
-        edges = saved(contracted.filter("u <> v").distinct(), "near-dedup-edges")
+        contracted = saved(contracted.filter("u <> v").distinct(), "near-dedup-edges")
+        for old in (edges, step, labels):
+            if old is not None:
+                dropped(old)
+        edges, labels = contracted, placed
         if edges.isEmpty():
+            dropped(edges)
             return labels
 
 
@@ -255,7 +277,7 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     tested = stars.join(facts.select(F.col("node").alias("u"), F.struct("n", *SKETCHES).alias("a")), "u")
     tested = tested.join(facts.select(F.col("node").alias("v"), F.struct("n", *SKETCHES).alias("b")), "v")
     tested = tested.filter(sizes_fit("a", "b", percent) & bayes_passes("a", "b", percent)).select("u", "v")
-    links = saved(verified(saved(tested, "near-dedup-stars"), docs, percent), "near-dedup-links")
+    links = verified(saved(tested, "near-dedup-stars"), docs, percent)
     first = components(links)
 
     # the rest: buckets that still hold several components
@@ -280,10 +302,16 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
         side = side.withColumn("most", (F.col("n") - F.col("own")) * 100 - F.col("own") * percent)
         side = saved(side.filter(F.col("most") * 100 >= F.col("n") * percent * percent), "near-dedup-sides")
         columns = ["key", "band", "bands", "node", "component", "n", "most", *SKETCHES, *BITMAP]
-        a, b = side.select(columns).alias("a"), side.select(columns).alias("b")
+        # a bucket is cut into blocks, and each pair of blocks is a join key of its own
+        blocks = side.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        cut = side.select(columns).join(blocks, "key").withColumn("block", F.pmod(F.hash("node"), "blocks"))
+        a = cut.withColumns({"low": F.col("block"), "high": F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))}).alias("a")
+        b = cut.withColumns({"high": F.col("block"), "low": F.explode(F.sequence(F.lit(0), F.col("block")))}).alias("b")
         condition = (
             (F.col("a.key") == F.col("b.key"))
-            & (F.col("a.node") < F.col("b.node"))
+            & (F.col("a.low") == F.col("b.low"))
+            & (F.col("a.high") == F.col("b.high"))
+            & ((F.col("a.low") < F.col("a.high")) | (F.col("a.node") < F.col("b.node")))
             & (F.col("a.component") != F.col("b.component"))
             & (F.col("b.n") * percent <= F.col("a.most"))
             & (F.col("a.n") * percent <= F.col("b.most"))
@@ -293,9 +321,14 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
             # the first band in which the two agree makes the pair, not each of them
             & (F.array_position(F.zip_with("a.bands", "b.bands", lambda x, y: x == y), True) == F.col("a.band") + 1)
         )
-        pairs = a.join(b, condition).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+        pairs = a.join(b, condition).select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
         more = verified(saved(pairs, "near-dedup-pairs"), docs, percent)
-        first = components(links.unionByName(saved(more, "near-dedup-links")))
+        dropped(first)
+        first = components(links.unionByName(more))
+        dropped(more)
+        dropped(side)
+    for done in (links, members, placed, rest, nodes):
+        dropped(done)
 
     placed = node_of.join(first, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     # a null digest meets nothing: documents without words go their own way

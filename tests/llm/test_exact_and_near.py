@@ -2,11 +2,13 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from catalink.llm import near_dedup as N
+from catalink.llm.common import saved
 from catalink.llm.exact_dedup import exact_dedup
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -67,7 +69,8 @@ def brute_near(rows, percent):
 
 
 @pytest.mark.parametrize("percent", [85, 80])
-def test_near(spark, documents, prose, percent):
+def test_near(spark, documents, prose, percent, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 7 if percent == 80 else N.BLOCK)  # buckets of many blocks
     draw = random.Random(percent)
     rows = [(i, prose(draw.choice([3, 4, 5, 30, 80]))) for i in range(40)]
     base = prose(120).split()
@@ -81,6 +84,20 @@ def test_near(spark, documents, prose, percent):
     assert got == brute_near(rows, percent)
 
 
+def test_long_chains(spark, monkeypatch):
+    """A chain takes rounds in proportion to the logarithm of its length; what a round leaves behind is deleted."""
+    made = []
+    monkeypatch.setattr(N, "saved", lambda df, name: made.append(saved(df, name)) or made[-1])
+    draw = random.Random(2)
+    names = draw.sample(range(10_000, 20_000), 300)
+    chains = [(i, i + 1) for i in range(1000)] + list(zip(names, names[1:], strict=False)) + [(30_000, 30_000 + i) for i in range(1, 50)]
+    got = {r.node: r.component for r in N.components(spark.createDataFrame(chains, "u long, v long")).collect()}
+    assert got == {**dict.fromkeys(range(1001), 0), **dict.fromkeys(names, min(names)), **dict.fromkeys(range(30_000, 30_050), 30_000)}
+    assert len(made) <= 45
+    left = [f for df in made for f in df.inputFiles() if Path(f.removeprefix("file://")).exists()]
+    assert {f.rsplit("/", 1)[0] for f in left} == {f.rsplit("/", 1)[0] for f in made[-2].inputFiles()}
+
+
 def test_near_edges(spark, documents):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "A b c d e f")]
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in N.near_groups(documents(rows)).collect()), key=str)
