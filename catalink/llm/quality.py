@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sliced
 from .toxicity import held_out, training_sample
 
 SAMPLE = 16_000
@@ -172,7 +173,7 @@ def logistic_curve(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def score_batches(batches: Iterator[pa.RecordBatch], weights: dict, intercept: float, any_words: bool) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) to (doc_id, score)."""
     shapes = Shapes()
-    for batch in batches:
+    for batch in sliced(batches):
         margins = [intercept + sum(sorted(weights[g] for g in ngrams(t, shapes, any_words) & weights.keys())) for t in batch.column(1).to_pylist()]
         score = 1 / (1 + np.exp(-np.clip(np.array(margins, dtype=np.float64), -30, 30)))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])

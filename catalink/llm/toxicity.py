@@ -31,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import saved, sliced
+
 SAMPLE = 16_000
 FEATURES = 3_000
 LEAST_DOCS = 4
 STEMS = (3, 4, 5, 6, 7, 8)
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 LAMBDA = 1.0
 RIDGE = 0.5
 """Weight of the squared norm, divided by the number of features."""
@@ -74,11 +76,14 @@ def held_out() -> F.Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """(text, y) of at most ``most`` labelled rows outside the held-out fold."""
-    usable = labels.select("doc_id", F.col(label).alias("y")).filter(~held_out() & F.col("y").isin(0, 1)).dropDuplicates(["doc_id"])
+    """(text, y) of at most ``most`` labelled rows outside the held-out fold, as a saved table.
+
+    Of rows with one doc_id one is taken; of several labels of one doc_id the largest counts."""
+    usable = labels.select("doc_id", F.col(label).alias("y")).filter(F.col("doc_id").isNotNull() & ~held_out() & F.col("y").isin(0, 1))
     # bounded by ``most`` rows of two numbers, so it can be broadcast
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y")
+    chosen = usable.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return saved(rows.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "y"), "training-sample")
 
 
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,12 +167,16 @@ def fit(vectors: list, n_features: int, penalty: float = LAMBDA) -> tuple[np.nda
     return w * scale, float(b)
 
 
-def score_batches(batches: Iterator[pa.RecordBatch], weights: dict[str, float], intercept: float) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to (doc_id, score). The features with a weight are remembered for each word, for most none."""
-    known: dict[str, tuple[str, ...]] = {}
-    for batch in batches:
-        margins = []
-        for text in batch.column(1).to_pylist():
+class Scorer:
+    """Scores of texts. The features with a weight are remembered for each word, for most none."""
+
+    def __init__(self, weights: dict[str, float], intercept: float):
+        self.weights, self.intercept = weights, intercept
+        self.known: dict[str, tuple[str, ...]] = {}
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        known, weights, margins = self.known, self.weights, []
+        for text in texts:
             present: set[str] = set()
             for word in words_of(text):
                 found = known.get(word)
@@ -177,9 +186,15 @@ def score_batches(batches: Iterator[pa.RecordBatch], weights: dict[str, float],
                         known[word] = found
                 if found:
                     present.update(found)
-            margins.append(intercept + sum(map(weights.__getitem__, sorted(present))))
-        score = 1 / (1 + np.exp(-np.clip(np.array(margins, dtype=np.float64), -40, 40)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])
+            margins.append(self.intercept + sum(map(weights.__getitem__, sorted(present))))
+        return 1 / (1 + np.exp(-np.clip(np.array(margins, dtype=np.float64), -40, 40)))
+
+
+def score_batches(batches: Iterator[pa.RecordBatch], weights: dict[str, float], intercept: float) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) to (doc_id, score)."""
+    scorer = Scorer(weights, intercept)
+    for batch in sliced(batches):
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scorer.scores(batch.column(1).to_pylist()))], ["doc_id", "score"])
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, penalty: float = LAMBDA) -> tuple[dict[str, float], float]:
@@ -212,9 +227,8 @@ def without_toxic(docs: DataFrame, weights: dict[str, float], intercept: float,
     number = docs.schema.names.index("text")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pair = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(number)], ["doc_id", "text"])
-            score = next(iter(score_batches(iter([pair]), weights, intercept))).column(1)
-            yield batch.filter(pa.array(score.to_numpy() < least))
+        scorer = Scorer(weights, intercept)
+        for batch in sliced(batches):
+            yield batch.filter(pa.array(scorer.scores(batch.column(number).to_pylist()) < least))
 
     return docs.mapInArrow(clean, docs.schema)
