@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, batches_of, byte_table
+from .common import Words, batches_of, byte_table, sliced
 
 IS_WORD = byte_table(keep=string.ascii_lowercase + string.digits)
 
@@ -186,7 +186,7 @@ def scan_batches(batches: Iterator[pa.RecordBatch], words: list[str], idf: list[
     lexicon, index = Lexicon(words), Index.build(words, idf)
     types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
     names = ["doc_id"] + [c.split()[0] for c in SCANNED.split(", ")]
-    for batch in batches:
+    for batch in sliced(batches):
         columns = list(zip(*scan_texts(batch.column(1).to_pylist(), index, lexicon), strict=True)) or [[]] * len(types)
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names)
 

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from .common import saved, work_path
+from .common import saved, sliced, work_path
 
 HEAD = struct.Struct("<QI")
 PAYLOAD = struct.Struct("<Bq")
@@ -283,7 +283,7 @@ def write_records(
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(source.value, width, special_as_text)
-        for batch in batches:
+        for batch in sliced(batches):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at, to in runs(texts):
                 rows = zip(ids[at:to], known.encode([t or "" for t in texts[at:to]]), strict=True)
