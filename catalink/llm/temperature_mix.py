@@ -11,8 +11,11 @@ a source, and a part of one more.
 A part is the beginning of a block permutation: documents are dealt into
 blocks by hash, the blocks of a source are put in an order that depends on the
 epoch, and blocks are taken in that order until the budget is met; the last
-block is cut between documents. Prefix sums run over block totals, and inside
-one block for each source, so no task sees a source whole.
+block is cut between documents, in the order that these have in this epoch. Prefix sums run over groups of
+``BLOCK_GROUP`` blocks, over the groups, and inside one block for each source, so no task sees the blocks of a source.
+
+The mixture is ordered by ``mix_order`` (epoch and block), ``mix_place`` (in the block) and doc_id; only equal
+rows tie. Blocks of all sources interleave.
 
 Tokens are counted as words plus one for the end mark. The source totals and
 block totals are tables; only the bracket of the exponent reaches the driver.
@@ -26,19 +29,22 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .common import saved
 
 BLOCK_TOKENS = 1 << 18
+BLOCK_GROUP = 4096
 POINTS = 16
 """Exponents that one pass over the source totals tries; a pass narrows the bracket that much."""
 PASSES = 5
 
 
 #: Columns that the mixture adds; a column of the input with such a name is replaced.
-ADDED = {"mix_epoch": "int", "mix_block": "bigint", "mix_order": "double", "mix_tokens": "bigint"}
+ADDED = {"mix_epoch": "int", "mix_block": "bigint", "mix_order": "double", "mix_place": "bigint", "mix_tokens": "bigint"}
+ORDER = ("mix_order", "mix_place", "doc_id")
+"""What orders the mixture."""
 
 
 def source_key() -> F.Column:
@@ -50,6 +56,30 @@ def tokens_of(text: F.Column) -> F.Column:
     return (F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"\S+")) + 1).cast("bigint")
 
 
+def block_place(epoch: str, seed: int) -> F.Column:
+    """The place from 0 to 1 of a block among those of its source in an epoch."""
+    return F.shiftrightunsigned(F.xxhash64("mix_source", "mix_block", F.col(epoch).cast("int"), F.lit(seed)), 11).cast("double") / float(1 << 53)
+
+
+def row_place(epoch: str) -> F.Column:
+    """What orders the rows of a block in an epoch."""
+    return F.xxhash64("mix_hash", F.col(epoch).cast("int"))
+
+
+def sums_before(blocks: DataFrame) -> DataFrame:
+    """``blocks`` (mix_source, mix_block, place, blocks, in_block) with ``before``: what the blocks of the source with smaller places hold."""
+
+    def before(column: str, window: WindowSpec) -> F.Column:
+        return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    # places are even, so a group holds about BLOCK_GROUP blocks
+    grouped = blocks.withColumn("mix_group", F.floor(F.col("place") * F.ceil(F.col("blocks") / BLOCK_GROUP)))
+    groups = grouped.groupBy("mix_source", "mix_group").agg(F.sum("in_block").alias("in_group"))
+    groups = groups.select("mix_source", "mix_group", before("in_group", Window.partitionBy("mix_source").orderBy("mix_group")).alias("base"))
+    inside = before("in_block", Window.partitionBy("mix_source", "mix_group").orderBy("place", "mix_block"))
+    return grouped.withColumn("inside", inside).join(groups, ["mix_source", "mix_group"]).withColumn("before", F.col("base") + F.col("inside")).drop("mix_group", "base", "inside")
+
+
 def measures(totals: DataFrame, exponents: list[float], budget: int | None) -> list[tuple[float, float, float]]:
     """(exponent, entropy of the weights, most epochs of a source) for each exponent, in one pass."""
     share = F.col("tokens") / F.col("whole")
@@ -97,7 +127,7 @@ def mixed(
     block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, source, ...), each as often as its budget says, with mix_epoch (from 0),
-    mix_block, mix_order (the place of the row in its epoch: blocks in permuted order, hashes inside) and mix_tokens."""
+    mix_block, mix_order (epoch and place of the block in it), mix_place (what orders the rows of a block) and mix_tokens."""
     if (target_entropy is None) == (repetition_limit is None):
         raise ValueError("give either target_entropy or repetition_limit")
     columns = [c for c in docs.columns if c not in ADDED]
@@ -128,9 +158,7 @@ def mixed(
     # which blocks the part of an epoch takes
     in_block = sized.join(plan.select("mix_source", "blocks"), "mix_source").groupBy("mix_source", block().alias("mix_block")).agg(F.sum("mix_tokens").alias("in_block"))
     placed = in_block.join(plan.select("mix_source", "blocks", "full", "part"), "mix_source")
-    order = F.xxhash64("mix_source", "mix_block", "full", F.lit(seed))
-    window = Window.partitionBy("mix_source").orderBy(order, "mix_block").rowsBetween(Window.unboundedPreceding, -1)
-    taken = placed.withColumn("before", F.coalesce(F.sum("in_block").over(window), F.lit(0)))
+    taken = sums_before(placed.withColumn("place", block_place("full", seed)))
     taken = taken.select("mix_source", "mix_block", "full", (F.col("part") - F.col("before")).alias("left"), "in_block")
     taken = saved(taken, "mix-blocks")
 
@@ -139,14 +167,12 @@ def mixed(
     rows = rows.join(plan.select("mix_source", "blocks"), "mix_source").withColumn("mix_block", block()).drop("blocks")
     rows = rows.join(taken, ["mix_source", "mix_block"])
     cut = (F.col("left") > 0) & (F.col("left") < F.col("in_block"))
-    within = Window.partitionBy("mix_source", "mix_block").orderBy("mix_hash").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("mix_source", "mix_block").orderBy(row_place("full"), "mix_row.doc_id").rowsBetween(Window.unboundedPreceding, -1)
     # only the block in which the budget ends, one for each source, is summed row by row
     ended = rows.filter(cut).withColumn("before", F.coalesce(F.sum("mix_tokens").over(within), F.lit(0)))
     ended = ended.withColumn("copies", F.col("full") + (F.col("before") < F.col("left")).cast("int")).drop("before")
     others = rows.filter(~cut).withColumn("copies", F.col("full") + (F.col("left") >= F.col("in_block")).cast("int"))
     repeated = others.unionByName(ended).filter("copies > 0")
     repeated = repeated.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    # blocks by their order in the epoch, rows by hash inside a block
-    unit = lambda c: F.shiftrightunsigned(c, 11).cast("double") / float(1 << 53)
-    place = unit(F.xxhash64("mix_source", "mix_block", "mix_epoch", F.lit(seed)))
-    return repeated.withColumn("mix_order", F.col("mix_epoch") + place).select("mix_row.*", *ADDED)
+    repeated = repeated.withColumns({"mix_order": F.col("mix_epoch") + block_place("mix_epoch", seed), "mix_place": row_place("mix_epoch")})
+    return repeated.select("mix_row.*", *ADDED)

@@ -96,6 +96,38 @@ def mixture(spark, counts):
     return spark.createDataFrame(rows, "doc_id long, text string, source string, mix_block int")
 
 
+def test_mix_order_brute_force(spark, monkeypatch):
+    """Copies and order of a small mixture, from lists of blocks that are taken one after the other."""
+    monkeypatch.setattr(M, "BLOCK_GROUP", 3)
+    docs = mixture(spark, [("big", 1200), ("mid", 300), (None, 90), ("", 40)])
+    docs = docs.unionByName(docs.limit(30))  # repeated rows
+    rows = M.mixed(docs, repetition_limit=2.5, block_tokens=150, seed=3).collect()
+    epochs: dict = {}
+    for r in rows:
+        epochs.setdefault((r.source, r.mix_epoch), []).append(r)
+    last = {s: max(e for t, e in epochs if t == s) for s, _ in epochs}
+    assert max(last.values()) > 1
+    whole = {s: epochs[s, 0] for s in last}
+    n = docs.groupBy("source").count().collect()
+    assert {s: len(r) for s, r in whole.items()} == {r.source: r["count"] for r in n}
+    for (source, epoch), taken in epochs.items():
+        key = lambda r: (r.mix_order, r.mix_place, r.doc_id)
+        if epoch < last[source]:
+            assert sorted(r.doc_id for r in taken) == sorted(r.doc_id for r in whole[source])
+            continue
+        # the part is a beginning of the order that all rows of the source have in this epoch
+        order = {r.mix_block: r.mix_order for r in taken}
+        cut = max(order, key=order.get)
+        for block in order.keys() - {cut}:
+            assert sorted(r.doc_id for r in taken if r.mix_block == block) == sorted(r.doc_id for r in whole[source] if r.mix_block == block)
+        in_cut = spark.createDataFrame([(r.doc_id, r.text) for r in whole[source] if r.mix_block == cut], "doc_id long, text string")
+        in_cut = in_cut.select("doc_id", F.xxhash64(F.lit(3), "doc_id", "text").alias("mix_hash")).select("doc_id", F.xxhash64("mix_hash", F.lit(epoch).cast("int")).alias("place"))
+        begin = [r.doc_id for r in in_cut.orderBy("place", "doc_id").collect()]
+        got = [r.doc_id for r in sorted((r for r in taken if r.mix_block == cut), key=key)]
+        assert got == begin[: len(got)]
+    assert len({(r.mix_order, r.mix_place, r.doc_id) for r in rows}) == len({(r.mix_epoch, r.doc_id) for r in rows})
+
+
 def test_mix_limit(spark):
     docs = mixture(spark, [("big", 3000), ("mid", 800), (None, 300), ("", 150)])
     got = M.mixed(docs, repetition_limit=3.0, block_tokens=500)
