@@ -18,16 +18,19 @@ The windows of the benchmark are broadcast while they number at most
 
 An item with fewer than ``WINDOW`` template words is one window of its own
 length; with fewer than ``LEAST_WORDS`` it can't be told from chance and is
-never reported.
+never reported. Neither can a window with fewer than ``LEAST_LITERALS`` words that are no slots: a run of numbers meets
+every other run of numbers. Such windows are left out of an item on both sides of its coverage.
 
-Defined cases: null and empty texts leak nothing. Rows with one doc_id count as one
-document, and so do rows with a null doc_id. Repeated items of one item_id
+Defined cases: null and empty texts leak nothing. In ``leaked_items`` rows with one doc_id count as one
+document, and so do rows with a null doc_id; ``without_leaks`` judges each text for itself. Repeated items of one item_id
 count as one, a null item_id as one more. An empty table gives an empty
 result. Further columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +38,7 @@ from .common import saved
 
 WINDOW = 8
 LEAST_WORDS = 5
+LEAST_LITERALS = 3
 LEAST_COVER = 0.5
 MOST_CONFLICTS = 0.2
 MOST_BROADCAST = 2_000_000
@@ -120,25 +124,31 @@ def with_runs(rows: DataFrame, size: int, name: str) -> DataFrame:
     return rows
 
 
-def window_rows(rows: DataFrame, key: str, size: int, place: str, value: str) -> DataFrame:
-    """(key, place, value): a row for each window of each text of ``templates()``."""
-    runs = with_runs(rows, size, "runs")
+def window_rows(rows: DataFrame, key: str, sizes: Sequence[int]) -> DataFrame:
+    """(key, size, at, hash, literals): a row for each window of each of the sizes of each text of ``templates()``,
+    from one pass over the texts. ``literals``: the words that are no slots."""
+    for size in sizes:
+        rows = with_runs(rows, size, f"runs_{size}")
+    slots = [F.xxhash64(F.lit(c)) for c in (_NAME, _NUMBER, _UNIT)]
+
+    def windows(size: int) -> Column:
+        whole = F.slice(f"runs_{size}", F.lit(1), F.greatest(F.size("w") - (size - 1), F.lit(0)))
+        return F.transform(whole, lambda x, i: F.struct(F.lit(size).alias("size"), i.alias("at"), x.alias("hash")))
+
     # an expression, not a column: else Spark derives a filter from it that evaluates all steps again
-    whole = F.when(F.size("w") >= size, F.slice("runs", F.lit(1), F.size("w") - (size - 1)))
-    return runs.select(key, F.posexplode(whole).alias(place, value))
+    placed = rows.select(key, "w", F.explode(F.concat(*[windows(size) for size in sizes])).alias("x"))
+    placed = placed.select(key, "w", "x.*")
+    literals = F.size(F.filter(F.slice("w", F.col("at") + 1, "size"), lambda x: ~x.isin(*slots)))
+    return placed.select(key, "size", "at", "hash", literals.alias("literals"))
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, size, at, hash) of every window of every item in each form."""
+    """(item_id, size, at, hash) of every window with enough literal words of every item in each form."""
     items = templates(benchmark.select("item_id", "text"), "item_id").filter(F.size("w") >= LEAST_WORDS)
-    parts = []
-    for s in [window, *range(LEAST_WORDS, window)]:
-        fitting = items.filter(F.size("w") >= window if s == window else F.size("w") == s)
-        parts.append(window_rows(fitting, "item_id", s, "at", "hash").select("item_id", F.lit(s).alias("size"), "at", "hash"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.distinct()
+    rows = items.withColumn("own", F.least(F.size("w"), F.lit(window)))
+    rows = window_rows(rows.select(F.struct("item_id", "own").alias("key"), "w"), "key", range(LEAST_WORDS, window + 1))
+    fitting = rows.filter((F.col("size") == F.col("key.own")) & (F.col("literals") >= LEAST_LITERALS))
+    return fitting.select("key.item_id", "size", "at", "hash").distinct()
 
 
 def words_of(rows: DataFrame, key: str) -> DataFrame:
@@ -157,13 +167,7 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     sizes = [r["size"] for r in items.select("size").distinct().collect()]  # at most ``window`` numbers
     lookup = F.broadcast(items) if items.count() <= most_broadcast else items
     canonical = templates(docs.select("doc_id", "text"), "doc_id")
-    if sizes:
-        exploded = None
-        for s in sizes:
-            part = window_rows(canonical, "doc_id", s, "doc_at", "doc_hash")
-            exploded = part if exploded is None else exploded.unionByName(part)
-    else:
-        exploded = canonical.select("doc_id", F.lit(0).alias("doc_at"), F.lit(0).cast("bigint").alias("doc_hash")).filter("false")
+    exploded = window_rows(canonical, "doc_id", sizes or [window]).select("doc_id", F.col("at").alias("doc_at"), F.col("hash").alias("doc_hash"))
     # windows of unlike size have unlike hashes: the number of the steps is part of them
     met = exploded.join(lookup, F.col("doc_hash") == F.col("hash"))
     # one row for each window of an item and document, however often they repeat it: at the shift that most windows share
@@ -207,6 +211,7 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document leaks no item, with all columns."""
-    bad = leaked_items(docs, benchmark, **options).select(F.col("doc_id").alias("leaking_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["leaking_id"]), "left_anti")
+    """The rows of ``docs`` whose text leaks no item, with all columns. Rows that share a doc_id, or have none, are judged each by its text."""
+    keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("doc_id"), "text")
+    bad = leaked_items(keyed, benchmark, **options).select(F.col("doc_id.doc_id").alias("leaking_id"), F.col("doc_id.text_hash").alias("leaking_hash")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["leaking_id"]) & (F.xxhash64(docs["text"]) == bad["leaking_hash"]), "left_anti")

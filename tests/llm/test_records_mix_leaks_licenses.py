@@ -182,6 +182,86 @@ def test_slot_consistency(spark, documents):
     assert [r.doc_id for r in got] == [1]
 
 
+def brute_forms(text):
+    """The forms of a text of plain words, names, numbers and units, word by word."""
+    words, sure, maybe = [], set(), set()
+    tokens = text.split()
+    for i, token in enumerate(tokens):
+        word = token.strip(".,?")
+        before = tokens[i - 1] if i else "."
+        if word[:1].isupper() and word[1:].islower():
+            (sure if before[-1].islower() or before[-1] in ",;" else maybe).add(i)
+        if word.isdigit():
+            words.append("N")
+        elif word in ("km", "kg") and i and tokens[i - 1].isdigit():
+            words.append("U")
+        else:
+            words.append(word.lower())
+    names = {words[i] for i in sure}
+    as_names = lambda places: tuple("NAME" if i in places else w for i, w in enumerate(words))
+    return {as_names(sure | {i for i in maybe if words[i] in names}), as_names(sure), tuple(words)}
+
+
+def brute_windows(text, sizes):
+    return {(form[i : i + s], i) for form in brute_forms(text) for s in sizes for i in range(len(form) - s + 1)}
+
+
+def test_leaks_brute_force(spark, documents):
+    """Windows and coverage of re-parameterised items, all items against all documents."""
+    draw = random.Random(9)
+    plain = "the of rope cut each long has buys sells to and with more many how parts left over".split()
+
+    def word():
+        pick = draw.random()
+        return draw.choice(["Tom", "Ana", "Bo"]) if pick < 0.15 else f"{draw.randint(1, 9)} {draw.choice(['km', 'kg', 'of'])}" if pick < 0.35 else draw.choice(plain) + draw.choice(["", "", "", ".", ","])
+
+    items = [(k, " ".join(word() for _ in range(draw.choice([4, 6, 8, 14, 25])))) for k in range(40)]
+    swap = {"Tom": "Sue", "Ana": "Tim", "Bo": "Al"}
+
+    def variant(text):
+        kind = draw.randrange(3)
+        if kind:
+            text = re.sub(r"\d", lambda m: str(int(m[0]) % 9 + 1), text)
+        if kind == 2:
+            text = re.sub("Tom|Ana|Bo", lambda m: swap[m[0]], text)
+        words = text.split()
+        for _ in range(draw.choice([0, 0, 1, 3])):
+            words[draw.randrange(len(words))] = "other"
+        return " ".join(words)
+
+    docs = [(i, " ".join([*(word() for _ in range(20)), variant(draw.choice(items)[1]), *(word() for _ in range(20))])) for i in range(80)]
+    want = {}
+    for k, item in items:
+        n = len(item.split())
+        if n < Le.LEAST_WORDS:
+            continue
+        size = min(n, Le.WINDOW)
+        own = {(w, at) for w, at in brute_windows(item, [size]) if sum(x not in ("NAME", "N", "U") for x in w) >= Le.LEAST_LITERALS}
+        for i, text in docs:
+            there = {w for w, _ in brute_windows(text, [size])}
+            found = {at for w, at in own if w in there}
+            if own and len(found) >= Le.LEAST_COVER * len({at for _, at in own}):
+                want[i, k] = (len({at for _, at in own}), len(found))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in Le.leaked_items(documents(docs), bench).collect()}
+    assert {p: (r.item_windows, r.found_windows) for p, r in got.items()} == {p: want[p] for p in got}
+    # what is found and not given has few literal words and slots that don't agree
+    literals = lambda text: len({w.strip(".,") for w in text.split() if w.strip(".,") in plain})
+    assert all(literals(dict(items)[k]) < Le.LEAST_WORDS + 3 for _, k in want.keys() - got.keys())
+    assert len(got) > 20 and sum(r.slots > 0 and r.changed > 0 for r in got.values()) > 5
+
+
+def test_windows_of_slots(spark, documents):
+    """Runs of numbers meet no item: one row is made for a window with words, none for the others."""
+    item = "the sum of 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 is the answer that we look for here"
+    rows = [(i, " ".join(map(str, range(i, i + 3000)))) for i in range(20)] + [(100, item.replace("1 2 3", "4 5 6"))]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    windows = Le.item_windows(bench)
+    assert windows.count() == 7 and [r.doc_id for r in Le.leaked_items(documents(rows), bench).collect()] == [100]
+    both = Le.without_leaks(documents([(None, item), (None, "clean"), (7, item), (7, "clean too")]), bench)
+    assert sorted(r.text for r in both.collect()) == ["clean", "clean too"]
+
+
 def test_licenses(spark, documents, prose):
     rows = [
         (1, None), (2, ""), (3, "CC-BY cc by; All Rights\nReserved. all rights reserved"), (4, "Released under the MIT License."),
