@@ -5,12 +5,13 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 WHITE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
@@ -48,6 +49,18 @@ def dropped(df: DataFrame) -> None:
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+ARROW_ROWS = 1000
+ARROW_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` with batches of ``ARROW_ROWS`` rows: a batch of Spark's default of 10,000 whole texts
+    stands several times in the memory of an executor. A session with another setting keeps it."""
+    if df.sparkSession.conf.get(ARROW_SETTING) == "10000":
+        df.sparkSession.conf.set(ARROW_SETTING, str(ARROW_ROWS))
+    return df.mapInArrow(function, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -66,7 +79,7 @@ _RANDOM = np.random.default_rng(20260101)
 _BYTE_VALUE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 
 @functools.lru_cache(maxsize=2)
@@ -111,7 +124,7 @@ class Words:
         """A 64-bit hash for each word, the same for the same bytes in any batch.
 
         A polynomial over the bytes from prefix sums modulo 2**64, made over
-        segments of about a megabyte so that memory stays bounded."""
+        segments so that memory stays bounded."""
         out = np.empty(len(self.start), dtype=np.uint64)
         at = 0
         while at < len(out):
@@ -126,7 +139,7 @@ class Words:
         return _mixed(out)
 
 
-def batches_of(texts: list[str | None], most: int = 2 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def batches_of(texts: list[str | None], most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of texts as UTF-8, of about ``most`` bytes each: the place of the first, and the texts. Null is empty."""
     run: list[bytes] = []
     size = first = 0

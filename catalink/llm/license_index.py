@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, batches_of, byte_table, sliced
+from .common import Words, batches_of, byte_table, in_arrow, sliced
 
 IS_WORD = byte_table(keep=string.ascii_lowercase + string.digits)
 
@@ -197,7 +197,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     The document frequencies that come to the driver are one number for each
     licence word: their count is that of the fixed vocabulary."""
     words = vocabulary()
-    counted = docs.select("text").mapInArrow(lambda it: document_frequencies(it, words), "word long, n long")
+    counted = in_arrow(docs.select("text"), lambda it: document_frequencies(it, words), "word long, n long")
     counts = {r.word: r.n for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
     idf = [math.log((counts.get(-1, 0) + 1) / (counts.get(i, 0) + 1)) + 1e-3 for i in range(len(words))]
-    return docs.select("doc_id", "text").mapInArrow(lambda it: scan_batches(it, words, idf), "doc_id long, " + SCANNED)
+    return in_arrow(docs.select("doc_id", "text"), lambda it: scan_batches(it, words, idf), "doc_id long, " + SCANNED)

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_BYTES, Words, _mixed, batches_of, byte_table, dropped, saved, sliced
+from .common import WHITE_BYTES, Words, _mixed, batches_of, byte_table, dropped, in_arrow, saved, sliced
 
 SHINGLE = 5
 MISSED_BAND = 1.3e-5
@@ -211,7 +211,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     texts = saved(docs.select(F.col("doc_id").alias("node"), "text").join(nodes, "node", "left_semi"), "near-dedup-texts")
     with_u = pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
     with_v = with_u.join(texts.select(F.col("node").alias("v"), F.col("text").alias("text_v")), "v")
-    counts = with_v.select("u", "v", "text_u", "text_v").mapInArrow(shared_counts, "u long, v long, both long, either long")
+    counts = in_arrow(with_v.select("u", "v", "text_u", "text_v"), shared_counts, "u long, v long, both long, either long")
     links = saved(counts.filter(F.col("both") * 100 >= F.col("either") * percent).select("u", "v"), "near-dedup-links")
     dropped(texts)
     dropped(pairs)
@@ -257,7 +257,7 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
     n_bands, rows = banding(percent)
-    signed = saved(docs.mapInArrow(lambda it: sign_batches(it, n_bands, rows), SIGNED), "near-dedup-signatures")
+    signed = saved(in_arrow(docs, lambda it: sign_batches(it, n_bands, rows), SIGNED), "near-dedup-signatures")
     sets = signed.filter("digest is not null and doc_id is not null")
     node_of = saved(sets.groupBy("digest").agg(F.min("doc_id").alias("node")), "near-dedup-nodes")
     nodes = sets.join(node_of.withColumnRenamed("digest", "d"), (F.col("doc_id") == F.col("node")) & (F.col("digest") == F.col("d")))
@@ -287,10 +287,9 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     rest = saved(placed.join(mixed, "key"), "near-dedup-rest")
     if not rest.isEmpty():
         rest_nodes = rest.select("node").distinct()
+        texts = docs.select(F.col("doc_id").alias("node"), "text").join(rest_nodes, "node", "left_semi")
         owned = (
-            docs.select(F.col("doc_id").alias("node"), "text")
-            .join(rest_nodes, "node", "left_semi")
-            .mapInArrow(shingle_rows, "node long, shingle long")
+            in_arrow(texts, shingle_rows, "node long, shingle long")
             .groupBy("shingle")
             .agg(F.min("node").alias("node"), F.max("node").alias("other"))
             .filter("node = other")

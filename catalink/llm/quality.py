@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sliced
+from .common import in_arrow, sliced
 from .toxicity import held_out, training_sample
 
 SAMPLE = 16_000
@@ -92,17 +92,17 @@ def key_of(gram: str | tuple) -> str:
 
 
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, y) to (gram, n, positive), summed within each batch. A run of shapes ends with a space, a word doesn't."""
+    """(text, y) to (gram, n, positive), summed within a task: the sample is bounded. A run of shapes ends with a space, a word doesn't."""
     shapes = Shapes()
+    counts: dict = {}
     for batch in batches:
-        counts: dict = {}
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             for g in ngrams(text, shapes):
                 c = counts.setdefault(g, [0, 0])
                 c[0] += 1
                 c[1] += y
-        columns = [pa.array([key_of(g) for g in counts], pa.string()), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))]
-        yield pa.RecordBatch.from_arrays(columns, ["gram", "n", "positive"])
+    columns = [pa.array([key_of(g) for g in counts], pa.string()), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))]
+    yield pa.RecordBatch.from_arrays(columns, ["gram", "n", "positive"])
 
 
 def lookup(names: list[str]) -> dict:
@@ -185,13 +185,13 @@ def quality_model(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> tup
     size = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("positive")).first()
     if not size.n or size.positive in (0, size.n):
         return {}, 0.0 if not size.n else 30.0 if size.positive else -30.0
-    counts = sample.mapInArrow(count_batches, "gram string, n long, positive long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive"))
+    counts = in_arrow(sample, count_batches, "gram string, n long, positive long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive"))
     expected = F.col("n") * (size.positive / size.n)
     surprise = F.abs(F.col("positive") - expected) / F.sqrt(F.col("n") + 1)
     best = counts.filter(F.col("n") >= LEAST_DOCS).orderBy(surprise.desc(), "gram").limit(FEATURES)
     names = [r.gram for r in best.select("gram").collect()]
     number = lookup(names)
-    collected = sample.mapInArrow(lambda it: vector_batches(it, number), "y int, features array<int>").collect()
+    collected = in_arrow(sample, lambda it: vector_batches(it, number), "y int, features array<int>").collect()
     rows = [np.array(r.features, dtype=np.int64) for r in collected]
     y = np.array([1.0 if r.y else -1.0 for r in collected])
     ratios = log_count_ratios(rows, y, len(names))
@@ -206,5 +206,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, least
     """doc_id, held_out, score and predicted for every row of ``docs`` (doc_id, text); ``labels``: doc_id, quality."""
     weights, intercept = quality_model(docs, labels, most)
     any_words = any(isinstance(g, str) for g in weights)
-    scored = docs.select("doc_id", "text").mapInArrow(lambda it: score_batches(it, weights, intercept, any_words), "doc_id long, score double")
+    scored = in_arrow(docs.select("doc_id", "text"), lambda it: score_batches(it, weights, intercept, any_words), "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))

@@ -58,7 +58,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, sliced
+from .common import in_arrow, saved, sliced
 from .url_rules import url_host
 
 LEAST_PAGES = 8
@@ -320,7 +320,7 @@ def low_importance_nodes(pages: DataFrame) -> DataFrame:
 
     The entropy of n pages with counts c of their values is ln n - sum(c ln c) / n. Pages with distinct
     main texts are counted, so that copies of an article don't make it look like boilerplate. All steps combine before they shuffle."""
-    rows = pages.mapInArrow(style_batches, "host string, page long, node long, kind string, value long").distinct()
+    rows = in_arrow(pages, style_batches, "host string, page long, node long, kind string, value long").distinct()
     values = rows.groupBy("host", "node", "kind", "value").agg(F.count(F.lit(1)).alias("c"))
     # a block is a row of its own; nothing on fewer pages than LEAST_PAGES can be removed
     block = F.when(F.col("kind") == "b", F.col("value")).alias("block")
@@ -356,5 +356,5 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))
     repeated = removed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     joined = salted.join(repeated, ["host", "salt"], "left").select("page_id", "url", "html", "nodes")
-    texts = joined.mapInArrow(text_batches, "page_id long, url string, text string")
+    texts = in_arrow(joined, text_batches, "page_id long, url string, text string")
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from .common import saved, sliced, work_path
+from .common import in_arrow, saved, sliced, work_path
 
 HEAD = struct.Struct("<QI")
 PAYLOAD = struct.Struct("<Bq")
@@ -56,7 +56,7 @@ KNOWN_UNITS = 150_000
 """Units of a generation: a worker keeps the ids of at most two generations of units and encodes others again."""
 LONGEST_KNOWN = 40
 """Longer units aren't kept, so that texts without spaces don't fill a worker's memory."""
-BATCH_CHARS = 1 << 22
+BATCH_CHARS = 1 << 21
 """Text that is encoded at a time; its units are encoded once."""
 
 # classes of bytes; an odd byte makes its whole word one unit
@@ -290,15 +290,10 @@ def write_records(
                 yield pa.RecordBatch.from_arrays([pa.array([frame(i, body + end) for i, body in rows], pa.binary())], ["frame"])
 
     keys = {f"key_{i}": c for i, c in enumerate([*order, F.col("doc_id"), F.xxhash64("text"), F.spark_partition_id()])}
-    (
-        docs.select("doc_id", "text", *[c.alias(k) for k, c in keys.items()])
-        .repartitionByRange(int(shards), *keys)
-        .sortWithinPartitions(*keys)
-        .select("doc_id", "text")
-        .mapInArrow(encoded, "frame binary")
-        .select(F.col("frame").cast("string").alias("value"))
-        .write.option("lineSep", "\n").text(path)
-    )
+    rows = docs.select("doc_id", "text", *[c.alias(k) for k, c in keys.items()])
+    rows = rows.repartitionByRange(int(shards), *keys).sortWithinPartitions(*keys).select("doc_id", "text")
+    framed = in_arrow(rows, encoded, "frame binary")
+    framed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
 
 
 SHARD_GROUP = 4096
@@ -320,7 +315,7 @@ def read_index(spark: SparkSession, path: str, vocabulary: int, end_id: int) ->
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     files = spark.read.format("binaryFile").load(path)
-    return files.filter("length > 0").select("path", "content").mapInArrow(parsed, INDEX)
+    return in_arrow(files.filter("length > 0").select("path", "content"), parsed, INDEX)
 
 
 def with_starts(index: DataFrame) -> DataFrame:

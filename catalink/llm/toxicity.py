@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, sliced
+from .common import in_arrow, saved, sliced
 
 SAMPLE = 16_000
 FEATURES = 3_000
@@ -87,16 +87,16 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
 
 
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, y) to (feature, n, positive), summed within each batch."""
+    """(text, y) to (feature, n, positive), summed within a task: the sample is bounded."""
+    counts: dict[str, list[int]] = {}
     for batch in batches:
-        counts: dict[str, list[int]] = {}
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             for f in text_features(words_of(text)):
                 c = counts.setdefault(f, [0, 0])
                 c[0] += 1
                 c[1] += y
-        n, pos = [c[0] for c in counts.values()], [c[1] for c in counts.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(n, pa.int64()), pa.array(pos, pa.int64())], ["feature", "n", "positive"])
+    n, pos = [c[0] for c in counts.values()], [c[1] for c in counts.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(n, pa.int64()), pa.array(pos, pa.int64())], ["feature", "n", "positive"])
 
 
 def swapped(words: list[str], at: int) -> list[tuple[set[str], set[str]]]:
@@ -200,7 +200,7 @@ def score_batches(batches: Iterator[pa.RecordBatch], weights: dict[str, float],
 def toxicity_model(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, penalty: float = LAMBDA) -> tuple[dict[str, float], float]:
     """Weight of each feature, and the intercept."""
     sample = training_sample(docs, labels, "toxic", most)
-    counts = sample.mapInArrow(count_batches, "feature string, n long, positive long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive"))
+    counts = in_arrow(sample, count_batches, "feature string, n long, positive long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive"))
     size = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("positive")).first()
     if not size.positive or size.positive == size.n:
         return {}, -40.0
@@ -210,7 +210,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, penal
     names = [r.feature for r in best.select("feature").collect()]
     names += [t for t in sorted(PARTNER) if t not in set(names)]
     number = {f: i for i, f in enumerate(names)}
-    rows = sample.mapInArrow(lambda it: vector_batches(it, number), "y int, features array<int>, changed array<array<int>>").collect()
+    rows = in_arrow(sample, lambda it: vector_batches(it, number), "y int, features array<int>, changed array<array<int>>").collect()
     w, b = fit([(r.y, r.features, r.changed) for r in rows], len(names), penalty)
     return {f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-6}, b
 
@@ -218,7 +218,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, penal
 def toxicity_scores(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, penalty: float = LAMBDA) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of ``docs`` (doc_id, text); ``labels``: doc_id, toxic."""
     weights, intercept = toxicity_model(docs, labels, most, penalty)
-    scored = docs.select("doc_id", "text").mapInArrow(lambda it: score_batches(it, weights, intercept), "doc_id long, score double")
+    scored = in_arrow(docs.select("doc_id", "text"), lambda it: score_batches(it, weights, intercept), "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -231,4 +231,4 @@ def without_toxic(docs: DataFrame, weights: dict[str, float], intercept: float,
         for batch in sliced(batches):
             yield batch.filter(pa.array(scorer.scores(batch.column(number).to_pylist()) < least))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return in_arrow(docs, clean, docs.schema)
