@@ -42,6 +42,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -263,9 +264,15 @@ def encoder(tokenizer_json: str, width: str, special_as_text: bool) -> Encoder:
 
 
 def file_order(docs: DataFrame) -> list[Column]:
-    """What orders the rows of a frame that is read from Parquet files as the writer of these had them: the part and the place in it."""
+    """What orders the rows of a frame that is read from Parquet files as the writer of these had them: the part and
+    the place in it. Nothing for other frames."""
     name = F.col("_metadata.file_name")
-    return [F.length(F.regexp_extract(name, r"^part-\d+", 0)), name, F.col("_metadata.row_index")]
+    order = [F.length(F.regexp_extract(name, r"^part-\d+", 0)), name, F.col("_metadata.row_index")]
+    try:
+        docs.select(*order)
+    except AnalysisException:
+        return []
+    return order
 
 
 def write_records(
