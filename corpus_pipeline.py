@@ -2,9 +2,14 @@
 
 Toxic documents go, one document of each group of near duplicates stays,
 documents that leak benchmark items go, sources are mixed to temperature
-weights, and the mixed documents are written as token records. All stages but
+weights, and the mixed documents are written as token records, in the order of the mixture. All stages but
 the last return the columns of ``documents``; every stage reads the Parquet
 that the one before wrote.
+
+Defined cases, in every stage: a null or empty text is clean, is no near duplicate, leaks nothing, counts one token in the mixture and
+gives the end id alone. A row with a null doc_id is never a near duplicate. Of rows with one doc_id all stay or none as near duplicates;
+toxicity and leaks are judged by the text of each row. Equal rows meet one fate, and the mixture repeats each of them. A null source is
+a source of its own. An empty table stays empty. Further columns of the table are not read.
 """
 
 from __future__ import annotations
@@ -37,16 +42,17 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mixture takes them: once or more each, in the order of the mixture inside a file."""
+    """The documents as often as the mixture takes them, once or more each, in the order of the mixture over all files."""
     mixed = temperature_mix.mixed(docs, repetition_limit=REPETITION_LIMIT)
-    return mixed.sortWithinPartitions("mix_order").select(*docs.columns)
+    return mixed.orderBy(*temperature_mix.ORDER).select(*docs.columns)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The index of the written token records."""
+    """The index of the written token records, which follow the order of the files of ``docs``."""
     import public_tokenizers
 
-    return token_records.token_records(docs, str(public_tokenizers.path("byte_bpe_50k.json")), special_as_text=False)
+    order = token_records.file_order(docs)
+    return token_records.token_records(docs, str(public_tokenizers.path("byte_bpe_50k.json")), special_as_text=False, order=order)
 
 
 STAGES = [
@@ -57,7 +63,7 @@ STAGES = [
     ("token_records", write_tokens),
 ]
 
-#: SQL can't express the trained classifier or the token records; the stages are tested against brute force.
+#: SQL can't express the trained classifier or the token records; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
