@@ -30,7 +30,7 @@ def _compose(titles: pd.Series) -> pd.Series:
 
 
 def nfc(title: Column) -> Column:
-    """Unicode normal form C. Spark has no built-in; only titles that may change are sent to Python."""
+    """Unicode normal form C. Spark has no built-in; a title that can't change goes to Python as null, which costs little."""
     return F.coalesce(_compose(F.when(~title.rlike(_STABLE), title)), title)
 
 
@@ -70,6 +70,7 @@ def _pattern(pattern: str, new: str) -> Callable[[Column], Column]:
     return lambda title: F.regexp_replace(title, pattern, new)
 
 
+# The patterns, their replacements and the names of the rules, here and in the functions above and below.
 #: Rewrite rules in the order in which they apply: (name, function). The order matters.
 RULES: tuple[tuple[str, Callable[[Column], Column]], ...] = (
     ("מירכאות_קדוש", _pattern(r"""(["'])(קדוש(?:ה|ים)?)\1""", "$2")),
@@ -127,3 +128,9 @@ def lock_level(allevel: Column) -> Column:
     """open, create_locked, read_locked or unknown; a missing level is ``none``."""
     level = F.coalesce(allevel, F.lit("none"))
     return F.when(level == "none", "open").when(level == "create", "create_locked").when(level == "read", "read_locked").otherwise("unknown")
+
+
+def iso_text(time: Column) -> Column:
+    """A time as ISO text in UTC, with microseconds if there are any; the session's time zone has to be UTC."""
+    fraction = F.when(F.date_format(time, "SSSSSS") != "000000", F.date_format(time, ".SSSSSS")).otherwise("")
+    return F.concat(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("+00:00"))

@@ -12,8 +12,15 @@ def scanned(table: DataFrame, after: int = 0) -> DataFrame:
 
 
 def first_page(table: DataFrame, after: int, size: int) -> DataFrame:
-    """One page of a keyset scan: the ``size`` smallest ids above ``after``."""
-    return scanned(table, after).orderBy("id").limit(size)
+    """One page of a keyset scan: the ``size`` smallest ids above ``after``, then titles."""
+    return scanned(table, after).orderBy("id", "title").limit(size)
+
+
+def last_of(rows: DataFrame, key: str, *columns: str) -> DataFrame:
+    """One row for each value of ``key``: the last by ``pos``; without such a column, the one with the largest values."""
+    values = F.struct(*columns)
+    last = F.max_by(values, F.struct("pos", values)) if "pos" in rows.columns else F.max(values)
+    return rows.groupBy(key).agg(last.alias("_last")).select(key, "_last.*")
 
 
 def batch_dedupe(log: DataFrame) -> DataFrame:
@@ -22,7 +29,7 @@ def batch_dedupe(log: DataFrame) -> DataFrame:
 
 
 def upsert_fold(log: DataFrame) -> DataFrame:
-    """The table after upserting the log (pos, id, title) in order, where a new row evicts rows with its id or title.
+    """The table after upserting the log (pos, id, title, and checked_at if it has that) in order, where a new row evicts rows with its id or title.
 
     A row survives iff no later row shares its id or its title. Both tests look at the raw log: two successive
     deduplications would let an evicted row evict others. Two aggregations combine before they shuffle, so an id
@@ -31,7 +38,14 @@ def upsert_fold(log: DataFrame) -> DataFrame:
     last_of_title = log.groupBy("title").agg(F.max("pos").alias("last"))
     by_id = log.join(last_of_id.withColumnRenamed("last", "pos"), ["id", "pos"], "left_semi")
     kept = by_id.join(last_of_title.withColumnRenamed("last", "pos"), ["title", "pos"], "left_semi")
-    return kept.select("pos", "id", "title")
+    return kept.select("pos", "id", "title", *[c for c in ("checked_at",) if c in log.columns])
+
+
+def reloaded(stored: DataFrame, arriving: DataFrame, fresh: bool) -> DataFrame:
+    """The table after a load: a fresh run empties it first, a resumed one goes on from the rows that are stored.
+
+    Stored rows have smaller places (pos) than arriving ones."""
+    return upsert_fold(arriving if fresh else stored.unionByName(arriving))
 
 
 def stale_collisions(table: DataFrame, arriving: DataFrame) -> DataFrame:

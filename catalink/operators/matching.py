@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions.text import hygiene, template_value, with_rewritten
-from .ingest import scanned
+from .ingest import last_of, scanned
+from .work import saved
 
 MATCH_COLUMNS = ("upstream_id", "match_type", "maybe_deleted_upstream", "normalization_match", "normalization_method", "title_normalized")
 
@@ -36,9 +37,11 @@ def match_type_of(status: Column) -> Column:
 
 
 def with_candidates(local: DataFrame, content: DataFrame) -> DataFrame:
-    """Local rows with the keys of the three lookups: key_0 (hygiene), key_1 (rules, if one applied), key_2 (template)."""
+    """Local rows with the keys of the three lookups: key_0 (hygiene), key_1 (rules, if one applied), key_2 (template).
+
+    Of several contents of one title the last one counts."""
     rows = with_rewritten(scanned(local), "title", "rewritten", "applied")
-    pages = content.select(F.col("title").alias("_title"), "content", "denied")
+    pages = last_of(content, "title", "content", "denied").withColumnRenamed("title", "_title")
     rows = rows.join(pages, rows["title"] == F.col("_title"), "left").drop("_title")
     rows = rows.withColumn("denied", F.coalesce("denied", F.lit(False))).withColumn("value", F.when(~F.col("denied"), template_value(F.col("content"))))
     return rows.withColumns(
@@ -62,7 +65,9 @@ def cascade(local: DataFrame, upstream: DataFrame, manual: DataFrame, content: D
 
     Rows in the stages empty, manual_unresolved and denied keep their values; so do, column by column, those that a
     stage doesn't set. ``manual``: local_page_id, upstream_page_id. ``content``: title, content, denied."""
-    rows = with_candidates(local, content)
+    # both sides are read twice: as rows, and for their keys
+    rows = saved(with_candidates(local, content), "candidates")
+    upstream = saved(upstream.select("id", "title"), "upstream")
     hits = key_hits(rows, upstream_keys(upstream)).select(F.col("id").alias("_hit_id"), "hit")
     curated = manual.select(F.col("local_page_id").alias("_local"), F.col("upstream_page_id").alias("manual_id"))
     existing = scanned(upstream).select(F.col("id").alias("existing_id"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions.text import month_of
 
-#: Roles of the categories, first match wins: (role, status, source type).
+#: Fixed values. Roles of the categories, first match wins: (role, status, source type).
 PRECEDENCE = (
     ("created", L.STATUS_CREATED, "created"),
     ("translated", L.STATUS_CREATED, "translated"),

@@ -29,6 +29,6 @@ def tasks(local: DataFrame) -> DataFrame:
 
 
 def missing_locally(upstream: DataFrame, local: DataFrame, blocked: DataFrame) -> DataFrame:
-    """Upstream pages that no local page refers to and whose exact title isn't blocked."""
+    """Upstream pages (id, title, and checked_at if it is there) that no local page refers to and whose exact title isn't blocked."""
     referred = local.filter("upstream_id is not null").select(F.col("upstream_id").alias("id"))
-    return upstream.join(referred, "id", "left_anti").join(blocked.select("title"), "title", "left_anti").select("id", "title").orderBy("title")
+    return upstream.join(referred, "id", "left_anti").join(blocked.select("title"), "title", "left_anti").select(*[c for c in ("id", "title", "checked_at") if c in upstream.columns]).orderBy("title")

@@ -63,8 +63,8 @@ def template_value(x: str) -> str:
     return f"nullif({_collapse(f"replace(regexp_replace({bare}, '^\\[\\[(.+)\\]\\]$', '\\1'), '_', ' ')")}, '')"
 
 
-def _fold(log: str) -> str:
-    return f"SELECT pos, id, title FROM {log} QUALIFY pos = max(pos) OVER (PARTITION BY id) AND pos = max(pos) OVER (PARTITION BY title)"
+def _fold(log: str, columns: str = "pos, id, title") -> str:
+    return f"SELECT {columns} FROM {log} QUALIFY pos = max(pos) OVER (PARTITION BY id) AND pos = max(pos) OVER (PARTITION BY title)"
 
 
 _ROLE = {r: s for r, s in (("created", L.STATUS_CREATED), ("translated", L.STATUS_CREATED), ("disambiguation", L.STATUS_CREATED), ("external_1", L.STATUS_EXTERNAL_1), ("external_2", L.STATUS_EXTERNAL_2), ("kept", L.STATUS_KEPT), ("split", L.STATUS_SPLIT))}
@@ -88,7 +88,7 @@ _APPLIED = "concat_ws('+', " + ", ".join(f"CASE WHEN t{i + 1} <> t{i} THEN '{nam
 #: Relations that build on the derived ones, in order of dependence.
 CTES: dict[str, str] = {
     **RELATIONS,
-    "upstream": _fold("upstream_log"),
+    "upstream": _fold("upstream_log", "pos, id, title, checked_at"),
     "local_folded": _fold("local_log"),
     "pages_of": "SELECT DISTINCT category, title FROM category_members WHERE member_type = 'page' AND namespace = 0",
     "member_flags": "SELECT title, " + ", ".join(f"max(category = '{r}') AS {r}" for r in (*_ROLE, "missing_sort", "attention", "dictionary")) + " FROM pages_of GROUP BY title",
@@ -117,7 +117,7 @@ CTES: dict[str, str] = {
       CASE stage WHEN 'manual' THEN '{L.METHOD_MANUAL}' WHEN 'hygiene' THEN '{L.METHOD_HYGIENE}' WHEN 'semantic' THEN applied WHEN 'template' THEN '{L.METHOD_TEMPLATE}' WHEN 'unmatched' THEN NULL ELSE normalization_method END AS normalization_method,
       CASE stage WHEN 'hygiene' THEN t0 WHEN 'semantic' THEN rewritten WHEN 'template' THEN value WHEN 'manual' THEN NULL WHEN 'unmatched' THEN NULL ELSE title_normalized END AS title_normalized,
       needs_attention, is_dictionary_entry, source_type, stage FROM staged""",
-    "missing": "SELECT id, title FROM upstream WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.upstream_id = upstream.id) AND NOT EXISTS (SELECT 1 FROM blocked_titles b WHERE b.title = upstream.title)",
+    "missing": "SELECT id, title, checked_at FROM upstream WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.upstream_id = upstream.id) AND NOT EXISTS (SELECT 1 FROM blocked_titles b WHERE b.title = upstream.title)",
     "routes": "SELECT m.id AS upstream_id, m.title, CASE WHEN i.title IS NULL THEN 'not_returned' WHEN coalesce(i.allevel, 'none') = 'none' THEN 'open' WHEN i.allevel = 'create' THEN 'create_locked' WHEN i.allevel = 'read' THEN 'read_locked' ELSE 'unknown' END AS route, i.page_id FROM missing m LEFT JOIN page_info i ON i.title = m.title WHERE m.id > 0",
     "new_blocked": f"SELECT title, upstream_id, '{L.REASON_CREATE_LOCK}' AS reason FROM routes WHERE route = 'create_locked'",
     "new_manual": f"SELECT page_id AS local_page_id, upstream_id AS upstream_page_id, '{L.REASON_READ_LOCK}' AS reason FROM routes WHERE route = 'read_locked'",
@@ -144,13 +144,16 @@ _SHOWN = "NOT needs_attention AND NOT is_dictionary_entry"
 
 SELECTS: dict[str, str] = {
     "scan_keyset_topk": "SELECT id, title FROM upstream_log WHERE id > 100 ORDER BY id, title LIMIT 500",
-    "upsert_fold_upstream": "SELECT pos, id, title FROM upstream",
+    "upsert_fold_upstream": "SELECT pos, id, title, checked_at FROM upstream",
+    "reload_fresh": _fold("upstream_log"),
+    "reload_resumed": _fold("(SELECT pos, id, title FROM stored_log UNION ALL SELECT pos, id, title FROM upstream_log)"),
+    "checked_text": "SELECT id, strftime(checked_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS checked FROM upstream",
     "batch_dedupe_last_wins": "SELECT batch, title, arg_max(id, pos) AS id FROM upstream_log GROUP BY batch, title",
-    "stale_collisions": "SELECT u.id, u.title, l.id AS new_id FROM upstream u JOIN (SELECT DISTINCT id, title FROM upstream_log WHERE pos % 2 = 0) l ON u.title = l.title AND u.id <> l.id",
-    "fk_release": "SELECT id, title, CASE WHEN upstream_id NOT IN (SELECT id FROM upstream WHERE id % 5 = 0) THEN upstream_id END AS upstream_id, match_type FROM local_pages",
-    "upsert_preserving_match_cols": "SELECT c.id, c.title, c.status, e.upstream_id, coalesce(e.match_type, 'ללא התאמה') AS match_type FROM classified c LEFT JOIN (SELECT * FROM earlier_matches WHERE id % 2 = 0) e USING (id) UNION ALL SELECT e.id, 'gone' AS title, 'מיובא ללא תיעוד' AS status, e.upstream_id, e.match_type FROM earlier_matches e WHERE id % 2 = 0 AND id NOT IN (SELECT id FROM classified)",
+    "stale_collisions": "SELECT u.id, u.title, l.id AS new_id FROM upstream u JOIN later_log l ON u.title = l.title AND u.id <> l.id",
+    "fk_release": "SELECT id, title, CASE WHEN upstream_id NOT IN (SELECT id FROM stale_ids) THEN upstream_id END AS upstream_id, match_type FROM local_pages",
+    "upsert_preserving_match_cols": "SELECT c.id, c.title, c.status, e.upstream_id, coalesce(e.match_type, 'ללא התאמה') AS match_type FROM classified c LEFT JOIN earlier_matches e USING (id) UNION ALL SELECT e.id, 'gone' AS title, 'מיובא ללא תיעוד' AS status, e.upstream_id, e.match_type FROM earlier_matches e WHERE id NOT IN (SELECT id FROM classified)",
     "integrity_orphans": "SELECT upstream_id, id FROM local_pages WHERE upstream_id IS NOT NULL AND upstream_id NOT IN (SELECT id FROM upstream)",
-    "integrity_domains": f"SELECT id, status, match_type FROM matched WHERE status NOT IN {_in(L.STATUSES)} OR match_type NOT IN {_in(L.MATCH_TYPES)}",
+    "integrity_domains": f"SELECT id, status, match_type FROM edited_rows WHERE status NOT IN {_in(L.STATUSES)} OR match_type NOT IN {_in(L.MATCH_TYPES)}",
     "integrity_duplicates": "SELECT title AS value, count(*) AS n FROM upstream_log GROUP BY title HAVING count(*) > 1",
     "category_sets": "SELECT category, count(DISTINCT title) AS n FROM pages_of GROUP BY category",
     "category_union": f"SELECT DISTINCT title FROM pages_of WHERE category IN {_in(tuple(_ROLE))}",
@@ -162,6 +165,8 @@ SELECTS: dict[str, str] = {
     "normalize_titles": "SELECT id, rewritten, applied FROM rewritten",
     "template_extract": f"SELECT title, {template_value('content')} AS value FROM page_content",
     "duration_format": "SELECT o_orderkey, CASE WHEN o_orderkey * 7 >= 3600 THEN printf('%02d:%02d:%02d', (o_orderkey * 7) // 3600, (o_orderkey * 7) % 3600 // 60, (o_orderkey * 7) % 60) ELSE printf('%02d:%02d', (o_orderkey * 7) // 60, (o_orderkey * 7) % 60) END AS text FROM orders",
+    "json_listing": "SELECT pos AS batch, place, CAST(json_extract_string(body, '$.query.allpages[' || place || '].pageid') AS BIGINT) AS id, json_extract_string(body, '$.query.allpages[' || place || '].title') AS title FROM listing_answers, (VALUES (0), (1)) AS p(place) WHERE json_extract(body, '$.query.allpages[' || place || ']') IS NOT NULL",
+    "json_category": "SELECT category, pos * 500 + place AS ordinal, json_extract_string(body, '$.query.categorymembers[' || place || '].title') AS title, CAST(json_extract_string(body, '$.query.categorymembers[' || place || '].pageid') AS BIGINT) AS page_id FROM category_answers, (VALUES (0), (1)) AS p(place) WHERE json_extract(body, '$.query.categorymembers[' || place || ']') IS NOT NULL",
     "json_content": "SELECT title, CASE WHEN pos % 10 IN (3, 4) THEN NULL ELSE json_extract_string(body, '$.query.pages[0].revisions[0].slots.main.content') END AS content, pos % 10 = 3 AS denied FROM content_answers",
     "json_lock": "SELECT json_extract_string(p, '$.title') AS title, coalesce(json_extract_string(p, '$.allevel'), 'none') AS allevel, coalesce(CAST(json_extract_string(p, '$.missing') AS BOOLEAN), false) AS missing, CAST(json_extract_string(p, '$.pageid') AS BIGINT) AS page_id FROM (SELECT unnest(CAST(json_extract(body, '$.query.pages') AS JSON[])) AS p FROM lock_answers)",
     "upstream_key_map": "SELECT key, uid AS upstream_id FROM upstream_keys",
@@ -177,11 +182,11 @@ SELECTS: dict[str, str] = {
     "report_possibly_deleted": f"SELECT id, title, status, source_type, match_type FROM matched WHERE maybe_deleted_upstream AND {_SHOWN}",
     "report_undocumented": f"SELECT id, title, source_type, upstream_id, match_type FROM matched WHERE status = '{L.STATUS_UNDOCUMENTED}' AND {_SHOWN}",
     "report_tasks": f"SELECT id, title, status, source_type, upstream_id, match_type, CASE WHEN maybe_deleted_upstream THEN '{L.TASK_DELETED}' ELSE '{L.TASK_STATUS}' END AS task_type FROM matched WHERE {_SHOWN} AND (maybe_deleted_upstream OR status = '{L.STATUS_UNDOCUMENTED}')",
-    "report_missing": "SELECT id, title FROM missing",
+    "report_missing": "SELECT id, title, checked_at FROM missing",
     "lock_route": "SELECT upstream_id, title, route, page_id FROM routes",
     "lock_route_counts": "SELECT route, count(*) AS n FROM routes GROUP BY route",
-    "lock_to_blocked": "SELECT title, upstream_id, reason, (SELECT max(added_at) FROM blocked_titles b WHERE b.title = n.title) AS added_at FROM new_blocked n UNION ALL SELECT title, upstream_id, reason, added_at FROM blocked_titles WHERE title NOT IN (SELECT title FROM new_blocked)",
-    "lock_to_manual": "SELECT local_page_id, upstream_page_id, reason, (SELECT max(added_at) FROM curated_manual c WHERE c.local_page_id = n.local_page_id) AS added_at FROM new_manual n UNION ALL SELECT local_page_id, upstream_page_id, reason, added_at FROM curated_manual WHERE local_page_id NOT IN (SELECT local_page_id FROM new_manual)",
+    "lock_to_blocked": "SELECT title, upstream_id, reason, coalesce((SELECT max(added_at) FROM blocked_titles b WHERE b.title = n.title), TIMESTAMP '2024-06-01 12:00:00') AS added_at FROM new_blocked n UNION ALL SELECT title, upstream_id, reason, added_at FROM blocked_titles WHERE title NOT IN (SELECT title FROM new_blocked)",
+    "lock_to_manual": "SELECT local_page_id, upstream_page_id, reason, coalesce((SELECT max(added_at) FROM curated_manual c WHERE c.local_page_id = n.local_page_id), TIMESTAMP '2024-06-01 12:00:00') AS added_at FROM new_manual n UNION ALL SELECT local_page_id, upstream_page_id, reason, added_at FROM curated_manual WHERE local_page_id NOT IN (SELECT local_page_id FROM new_manual)",
     "run_summary": "SELECT (SELECT count(*) FROM upstream) AS upstream_rows, (SELECT count(*) FROM local_pages) AS local_rows, (SELECT count(*) FROM months) AS dated_titles, (SELECT count(*) FROM page_info WHERE coalesce(allevel, 'none') <> 'none') AS locked, (SELECT count(*) FROM matched WHERE maybe_deleted_upstream) AS maybe_deleted",
 }
 

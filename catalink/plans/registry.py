@@ -14,6 +14,9 @@ from ..sources import json_answers
 from ..sources.workload import relation
 from .oracle import ORACLE
 
+#: The time of a run is a parameter; this one is that of the registered queries.
+RUN_AT = "2024-06-01 12:00:00"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -58,41 +61,44 @@ def _rule(i: int) -> Callable[[Catalogs], DataFrame]:
 
 
 def _stale(c: Catalogs) -> DataFrame:
-    return ingest.stale_collisions(c.upstream(), c["upstream_log"].filter("pos % 2 = 0").select("id", "title").distinct())
+    return ingest.stale_collisions(c.upstream(), c["later_log"])
 
 
 def _upsert(c: Catalogs) -> DataFrame:
-    old = c["earlier_matches"].filter("id % 2 = 0").select("id", F.lit("gone").alias("title"), F.lit(L.STATUS_UNDOCUMENTED).alias("status"), "upstream_id", "match_type")
+    old = c["earlier_matches"].select("id", F.lit("gone").alias("title"), F.lit(L.STATUS_UNDOCUMENTED).alias("status"), "upstream_id", "match_type")
     arriving = c.classified().select("id", "title", "status")
     return ingest.upserted(old, arriving, "id", {"upstream_id": None, "match_type": L.MATCH_NONE})
 
 
 def _domains(c: Catalogs) -> DataFrame:
-    rows = c.matched().select("id", "status", "match_type")
+    rows = c["edited_rows"]
     return ingest.outside_domain(rows, "status", L.STATUSES).union(ingest.outside_domain(rows, "match_type", L.MATCH_TYPES)).distinct()
 
 
 def _summary(c: Catalogs) -> DataFrame:
-    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    parts = [
-        one(c.upstream(), "upstream_rows"),
-        one(c.local(), "local_rows"),
-        one(provenance.month_map(c["dated_subcategories"]), "dated_titles"),
-        one(c["page_info"].filter("coalesce(allevel, 'none') <> 'none'"), "locked"),
-        one(c.matched().filter("maybe_deleted_upstream"), "maybe_deleted"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:  # single rows side by side
-        out = out.crossJoin(part)
-    return out
+    """One pass over each catalog; the counts become one row."""
+    local = c.matched().agg(F.count(F.lit(1)).alias("scanned"), F.count_if("maybe_deleted_upstream").alias("maybe_deleted"))
+    counts = {
+        "upstream_rows": c.upstream().agg(F.count(F.lit(1)).alias("n")),
+        "dated_titles": provenance.month_map(c["dated_subcategories"]).agg(F.count(F.lit(1)).alias("n")),
+        "locked": c["page_info"].agg(F.count_if(F.coalesce("allevel", F.lit("none")) != "none").alias("n")),
+    }
+    rows = local.select(F.explode(F.create_map(F.lit("local_rows"), "scanned", F.lit("maybe_deleted"), "maybe_deleted")).alias("name", "n"))
+    for name, count in counts.items():
+        rows = rows.unionByName(count.select(F.lit(name).alias("name"), "n"))
+    names = ("upstream_rows", "local_rows", "dated_titles", "locked", "maybe_deleted")
+    return rows.agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names])
 
 
 _QUERIES: dict[str, Callable[[Catalogs], DataFrame]] = {
-    "scan_keyset_topk": lambda c: ingest.scanned(c["upstream_log"], 100).orderBy("id", "title").limit(500).select("id", "title"),
+    "scan_keyset_topk": lambda c: ingest.first_page(c["upstream_log"], 100, 500).select("id", "title"),
     "upsert_fold_upstream": lambda c: c.upstream(),
     "batch_dedupe_last_wins": lambda c: ingest.batch_dedupe(c["upstream_log"]),
     "stale_collisions": _stale,
-    "fk_release": lambda c: ingest.release_references(c.local(), c.upstream().filter("id % 5 = 0")).select("id", "title", "upstream_id", "match_type"),
+    "reload_fresh": lambda c: ingest.reloaded(c["stored_log"], c["upstream_log"].drop("batch", "checked_at"), fresh=True),
+    "reload_resumed": lambda c: ingest.reloaded(c["stored_log"], c["upstream_log"].drop("batch", "checked_at"), fresh=False),
+    "checked_text": lambda c: c.upstream().select("id", T.iso_text(F.col("checked_at")).alias("checked")),
+    "fk_release": lambda c: ingest.release_references(c.local(), c["stale_ids"]).select("id", "title", "upstream_id", "match_type"),
     "upsert_preserving_match_cols": _upsert,
     "integrity_orphans": lambda c: ingest.orphans(c.local(), c.upstream()),
     "integrity_domains": _domains,
@@ -107,6 +113,8 @@ _QUERIES: dict[str, Callable[[Catalogs], DataFrame]] = {
     "normalize_titles": lambda c: T.with_rewritten(c.local(), "title", "rewritten", "applied").select("id", "rewritten", "applied"),
     "template_extract": lambda c: c["page_content"].select("title", T.template_value(F.col("content")).alias("value")),
     "duration_format": lambda c: c.spark.read.parquet(f"{c.sf_dir}/orders.parquet").select("o_orderkey", T.duration(F.col("o_orderkey") * 7).alias("text")),
+    "json_listing": lambda c: json_answers.listing_rows(c["listing_answers"]),
+    "json_category": lambda c: json_answers.category_rows(c["category_answers"]),
     "json_content": lambda c: json_answers.content_rows(c["content_answers"]),
     "json_lock": lambda c: json_answers.lock_rows(c["lock_answers"]),
     "upstream_key_map": lambda c: matching.upstream_keys(c.upstream()),
@@ -125,8 +133,8 @@ _QUERIES: dict[str, Callable[[Catalogs], DataFrame]] = {
     "report_missing": lambda c: c.missing(),
     "lock_route": lambda c: c.routes(),
     "lock_route_counts": lambda c: locks.route_counts(c.routes()),
-    "lock_to_blocked": lambda c: locks.added(c["blocked_titles"].select("title", "upstream_id", "reason", "added_at"), locks.to_blocked(c.routes()), "title"),
-    "lock_to_manual": lambda c: locks.added(c["curated_manual"], locks.to_manual(c.routes()), "local_page_id"),
+    "lock_to_blocked": lambda c: locks.added(c["blocked_titles"].select("title", "upstream_id", "reason", "added_at"), locks.to_blocked(c.routes()), "title", F.lit(RUN_AT).cast("timestamp")),
+    "lock_to_manual": lambda c: locks.added(c["curated_manual"], locks.to_manual(c.routes()), "local_page_id", F.lit(RUN_AT).cast("timestamp")),
     "run_summary": _summary,
 }
 

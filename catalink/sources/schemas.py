@@ -1,14 +1,5 @@
 """Schemas of the stored tables and of the JSON answers that sources give."""
 
-UPSTREAM_PAGES = "id BIGINT NOT NULL, title STRING NOT NULL, checked_at TIMESTAMP"
-LOCAL_PAGES = (
-    "id BIGINT NOT NULL, title STRING NOT NULL, status STRING NOT NULL, last_update_month STRING, upstream_id BIGINT, "
-    "match_type STRING NOT NULL, needs_attention BOOLEAN NOT NULL, is_dictionary_entry BOOLEAN NOT NULL, "
-    "maybe_deleted_upstream BOOLEAN NOT NULL, normalization_match BOOLEAN NOT NULL, normalization_method STRING, "
-    "title_normalized STRING, source_type STRING NOT NULL"
-)
-MANUAL_MATCHES = "id BIGINT, local_page_id BIGINT NOT NULL, upstream_page_id BIGINT NOT NULL, reason STRING, added_at TIMESTAMP"
-BLOCKED_TITLES = "id BIGINT, title STRING NOT NULL, reason STRING, upstream_id BIGINT, added_at TIMESTAMP"
 PAGE_LOG = "pos BIGINT NOT NULL, batch BIGINT NOT NULL, id BIGINT NOT NULL, title STRING NOT NULL"
 
 LISTING_JSON = "query STRUCT<allpages: ARRAY<STRUCT<title: STRING, pageid: BIGINT>>>, continue STRUCT<apcontinue: STRING>"

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import labels as L
+
 _RLM, _EN_DASH = "\u200f", "\u2013"
 
 _V = "concat(base, ' v', CAST(n AS STRING))"
@@ -33,38 +35,49 @@ def _title(side: int) -> str:
 
 _BASE = "SELECT o_orderkey AS n, concat(substr(o_orderpriority, 3), ' ', CAST(CAST(floor(o_orderkey / 27) AS BIGINT) AS STRING)) AS base FROM orders"
 
-#: Categories of a local title by the number of its order: (role, condition).
-_ROLES = (
-    ("created", "n % 10 = 0"),
-    ("translated", "n % 14 = 0"),
-    ("disambiguation", "n % 22 = 0"),
-    ("external_1", "n % 26 = 0"),
-    ("external_2", "n % 34 = 0"),
-    ("kept", "n % 15 = 0"),
-    ("split", "n % 38 = 0"),
-    ("missing_sort", "n % 4 = 0"),
-    ("attention", "n % 11 = 0"),
-    ("dictionary", "n % 13 = 0"),
-)
-_MONTHS = (("ערכים שעודכנו לאחרונה בנובמבר 2023", 1, "n % 3 = 0"), ("ערכים שעודכנו לאחרונה במאי 2024", 2, "n % 6 = 0"), ("ערכים אחרים", 3, "n % 12 = 0"))
+#: Categories of local titles: every so many orders, a title is in the role.
+_ROLES = {
+    "created": 10,
+    "translated": 14,
+    "disambiguation": 22,
+    "external_1": 26,
+    "external_2": 34,
+    "kept": 15,
+    "split": 38,
+    "missing_sort": 4,
+    "attention": 11,
+    "dictionary": 13,
+}
+_MONTHS = {"ערכים שעודכנו לאחרונה בנובמבר 2023": 3, "ערכים שעודכנו לאחרונה במאי 2024": 6, "ערכים אחרים": 12}
+
+
+def _values(rows) -> str:
+    return "(VALUES " + ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows) + ")"
+
 
 RELATIONS: dict[str, str] = {
     "base": _BASE,
     # arrival logs: now and then a row comes under the id of the one before
-    "upstream_log": f"SELECT n AS pos, CAST(floor(n / 500) AS BIGINT) AS batch, CASE WHEN n % 50 = 0 THEN n ELSE n + 1 END AS id, {_title(1)} AS title FROM ({_BASE}) b",
+    "upstream_log": f"SELECT n AS pos, CAST(floor(n / 500) AS BIGINT) AS batch, CASE WHEN n % 50 = 0 THEN n ELSE n + 1 END AS id, {_title(1)} AS title, make_timestamp(2024, 1, 1, CAST(floor(n / 30000) AS INT) % 24, CAST(floor(n / 500) AS INT) % 60, 0) AS checked_at FROM ({_BASE}) b",
+    # an earlier state of the upstream table: some rows come again, with their id or their title, others don't
+    "stored_log": f"SELECT n - 100000000 AS pos, CASE WHEN n % 3 = 0 THEN n + 1 ELSE 90000000 + n END AS id, CASE WHEN n % 5 = 0 THEN {_title(1)} ELSE concat({_title(1)}, ' stored') END AS title FROM ({_BASE}) b",
+    # a later log in which each title has a new id, and upstream ids that are gone
+    "later_log": f"SELECT DISTINCT n + 2 AS id, {_title(1)} AS title FROM ({_BASE}) b",
+    "stale_ids": "SELECT o_orderkey + 1 AS id FROM orders WHERE o_orderstatus = 'F'",
     "local_log": f"SELECT n AS pos, CAST(floor(n / 500) AS BIGINT) AS batch, CASE WHEN n % 70 = 0 THEN 1000000 + n ELSE 1000001 + n END AS id, CASE WHEN n % 997 = 0 THEN '' ELSE {_title(2)} END AS title FROM ({_BASE}) b",
     "manual_matches": "SELECT 1000001 + o_orderkey AS local_page_id, CASE WHEN o_orderkey % 4 = 0 THEN CAST(-1 AS BIGINT) ELSE o_orderkey + 1 END AS upstream_page_id, 'manual' AS reason FROM orders WHERE o_orderkey % 9 = 6",
     "page_content": f"SELECT {_title(2)} AS title, CASE WHEN n % 9 = 7 AND n % 2 = 0 THEN concat('x {{{{ מיון ויקיפדיה | דף=[[', base, '_v', CAST(n AS STRING), ']]|a=1}}}} y') WHEN n % 9 = 7 THEN 'no template' END AS content, n % 9 = 8 AND n % 2 = 0 AS denied FROM ({_BASE}) b WHERE n % 9 >= 7",
-    "category_members": " UNION ALL ".join(
-        f"SELECT '{role}' AS category, CASE WHEN n % 101 = 0 THEN 'subcat' ELSE 'page' END AS member_type, CASE WHEN n % 103 = 0 THEN 14 ELSE 0 END AS namespace, n AS ordinal, {_title(2)} AS title, 1000001 + n AS page_id FROM ({_BASE}) b WHERE {where}"
-        for role, where in _ROLES
-    ),
-    "dated_subcategories": " UNION ALL ".join(f"SELECT '{name}' AS category, {place} AS ordinal, {_title(2)} AS title FROM ({_BASE}) b WHERE {where}" for name, place, where in _MONTHS),
+    "category_members": f"SELECT r.role AS category, CASE WHEN n % 101 = 0 THEN 'subcat' ELSE 'page' END AS member_type, CASE WHEN n % 103 = 0 THEN 14 ELSE 0 END AS namespace, n AS ordinal, {_title(2)} AS title, 1000001 + n AS page_id FROM ({_BASE}) b JOIN {_values(_ROLES.items())} AS r(role, every_n) ON n % r.every_n = 0",
+    "dated_subcategories": f"SELECT m.category, m.ordinal, {_title(2)} AS title FROM ({_BASE}) b JOIN {_values((c, i + 1, e) for i, (c, e) in enumerate(_MONTHS.items()))} AS m(category, ordinal, every_n) ON n % m.every_n = 0",
     # what an earlier run had left on the local rows
     "earlier_matches": "SELECT 1000001 + o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey + 10 END AS upstream_id, CASE WHEN o_orderkey % 7 = 0 THEN 'יובא מוויקיפדיה' ELSE 'ללא התאמה' END AS match_type, o_orderkey % 21 = 0 AS maybe_deleted_upstream, o_orderkey % 28 = 0 AS normalization_match, CASE WHEN o_orderkey % 28 = 0 THEN 'תבנית_מיון' END AS normalization_method, CASE WHEN o_orderkey % 28 = 0 THEN 'old' END AS title_normalized FROM orders",
     "page_info": f"SELECT {_title(1)} AS title, CASE n % 5 WHEN 0 THEN 'none' WHEN 1 THEN 'create' WHEN 2 THEN 'read' WHEN 3 THEN 'edit' END AS allevel, n % 2 = 0 AS missing, 5000000 + n AS page_id FROM ({_BASE}) b WHERE n % 9 >= 7 AND n % 6 <> 5",
     "blocked_titles": f"SELECT {_title(1)} AS title, 'curated' AS reason, n + 1 AS upstream_id, CAST('2024-01-01 00:00:00' AS TIMESTAMP) AS added_at FROM ({_BASE}) b WHERE n % 9 >= 7 AND n % 36 = 7",
     "curated_manual": "SELECT 5000000 + o_orderkey AS local_page_id, o_orderkey + 1 AS upstream_page_id, 'curated' AS reason, CAST('2024-01-01 00:00:00' AS TIMESTAMP) AS added_at FROM orders WHERE o_orderkey % 63 = 7",
+    # local rows that someone has edited by hand
+    "edited_rows": f"SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN '{L.STATUS_DOCUMENTED}' WHEN 'O' THEN '{L.STATUS_KEPT}' ELSE 'other' END AS status, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN '{L.MATCH_IMPORTED}' WHEN '2' THEN '{L.MATCH_NONE}' WHEN '3' THEN '{L.MATCH_UNRELATED}' ELSE 'other' END AS match_type FROM orders",
+    "listing_answers": "SELECT o_orderkey AS pos, CASE o_orderkey % 4 WHEN 0 THEN '{\"query\": {}}' WHEN 1 THEN concat('{\"query\": {\"allpages\": [{\"pageid\": ', CAST(o_orderkey AS STRING), ', \"title\": \"a', CAST(o_orderkey AS STRING), '\"}]}}') ELSE concat('{\"query\": {\"allpages\": [{\"pageid\": ', CAST(o_orderkey AS STRING), ', \"title\": \"a', CAST(o_orderkey AS STRING), '\"}, {\"pageid\": 7, \"title\": \"b\"}]}, \"continue\": {\"apcontinue\": \"c\"}}') END AS body FROM orders",
+    "category_answers": "SELECT o_orderpriority AS category, o_orderkey AS pos, CASE o_orderkey % 4 WHEN 0 THEN '{}' WHEN 1 THEN concat('{\"query\": {\"categorymembers\": [{\"pageid\": ', CAST(o_orderkey AS STRING), ', \"title\": \"a\"}]}}') ELSE concat('{\"query\": {\"categorymembers\": [{\"title\": \"b', CAST(o_orderkey AS STRING), '\"}, {\"pageid\": 7, \"title\": \"c\"}]}}') END AS body FROM orders",
     "content_answers": "SELECT o_orderkey AS pos, concat('t', CAST(o_orderkey AS STRING)) AS title, CASE WHEN o_orderkey % 10 = 3 THEN '{\"error\": {\"code\": \"denied\"}}' WHEN o_orderkey % 10 = 4 THEN concat('{\"query\": {\"pages\": [{\"title\": \"t', CAST(o_orderkey AS STRING), '\"}]}}') ELSE concat('{\"query\": {\"pages\": [{\"title\": \"t', CAST(o_orderkey AS STRING), '\", \"revisions\": [{\"slots\": {\"main\": {\"content\": \"c ', o_orderpriority, '\"}}}, {\"slots\": {\"main\": {\"content\": \"old\"}}}]}]}}') END AS body FROM orders",
     "lock_answers": "SELECT o_orderkey AS pos, CASE o_orderkey % 4 WHEN 0 THEN concat('{\"query\": {\"pages\": [{\"title\": \"t', CAST(o_orderkey AS STRING), '\", \"missing\": true}]}}') WHEN 1 THEN '{\"query\": {}}' ELSE concat('{\"query\": {\"pages\": [{\"title\": \"t', CAST(o_orderkey AS STRING), '\", \"allevel\": \"create\", \"pageid\": ', CAST(o_orderkey AS STRING), '}, {\"title\": \"u', CAST(o_orderkey AS STRING), '\", \"allevel\": \"read\"}]}}') END AS body FROM orders",
 }

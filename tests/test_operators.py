@@ -111,11 +111,34 @@ def test_locks(spark):
     routes = locks.routed(missing, info).cache()
     assert {r.title: r.route for r in routes.collect()} == {"a": "open", "b": "create_locked", "c": "read_locked", "d": "unknown", "e": "not_returned"}
     curated = spark.createDataFrame([("b", 7, "old", "d1"), ("z", 6, "old", "d2")], "title string, upstream_id long, reason string, added_at string")
-    got = sorted(map(tuple, locks.added(curated, locks.to_blocked(routes), "title").collect()))
+    got = sorted(map(tuple, locks.added(curated, locks.to_blocked(routes), "title", F.lit("now")).collect()))
     assert got == [("b", 2, L.REASON_CREATE_LOCK, "d1"), ("z", 6, "old", "d2")]
+    fresh = curated.filter("title = 'z'")
+    got = sorted(map(tuple, locks.added(fresh, locks.to_blocked(routes), "title", F.lit("now")).collect()))
+    assert got == [("b", 2, L.REASON_CREATE_LOCK, "now"), ("z", 6, "old", "d2")]
     assert [tuple(r) for r in locks.to_manual(routes).collect()] == [(9, 3, L.REASON_READ_LOCK)]
 
 
+def test_repeated_titles(spark):
+    """Of several contents or answers for one title the last one counts; local rows are not multiplied."""
+    info = spark.createDataFrame([(1, "a", "create", 5), (2, "a", None, 6), (0, "a", "read", 7)], "pos long, title string, allevel string, page_id long")
+    missing = spark.createDataFrame([(1, "a")], "id long, title string")
+    assert [(r.route, r.page_id) for r in locks.routed(missing, info).collect()] == [("open", 6)]
+    assert locks.routed(missing, info.drop("pos")).count() == 1
+    content = spark.createDataFrame([(1, "t", "{{מיון ויקיפדיה|דף=x}}", False), (2, "t", "none", False)], "pos long, title string, content string, denied boolean")
+    local = spark.createDataFrame([(1, "t")], "id long, title string")
+    assert [r.value for r in matching.with_candidates(local, content).collect()] == [None]
+
+
+def test_reload(spark):
+    """A fresh run forgets what is stored; a resumed one goes on from it."""
+    stored = spark.createDataFrame([(-3, 1, "a"), (-2, 2, "b"), (-1, 3, "c")], "pos long, id long, title string")
+    arriving = spark.createDataFrame([(1, 2, "x"), (2, 4, "c")], "pos long, id long, title string")
+    names = lambda df: sorted((r.id, r.title) for r in df.collect())
+    assert names(ingest.reloaded(stored, arriving, fresh=True)) == [(2, "x"), (4, "c")]
+    assert names(ingest.reloaded(stored, arriving, fresh=False)) == [(1, "a"), (2, "x"), (4, "c")]
+
+
 def test_json_answers(spark):
     listing = spark.createDataFrame([(0, '{"query": {"allpages": [{"title": "a", "pageid": 1}, {"title": "b", "pageid": 2}]}, "continue": {"apcontinue": "c"}}'), (1, "{}")], "pos long, body string")
     assert [(r.batch, r.id, r.title) for r in json_answers.listing_rows(listing).collect()] == [(0, 1, "a"), (0, 2, "b")]

@@ -13,3 +13,16 @@ def test_resumed_fold(spark, tmp_path):
         start_fold(spark, landing, table, checkpoint, 1).awaitTermination()
     want = sorted(map(tuple, upsert_fold(spark.createDataFrame(rows, schema)).collect()))
     assert sorted(map(tuple, folded_table(spark, table, 2).collect())) == want
+
+
+def test_late_files(spark, tmp_path):
+    """A file that comes late changes nothing that later rows have decided."""
+    landing, table, checkpoint = (str(tmp_path / x) for x in ("landing", "table", "checkpoint"))
+    schema = "pos long, batch long, id long, title string"
+    parts = [[(2, 0, 2, "A"), (3, 0, 2, "B")], [(1, 0, 1, "A")], [(0, 0, 3, "C"), (5, 0, 4, "D")]]
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(landing)
+        start_fold(spark, landing, table, checkpoint, 1).awaitTermination()
+    want = sorted(map(tuple, upsert_fold(spark.createDataFrame(sum(parts, []), schema)).collect()))
+    assert sorted(map(tuple, folded_table(spark, table, 2).collect())) == want == [(0, 3, "C"), (3, 2, "B"), (5, 4, "D")]
+    assert sorted(p.name for p in (tmp_path / "table" / "ids").iterdir()) == ["version=1", "version=2"]

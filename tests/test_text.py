@@ -96,3 +96,9 @@ def test_month(spark, category, month):
 def test_duration_and_locks(spark):
     assert column(spark, ["0", "59", "61", "3599", "3600", "360061"], T.duration(F.col("x").cast("bigint"))) == ["00:00", "00:59", "01:01", "59:59", "01:00:00", "100:01:01"]
     assert column(spark, [None, "none", "create", "read", "edit"], T.lock_level(F.col("x"))) == ["open", "open", "create_locked", "read_locked", "unknown"]
+
+
+def test_iso_text(spark):
+    rows = spark.createDataFrame([("2024-01-02 03:04:05",), ("2024-01-02 03:04:05.000600",), (None,)], "t string")
+    got = [r[0] for r in rows.select(T.iso_text(rows.t.cast("timestamp"))).collect()]
+    assert got == ["2024-01-02T03:04:05+00:00", "2024-01-02T03:04:05.000600+00:00", None]
