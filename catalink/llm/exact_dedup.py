@@ -10,7 +10,8 @@ salt, so a content that a third of all rows share is no hot key.
 
 Rows learn their winner through a join on the digest alone, which moves 32
 bytes for a row; only digests that hold several contents (collisions) join on
-the content too.
+the content too. Digests of more than a ``HOT_SHARE``th of all rows are fewer than ``HOT_SHARE``,
+so they can be broadcast; their rows are dealt over salts in the join, for each of which the winner is repeated.
 
 Defined cases: a null text counts as empty; of equal rows the one with the most
 code points in the original text stays, then the smallest doc_id; a null doc_id
@@ -27,6 +28,8 @@ from .common import saved
 
 WHITE = " \t\n\x0b\x0c\r"
 SALTS = 32
+HOT_SHARE = 10_000
+"""Broadcast digests at most, 32 bytes each."""
 LAST_ID = "cast(9223372036854775807 as decimal(20,0))"
 ID_SPAN = "cast('100000000000000000000' as decimal(21,0))"
 
@@ -74,7 +77,13 @@ def exact_dedup(docs: DataFrame, salts: int = SALTS) -> DataFrame:
         ),
         "exact-dedup-classes",
     )
-    found = rows.select("doc_id", "digest").join(by_digest, "digest")
+    total = by_digest.agg(F.sum("group_size").alias("n")).first()["n"] or 0
+    hot = F.col("group_size") > total / HOT_SHARE
+    many = F.broadcast(by_digest.filter(hot & (F.col("group_size") > salts)).select("digest", F.lit(True).alias("many")))
+    dealt = rows.select("doc_id", "digest").join(many, "digest", "left")
+    dealt = dealt.select("doc_id", "digest", F.when(F.col("many"), F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.lit(salts))).otherwise(F.lit(0)).alias("salt"))
+    repeated = by_digest.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(hot & (F.col("group_size") > salts), F.lit(salts - 1)).otherwise(0).cast("bigint"))))
+    found = dealt.join(repeated, ["digest", "salt"])
     out = found.filter("contents = 1").select("doc_id", "digest", "keep_id", "group_size")
     clashing = by_digest.filter("contents > 1").select("digest")
     if not clashing.isEmpty():
