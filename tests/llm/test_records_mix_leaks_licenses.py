@@ -1,5 +1,6 @@
 """Token records, source mixing, benchmark leaks and licence labels."""
 
+import math
 import random
 import re
 import zlib
@@ -286,6 +287,38 @@ def test_licenses(spark, documents, prose):
     assert all(0 <= r.score <= 1 for r in got) and Li.scan_licenses(documents([])).count() == 0
 
 
+def test_positional_votes_brute_force(spark, documents):
+    """The labels of the method: every template at every start of a text, word by word, with weights from all documents."""
+    draw = random.Random(6)
+    filler = "the of and work terms license software use public under version".split()
+    texts = []
+    for i in range(120):
+        words = draw.choice(Li.TEMPLATES)[1].split()
+        for _ in range(draw.choice([0, 0, 1, 2, 5])):
+            words[draw.randrange(len(words))] = draw.choice(filler)
+        texts.append(" ".join([draw.choice(filler) for _ in range(draw.randint(0, 9))] + words + [draw.choice(filler) for _ in range(draw.randint(0, 9))]))
+    texts += ["", None, "plain text of no interest"] * 30
+    found = [(t or "").split() for t in texts]
+    idf = {w: math.log((len(texts) + 1) / (sum(w in f for f in found) + 1)) + 1e-3 for w in Li.vocabulary()}
+    want = []
+    for words in found:
+        labels = {label for phrase, label in Li.BASE.items() if f" {phrase} " in f" {' '.join(words)} "}
+        for label, passage, key in Li.TEMPLATES:
+            tokens, phrase = passage.split(), key.split()
+            at = next(i for i in range(len(tokens)) if tokens[i : i + len(phrase)] == phrase)
+            rare = sorted(range(len(tokens)), key=lambda i: (-idf[tokens[i]], i))[: Li.INDEX_WORDS]
+            for start in range(-len(tokens), len(words)):
+                same = [q for q in range(len(tokens)) if 0 <= start + q < len(words) and words[start + q] == tokens[q]]
+                weight = lambda places: sum(idf[tokens[q]] for q in places)
+                enough = weight(set(rare) & set(same)) >= Li.LEAST_WEIGHT * weight(rare) and weight(same) >= Li.LEAST_WEIGHT * weight(range(len(tokens)))
+                if enough and set(range(at, at + len(phrase))) <= set(same):
+                    labels.add(label)
+        want.append(",".join(sorted(labels)))
+    got = {r.doc_id: r.labels for r in Li.scan_licenses(documents(list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    assert len(set(want)) > 10 and sum(not w for w in want[:120]) > 5
+
+
 def leaks(spark, documents, item, texts):
     """The numbers of the texts that leak the item."""
     got = Le.leaked_items(documents(list(enumerate(texts))), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
