@@ -19,7 +19,8 @@ The windows of the benchmark are broadcast while they number at most
 An item with fewer than ``WINDOW`` template words is one window of its own
 length; with fewer than ``LEAST_WORDS`` it can't be told from chance and is
 never reported. Neither can a window with fewer than ``LEAST_LITERALS`` words that are no slots: a run of numbers meets
-every other run of numbers. Such windows are left out of an item on both sides of its coverage.
+every other run of numbers. Such windows are left out of an item on both sides of its coverage. An item that has no
+other windows is looked up by its words as they are, values included.
 
 Defined cases: null and empty texts leak nothing. In ``leaked_items`` rows with one doc_id count as one
 document, and so do rows with a null doc_id; ``without_leaks`` judges each text for itself. Repeated items of one item_id
@@ -39,6 +40,8 @@ from .common import saved
 WINDOW = 8
 LEAST_WORDS = 5
 LEAST_LITERALS = 3
+VERBATIM = 3
+"""The number of the form without slots."""
 LEAST_COVER = 0.5
 MOST_CONFLICTS = 0.2
 MOST_BROADCAST = 2_000_000
@@ -93,62 +96,79 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, r"\s+"), "")
 
 
-def templates(rows: DataFrame, key: str) -> DataFrame:
-    """(key, w): the hashes of the template words of each form of each text of ``rows`` (key, text).
+def forms_of(rows: DataFrame, key: str) -> DataFrame:
+    """(key, forms): the forms of each text of ``rows`` (key, text), the last one with values in place of slots.
 
     The forms have a word for each word of the others, so places are the same in all."""
     staged = rows.select(key, slotted(F.col("text")).alias("text"))
     staged = staged.select(key, "text", names_of(F.col("text")).alias("names"))
     inner = F.translate("text", _MAYBE, "")
-    forms = F.array(template(resolved(F.col("text"), F.col("names"))), template(inner), template(F.replace(inner, F.lit(f"{_NAME}="), F.lit(""))))
-    staged = staged.select(key, F.explode(F.array_distinct(forms)).alias("text"))
-    staged = staged.select(key, words(F.col("text")).alias("w"))
-    return staged.select(key, F.transform("w", lambda w: F.xxhash64(w)).alias("w"))
+    plain = F.replace(inner, F.lit(f"{_NAME}="), F.lit(""))
+    verbatim = F.regexp_replace(inner, f"[{_NAME}-{_UNIT}]=", "")
+    return staged.select(key, F.array(template(resolved(F.col("text"), F.col("names"))), template(inner), template(plain), verbatim).alias("forms"))
 
 
-def with_runs(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """Adds the hashes of all runs of ``size`` word hashes of ``w``, in order; those at the end lack words.
+def hashed(rows: DataFrame, *kept: str) -> DataFrame:
+    """(kept, w): the hashes of the words of ``text``."""
+    return rows.select(*kept, words(F.col("text")).alias("w")).select(*kept, F.transform("w", lambda w: F.xxhash64(w)).alias("w"))
+
+
+def templates(rows: DataFrame, key: str, forms: int = 3) -> DataFrame:
+    """(key, w): the hashes of the template words of each distinct one of the first ``forms`` forms of each text."""
+    staged = forms_of(rows, key)
+    return hashed(staged.select(key, F.explode(F.array_distinct(F.slice("forms", 1, forms))).alias("text")), key)
+
+
+def with_runs(rows: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """Adds ``runs_<size>``, the hashes of all runs of ``size`` word hashes of ``w``, in order; those at the end lack words.
 
     Runs double their length from step to step, and a last step adds what is left: a run is the pair of its
     first and last run of half the length. Each step is a projection of its own, so none is evaluated twice."""
 
-    def joined(gap: int):
-        return lambda x, i: F.xxhash64(F.lit(gap), x, F.get(F.col(name), i + gap))
+    def joined(name: str, gap: int) -> Column:
+        return F.transform(name, lambda x, i: F.xxhash64(F.lit(gap), x, F.get(F.col(name), i + gap)))
 
-    length, kept = 1, [F.col(c) for c in rows.columns]
-    rows = rows.withColumn(name, F.col("w"))
-    while length < size:
-        gap = min(length, size - length)
-        rows = rows.select(*kept, F.transform(name, joined(gap)).alias(name))
-        length += gap
+    rows, length = rows.withColumn("runs_1", F.col("w")), 1
+    while 2 * length <= max(sizes):
+        rows, length = rows.withColumn(f"runs_{2 * length}", joined(f"runs_{length}", length)), 2 * length
+    for size in sizes:
+        half = 1 << (size.bit_length() - 1)
+        if half < size:
+            rows = rows.withColumn(f"runs_{size}", joined(f"runs_{half}", size - half))
     return rows
 
 
-def window_rows(rows: DataFrame, key: str, sizes: Sequence[int]) -> DataFrame:
-    """(key, size, at, hash, literals): a row for each window of each of the sizes of each text of ``templates()``,
-    from one pass over the texts. ``literals``: the words that are no slots."""
-    for size in sizes:
-        rows = with_runs(rows, size, f"runs_{size}")
-    slots = [F.xxhash64(F.lit(c)) for c in (_NAME, _NUMBER, _UNIT)]
+def windows_before(sizes: Sequence[int], size: str, n: str) -> Column:
+    """How many windows of other sizes stand before those of ``size`` in the list of a text of ``n`` words."""
+    n, out, before = F.col(n), F.lit(0), F.lit(0)
+    for s in sizes:
+        out, before = F.when(F.col(size) == s, before).otherwise(out), before + F.greatest(n - (s - 1), F.lit(0))
+    return out
 
-    def windows(size: int) -> Column:
-        whole = F.slice(f"runs_{size}", F.lit(1), F.greatest(F.size("w") - (size - 1), F.lit(0)))
-        return F.transform(whole, lambda x, i: F.struct(F.lit(size).alias("size"), i.alias("at"), x.alias("hash")))
 
+def window_rows(rows: DataFrame, key: str, sizes: Sequence[int], *kept: str) -> DataFrame:
+    """(key, kept, n, pos, hash): a row for each window of each text of ``templates()``, from one pass over the texts.
+    ``n`` words; ``pos`` counts the windows of the first size, then those of the next."""
+    rows = with_runs(rows, sizes)
     # an expression, not a column: else Spark derives a filter from it that evaluates all steps again
-    placed = rows.select(key, "w", F.explode(F.concat(*[windows(size) for size in sizes])).alias("x"))
-    placed = placed.select(key, "w", "x.*")
-    literals = F.size(F.filter(F.slice("w", F.col("at") + 1, "size"), lambda x: ~x.isin(*slots)))
-    return placed.select(key, "size", "at", "hash", literals.alias("literals"))
+    hashes = F.concat(*[F.slice(f"runs_{size}", F.lit(1), F.greatest(F.size("w") - (size - 1), F.lit(0))) for size in sizes])
+    return rows.select(key, *kept, F.size("w").alias("n"), F.posexplode(hashes).alias("pos", "hash"))
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, size, at, hash) of every window with enough literal words of every item in each form."""
-    items = templates(benchmark.select("item_id", "text"), "item_id").filter(F.size("w") >= LEAST_WORDS)
-    rows = items.withColumn("own", F.least(F.size("w"), F.lit(window)))
-    rows = window_rows(rows.select(F.struct("item_id", "own").alias("key"), "w"), "key", range(LEAST_WORDS, window + 1))
-    fitting = rows.filter((F.col("size") == F.col("key.own")) & (F.col("literals") >= LEAST_LITERALS))
-    return fitting.select("key.item_id", "size", "at", "hash").distinct()
+    """(item_id, size, at, hash, verbatim) of every window with enough literal words of every item in each form."""
+    items = forms_of(benchmark.select("item_id", "text"), "item_id").select("item_id", F.posexplode("forms").alias("form", "text"))
+    items = hashed(items, "item_id", "form").filter(F.size("w") >= LEAST_WORDS)
+    sizes = range(LEAST_WORDS, window + 1)
+    rows = window_rows(items, "item_id", sizes, "w", "form").withColumn("size", F.least("n", F.lit(window)))
+    rows = rows.withColumn("at", F.col("pos") - windows_before(sizes, "size", "n"))
+    own = rows.filter((F.col("at") >= 0) & (F.col("at") <= F.col("n") - F.col("size")))
+    slots = [F.xxhash64(F.lit(c)) for c in (_NAME, _NUMBER, _UNIT)]
+    literals = F.size(F.filter(F.slice("w", F.col("at") + 1, F.col("size")), lambda x: ~x.isin(*slots)))
+    told = (F.col("form") < VERBATIM) & (literals >= LEAST_LITERALS)
+    marked = own.select("item_id", "form", "size", "at", "hash", told.alias("told"))
+    marked = marked.withColumn("tells", F.max("told").over(Window.partitionBy("item_id")))
+    return marked.filter(F.when(F.col("tells"), F.col("told")).otherwise(F.col("form") == VERBATIM)).select("item_id", "size", "at", "hash", (~F.col("tells")).alias("verbatim")).distinct()
 
 
 def words_of(rows: DataFrame, key: str) -> DataFrame:
@@ -164,14 +184,18 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     of each item that a document of ``docs`` (doc_id, text) leaks. ``benchmark``: item_id, text."""
     items = saved(item_windows(benchmark, window), "leak-windows")
     totals = items.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"), F.max("size").alias("size"))
-    sizes = [r["size"] for r in items.select("size").distinct().collect()]  # at most ``window`` numbers
-    lookup = F.broadcast(items) if items.count() <= most_broadcast else items
-    canonical = templates(docs.select("doc_id", "text"), "doc_id")
-    exploded = window_rows(canonical, "doc_id", sizes or [window]).select("doc_id", F.col("at").alias("doc_at"), F.col("hash").alias("doc_hash"))
+    kinds = items.select("size", "verbatim").distinct().collect()  # at most twice ``window`` rows
+    sizes = sorted({r["size"] for r in kinds})
+    lookup = items.drop("verbatim")
+    lookup = F.broadcast(lookup) if items.count() <= most_broadcast else lookup
+    canonical = templates(docs.select("doc_id", "text"), "doc_id", VERBATIM + any(r["verbatim"] for r in kinds))
+    sizes = sizes or [window]
+    exploded = window_rows(canonical, "doc_id", sizes).withColumnRenamed("hash", "doc_hash")
     # windows of unlike size have unlike hashes: the number of the steps is part of them
     met = exploded.join(lookup, F.col("doc_hash") == F.col("hash"))
     # one row for each window of an item and document, however often they repeat it: at the shift that most windows share
-    shifted = met.select("doc_id", "item_id", "at", (F.col("doc_at") - F.col("at")).alias("shift")).distinct()
+    doc_at = F.col("pos") - windows_before(sizes, "size", "n")
+    shifted = met.select("doc_id", "item_id", "at", (doc_at - F.col("at")).alias("shift")).distinct()
     shifted = shifted.withColumn("sharing", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "item_id", "shift")))
     once = shifted.groupBy("doc_id", "item_id", "at").agg(F.max(F.struct("sharing", (-F.col("shift")).alias("minus"))).alias("best"))
     once = once.select("doc_id", "item_id", "at", (-F.col("best.minus")).alias("shift"))
@@ -211,7 +235,10 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose text leaks no item, with all columns. Rows that share a doc_id, or have none, are judged each by its text."""
-    keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("doc_id"), "text")
-    bad = leaked_items(keyed, benchmark, **options).select(F.col("doc_id.doc_id").alias("leaking_id"), F.col("doc_id.text_hash").alias("leaking_hash")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["leaking_id"]) & (F.xxhash64(docs["text"]) == bad["leaking_hash"]), "left_anti")
+    """The rows of ``docs`` whose text leaks no item, with all columns. Rows that share a doc_id, or have none, are judged each by its text.
+
+    The key of a row is a 64-bit hash of its doc_id and text: of 10**10 rows with 10**6 leaks, one clean row shares the
+    key of a leak with a chance of about 5e-4."""
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
+    bad = leaked_items(keyed, benchmark, **options).select(F.col("doc_id").alias("leaking")).distinct()
+    return docs.join(bad, F.xxhash64(docs["doc_id"], docs["text"]) == bad["leaking"], "left_anti")
