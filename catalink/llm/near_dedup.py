@@ -56,6 +56,8 @@ BATCH_BITS, BATCHES = 64, 4
 MISS = 1e-5
 CLASSES = 1024
 """Hash classes of the bitmap of a set; a multiple of 64."""
+SALTS = 16
+"""Parts in which the nodes of a bucket learn how many blocks it has."""
 BLOCK = 256
 """Nodes of a bucket that one join key holds on either side."""
 
@@ -303,7 +305,8 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
         columns = ["key", "band", "bands", "node", "component", "n", "most", *SKETCHES, *BITMAP]
         # a bucket is cut into blocks, and each pair of blocks is a join key of its own
         blocks = side.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-        cut = side.select(columns).join(blocks, "key").withColumn("block", F.pmod(F.hash("node"), "blocks"))
+        blocks = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+        cut = side.select(*columns, F.pmod(F.xxhash64("node"), F.lit(SALTS)).alias("salt")).join(blocks, ["key", "salt"]).withColumn("block", F.pmod(F.hash("node"), "blocks"))
         a = cut.withColumns({"low": F.col("block"), "high": F.explode(F.sequence(F.col("block"), F.col("blocks") - 1))}).alias("a")
         b = cut.withColumns({"high": F.col("block"), "low": F.explode(F.sequence(F.lit(0), F.col("block")))}).alias("b")
         condition = (
