@@ -96,8 +96,8 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, r"\s+"), "")
 
 
-def forms_of(rows: DataFrame, key: str) -> DataFrame:
-    """(key, forms): the forms of each text of ``rows`` (key, text), the last one with values in place of slots.
+def forms_of(rows: DataFrame, key: str, forms: int = VERBATIM + 1) -> DataFrame:
+    """(key, forms): the first ``forms`` forms of each text of ``rows`` (key, text); the last of all has values in place of slots.
 
     The forms have a word for each word of the others, so places are the same in all."""
     staged = rows.select(key, slotted(F.col("text")).alias("text"))
@@ -105,7 +105,8 @@ def forms_of(rows: DataFrame, key: str) -> DataFrame:
     inner = F.translate("text", _MAYBE, "")
     plain = F.replace(inner, F.lit(f"{_NAME}="), F.lit(""))
     verbatim = F.regexp_replace(inner, f"[{_NAME}-{_UNIT}]=", "")
-    return staged.select(key, F.array(template(resolved(F.col("text"), F.col("names"))), template(inner), template(plain), verbatim).alias("forms"))
+    made = [template(resolved(F.col("text"), F.col("names"))), template(inner), template(plain), verbatim]
+    return staged.select(key, F.array(*made[:forms]).alias("forms"))
 
 
 def hashed(rows: DataFrame, *kept: str) -> DataFrame:
@@ -113,10 +114,10 @@ def hashed(rows: DataFrame, *kept: str) -> DataFrame:
     return rows.select(*kept, words(F.col("text")).alias("w")).select(*kept, F.transform("w", lambda w: F.xxhash64(w)).alias("w"))
 
 
-def templates(rows: DataFrame, key: str, forms: int = 3) -> DataFrame:
+def templates(rows: DataFrame, key: str, forms: int = VERBATIM) -> DataFrame:
     """(key, w): the hashes of the template words of each distinct one of the first ``forms`` forms of each text."""
-    staged = forms_of(rows, key)
-    return hashed(staged.select(key, F.explode(F.array_distinct(F.slice("forms", 1, forms))).alias("text")), key)
+    staged = forms_of(rows, key, forms)
+    return hashed(staged.select(key, F.explode(F.array_distinct("forms")).alias("text")), key)
 
 
 def with_runs(rows: DataFrame, sizes: Sequence[int]) -> DataFrame:
