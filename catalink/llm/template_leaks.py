@@ -216,7 +216,8 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     hit = candidates.select(F.col("doc_id").alias("d")).distinct()
     texts = docs.select("doc_id", "text").join(hit, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
     in_docs = words_of(texts, "doc_id").filter("slot <> ''").select(F.col("doc_id").alias("d"), F.col("place").alias("p"), F.col("slot").alias("s"), F.col("value").alias("doc_value"))
-    aligned = expected.filter("slot <> ''").join(in_docs, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("doc_place") == F.col("p")) & (F.col("slot") == F.col("s")))
+    # the places of all leaks: small as a file, but not bounded, so never broadcast
+    aligned = expected.filter("slot <> ''").hint("merge").join(in_docs.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("doc_place") == F.col("p")) & (F.col("slot") == F.col("s")))
     pairs_of_values = aligned.groupBy("doc_id", "item_id", "slot", "value", "doc_value").agg(F.count(F.lit(1)).alias("n"))
     # how many slots follow the most frequent partner, seen from either side
     forward = pairs_of_values.groupBy("doc_id", "item_id", "slot", "value").agg(F.sum("n").alias("n"), F.max("n").alias("m"), F.sum(F.when(F.col("value") != F.col("doc_value"), F.col("n")).otherwise(0)).alias("changed"))
