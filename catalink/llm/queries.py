@@ -11,6 +11,8 @@ from .exact_dedup import exact_dedup
 from .license_index import scan_licenses
 from .near_dedup import near_groups
 from .quality import quality_scores
+from .secret_index import RULES as SECRET_RULES
+from .secret_index import scan_secrets
 from .site_style import extract_pages
 from .template_leaks import leaked_items
 from .temperature_mix import mixed
@@ -70,6 +72,10 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -82,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_dedup": op8_near_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_license_index": op10_license_index,
+        "op11_secret_index": op11_secret_index,
     }
 
 
@@ -113,5 +120,26 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS
 """
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(f"SELECT rid, {i} AS ord, '{r.name}' AS rule, regexp_split_to_array(t, {_quoted(r.pattern)}) AS gaps, regexp_extract_all(t, {_quoted(r.pattern)}) AS hits, regexp_extract_all(t, {_quoted(r.pattern)}, {r.group}) AS parts, {r.least} AS least FROM d WHERE regexp_matches(t, {_quoted(r.pattern)})" for i, r in enumerate(SECRET_RULES))}),
+each AS (SELECT *, unnest(range(len(hits))) AS i FROM found),
+spans AS (
+  SELECT rid, ord, rule, list_sum(list_transform(gaps[1:i + 1], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i], lambda x: length(x))), 0) AS s, length(hits[i + 1]) AS size
+  FROM each WHERE length(parts[i + 1]) >= least),
+texts AS (
+  SELECT rid, count(*) FILTER (rule = 'assign') AS n_assign, count(*) FILTER (rule = 'access') AS n_access, count(*) FILTER (rule = 'hex') AS n_hex,
+    string_agg(concat(rule, ':', CAST(s AS BIGINT), ':', CAST(s + size AS BIGINT)), ',' ORDER BY s, ord) FILTER (ord < 3) AS base,
+    string_agg(concat(rule, ':', CAST(s AS BIGINT), ':', CAST(s + size AS BIGINT)), ',' ORDER BY s, ord) AS spans
+  FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN texts USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_rules": OP4_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op4_url_rules": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op11_secret_index": OP11_SQL}
