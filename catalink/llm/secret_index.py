@@ -1,7 +1,7 @@
 """Secrets by a trigram inverted index, with DataFrame functions alone.
 
 Each rule's pattern gives a Boolean query over trigrams: every match holds, for each of some segments, one of
-some strings, and so all trigrams of that string. The index has a posting (document, trigram) for each trigram
+some strings, and so the trigrams of that string (of which those that cover it are asked for: every third one, and the last). The index has a posting (document, trigram) for each trigram
 of the queries that a lower-cased text holds. Postings of a document are intersected clause by clause; a rule whose segments
 are all met has the document as a candidate. A rule without such trigrams scans every text. The pattern then runs over the
 candidates alone and gives the spans.
@@ -15,6 +15,7 @@ a row. An empty table gives none. Further columns aren't read. Positions count c
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import product
@@ -136,7 +137,7 @@ def trigram_query(pattern: str) -> Query:
     """What each text with a match holds, in lower case; empty if the pattern has no mandatory trigrams."""
     exact, needed = _sequence(_parser.parse(pattern))
     segments = _useful([exact] if exact is not None else needed)
-    return [[tuple(sorted({s[i : i + 3] for i in range(len(s) - 2)})) for s in sorted(segment)] for segment in segments]
+    return [[tuple(sorted({s[i : i + 3] for i in (*range(0, len(s) - 2, 3), len(s) - 3)})) for s in sorted(segment)] for segment in segments]
 
 
 def _key() -> Column:
@@ -159,8 +160,12 @@ def _clauses(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame | None:
     if not rows:
         return None
     names = ("gram", "bit", "rule", "segment", "clause", "all_bits", "all_segments")
-    structs = [F.struct(*[(F.lit(v) if isinstance(v, str) else F.lit(v).cast("bigint")).alias(n) for n, v in zip(names, r, strict=True)]) for r in rows]
-    return docs.sparkSession.range(1).select(F.inline(F.array(*structs)))
+    return _table(docs, [dict(zip(names, r, strict=True)) for r in rows], "gram string, bit long, rule string, segment int, clause int, all_bits long, all_segments long")
+
+
+def _table(docs: DataFrame, rows: list[dict], schema: str) -> DataFrame:
+    """A small table of constants."""
+    return docs.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
 
 
 def postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -177,7 +182,8 @@ def postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     scanned = [F.when(F.col("text").rlike(r.pattern), F.struct(F.lit(None).cast("string").alias("gram"), F.lit(r.name).alias("rule"))) for r in rules if not queries[r]]
     if scanned:
         entries = F.concat(entries, F.array_compact(F.array(*scanned)))
-    return _keyed(docs, entries.alias("e")).select("key", F.inline("e"))
+    # an outer generator: for the other kind Spark would add a filter that works the entries out once more
+    return _keyed(docs, entries.alias("e")).select("key", F.inline_outer("e")).filter("gram is not null or rule is not null")
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -190,7 +196,7 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         return found
     met = index.filter("gram is not null").select("key", "gram").join(F.broadcast(clauses), "gram")
     met = met.groupBy("key", "rule", "segment", "clause", "all_bits", "all_segments").agg(F.bit_or("bit").alias("bits")).filter("bits = all_bits")
-    met = met.groupBy("key", "rule", "all_segments").agg(F.bit_or(F.expr("shiftleft(1L, int(segment))")).alias("segments")).filter("segments = all_segments")
+    met = met.groupBy("key", "rule", "all_segments").agg(F.bit_or(F.expr("shiftleft(1L, segment)")).alias("segments")).filter("segments = all_segments")
     return met.select("key", "rule").unionByName(found)
 
 
@@ -198,8 +204,8 @@ def verified(docs: DataFrame, candidate: DataFrame, rules: tuple[Rule, ...] = RU
     """(key, rule, ord, start, end) of every span: the patterns run over the candidates.
 
     The parts between matches give the positions: their lengths and those of the matches before are added up by a window over one text."""
-    table = [F.struct(F.lit(r.name).alias("rule"), F.lit(i).alias("ord"), F.lit(r.pattern).alias("pattern"), F.lit(r.group).alias("part"), F.lit(r.least).alias("least")) for i, r in enumerate(rules)]
-    patterns = F.broadcast(docs.sparkSession.range(1).select(F.inline(F.array(*table))))
+    table = [{"rule": r.name, "ord": i, "pattern": r.pattern, "part": r.group, "least": r.least} for i, r in enumerate(rules)]
+    patterns = F.broadcast(_table(docs, table, "rule string, ord int, pattern string, part int, least int"))
     texts = _keyed(docs, "text").join(candidate, "key").join(patterns, "rule")
     zipped = F.arrays_zip(F.split("text", F.col("pattern"), -1).alias("gap"), F.regexp_extract_all("text", F.col("pattern"), F.lit(0)).alias("match"))
     rows = texts.select("key", "rule", "ord", "pattern", "part", "least", F.posexplode(zipped).alias("i", "z")).filter("z.match is not null")
