@@ -174,3 +174,12 @@ def byte_table(words: bool = True, *, separators: tuple[int, ...] = (), keep: st
         out[[ord(c) for c in keep]] = True
     out[list(separators)] = False
     return out if words else ~out
+
+
+def looked_up(asks: DataFrame, answers: DataFrame, keys: list[str], spread: str) -> DataFrame:
+    """``asks`` with the columns of ``answers`` (one row for each value of ``keys``); null where there is none.
+
+    However many rows ask for one key, no task gets them all: ``answers`` first meets the distinct pairs of a key and a value of
+    ``spread``, a column of ``asks`` that splits the rows of a key, and ``asks`` then meets the answered pairs."""
+    pairs = asks.select(*keys, spread).distinct()
+    return asks.join(pairs.join(answers, keys), [*keys, spread], "left")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .conversation_trie import conversation_trie
 from .exact_dedup import exact_dedup
 from .license_index import scan_licenses
 from .near_dedup import near_groups
@@ -76,6 +77,10 @@ def op11_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_license_index": op10_license_index,
         "op11_secret_index": op11_secret_index,
+        "op13_conversation_trie": op13_conversation_trie,
     }
 
 
@@ -141,5 +147,34 @@ FROM d LEFT JOIN texts USING (rid)
 """
 
 
+def _crc_entry(value: int) -> int:
+    for _ in range(8):
+        value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+    return value
+
+
+_CRC32 = f"xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda a, x: xor(a >> 8, {[_crc_entry(i) for i in range(256)]}[(xor(a, x) & 255) + 1]), 4294967295), 4294967295)"
+
+OP13_SQL = f"""
+WITH o AS (
+  SELECT conv_id, coalesce(text, '') AS text, d, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) - 1 AS pos
+  FROM (SELECT *, sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS d FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, count(*) AS n, {_CRC32} % 9 AS h, conv_id - conv_id % 5 AS base FROM o GROUP BY conv_id),
+r AS (
+  SELECT c.conv_id, pos + 1 AS depth, d, text FROM c JOIN o ON o.conv_id = c.base AND pos < h
+  UNION ALL SELECT c.conv_id, least(c.h, coalesce(b.n, 0)) + pos - c.h + 1, d, text FROM c JOIN o ON o.conv_id = c.conv_id AND pos >= c.h LEFT JOIN c b ON b.conv_id = c.base
+  UNION ALL SELECT conv_id, 0, '', '' FROM c),
+k AS (
+  SELECT conv_id, depth, strlen(text) AS bytes, string_agg(d, '') OVER (PARTITION BY conv_id ORDER BY depth) AS key, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM r),
+nodes AS (SELECT key, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(bytes) AS bytes, string_agg(conv_id, ',' ORDER BY conv_id) FILTER (last) AS ends FROM k GROUP BY key),
+kids AS (SELECT substr(key, 1, (depth - 1) * 64) AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+totals AS (
+  SELECT up.key, count(*) FILTER (kids.key IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.bytes) AS saved
+  FROM nodes n LEFT JOIN kids USING (key) JOIN k up ON up.conv_id = n.conv_id AND up.depth <= n.depth GROUP BY up.key)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN totals ON totals.key = n.key LEFT JOIN kids ON kids.key = n.key LEFT JOIN nodes p ON n.depth > 0 AND p.key = substr(n.key, 1, (n.depth - 1) * 64)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_rules": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op11_secret_index": OP11_SQL}
+    return {"op4_url_rules": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op11_secret_index": OP11_SQL, "op13_conversation_trie": OP13_SQL}
