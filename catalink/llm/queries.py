@@ -11,6 +11,7 @@ from .conversation_trie import conversation_trie
 from .exact_dedup import exact_dedup
 from .license_index import scan_licenses
 from .near_dedup import near_groups
+from .pivot_phrases import collocations
 from .quality import quality_scores
 from .secret_index import RULES as SECRET_RULES
 from .secret_index import scan_secrets
@@ -77,6 +78,10 @@ def op11_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op12_pivot_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -94,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_license_index": op10_license_index,
         "op11_secret_index": op11_secret_index,
+        "op12_pivot_phrases": op12_pivot_phrases,
         "op13_conversation_trie": op13_conversation_trie,
     }
 
@@ -147,6 +153,29 @@ FROM d LEFT JOIN texts USING (rid)
 """
 
 
+OP12_SQL = f"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS p, lang, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+words AS (SELECT p, lang, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM (SELECT p, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces)),
+w1 AS (SELECT p, lang, i, [word] AS g1, lead(word, 1) OVER o AS b, lead(word, 2) OVER o AS c, lead(word, 3) OVER o AS d, lead(word, 4) OVER o AS e FROM words WINDOW o AS (PARTITION BY p ORDER BY i)),
+grams AS (
+  SELECT lang, g1 AS g FROM w1 UNION ALL SELECT lang, g1 || [b] FROM w1 WHERE b IS NOT NULL UNION ALL SELECT lang, g1 || [b, c] FROM w1 WHERE c IS NOT NULL
+  UNION ALL SELECT lang, g1 || [b, c, d] FROM w1 WHERE d IS NOT NULL UNION ALL SELECT lang, g1 || [b, c, d, e] FROM w1 WHERE e IS NOT NULL),
+f AS (SELECT lang, g, len(g) AS m, count(*) AS a FROM grams GROUP BY lang, g HAVING count(*) >= 100),
+totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+cuts AS (
+  SELECT f.lang, f.g, f.a, n, k, l.a AS l, r.a AS r, CAST(CAST(1000 AS HUGEINT) * f.a * n // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+  FROM f JOIN (VALUES (1), (2), (3), (4)) AS ks(k) ON k < f.m JOIN f l ON l.lang = f.lang AND l.g = f.g[1:k] JOIN f r ON r.lang = f.lang AND r.g = f.g[k + 1:] JOIN totals ON totals.lang = f.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT DISTINCT f.lang, f.g[s:s + size - 1] AS g, f.a FROM f, (VALUES (2), (3), (4)) AS sizes(size), (VALUES (1), (2), (3), (4)) AS starts(s) WHERE size < f.m AND s + size - 1 <= f.m),
+left_over AS (SELECT * FROM best b WHERE NOT EXISTS (SELECT 1 FROM inner_parts i WHERE i.lang = b.lang AND i.g = b.g AND 100 * i.a >= 100 * b.a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank, array_to_string(g, ' ') AS phrase, a, l, r, n, score
+FROM left_over QUALIFY rank <= 2000
+"""
+
+
 def _crc_entry(value: int) -> int:
     for _ in range(8):
         value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
@@ -177,4 +206,4 @@ FROM nodes n JOIN totals ON totals.key = n.key LEFT JOIN kids ON kids.key = n.ke
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_rules": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op11_secret_index": OP11_SQL, "op13_conversation_trie": OP13_SQL}
+    return {"op4_url_rules": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op11_secret_index": OP11_SQL, "op12_pivot_phrases": OP12_SQL, "op13_conversation_trie": OP13_SQL}
