@@ -206,7 +206,8 @@ def verified(docs: DataFrame, candidate: DataFrame, rules: tuple[Rule, ...] = RU
     The parts between matches give the positions: their lengths and those of the matches before are added up by a window over one text."""
     table = [{"rule": r.name, "ord": i, "pattern": r.pattern, "part": r.group, "least": r.least} for i, r in enumerate(rules)]
     patterns = F.broadcast(_table(docs, table, "rule string, ord int, pattern string, part int, least int"))
-    texts = _keyed(docs, "text").join(candidate, "key").join(patterns, "rule")
+    # a merge join whatever the size: a broadcast of the candidates would grow with the documents
+    texts = _keyed(docs, "text").join(candidate.hint("merge"), "key").join(patterns, "rule")
     zipped = F.arrays_zip(F.split("text", F.col("pattern"), -1).alias("gap"), F.regexp_extract_all("text", F.col("pattern"), F.lit(0)).alias("match"))
     rows = texts.select("key", "rule", "ord", "pattern", "part", "least", F.posexplode(zipped).alias("i", "z")).filter("z.match is not null")
     rows = rows.select(
@@ -229,7 +230,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[R
     def joined(of: Column) -> Column:
         return F.coalesce(F.array_join(F.transform(of, lambda x: F.concat_ws(":", x["rule"], x["start"], x["end"])), ","), F.lit(""))
 
-    rows = _keyed(docs, "doc_id").join(listed, "key", "left")
+    rows = _keyed(docs, "doc_id").join(listed.hint("merge"), "key", "left")
     def among(*names: str) -> Column:
         return F.filter("s", lambda x: x["rule"].isin(*names))
 
