@@ -123,6 +123,17 @@ CTES: dict[str, str] = {
     "new_manual": f"SELECT page_id AS local_page_id, upstream_id AS upstream_page_id, '{L.REASON_READ_LOCK}' AS reason FROM routes WHERE route = 'read_locked'",
 }
 
+CTES |= {
+    "paged": "SELECT list, coalesce('t' || asked, '^') AS tok, 't' || json_extract_string(body, '$.continue.apcontinue') AS next, pos, coalesce(json_array_length(body, '$.query.allpages'), 0) AS n, body FROM paged_answers",
+    "nodes": "SELECT * FROM paged QUALIFY pos = max(pos) OVER (PARTITION BY list, tok)",
+    "chain": """SELECT list, tok, min(rank) AS rank, arg_min(before, rank) AS before FROM (
+      WITH RECURSIVE walk AS (
+        SELECT list, tok, next, 0 AS rank, 0 AS before, n FROM nodes WHERE tok = '^'
+        UNION ALL SELECT w.list, m.tok, m.next, w.rank + 1, w.before + w.n, m.n FROM walk w JOIN nodes m ON m.list = w.list AND m.tok = w.next WHERE w.rank < (SELECT max(c) FROM (SELECT count(*) AS c FROM nodes GROUP BY list)))
+      SELECT * FROM walk) GROUP BY list, tok""",
+    "listed": "SELECT nodes.*, rank, before FROM nodes JOIN chain USING (list, tok)",
+}
+
 
 def over(select: str) -> str:
     """The select with the relations that it needs, in order."""
@@ -166,6 +177,14 @@ SELECTS: dict[str, str] = {
     "template_extract": f"SELECT title, {template_value('content')} AS value FROM page_content",
     "duration_format": "SELECT o_orderkey, CASE WHEN o_orderkey * 7 >= 3600 THEN printf('%02d:%02d:%02d', (o_orderkey * 7) // 3600, (o_orderkey * 7) % 3600 // 60, (o_orderkey * 7) % 60) ELSE printf('%02d:%02d', (o_orderkey * 7) // 60, (o_orderkey * 7) % 60) END AS text FROM orders",
     "json_listing": "SELECT pos AS batch, place, CAST(json_extract_string(body, '$.query.allpages[' || place || '].pageid') AS BIGINT) AS id, json_extract_string(body, '$.query.allpages[' || place || '].title') AS title FROM listing_answers, (VALUES (0), (1)) AS p(place) WHERE json_extract(body, '$.query.allpages[' || place || ']') IS NOT NULL",
+    "listing_in_order": "SELECT list, CAST(before + place AS BIGINT) AS ordinal, CAST(json_extract_string(body, '$.query.allpages[' || place || '].pageid') AS BIGINT) AS id, json_extract_string(body, '$.query.allpages[' || place || '].title') AS title FROM listed, (VALUES (0), (1)) AS p(place) WHERE place < n",
+    "listing_broken": """SELECT list, problem, CASE WHEN token <> '^' THEN substr(token, 2) END AS token FROM (
+      SELECT list, 'gap' AS problem, next AS token FROM listed l WHERE next IS NOT NULL AND NOT EXISTS (SELECT 1 FROM nodes n WHERE n.list = l.list AND n.tok = l.next)
+      UNION ALL SELECT l.list, 'loop', l.next FROM listed l JOIN chain c ON c.list = l.list AND c.tok = l.next WHERE c.rank <= l.rank
+      UNION ALL SELECT list, 'fork', tok FROM paged GROUP BY list, tok HAVING count(DISTINCT coalesce(next, '$')) > 1
+      UNION ALL SELECT list, 'merge', next FROM nodes WHERE next IS NOT NULL GROUP BY list, next HAVING count(*) > 1
+      UNION ALL SELECT list, 'stray', tok FROM nodes n WHERE NOT EXISTS (SELECT 1 FROM chain c WHERE c.list = n.list AND c.tok = n.tok)
+      UNION ALL SELECT list, 'headless', '^' FROM nodes GROUP BY list HAVING count(*) FILTER (tok = '^') = 0)""",
     "json_category": "SELECT category, pos * 500 + place AS ordinal, json_extract_string(body, '$.query.categorymembers[' || place || '].title') AS title, CAST(json_extract_string(body, '$.query.categorymembers[' || place || '].pageid') AS BIGINT) AS page_id FROM category_answers, (VALUES (0), (1)) AS p(place) WHERE json_extract(body, '$.query.categorymembers[' || place || ']') IS NOT NULL",
     "json_content": "SELECT title, CASE WHEN pos % 10 IN (3, 4) THEN NULL ELSE json_extract_string(body, '$.query.pages[0].revisions[0].slots.main.content') END AS content, pos % 10 = 3 AS denied FROM content_answers",
     "json_lock": "SELECT json_extract_string(p, '$.title') AS title, coalesce(json_extract_string(p, '$.allevel'), 'none') AS allevel, coalesce(CAST(json_extract_string(p, '$.missing') AS BOOLEAN), false) AS missing, CAST(json_extract_string(p, '$.pageid') AS BIGINT) AS page_id FROM (SELECT unnest(CAST(json_extract(body, '$.query.pages') AS JSON[])) AS p FROM lock_answers)",

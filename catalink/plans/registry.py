@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions import text as T
-from ..operators import ingest, locks, matching, provenance, reports
+from ..operators import continuation, ingest, locks, matching, provenance, reports
 from ..sources import json_answers
 from ..sources.workload import relation
 from .oracle import ORACLE
@@ -70,6 +70,17 @@ def _upsert(c: Catalogs) -> DataFrame:
     return ingest.upserted(old, arriving, "id", {"upstream_id": None, "match_type": L.MATCH_NONE})
 
 
+def _listing(c: Catalogs) -> DataFrame:
+    answers = json_answers.paged(c["paged_answers"])
+    items = json_answers.listing_rows(c["paged_answers"]).withColumnRenamed("batch", "pos")
+    return continuation.in_order(answers, continuation.ranked(answers), items)
+
+
+def _broken(c: Catalogs) -> DataFrame:
+    answers = json_answers.paged(c["paged_answers"])
+    return continuation.broken(answers, continuation.ranked(answers))
+
+
 def _domains(c: Catalogs) -> DataFrame:
     rows = c["edited_rows"]
     return ingest.outside_domain(rows, "status", L.STATUSES).union(ingest.outside_domain(rows, "match_type", L.MATCH_TYPES)).distinct()
@@ -114,6 +125,8 @@ _QUERIES: dict[str, Callable[[Catalogs], DataFrame]] = {
     "template_extract": lambda c: c["page_content"].select("title", T.template_value(F.col("content")).alias("value")),
     "duration_format": lambda c: c.spark.read.parquet(f"{c.sf_dir}/orders.parquet").select("o_orderkey", T.duration(F.col("o_orderkey") * 7).alias("text")),
     "json_listing": lambda c: json_answers.listing_rows(c["listing_answers"]),
+    "listing_in_order": _listing,
+    "listing_broken": _broken,
     "json_category": lambda c: json_answers.category_rows(c["category_answers"]),
     "json_content": lambda c: json_answers.content_rows(c["content_answers"]),
     "json_lock": lambda c: json_answers.lock_rows(c["lock_answers"]),

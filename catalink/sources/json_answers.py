@@ -21,6 +21,12 @@ def listing_rows(answers: DataFrame) -> DataFrame:
     return pages.select("batch", "place", F.col("p.pageid").alias("id"), F.col("p.title").alias("title"))
 
 
+def paged(answers: DataFrame) -> DataFrame:
+    """(list, asked, next, pos, n): the token that each answer gives for the next one, and the rows that it lists. ``answers`` also has list and asked."""
+    size = F.coalesce(F.size("a.query.allpages"), F.lit(0))
+    return _parsed(answers, schemas.LISTING_JSON).select("list", "asked", F.col("a.continue.apcontinue").alias("next"), "pos", F.greatest(size, F.lit(0)).alias("n"))
+
+
 def category_rows(answers: DataFrame) -> DataFrame:
     """(category, ordinal, title, page_id) of every member; ``answers`` also has the category."""
     members = _parsed(answers, schemas.CATEGORY_JSON).select("category", "pos", F.posexplode("a.query.categorymembers").alias("place", "m"))

@@ -55,6 +55,22 @@ def _values(rows) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows) + ")"
 
 
+_PLACED = "SELECT o_orderkey AS n, o_orderkey % 64 AS l, row_number() OVER (PARTITION BY o_orderkey % 64 ORDER BY o_orderkey) AS i, lag(o_orderkey) OVER (PARTITION BY o_orderkey % 64 ORDER BY o_orderkey) AS prev, lead(o_orderkey) OVER (PARTITION BY o_orderkey % 64 ORDER BY o_orderkey) AS nxt FROM orders"
+_PAGES = "CASE n % 3 WHEN 0 THEN '' WHEN 1 THEN concat('\"allpages\": [{\"pageid\": ', CAST(n AS STRING), ', \"title\": \"p', CAST(n AS STRING), '\"}]') ELSE concat('\"allpages\": [{\"pageid\": ', CAST(n AS STRING), ', \"title\": \"p', CAST(n AS STRING), '\"}, {\"pageid\": ', CAST(n + 100000000 AS STRING), ', \"title\": \"q', CAST(n AS STRING), '\"}]') END"
+#: Token of the next answer; in some lists the last answer leads back.
+_NEXT = "CASE WHEN nxt IS NOT NULL THEN concat('k', CAST(nxt AS STRING)) WHEN l % 16 = 5 THEN concat('k', CAST(prev AS STRING)) END"
+
+
+def _answer(pos: str, asked: str, following: str, where: str) -> str:
+    body = f"concat('{{\"query\": {{', {_PAGES}, '}}', coalesce(', \"continue\": {{\"apcontinue\": \"' || {following} || '\"}}', ''), '}}')"
+    return f"SELECT {pos} AS pos, concat('list ', CAST(l AS STRING)) AS list, {asked} AS asked, {body} AS body FROM ({_PLACED}) b WHERE {where}"
+
+
+_ARRIVAL = "(n * 7919) % 10007 * 10000000 + n"
+_TOKEN = "CASE WHEN prev IS NOT NULL THEN concat('k', CAST(n AS STRING)) END"
+#: Lists by their number modulo 16: an answer is missing (3), the last leads back (5), another answer to one token (7; it counts from list 32 on), no first answer (9), two answers lead to one (11).
+_PRESENT = "NOT (l % 16 = 3 AND i = 9) AND NOT (l % 16 = 9 AND i = 1)"
+
 RELATIONS: dict[str, str] = {
     "base": _BASE,
     # arrival logs: now and then a row comes under the id of the one before
@@ -77,6 +93,15 @@ RELATIONS: dict[str, str] = {
     # local rows that someone has edited by hand
     "edited_rows": f"SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN '{L.STATUS_DOCUMENTED}' WHEN 'O' THEN '{L.STATUS_KEPT}' ELSE 'other' END AS status, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN '{L.MATCH_IMPORTED}' WHEN '2' THEN '{L.MATCH_NONE}' WHEN '3' THEN '{L.MATCH_UNRELATED}' ELSE 'other' END AS match_type FROM orders",
     "listing_answers": "SELECT o_orderkey AS pos, CASE o_orderkey % 4 WHEN 0 THEN '{\"query\": {}}' WHEN 1 THEN concat('{\"query\": {\"allpages\": [{\"pageid\": ', CAST(o_orderkey AS STRING), ', \"title\": \"a', CAST(o_orderkey AS STRING), '\"}]}}') ELSE concat('{\"query\": {\"allpages\": [{\"pageid\": ', CAST(o_orderkey AS STRING), ', \"title\": \"a', CAST(o_orderkey AS STRING), '\"}, {\"pageid\": 7, \"title\": \"b\"}]}, \"continue\": {\"apcontinue\": \"c\"}}') END AS body FROM orders",
+    # answers of listings with tokens, in any order, every fifth one twice
+    "paged_answers": " UNION ALL ".join(
+        (
+            _answer(_ARRIVAL, _TOKEN, _NEXT, _PRESENT),
+            _answer(f"{_ARRIVAL} + 200000000000", _TOKEN, _NEXT, f"n % 5 = 0 AND {_PRESENT}"),
+            _answer("CASE WHEN l < 32 THEN -n ELSE 300000000000 + n END", _TOKEN, "CAST(NULL AS STRING)", "l % 16 = 7 AND i = 6"),
+            _answer("400000000000 + n", "concat('odd', CAST(n AS STRING))", _NEXT, "l % 16 = 11 AND i = 8"),
+        )
+    ),
     "category_answers": "SELECT o_orderpriority AS category, o_orderkey AS pos, CASE o_orderkey % 4 WHEN 0 THEN '{}' WHEN 1 THEN concat('{\"query\": {\"categorymembers\": [{\"pageid\": ', CAST(o_orderkey AS STRING), ', \"title\": \"a\"}]}}') ELSE concat('{\"query\": {\"categorymembers\": [{\"title\": \"b', CAST(o_orderkey AS STRING), '\"}, {\"pageid\": 7, \"title\": \"c\"}]}}') END AS body FROM orders",
     "content_answers": "SELECT o_orderkey AS pos, concat('t', CAST(o_orderkey AS STRING)) AS title, CASE WHEN o_orderkey % 10 = 3 THEN '{\"error\": {\"code\": \"denied\"}}' WHEN o_orderkey % 10 = 4 THEN concat('{\"query\": {\"pages\": [{\"title\": \"t', CAST(o_orderkey AS STRING), '\"}]}}') ELSE concat('{\"query\": {\"pages\": [{\"title\": \"t', CAST(o_orderkey AS STRING), '\", \"revisions\": [{\"slots\": {\"main\": {\"content\": \"c ', o_orderpriority, '\"}}}, {\"slots\": {\"main\": {\"content\": \"old\"}}}]}]}}') END AS body FROM orders",
     "lock_answers": "SELECT o_orderkey AS pos, CASE o_orderkey % 4 WHEN 0 THEN concat('{\"query\": {\"pages\": [{\"title\": \"t', CAST(o_orderkey AS STRING), '\", \"missing\": true}]}}') WHEN 1 THEN '{\"query\": {}}' ELSE concat('{\"query\": {\"pages\": [{\"title\": \"t', CAST(o_orderkey AS STRING), '\", \"allevel\": \"create\", \"pageid\": ', CAST(o_orderkey AS STRING), '}, {\"title\": \"u', CAST(o_orderkey AS STRING), '\", \"allevel\": \"read\"}]}}') END AS body FROM orders",
