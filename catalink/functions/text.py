@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from .labels import MONTHS
+from .normal_form import composed
 
 # White space, direction marks, quotes and dashes that hygiene treats.
 WS = r"[\s\x1c-\x1f\x85\p{Z}]"
@@ -24,14 +22,9 @@ TRANSLATE_FROM, TRANSLATE_TO = QUOTES_FROM + DASHES + NBSP, QUOTES_TO + "-" * le
 _STABLE = r"^[\x{0}-\x{2ff}\x{5be}\x{5d0}-\x{5ea}\x{5f3}\x{5f4}\x{200e}-\x{201f}\x{202a}-\x{202e}]*$"
 
 
-@F.pandas_udf(StringType())
-def _compose(titles: pd.Series) -> pd.Series:
-    return titles.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
-
-
 def nfc(title: Column) -> Column:
-    """Unicode normal form C. Spark has no built-in; a title that can't change goes to Python as null, which costs little."""
-    return F.coalesce(_compose(F.when(~title.rlike(_STABLE), title)), title)
+    """Unicode normal form C. A title that can't change isn't taken apart."""
+    return F.coalesce(composed(F.when(~title.rlike(_STABLE), title)), title)
 
 
 def collapsed(text: Column) -> Column:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .work import saved
 
 
 def scanned(table: DataFrame, after: int = 0) -> DataFrame:
@@ -16,6 +19,38 @@ def first_page(table: DataFrame, after: int, size: int) -> DataFrame:
     return scanned(table, after).orderBy("id", "title").limit(size)
 
 
+def numbered(table: DataFrame, after: int = 0) -> DataFrame:
+    """The rows above ``after`` with ``number``, their place in the order of id, from 0. Ids are unique, as those of a keyset scan must be.
+
+    Rows are sorted over all partitions and keep their place in their own; the rows of the partitions before come from one count for each
+    partition. No window holds the table."""
+    rows = scanned(table, after).repartitionByRange("id").sortWithinPartitions("id")
+    rows = saved(rows.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "numbered")
+    parts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    # a row for each partition, so one small window, and a broadcast that is bounded by their number
+    along = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = parts.withColumn("_before", F.sum("_n").over(along) - F.col("_n")).select("_part", "_first", "_before")
+    placed = rows.join(F.broadcast(parts), "_part")
+    return placed.withColumn("number", F.col("_before") + F.col("_at") - F.col("_first")).drop("_part", "_at", "_first", "_before")
+
+
+def page_requests(rows: DataFrame, size: int, after: int = 0) -> DataFrame:
+    """(page, cursor, n, last): the requests of a keyset scan over numbered rows: what each asks for ids above, and the rows that it gets.
+
+    The scan ends with the first page that isn't full, so a table of whole pages (or none) has a last request that gets nothing."""
+    full = rows.groupBy(F.expr(f"number div {size}").alias("page")).agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last"))
+    asked = full.filter(F.col("n") == size).select((F.col("page") + 1).alias("page"), F.col("last").alias("cursor"))
+    first = rows.sparkSession.range(1).select(F.lit(0).cast("long").alias("page"), F.lit(after).cast("long").alias("cursor"))
+    requests = asked.unionByName(first).join(full, "page", "left")
+    return requests.select("page", "cursor", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "last")
+
+
+def paginated(rows: DataFrame, size: int, after: int = 0) -> DataFrame:
+    """Numbered rows with their page, their place in it and the cursor that asks for the page."""
+    placed = rows.withColumns({"page": F.expr(f"number div {size}"), "place": F.col("number") % size}).drop("number")
+    return placed.join(page_requests(rows, size, after).select("page", "cursor"), "page")
+
+
 def last_of(rows: DataFrame, key: str, *columns: str) -> DataFrame:
     """One row for each value of ``key``: the last by ``pos``; without such a column, the one with the largest values."""
     values = F.struct(*columns)

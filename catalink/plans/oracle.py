@@ -147,6 +147,8 @@ def over(select: str) -> str:
             needed.add(name)
             todo.append(CTES[name])
     parts = [f"{name} AS ({CTES[name]})" for name in CTES if name in needed]
+    if parts and select.startswith("WITH "):
+        return f"WITH {', '.join(parts)}, {select[5:]}"
     return f"WITH {', '.join(parts)} {select}" if parts else select
 
 
@@ -155,6 +157,8 @@ _SHOWN = "NOT needs_attention AND NOT is_dictionary_entry"
 
 SELECTS: dict[str, str] = {
     "scan_keyset_topk": "SELECT id, title FROM upstream_log WHERE id > 100 ORDER BY id, title LIMIT 500",
+    "scan_pages": "SELECT page, place, id, title, coalesce(max(id) FILTER (place = 499) OVER (ORDER BY page RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cursor FROM (SELECT id, title, (row_number() OVER (ORDER BY id) - 1) // 500 AS page, (row_number() OVER (ORDER BY id) - 1) % 500 AS place FROM upstream WHERE id > 0)",
+    "scan_requests": "WITH p AS (SELECT (r - 1) // 500 AS page, count(*) AS n, max(id) AS last FROM (SELECT id, row_number() OVER (ORDER BY id) AS r FROM upstream WHERE id > 0) GROUP BY 1), q AS (SELECT 0 AS page, 0 AS cursor UNION ALL SELECT page + 1, last FROM p WHERE n = 500) SELECT q.page, q.cursor, coalesce(p.n, 0) AS n, p.last FROM q LEFT JOIN p USING (page)",
     "upsert_fold_upstream": "SELECT pos, id, title, checked_at FROM upstream",
     "reload_fresh": _fold("upstream_log"),
     "reload_resumed": _fold("(SELECT pos, id, title FROM stored_log UNION ALL SELECT pos, id, title FROM upstream_log)"),

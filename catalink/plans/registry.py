@@ -17,6 +17,9 @@ from .oracle import ORACLE
 #: The time of a run is a parameter; this one is that of the registered queries.
 RUN_AT = "2024-06-01 12:00:00"
 
+#: Rows of a page of a keyset scan.
+PAGE_ROWS = 500
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -103,6 +106,8 @@ def _summary(c: Catalogs) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[Catalogs], DataFrame]] = {
     "scan_keyset_topk": lambda c: ingest.first_page(c["upstream_log"], 100, 500).select("id", "title"),
+    "scan_pages": lambda c: ingest.paginated(ingest.numbered(c.upstream().select("id", "title")), PAGE_ROWS),
+    "scan_requests": lambda c: ingest.page_requests(ingest.numbered(c.upstream().select("id", "title")), PAGE_ROWS),
     "upsert_fold_upstream": lambda c: c.upstream(),
     "batch_dedupe_last_wins": lambda c: ingest.batch_dedupe(c["upstream_log"]),
     "stale_collisions": _stale,
