@@ -32,6 +32,8 @@ A class or id says nothing of an element that holds a main element, or an articl
 that stands in no other article: ``has-sidebar`` is a wrapper. Only where such an
 article stands elsewhere outside of all boilerplate, a whole class or id such as
 ``comments`` or ``related`` still names the branch, with the articles in it.
+A class counts as a whole: ``site-footer`` is a noise word among plain ones, ``footer-theory`` is not, and the id of a heading, paragraph or
+section never counts. If such names leave no text of a page, those but of adverts, comments and the like are set aside, and the tree judges.
 Inside an article or main element only the words of adverts, comments and the like (``INNER_NOISE_WORDS``) say
 something: a ``post-header`` or ``notice`` is part of the article there, unless the tree finds that it repeats.
 
@@ -89,6 +91,11 @@ INNER_NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising comment comments disqus newsletter promo promoted promotion related respond "
     "share sharing sidebar signup social sponsor sponsored subscribe subscription".split()
 )
+#: Words that stand beside those in a name and say nothing else: ``site-footer``, but not ``footer-theory``.
+PLAIN_WORDS = frozenset("area bar block bottom box button buttons container global inner item items left links list main page post posts primary right secondary section site slot thread top unit wrap wrapper".split())
+#: Elements whose id may name boilerplate; that of a heading, paragraph or section is a place to link to.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NAMED_BY_ID = frozenset("div ul ol aside nav table".split())
 MAIN_TAGS = frozenset({"article", "main"})
 
 TOKEN = re.compile(
@@ -99,21 +106,28 @@ ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'
 NAME_WORD = re.compile(r"[a-z]+")
 
 
-def _named(rest: str, noise_words: frozenset[str]) -> tuple[str, bool, bool]:
-    """The style name that class and id give, whether they name boilerplate, and whether the role or a hiding attribute does."""
+def _names(token: str, noise_words: frozenset[str]) -> bool:
+    """Whether a whole class or id names boilerplate: a noise word, with nothing beside it but plain words."""
+    words = NAME_WORD.findall(token)
+    return not noise_words.isdisjoint(words) and all(w in noise_words or w in PLAIN_WORDS for w in words)
+
+
+def _named(tag: str, rest: str, noise_words: frozenset[str]) -> tuple[str, bool, bool, bool]:
+    """The style name that class and id give, whether they name boilerplate, whether adverts, comments and the like, and whether the role or a hiding attribute names some."""
     if "=" not in rest:
-        return "", False, False
+        return "", False, False, False
     values = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(rest)}
     shown = " ".join(values.get(k, "") for k in ("class", "id")).strip().lower()
+    said = [] if tag in HEADINGS else values.get("class", "").lower().split() + ([values["id"].lower()] if "id" in values and tag in NAMED_BY_ID else [])
     hard = values.get("role", "").lower() in NOISE_ROLES or values.get("hidden") == "hidden" or values.get("aria-hidden") == "true"
-    return re.sub(r"\d+", "0", shown), not noise_words.isdisjoint(NAME_WORD.findall(shown)), hard
+    return re.sub(r"\d+", "0", shown), any(_names(t, noise_words) for t in said), any(_names(t, INNER_NOISE_WORDS) for t in said), hard
 
 
 class Page:
     """The elements of a page in order and its text blocks, without a tree of objects.
 
     ``paths``: hash of the style path of each element; ``children``: tags of the children; ``blocks``: (element, text).
-    ``noise`` and ``inside``: whether an element lies in a boilerplate branch, in an article or main element.
+    ``noise``, ``sure`` and ``inside``: whether an element lies in a boilerplate branch, in one by more than a vague class or id, in an article or main element.
     """
 
     def __init__(self, source: str):
@@ -121,6 +135,9 @@ class Page:
         wrappers = self._wrappers()
         if wrappers:
             self._parse(source, wrappers)
+        if not any(not self.noise[i] for i, _ in self.blocks):
+            # what names say would leave nothing of the page: it is left to the tree
+            self.noise = self.sure
 
     def _parse(self, source: str, wrappers: frozenset[int]) -> None:
         """``wrappers``: elements whose class or id doesn't make them boilerplate."""
@@ -132,7 +149,7 @@ class Page:
         self._in_article = [False]
         self.paths, self.children, self.parents = [path_hash("")], [[]], [0]
         self._below: dict[tuple[int, str], int] = {}
-        self.noise, self.inside, self.judged = [False], [False], [False]
+        self.noise, self.sure, self.inside, self.judged = [False], [False], [False], [False]
         self.blocks: list[tuple[int, str]] = []
         self._text: list[str] = []
         self._owner = 0
@@ -191,7 +208,7 @@ class Page:
             self._flush(tag)
 
     def _open(self, parent: int, tag: str, rest: str) -> int:
-        name, worded, hard = _named(rest, INNER_NOISE_WORDS if self.inside[parent] else NOISE_WORDS)
+        name, worded, clear, hard = _named(tag, rest, INNER_NOISE_WORDS if self.inside[parent] else NOISE_WORDS)
         place = len(self.paths)
         label = f"{tag}.{name}" if name else tag
         self.children[parent].append(label)
@@ -206,7 +223,9 @@ class Page:
         if worded and tag not in ("html", "body", "article", "main"):
             self._worded[place] = not NOISE_WORDS.isdisjoint(name.split())
             noise = hard or place not in self._exempt
-        self.noise.append(self.noise[parent] or tag in NOISE_TAGS or outer or noise and tag not in ("html", "body", "article", "main"))
+        by_name = noise and tag not in ("html", "body", "article", "main")
+        self.noise.append(self.noise[parent] or tag in NOISE_TAGS or outer or by_name)
+        self.sure.append(self.sure[parent] or tag in NOISE_TAGS or outer or (hard or clear) and by_name)
         if tag == "main":
             self._mains.append(place)
         elif tag == "article" and not self._in_article[parent]:

@@ -126,6 +126,23 @@ def test_inside_an_article(spark):
     assert [text(p) for p in pages] == [f"Title {i} Read the terms Body {i}." for i in range(10)]
 
 
+def test_names_are_taken_whole():
+    """A word inside a class or id says nothing: headings, sections and paragraphs of the article stay."""
+    page = "<article><h2 id='social-life'>Social life</h2><h2 id=related-work>Related work</h2><section id='share-of-gdp'>Share of GDP</section><p class='ad-hoc'>Ad hoc.</p></article>"
+    assert text(page) == "Social life Related work Share of GDP Ad hoc."
+    assert text("<body><div class='widget-content'><p>All of it.</p></div></body>") == "All of it."
+    # names alone would leave nothing of this page, but an advert is none of its text
+    assert text("<body><div class='widget'><p>All of it.</p><div class=ad>a</div></div></body>") == "All of it."
+    assert text("<body><div class=ad>a</div></body>") == ""
+    words = "Notice Share Social Related Comment Banner Header Footer Menu Login Skip Promo Sponsor Cookie Newsletter Sidebar Widget Popup Search Toolbar".split()
+    ends = "theory life work policy of-states history in-art and-law models 1990".split()
+    slugs = [f"{w.lower()}-{e}" for w in words for e in ends]
+    inner = "".join(f"<h2 id='{s}' class='{s}'>{s}</h2><p id='{s}-text'>{s}.</p>" for s in slugs)
+    assert len(slugs) == 200 and text(f"<main>{inner}</main>") == " ".join(f"{s} {s}." for s in slugs)
+    outer = "".join(f"<div class='{c}'>no</div>" for c in ("site-footer", "main-nav", "left sidebar", "cookie-banner", "share-buttons", "ad-slot", "menu", "comment-list"))
+    assert text(f"<body>{outer}<div><p>Yes.</p></div></body>") == "Yes."
+
+
 def test_deep_pages():
     """A page of deeply nested elements takes time and memory in proportion."""
     for source in ("<div>" * 100_000 + "x", "<main>" * 100_000 + "x", "<div class=sidebar>" * 50_000 + "<article>x", "<b>" * 50_000 + "<p>x"):
