@@ -181,6 +181,8 @@ SELECTS: dict[str, str] = {
     "template_extract": f"SELECT title, {template_value('content')} AS value FROM page_content",
     "duration_format": "SELECT o_orderkey, CASE WHEN o_orderkey * 7 >= 3600 THEN printf('%02d:%02d:%02d', (o_orderkey * 7) // 3600, (o_orderkey * 7) % 3600 // 60, (o_orderkey * 7) % 60) ELSE printf('%02d:%02d', (o_orderkey * 7) // 60, (o_orderkey * 7) % 60) END AS text FROM orders",
     "json_listing": "SELECT pos AS batch, place, CAST(json_extract_string(body, '$.query.allpages[' || place || '].pageid') AS BIGINT) AS id, json_extract_string(body, '$.query.allpages[' || place || '].title') AS title FROM listing_answers, (VALUES (0), (1)) AS p(place) WHERE json_extract(body, '$.query.allpages[' || place || ']') IS NOT NULL",
+    "stream_fold": "SELECT pos, id, title FROM upstream",
+    "cursor_listing": "SELECT (r - 1) // 500 AS batch, CAST((r - 1) % 500 AS INT) AS place, id, title FROM (SELECT id, title, row_number() OVER (ORDER BY id) AS r FROM upstream WHERE id > 0)",
     "listing_in_order": "SELECT list, CAST(before + place AS BIGINT) AS ordinal, CAST(json_extract_string(body, '$.query.allpages[' || place || '].pageid') AS BIGINT) AS id, json_extract_string(body, '$.query.allpages[' || place || '].title') AS title FROM listed, (VALUES (0), (1)) AS p(place) WHERE place < n",
     "listing_broken": """SELECT list, problem, CASE WHEN token <> '^' THEN substr(token, 2) END AS token FROM (
       SELECT list, 'gap' AS problem, next AS token FROM listed l WHERE next IS NOT NULL AND NOT EXISTS (SELECT 1 FROM nodes n WHERE n.list = l.list AND n.tok = l.next)

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions import text as T
 from ..operators import continuation, ingest, locks, matching, provenance, reports
-from ..sources import json_answers
+from ..operators.work import work_path
+from ..sources import cursor, json_answers
 from ..sources.workload import relation
+from ..streaming import state_fold
 from .oracle import ORACLE
 
 #: The time of a run is a parameter; this one is that of the registered queries.
@@ -84,6 +86,27 @@ def _broken(c: Catalogs) -> DataFrame:
     return continuation.broken(answers, continuation.ranked(answers))
 
 
+def _state_fold(c: Catalogs) -> DataFrame:
+    """The upstream log lands in files, and the stream folds them in several batches."""
+    landing, out, checkpoint = (work_path(c.spark, f"stream-{x}") for x in ("landing", "changes", "checkpoint"))
+    c["upstream_log"].select("pos", "batch", "id", "title").repartition(4, "batch").write.parquet(landing)
+    state_fold.start_state_fold(c.spark, landing, out, checkpoint, 2).awaitTermination()
+    return state_fold.table_of(c.spark, out)
+
+
+def _cursor_load(c: Catalogs) -> DataFrame:
+    """The pages of a keyset scan over the upstream table land as answers, each under the token that asks for it, and a stream follows the tokens."""
+    rows = ingest.paginated(ingest.numbered(c.upstream().select("id", "title")), PAGE_ROWS)
+    listed = F.sort_array(F.collect_list(F.struct(F.col("id").alias("pageid"), "title")))
+    answers = rows.groupBy("page").agg(F.max("cursor").alias("cursor"), F.max("id").alias("last"), listed.alias("allpages"))
+    following = F.when(F.size("allpages") == PAGE_ROWS, F.struct(F.col("last").cast("string").alias("apcontinue")))
+    body = F.to_json(F.struct(F.struct("allpages").alias("query"), following.alias("continue")))
+    path, out, checkpoint = (work_path(c.spark, f"cursor-{x}") for x in ("answers", "rows", "checkpoint"))
+    cursor.landed(answers.select(F.when(F.col("page") > 0, F.col("cursor").cast("string")).alias("asked"), body.alias("body")), path)
+    cursor.load(c.spark, path, out, checkpoint, answers=10)
+    return c.spark.read.schema("batch long, place int, id long, title string").parquet(out)
+
+
 def _domains(c: Catalogs) -> DataFrame:
     rows = c["edited_rows"]
     return ingest.outside_domain(rows, "status", L.STATUSES).union(ingest.outside_domain(rows, "match_type", L.MATCH_TYPES)).distinct()
@@ -130,6 +153,8 @@ _QUERIES: dict[str, Callable[[Catalogs], DataFrame]] = {
     "template_extract": lambda c: c["page_content"].select("title", T.template_value(F.col("content")).alias("value")),
     "duration_format": lambda c: c.spark.read.parquet(f"{c.sf_dir}/orders.parquet").select("o_orderkey", T.duration(F.col("o_orderkey") * 7).alias("text")),
     "json_listing": lambda c: json_answers.listing_rows(c["listing_answers"]),
+    "stream_fold": _state_fold,
+    "cursor_listing": _cursor_load,
     "listing_in_order": _listing,
     "listing_broken": _broken,
     "json_category": lambda c: json_answers.category_rows(c["category_answers"]),
