@@ -18,6 +18,9 @@ from .work import saved
 
 MATCH_COLUMNS = ("upstream_id", "match_type", "maybe_deleted_upstream", "normalization_match", "normalization_method", "title_normalized")
 
+#: The stages in which a row of the cascade may end.
+STAGES = ("empty", "manual_unresolved", "manual", "exact", "hygiene", "semantic", "denied", "template", "unmatched")
+
 
 def upstream_keys(upstream: DataFrame) -> DataFrame:
     """(key, upstream_id): the lowest id of each hygiene key; empty titles have no key."""

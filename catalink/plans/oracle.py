@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions import labels as L
+from ..operators.matching import STAGES
 from ..sources.workload import RELATIONS
 
 _WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
@@ -183,6 +184,13 @@ SELECTS: dict[str, str] = {
     "json_listing": "SELECT pos AS batch, place, CAST(json_extract_string(body, '$.query.allpages[' || place || '].pageid') AS BIGINT) AS id, json_extract_string(body, '$.query.allpages[' || place || '].title') AS title FROM listing_answers, (VALUES (0), (1)) AS p(place) WHERE json_extract(body, '$.query.allpages[' || place || ']') IS NOT NULL",
     "stream_fold": "SELECT pos, id, title FROM upstream",
     "cursor_listing": "SELECT (r - 1) // 500 AS batch, CAST((r - 1) % 500 AS INT) AS place, id, title FROM (SELECT id, title, row_number() OVER (ORDER BY id) AS r FROM upstream WHERE id > 0)",
+    "json_accepted": "SELECT pos FROM damaged_answers WHERE CASE WHEN json_valid(body) THEN coalesce(json_type(body, '$.query') = 'OBJECT', false) ELSE false END",
+    "json_rejected": "SELECT pos, body, CASE WHEN coalesce(trim(body), '') = '' THEN 'empty' ELSE 'malformed' END AS reason FROM damaged_answers WHERE NOT CASE WHEN json_valid(body) THEN coalesce(json_type(body, '$.query') = 'OBJECT', false) ELSE false END",
+    # what was denied and what wasn't, where the halves have come; a batch without its last halves leaves titles pending
+    "batch_isolated": "SELECT a.title, CASE WHEN NOT decided.d THEN a.content END AS content, decided.d AND decided.size = 1 AS denied, decided.d AND decided.size > 1 AS pending FROM asked_titles a JOIN (SELECT batch, title, arg_min(denied, size) AS d, min(size) AS size FROM batch_pages GROUP BY batch, title) decided USING (batch, title)",
+    "run_counters": "SELECT (SELECT count(*) FROM upstream) AS upstream_rows, (SELECT count(*) FROM local_pages) AS local_rows, (SELECT count(*) FROM matched WHERE maybe_deleted_upstream) AS maybe_deleted, "
+    + ", ".join(f"(SELECT count(*) FROM matched WHERE stage = '{s}') AS stage_{s}" for s in STAGES)
+    + ", (SELECT count(*) FROM months) AS dated_titles, (SELECT count(DISTINCT category) FROM dated_subcategories WHERE " + _MONTH_OF + " IS NOT NULL) AS valid_months, (SELECT count(*) FROM page_info WHERE coalesce(allevel, 'none') <> 'none') AS locked",
     "listing_in_order": "SELECT list, CAST(before + place AS BIGINT) AS ordinal, CAST(json_extract_string(body, '$.query.allpages[' || place || '].pageid') AS BIGINT) AS id, json_extract_string(body, '$.query.allpages[' || place || '].title') AS title FROM listed, (VALUES (0), (1)) AS p(place) WHERE place < n",
     "listing_broken": """SELECT list, problem, CASE WHEN token <> '^' THEN substr(token, 2) END AS token FROM (
       SELECT list, 'gap' AS problem, next AS token FROM listed l WHERE next IS NOT NULL AND NOT EXISTS (SELECT 1 FROM nodes n WHERE n.list = l.list AND n.tok = l.next)

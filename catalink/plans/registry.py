@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions import text as T
-from ..operators import continuation, ingest, locks, matching, provenance, reports
+from ..operators import batches, continuation, ingest, locks, matching, provenance, reports
+from ..operators.counters import Counters
 from ..operators.work import work_path
 from ..sources import cursor, json_answers
 from ..sources.workload import relation
@@ -107,6 +108,27 @@ def _cursor_load(c: Catalogs) -> DataFrame:
     return c.spark.read.schema("batch long, place int, id long, title string").parquet(out)
 
 
+def _isolated(c: Catalogs) -> DataFrame:
+    pages = c["batch_pages"]
+    answers = pages.groupBy("batch", "code").agg(F.max("denied").alias("denied")).withColumn("pos", F.lit(0))
+    return batches.isolated(c["asked_titles"], answers, pages.filter("not denied"))
+
+
+def _counters(c: Catalogs) -> DataFrame:
+    """The counts of a run from the passes that write its tables."""
+    counters = Counters()
+    one = F.count(F.lit(1))
+    dated = c["dated_subcategories"]
+    months = provenance.month_of(F.col("category"))
+    stages = {f"stage_{s}": F.count_if(F.col("stage") == s) for s in matching.STAGES}
+    counters.written(c.upstream(), "upstream", upstream_rows=one)
+    counters.written(c.matched(), "matched", local_rows=one, maybe_deleted=F.count_if("maybe_deleted_upstream"), **stages)
+    counters.written(provenance.month_map(dated), "months", dated_titles=one)
+    counters.written(dated.groupBy("category").agg(one.alias("n")), "subcategories", valid_months=F.count_if(months.isNotNull()))
+    counters.written(c["page_info"], "info", locked=F.count_if(F.coalesce("allevel", F.lit("none")) != "none"))
+    return c.spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in counters.counts().items()])
+
+
 def _domains(c: Catalogs) -> DataFrame:
     rows = c["edited_rows"]
     return ingest.outside_domain(rows, "status", L.STATUSES).union(ingest.outside_domain(rows, "match_type", L.MATCH_TYPES)).distinct()
@@ -156,6 +178,10 @@ _QUERIES: dict[str, Callable[[Catalogs], DataFrame]] = {
     "stream_fold": _state_fold,
     "cursor_listing": _cursor_load,
     "listing_in_order": _listing,
+    "json_accepted": lambda c: json_answers.accepted(c["damaged_answers"]).select("pos"),
+    "json_rejected": lambda c: json_answers.rejected(c["damaged_answers"]),
+    "batch_isolated": _isolated,
+    "run_counters": _counters,
     "listing_broken": _broken,
     "json_category": lambda c: json_answers.category_rows(c["category_answers"]),
     "json_content": lambda c: json_answers.content_rows(c["content_answers"]),

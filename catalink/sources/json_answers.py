@@ -15,6 +15,22 @@ def _parsed(answers: DataFrame, schema: str) -> DataFrame:
     return answers.withColumn("a", F.from_json("body", schema))
 
 
+def _checked(answers: DataFrame, schema: str) -> DataFrame:
+    return answers.withColumn("a", F.from_json("body", f"{schema}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+
+
+def accepted(answers: DataFrame, schema: str = schemas.LISTING_JSON) -> DataFrame:
+    """The answers whose body is a JSON object of the schema's shape; further fields don't matter."""
+    return _checked(answers, schema).filter("a is not null and a._corrupt is null and trim(body) <> ''").drop("a")
+
+
+def rejected(answers: DataFrame, schema: str = schemas.LISTING_JSON) -> DataFrame:
+    """The other answers with the reason: empty (null or blank) or malformed (cut off, no JSON object, a value of another type)."""
+    empty = F.coalesce(F.trim("body") == "", F.lit(True))
+    rows = _checked(answers, schema).filter(empty | F.col("a").isNull() | F.col("a._corrupt").isNotNull())
+    return rows.withColumn("reason", F.when(empty, "empty").otherwise("malformed")).drop("a")
+
+
 def listing_rows(answers: DataFrame) -> DataFrame:
     """(batch, place, id, title) of every listed page; ``batch`` is the position of the answer."""
     pages = _parsed(answers, schemas.LISTING_JSON).select(F.col("pos").alias("batch"), F.posexplode("a.query.allpages").alias("place", "p"))

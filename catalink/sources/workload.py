@@ -60,6 +60,26 @@ _PAGES = "CASE n % 3 WHEN 0 THEN '' WHEN 1 THEN concat('\"allpages\": [{\"pageid
 #: Token of the next answer; in some lists the last answer leads back.
 _NEXT = "CASE WHEN nxt IS NOT NULL THEN concat('k', CAST(nxt AS STRING)) WHEN l % 16 = 5 THEN concat('k', CAST(prev AS STRING)) END"
 
+_HALVES = 3
+
+
+def _halves() -> str:
+    """Titles of batches of 8 with the codes, sizes and places of the halves that hold them, level by level."""
+    sql = f"SELECT n, title, content, denied, CAST(floor(r / 8) AS BIGINT) AS batch, r % 8 AS p0, count(*) OVER (PARTITION BY floor(r / 8)) AS s0, '' AS c0 FROM (SELECT n, {_title(2)} AS title, concat('content ', base) AS content, n % 31 = 7 OR n % 37 = 5 AS denied, row_number() OVER (ORDER BY n) - 1 AS r FROM ({_BASE}) b WHERE n % 9 >= 6) x"
+    for i in range(_HALVES):
+        half = f"CAST(floor(s{i} / 2) AS BIGINT)"
+        sql = f"SELECT *, CASE WHEN s{i} > 1 THEN concat(c{i}, CASE WHEN p{i} < {half} THEN '0' ELSE '1' END) END AS c{i + 1}, CASE WHEN p{i} < {half} THEN p{i} ELSE p{i} - {half} END AS p{i + 1}, CASE WHEN p{i} < {half} THEN {half} ELSE s{i} - {half} END AS s{i + 1} FROM ({sql}) x{i}"
+    return sql
+
+
+def _batch_pages() -> str:
+    """(batch, code, title, content, denied, size) of each title in each node whose parent was denied."""
+    parts = [f"SELECT batch, c0 AS code, s0 AS size, title, content, max(CASE WHEN denied THEN 1 ELSE 0 END) OVER (PARTITION BY batch, c0) AS d FROM halves"]
+    for i in range(1, _HALVES + 1):
+        asked = f"max(CASE WHEN denied THEN 1 ELSE 0 END) OVER (PARTITION BY batch, c{i - 1})"
+        parts.append(f"SELECT batch, code, size, title, content, d FROM (SELECT batch, c{i} AS code, s{i} AS size, title, content, {asked} AS up, max(CASE WHEN denied THEN 1 ELSE 0 END) OVER (PARTITION BY batch, c{i}) AS d FROM halves WHERE c{i} IS NOT NULL) h WHERE up = 1")
+    return f"WITH halves AS ({_halves()}) " + " UNION ALL ".join(parts)
+
 
 def _answer(pos: str, asked: str, following: str, where: str) -> str:
     body = f"concat('{{\"query\": {{', {_PAGES}, '}}', coalesce(', \"continue\": {{\"apcontinue\": \"' || {following} || '\"}}', ''), '}}')"
@@ -102,6 +122,11 @@ RELATIONS: dict[str, str] = {
             _answer("400000000000 + n", "concat('odd', CAST(n AS STRING))", _NEXT, "l % 16 = 11 AND i = 8"),
         )
     ),
+    # what came of asking for contents in batches, halved where they were denied; some last halves are not there yet
+    "asked_titles": f"SELECT batch, p0 AS place, s0 AS size, title, content, denied FROM ({_halves()}) h",
+    "batch_pages": f"SELECT batch, code, title, content, d = 1 AS denied, size FROM ({_batch_pages()}) b WHERE NOT (batch % 17 = 3 AND length(code) > 2)",
+    # answers of which some are cut off, no JSON, of another shape, or empty
+    "damaged_answers": "SELECT o_orderkey AS pos, CASE WHEN o_orderkey % 7 = 0 THEN concat('{\"query\": {\"allpages\": [{\"pageid\": ', CAST(o_orderkey AS STRING)) WHEN o_orderkey % 11 = 0 THEN '<html>busy</html>' WHEN o_orderkey % 13 = 0 THEN '{\"query\": 5}' WHEN o_orderkey % 17 = 0 THEN ' ' WHEN o_orderkey % 19 = 0 THEN NULL ELSE concat('{\"query\": {\"allpages\": [{\"pageid\": ', CAST(o_orderkey AS STRING), ', \"title\": \"a\"}]}}') END AS body FROM orders",
     "category_answers": "SELECT o_orderpriority AS category, o_orderkey AS pos, CASE o_orderkey % 4 WHEN 0 THEN '{}' WHEN 1 THEN concat('{\"query\": {\"categorymembers\": [{\"pageid\": ', CAST(o_orderkey AS STRING), ', \"title\": \"a\"}]}}') ELSE concat('{\"query\": {\"categorymembers\": [{\"title\": \"b', CAST(o_orderkey AS STRING), '\"}, {\"pageid\": 7, \"title\": \"c\"}]}}') END AS body FROM orders",
     "content_answers": "SELECT o_orderkey AS pos, concat('t', CAST(o_orderkey AS STRING)) AS title, CASE WHEN o_orderkey % 10 = 3 THEN '{\"error\": {\"code\": \"denied\"}}' WHEN o_orderkey % 10 = 4 THEN concat('{\"query\": {\"pages\": [{\"title\": \"t', CAST(o_orderkey AS STRING), '\"}]}}') ELSE concat('{\"query\": {\"pages\": [{\"title\": \"t', CAST(o_orderkey AS STRING), '\", \"revisions\": [{\"slots\": {\"main\": {\"content\": \"c ', o_orderpriority, '\"}}}, {\"slots\": {\"main\": {\"content\": \"old\"}}}]}]}}') END AS body FROM orders",
     "lock_answers": "SELECT o_orderkey AS pos, CASE o_orderkey % 4 WHEN 0 THEN concat('{\"query\": {\"pages\": [{\"title\": \"t', CAST(o_orderkey AS STRING), '\", \"missing\": true}]}}') WHEN 1 THEN '{\"query\": {}}' ELSE concat('{\"query\": {\"pages\": [{\"title\": \"t', CAST(o_orderkey AS STRING), '\", \"allevel\": \"create\", \"pageid\": ', CAST(o_orderkey AS STRING), '}, {\"title\": \"u', CAST(o_orderkey AS STRING), '\", \"allevel\": \"read\"}]}}') END AS body FROM orders",
