@@ -43,7 +43,9 @@ def with_candidates(local: DataFrame, content: DataFrame) -> DataFrame:
     """Local rows with the keys of the three lookups: key_0 (hygiene), key_1 (rules, if one applied), key_2 (template).
 
     Of several contents of one title the last one counts."""
-    rows = with_rewritten(scanned(local), "title", "rewritten", "applied")
+    # an exchange of its own, with a fixed number of parts, for the join below: else this work, which is much for few bytes, would end up in few tasks
+    parts = int(local.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = with_rewritten(scanned(local).repartition(parts, "title"), "title", "rewritten", "applied")
     pages = last_of(content, "title", "content", "denied").withColumnRenamed("title", "_title")
     rows = rows.join(pages, rows["title"] == F.col("_title"), "left").drop("_title")
     rows = rows.withColumn("denied", F.coalesce("denied", F.lit(False))).withColumn("value", F.when(~F.col("denied"), template_value(F.col("content"))))
@@ -63,20 +65,29 @@ def key_hits(candidates: DataFrame, keys: DataFrame) -> DataFrame:
     return asked.join(keys, "key").groupBy("id").agg(F.min(F.struct("rank", "upstream_id")).alias("hit"))
 
 
+def prepared(local: DataFrame, upstream: DataFrame, content: DataFrame) -> DataFrame:
+    """The local rows with their candidate keys and ``hit``: what the cascade finds for them without curated links."""
+    # the rows are read twice: as rows, and for their keys
+    rows = saved(with_candidates(local, content), "candidates")
+    hits = key_hits(rows, upstream_keys(upstream)).select(F.col("id").alias("_hit_id"), "hit")
+    return rows.join(hits, rows["id"] == F.col("_hit_id"), "left").drop("_hit_id")
+
+
 def cascade(local: DataFrame, upstream: DataFrame, manual: DataFrame, content: DataFrame) -> DataFrame:
     """Every local row (id above 0) with its match columns and ``stage``.
 
     Rows in the stages empty, manual_unresolved and denied keep their values; so do, column by column, those that a
-    stage doesn't set. ``manual``: local_page_id, upstream_page_id. ``content``: title, content, denied."""
-    # both sides are read twice: as rows, and for their keys
-    rows = saved(with_candidates(local, content), "candidates")
-    upstream = saved(upstream.select("id", "title"), "upstream")
-    hits = key_hits(rows, upstream_keys(upstream)).select(F.col("id").alias("_hit_id"), "hit")
+    stage doesn't set. ``manual``: local_page_id, upstream_page_id. ``content``: title, content, denied. ``upstream`` is read twice and should be a stored table."""
+    return decided(prepared(local, upstream, content), upstream, manual)
+
+
+def decided(rows: DataFrame, upstream: DataFrame, manual: DataFrame) -> DataFrame:
+    """The cascade over ``prepared`` rows: curated links first, then the hits."""
     curated = manual.select(F.col("local_page_id").alias("_local"), F.col("upstream_page_id").alias("manual_id"))
     existing = scanned(upstream).select(F.col("id").alias("existing_id"))
     # only curated rows look for their target
     curated = curated.join(existing, curated["manual_id"] == existing["existing_id"], "left")
-    rows = rows.join(curated, rows["id"] == F.col("_local"), "left").join(hits, rows["id"] == F.col("_hit_id"), "left")
+    rows = rows.join(curated, rows["id"] == F.col("_local"), "left")
 
     rank = F.col("hit.rank")
     stage = (

@@ -135,6 +135,19 @@ CTES |= {
     "listed": "SELECT nodes.*, rank, before FROM nodes JOIN chain USING (list, tok)",
 }
 
+#: Runs until nothing is new, unrolled: more rounds than these find nothing.
+_ROUNDS = 9
+CTES |= {"one_info": "SELECT * FROM chained_info QUALIFY row_number() OVER (PARTITION BY title ORDER BY allevel DESC, page_id DESC) = 1", "hits": "SELECT id, title, upstream_id, h0, h1, h2, is_denied FROM joined", "manual_r0": "SELECT local_page_id, upstream_page_id FROM manual_matches", "blocked_r0": "SELECT title FROM blocked_titles"}
+for _k in range(_ROUNDS):
+    CTES |= {
+        f"refs_r{_k}": f"SELECT CASE WHEN hits.title = '' OR (m.upstream_page_id IS NOT NULL AND u.id IS NULL) THEN hits.upstream_id ELSE coalesce(m.upstream_page_id, h0, h1, CASE WHEN NOT is_denied THEN h2 END, hits.upstream_id) END AS ref FROM hits LEFT JOIN manual_r{_k} m ON m.local_page_id = hits.id LEFT JOIN upstream u ON u.id = m.upstream_page_id AND u.id > 0",
+        f"missing_r{_k}": f"SELECT id, title FROM upstream WHERE id NOT IN (SELECT ref FROM refs_r{_k} WHERE ref IS NOT NULL) AND title NOT IN (SELECT title FROM blocked_r{_k})",
+        f"shut_r{_k}": f"SELECT DISTINCT m.title FROM missing_r{_k} m JOIN one_info i USING (title) WHERE m.id > 0 AND allevel = 'create'",
+        f"taken_r{_k}": f"SELECT * FROM (SELECT page_id AS local_page_id, min(m.id) AS upstream_page_id FROM missing_r{_k} m JOIN one_info i USING (title) WHERE m.id > 0 AND allevel = 'read' GROUP BY page_id) t WHERE (local_page_id, upstream_page_id) NOT IN (SELECT (local_page_id, upstream_page_id) FROM manual_r{_k})",
+        f"blocked_r{_k + 1}": f"SELECT title FROM blocked_r{_k} UNION ALL SELECT title FROM shut_r{_k}",
+        f"manual_r{_k + 1}": f"SELECT * FROM taken_r{_k} UNION ALL SELECT * FROM manual_r{_k} WHERE local_page_id NOT IN (SELECT local_page_id FROM taken_r{_k})",
+    }
+
 
 def over(select: str) -> str:
     """The select with the relations that it needs, in order."""
@@ -191,6 +204,10 @@ SELECTS: dict[str, str] = {
     "run_counters": "SELECT (SELECT count(*) FROM upstream) AS upstream_rows, (SELECT count(*) FROM local_pages) AS local_rows, (SELECT count(*) FROM matched WHERE maybe_deleted_upstream) AS maybe_deleted, "
     + ", ".join(f"(SELECT count(*) FROM matched WHERE stage = '{s}') AS stage_{s}" for s in STAGES)
     + ", (SELECT count(*) FROM months) AS dated_titles, (SELECT count(DISTINCT category) FROM dated_subcategories WHERE " + _MONTH_OF + " IS NOT NULL) AS valid_months, (SELECT count(*) FROM page_info WHERE coalesce(allevel, 'none') <> 'none') AS locked",
+    "curated_rounds": "SELECT round, missing, new_blocked, new_manual FROM (SELECT *, coalesce(lag(new_blocked + new_manual) OVER (ORDER BY round), 1) AS before FROM ("
+    + " UNION ALL ".join(f"SELECT {k + 1} AS round, (SELECT count(*) FROM missing_r{k}) AS missing, (SELECT count(*) FROM shut_r{k}) AS new_blocked, (SELECT count(*) FROM taken_r{k}) AS new_manual" for k in range(_ROUNDS))
+    + ")) WHERE before > 0",
+    "bucketed_upsert": "WITH n AS (SELECT max(i.page_id) AS local_page_id, max(u.id) AS upstream_page_id, u.title FROM upstream u JOIN page_info i USING (title) WHERE i.allevel = 'read' AND u.id > 0 GROUP BY u.title) SELECT n.local_page_id, n.upstream_page_id, '" + L.REASON_READ_LOCK + "' AS reason, coalesce(c.added_at, TIMESTAMP '2024-06-01 12:00:00') AS added_at FROM n LEFT JOIN curated_manual c USING (local_page_id) UNION ALL SELECT local_page_id, upstream_page_id, reason, added_at FROM curated_manual WHERE local_page_id NOT IN (SELECT local_page_id FROM n)",
     "listing_in_order": "SELECT list, CAST(before + place AS BIGINT) AS ordinal, CAST(json_extract_string(body, '$.query.allpages[' || place || '].pageid') AS BIGINT) AS id, json_extract_string(body, '$.query.allpages[' || place || '].title') AS title FROM listed, (VALUES (0), (1)) AS p(place) WHERE place < n",
     "listing_broken": """SELECT list, problem, CASE WHEN token <> '^' THEN substr(token, 2) END AS token FROM (
       SELECT list, 'gap' AS problem, next AS token FROM listed l WHERE next IS NOT NULL AND NOT EXISTS (SELECT 1 FROM nodes n WHERE n.list = l.list AND n.tok = l.next)

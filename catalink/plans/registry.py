@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions import text as T
-from ..operators import batches, continuation, ingest, locks, matching, provenance, reports
+from ..operators import batches, continuation, curated, ingest, locks, matching, provenance, reports
 from ..operators.counters import Counters
-from ..operators.work import work_path
+from ..operators.work import saved, work_path
 from ..sources import cursor, json_answers
 from ..sources.workload import relation
 from ..streaming import state_fold
@@ -31,6 +31,7 @@ class Catalogs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._stored: DataFrame | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         return relation(self.spark, self.sf_dir, name)
@@ -38,6 +39,12 @@ class Catalogs:
     def upstream(self) -> DataFrame:
         return ingest.upsert_fold(self["upstream_log"])
 
+    def stored_upstream(self) -> DataFrame:
+        """The upstream table, folded once for all that reads it."""
+        if self._stored is None:
+            self._stored = saved(self.upstream(), "upstream")
+        return self._stored
+
     def classified(self) -> DataFrame:
         pages = ingest.upsert_fold(self["local_log"])
         return provenance.classified(pages, self["category_members"], provenance.month_map(self["dated_subcategories"]))
@@ -49,10 +56,10 @@ class Catalogs:
         return rows.withColumns({**flags, "match_type": F.coalesce("match_type", F.lit(L.MATCH_NONE))})
 
     def matched(self) -> DataFrame:
-        return matching.cascade(self.local(), self.upstream(), self["manual_matches"], self["page_content"])
+        return matching.cascade(self.local(), self.stored_upstream(), self["manual_matches"], self["page_content"])
 
     def missing(self) -> DataFrame:
-        return reports.missing_locally(self.upstream(), self.matched(), self["blocked_titles"])
+        return reports.missing_locally(self.stored_upstream(), self.matched(), self["blocked_titles"])
 
     def routes(self) -> DataFrame:
         return locks.routed(self.missing(), self["page_info"])
@@ -129,6 +136,21 @@ def _counters(c: Catalogs) -> DataFrame:
     return c.spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in counters.counts().items()])
 
 
+def _rounds(c: Catalogs) -> DataFrame:
+    upstream = c.stored_upstream()
+    rows = saved(matching.prepared(c.local(), upstream, c["page_content"]), "prepared")
+    return curated.rounds(rows, upstream, c["manual_matches"], c["blocked_titles"], c["chained_info"]).log
+
+
+def _bucketed(c: Catalogs) -> DataFrame:
+    """The curated links in buckets on storage, with the links of a run put in."""
+    path = work_path(c.spark, "curated")
+    curated.bucketed(c["curated_manual"], path, "local_page_id")
+    arriving = locks.to_manual(locks.routed(c.stored_upstream(), c["page_info"]))
+    curated.upsert_buckets(c.spark, path, arriving.withColumn("added_at", F.lit(RUN_AT).cast("timestamp")), "local_page_id", keep=("added_at",))
+    return curated.read_buckets(c.spark, path)
+
+
 def _domains(c: Catalogs) -> DataFrame:
     rows = c["edited_rows"]
     return ingest.outside_domain(rows, "status", L.STATUSES).union(ingest.outside_domain(rows, "match_type", L.MATCH_TYPES)).distinct()
@@ -182,6 +204,8 @@ _QUERIES: dict[str, Callable[[Catalogs], DataFrame]] = {
     "json_rejected": lambda c: json_answers.rejected(c["damaged_answers"]),
     "batch_isolated": _isolated,
     "run_counters": _counters,
+    "curated_rounds": _rounds,
+    "bucketed_upsert": _bucketed,
     "listing_broken": _broken,
     "json_category": lambda c: json_answers.category_rows(c["category_answers"]),
     "json_content": lambda c: json_answers.content_rows(c["content_answers"]),

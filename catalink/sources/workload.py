@@ -108,6 +108,8 @@ RELATIONS: dict[str, str] = {
     # what an earlier run had left on the local rows
     "earlier_matches": "SELECT 1000001 + o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey + 10 END AS upstream_id, CASE WHEN o_orderkey % 7 = 0 THEN 'יובא מוויקיפדיה' ELSE 'ללא התאמה' END AS match_type, o_orderkey % 21 = 0 AS maybe_deleted_upstream, o_orderkey % 28 = 0 AS normalization_match, CASE WHEN o_orderkey % 28 = 0 THEN 'תבנית_מיון' END AS normalization_method, CASE WHEN o_orderkey % 28 = 0 THEN 'old' END AS title_normalized FROM orders",
     "page_info": f"SELECT {_title(1)} AS title, CASE n % 5 WHEN 0 THEN 'none' WHEN 1 THEN 'create' WHEN 2 THEN 'read' WHEN 3 THEN 'edit' END AS allevel, n % 2 = 0 AS missing, 5000000 + n AS page_id FROM ({_BASE}) b WHERE n % 9 >= 7 AND n % 6 <> 5",
+    # locks on all upstream titles: a page that is locked for reading takes the local page of the order before, so its former target goes missing next
+    "chained_info": f"SELECT {_title(1)} AS title, CASE n % 5 WHEN 0 THEN 'create' WHEN 4 THEN 'none' ELSE 'read' END AS allevel, 1000001 + n - 1 AS page_id FROM ({_BASE}) b WHERE n % 9 >= 3",
     "blocked_titles": f"SELECT {_title(1)} AS title, 'curated' AS reason, n + 1 AS upstream_id, CAST('2024-01-01 00:00:00' AS TIMESTAMP) AS added_at FROM ({_BASE}) b WHERE n % 9 >= 7 AND n % 36 = 7",
     "curated_manual": "SELECT 5000000 + o_orderkey AS local_page_id, o_orderkey + 1 AS upstream_page_id, 'curated' AS reason, CAST('2024-01-01 00:00:00' AS TIMESTAMP) AS added_at FROM orders WHERE o_orderkey % 63 = 7",
     # local rows that someone has edited by hand
