@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from ..functions import labels as L
 from ..operators.matching import STAGES
 from ..sources.workload import RELATIONS
@@ -148,11 +150,16 @@ for _k in range(_ROUNDS):
         f"manual_r{_k + 1}": f"SELECT * FROM taken_r{_k} UNION ALL SELECT * FROM manual_r{_k} WHERE local_page_id NOT IN (SELECT local_page_id FROM taken_r{_k})",
     }
 
+#: The catalogs after the changes: the same relations over another upstream table.
+_CHANGED = ("upstream", "upstream_keys", "joined", "staged", "matched", "missing")
+CTES["stood"] = "SELECT id, title FROM upstream"
+CTES["upstream_changes"] = RELATIONS["upstream_changes"]
+CTES["upstream_d"] = "SELECT id, title FROM stood WHERE (id, title) NOT IN (SELECT (id, title) FROM upstream_changes WHERE change = -1) UNION ALL SELECT id, title FROM upstream_changes WHERE change = 1"
+CTES |= {f"{name}_d": re.sub(rf"\b({'|'.join(_CHANGED)})\b", r"\1_d", CTES[name]).replace(", checked_at", "") for name in _CHANGED[1:]}
+
 
 def over(select: str) -> str:
     """The select with the relations that it needs, in order."""
-    import re
-
     needed: set[str] = set()
     todo = [select]
     while todo:
@@ -160,7 +167,20 @@ def over(select: str) -> str:
         for name in words & CTES.keys() - needed:
             needed.add(name)
             todo.append(CTES[name])
-    parts = [f"{name} AS ({CTES[name]})" for name in CTES if name in needed]
+    # a relation may stand in the table before what it needs
+    order: list[str] = []
+
+    def place(name: str) -> None:
+        for other in set(re.findall(r"\w+", CTES[name])) & needed - {name}:
+            if other not in order:
+                place(other)
+        if name not in order:
+            order.append(name)
+
+    for name in CTES:
+        if name in needed:
+            place(name)
+    parts = [f"{name} AS ({CTES[name]})" for name in order]
     if parts and select.startswith("WITH "):
         return f"WITH {', '.join(parts)}, {select[5:]}"
     return f"WITH {', '.join(parts)} {select}" if parts else select
@@ -208,6 +228,10 @@ SELECTS: dict[str, str] = {
     + " UNION ALL ".join(f"SELECT {k + 1} AS round, (SELECT count(*) FROM missing_r{k}) AS missing, (SELECT count(*) FROM shut_r{k}) AS new_blocked, (SELECT count(*) FROM taken_r{k}) AS new_manual" for k in range(_ROUNDS))
     + ")) WHERE before > 0",
     "bucketed_upsert": "WITH n AS (SELECT max(i.page_id) AS local_page_id, max(u.id) AS upstream_page_id, u.title FROM upstream u JOIN page_info i USING (title) WHERE i.allevel = 'read' AND u.id > 0 GROUP BY u.title) SELECT n.local_page_id, n.upstream_page_id, '" + L.REASON_READ_LOCK + "' AS reason, coalesce(c.added_at, TIMESTAMP '2024-06-01 12:00:00') AS added_at FROM n LEFT JOIN curated_manual c USING (local_page_id) UNION ALL SELECT local_page_id, upstream_page_id, reason, added_at FROM curated_manual WHERE local_page_id NOT IN (SELECT local_page_id FROM n)",
+    "delta_key_map": "SELECT key, uid AS upstream_id FROM upstream_keys_d",
+    "delta_matched": f"SELECT {_MATCHED} FROM matched_d",
+    "delta_missing": "SELECT id, title FROM missing_d",
+    "delta_tasks": f"SELECT id, title, status, source_type, upstream_id, match_type, CASE WHEN maybe_deleted_upstream THEN '{L.TASK_DELETED}' ELSE '{L.TASK_STATUS}' END AS task_type FROM matched_d WHERE {_SHOWN} AND (maybe_deleted_upstream OR status = '{L.STATUS_UNDOCUMENTED}')",
     "listing_in_order": "SELECT list, CAST(before + place AS BIGINT) AS ordinal, CAST(json_extract_string(body, '$.query.allpages[' || place || '].pageid') AS BIGINT) AS id, json_extract_string(body, '$.query.allpages[' || place || '].title') AS title FROM listed, (VALUES (0), (1)) AS p(place) WHERE place < n",
     "listing_broken": """SELECT list, problem, CASE WHEN token <> '^' THEN substr(token, 2) END AS token FROM (
       SELECT list, 'gap' AS problem, next AS token FROM listed l WHERE next IS NOT NULL AND NOT EXISTS (SELECT 1 FROM nodes n WHERE n.list = l.list AND n.tok = l.next)

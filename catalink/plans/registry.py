@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions import text as T
-from ..operators import batches, continuation, curated, ingest, locks, matching, provenance, reports
+from ..operators import batches, continuation, curated, deltas, ingest, locks, matching, provenance, reports
 from ..operators.counters import Counters
 from ..operators.work import saved, work_path
 from ..sources import cursor, json_answers
@@ -142,6 +142,13 @@ def _rounds(c: Catalogs) -> DataFrame:
     return curated.rounds(rows, upstream, c["manual_matches"], c["blocked_titles"], c["chained_info"]).log
 
 
+def _changed(c: Catalogs) -> deltas.State:
+    """A full run, then the state after changes of the upstream table."""
+    state = deltas.full(c.local(), c.upstream(), c["manual_matches"], c["page_content"], c["blocked_titles"])
+    changes = relation(c.spark, c.sf_dir, "upstream_changes", state.upstream)
+    return deltas.after_changes(state, changes, c["manual_matches"], c["blocked_titles"])
+
+
 def _bucketed(c: Catalogs) -> DataFrame:
     """The curated links in buckets on storage, with the links of a run put in."""
     path = work_path(c.spark, "curated")
@@ -206,6 +213,10 @@ _QUERIES: dict[str, Callable[[Catalogs], DataFrame]] = {
     "run_counters": _counters,
     "curated_rounds": _rounds,
     "bucketed_upsert": _bucketed,
+    "delta_key_map": lambda c: _changed(c).keys,
+    "delta_matched": lambda c: _changed(c).matched,
+    "delta_missing": lambda c: _changed(c).missing,
+    "delta_tasks": lambda c: reports.tasks(_changed(c).matched),
     "listing_broken": _broken,
     "json_category": lambda c: json_answers.category_rows(c["category_answers"]),
     "json_content": lambda c: json_answers.content_rows(c["content_answers"]),

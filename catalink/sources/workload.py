@@ -110,6 +110,8 @@ RELATIONS: dict[str, str] = {
     "page_info": f"SELECT {_title(1)} AS title, CASE n % 5 WHEN 0 THEN 'none' WHEN 1 THEN 'create' WHEN 2 THEN 'read' WHEN 3 THEN 'edit' END AS allevel, n % 2 = 0 AS missing, 5000000 + n AS page_id FROM ({_BASE}) b WHERE n % 9 >= 7 AND n % 6 <> 5",
     # locks on all upstream titles: a page that is locked for reading takes the local page of the order before, so its former target goes missing next
     "chained_info": f"SELECT {_title(1)} AS title, CASE n % 5 WHEN 0 THEN 'create' WHEN 4 THEN 'none' ELSE 'read' END AS allevel, 1000001 + n - 1 AS page_id FROM ({_BASE}) b WHERE n % 9 >= 3",
+    # changes of the upstream table: rows that go, get another title, or come with a title that another row has but for its dashes
+    "upstream_changes": f"SELECT id, title, -1 AS change FROM stood WHERE id % 50 IN (1, 2) UNION ALL SELECT id, concat(title, ' moved') AS title, 1 AS change FROM stood WHERE id % 50 = 2 UNION ALL SELECT 50000000 + id AS id, replace(title, '-', '{_EN_DASH}') AS title, 1 AS change FROM stood WHERE id % 50 IN (1, 3) AND title LIKE '%-%' UNION ALL SELECT 60000000 + id AS id, concat(title, ' new') AS title, 1 AS change FROM stood WHERE id % 50 = 4",
     "blocked_titles": f"SELECT {_title(1)} AS title, 'curated' AS reason, n + 1 AS upstream_id, CAST('2024-01-01 00:00:00' AS TIMESTAMP) AS added_at FROM ({_BASE}) b WHERE n % 9 >= 7 AND n % 36 = 7",
     "curated_manual": "SELECT 5000000 + o_orderkey AS local_page_id, o_orderkey + 1 AS upstream_page_id, 'curated' AS reason, CAST('2024-01-01 00:00:00' AS TIMESTAMP) AS added_at FROM orders WHERE o_orderkey % 63 = 7",
     # local rows that someone has edited by hand
@@ -135,8 +137,10 @@ RELATIONS: dict[str, str] = {
 }
 
 
-def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived relation over the ``orders`` table in ``sf_dir``."""
+def relation(spark: SparkSession, sf_dir: str, name: str, stood: DataFrame | None = None) -> DataFrame:
+    """A derived relation over the ``orders`` table in ``sf_dir``; over ``stood``, a table (id, title), if that is given."""
+    if stood is not None:
+        return spark.sql(RELATIONS[name].replace("FROM stood", "FROM {stood}"), stood=stood)
     # braces of the text itself are doubled, as the parameter is named by braces
     text = RELATIONS[name].replace("{", "{{").replace("}", "}}").replace("FROM orders", "FROM {orders}")
     return spark.sql(text, orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
