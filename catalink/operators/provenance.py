@@ -22,9 +22,22 @@ NOT_DATED = tuple(role for role, _, _ in PRECEDENCE)
 MISSING_SORT, ATTENTION, DICTIONARY = "missing_sort", "attention", "dictionary"
 
 
+def direct_members(members: DataFrame, category: str | None = None, member_type: str = "page", namespace: int | None = None) -> DataFrame:
+    """The direct members of a category (of all, if none is named) of a type, page or subcat, and in a namespace if one is given."""
+    rows = members.filter(F.col("member_type") == member_type)
+    rows = rows if category is None else rows.filter(F.col("category") == category)
+    return rows if namespace is None else rows.filter(F.col("namespace") == namespace)
+
+
 def category_pages(members: DataFrame) -> DataFrame:
     """(category, title) of direct page members in the main namespace."""
-    return members.filter("member_type = 'page' and namespace = 0").select("category", "title").distinct()
+    return direct_members(members, namespace=0).select("category", "title").distinct()
+
+
+def dated_pages(members: DataFrame, root: str) -> DataFrame:
+    """(category, ordinal, title): the pages of the main namespace in the subcategories of ``root``, with the place of the subcategory in it."""
+    subcategories = direct_members(members, root, "subcat").groupBy(F.col("title").alias("category")).agg(F.max("ordinal").alias("ordinal"))
+    return direct_members(members, namespace=0).select("category", "title").join(subcategories, "category")
 
 
 def category_union(members: DataFrame, roles: tuple[str, ...] = NOT_DATED) -> DataFrame:

@@ -207,6 +207,8 @@ SELECTS: dict[str, str] = {
     "category_sets": "SELECT category, count(DISTINCT title) AS n FROM pages_of GROUP BY category",
     "category_union": f"SELECT DISTINCT title FROM pages_of WHERE category IN {_in(tuple(_ROLE))}",
     "month_map": "SELECT title, month FROM months",
+    "month_walk": f"SELECT title, arg_max(month, place) AS month FROM (SELECT p.title, s.ordinal AS place, {_MONTH_OF} AS month FROM (SELECT title AS category, ordinal FROM category_tree WHERE category = 'dated' AND member_type = 'subcat') s JOIN category_tree p USING (category) WHERE p.member_type = 'page' AND p.namespace = 0) WHERE month IS NOT NULL GROUP BY title",
+    "category_members": "SELECT category, member_type, namespace, title, page_id FROM category_members WHERE category = 'created' AND member_type = 'subcat'",
     "classify_provenance": "SELECT id, title, status, source_type, last_update_month FROM classified",
     "page_flags": "SELECT id, needs_attention, is_dictionary_entry FROM classified",
     "hygiene_titles": f"SELECT id, title, {hygiene('title')} AS key FROM local_log",
@@ -240,7 +242,7 @@ SELECTS: dict[str, str] = {
       UNION ALL SELECT list, 'merge', next FROM nodes WHERE next IS NOT NULL GROUP BY list, next HAVING count(*) > 1
       UNION ALL SELECT list, 'stray', tok FROM nodes n WHERE NOT EXISTS (SELECT 1 FROM chain c WHERE c.list = n.list AND c.tok = n.tok)
       UNION ALL SELECT list, 'headless', '^' FROM nodes GROUP BY list HAVING count(*) FILTER (tok = '^') = 0)""",
-    "json_category": "SELECT category, pos * 500 + place AS ordinal, json_extract_string(body, '$.query.categorymembers[' || place || '].title') AS title, CAST(json_extract_string(body, '$.query.categorymembers[' || place || '].pageid') AS BIGINT) AS page_id FROM category_answers, (VALUES (0), (1)) AS p(place) WHERE json_extract(body, '$.query.categorymembers[' || place || ']') IS NOT NULL",
+    "json_category": "SELECT category, pos, place, json_extract_string(body, '$.query.categorymembers[' || place || '].title') AS title, CAST(json_extract_string(body, '$.query.categorymembers[' || place || '].pageid') AS BIGINT) AS page_id FROM category_answers, (VALUES (0), (1)) AS p(place) WHERE json_extract(body, '$.query.categorymembers[' || place || ']') IS NOT NULL",
     "json_content": "SELECT title, CASE WHEN pos % 10 IN (3, 4) THEN NULL ELSE json_extract_string(body, '$.query.pages[0].revisions[0].slots.main.content') END AS content, pos % 10 = 3 AS denied FROM content_answers",
     "json_lock": "SELECT json_extract_string(p, '$.title') AS title, coalesce(json_extract_string(p, '$.allevel'), 'none') AS allevel, coalesce(CAST(json_extract_string(p, '$.missing') AS BOOLEAN), false) AS missing, CAST(json_extract_string(p, '$.pageid') AS BIGINT) AS page_id FROM (SELECT unnest(CAST(json_extract(body, '$.query.pages') AS JSON[])) AS p FROM lock_answers)",
     "upstream_key_map": "SELECT key, uid AS upstream_id FROM upstream_keys",

@@ -195,6 +195,8 @@ _QUERIES: dict[str, Callable[[Catalogs], DataFrame]] = {
     "integrity_duplicates": lambda c: ingest.duplicates(c["upstream_log"], "title"),
     "category_sets": lambda c: provenance.category_pages(c["category_members"]).groupBy("category").agg(F.countDistinct("title").alias("n")),
     "category_union": lambda c: provenance.category_union(c["category_members"]),
+    "category_members": lambda c: provenance.direct_members(c["category_members"], "created", "subcat").select("category", "member_type", "namespace", "title", "page_id"),
+    "month_walk": lambda c: provenance.month_map(provenance.dated_pages(c["category_tree"], "dated")),
     "month_map": lambda c: provenance.month_map(c["dated_subcategories"]),
     "classify_provenance": lambda c: c.classified().select("id", "title", "status", "source_type", "last_update_month"),
     "page_flags": lambda c: c.classified().select("id", "needs_attention", "is_dictionary_entry"),

@@ -44,9 +44,9 @@ def paged(answers: DataFrame) -> DataFrame:
 
 
 def category_rows(answers: DataFrame) -> DataFrame:
-    """(category, ordinal, title, page_id) of every member; ``answers`` also has the category."""
+    """(category, pos, place, title, page_id) of every member, in the order of answer and place; ``answers`` also has the category."""
     members = _parsed(answers, schemas.CATEGORY_JSON).select("category", "pos", F.posexplode("a.query.categorymembers").alias("place", "m"))
-    return members.select("category", (F.col("pos") * 500 + F.col("place")).alias("ordinal"), F.col("m.title").alias("title"), F.col("m.pageid").alias("page_id"))
+    return members.select("category", "pos", "place", F.col("m.title").alias("title"), F.col("m.pageid").alias("page_id"))
 
 
 def content_rows(answers: DataFrame) -> DataFrame:

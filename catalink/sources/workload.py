@@ -105,6 +105,8 @@ RELATIONS: dict[str, str] = {
     "page_content": f"SELECT {_title(2)} AS title, CASE WHEN n % 9 = 7 AND n % 2 = 0 THEN concat('x {{{{ מיון ויקיפדיה | דף=[[', base, '_v', CAST(n AS STRING), ']]|a=1}}}} y') WHEN n % 9 = 7 THEN 'no template' END AS content, n % 9 = 8 AND n % 2 = 0 AS denied FROM ({_BASE}) b WHERE n % 9 >= 7",
     "category_members": f"SELECT r.role AS category, CASE WHEN n % 101 = 0 THEN 'subcat' ELSE 'page' END AS member_type, CASE WHEN n % 103 = 0 THEN 14 ELSE 0 END AS namespace, n AS ordinal, {_title(2)} AS title, 1000001 + n AS page_id FROM ({_BASE}) b JOIN {_values(_ROLES.items())} AS r(role, every_n) ON n % r.every_n = 0",
     "dated_subcategories": f"SELECT m.category, m.ordinal, {_title(2)} AS title FROM ({_BASE}) b JOIN {_values((c, i + 1, e) for i, (c, e) in enumerate(_MONTHS.items()))} AS m(category, ordinal, every_n) ON n % m.every_n = 0",
+    # the dated subcategories as members of their root, each with pages, subcategories and pages of other namespaces
+    "category_tree": f"SELECT 'dated' AS category, CASE WHEN name LIKE '%x' THEN 'page' ELSE 'subcat' END AS member_type, 14 AS namespace, ordinal, name AS title FROM {_values([*((c, i + 1) for i, c in enumerate(_MONTHS)), ('ערכים שעודכנו לאחרונה במאי 2020x', 9)])} AS r(name, ordinal) UNION ALL SELECT m.category, CASE WHEN n % 101 = 0 THEN 'subcat' ELSE 'page' END AS member_type, CASE WHEN n % 103 = 0 THEN 14 ELSE 0 END AS namespace, n AS ordinal, {_title(2)} AS title FROM ({_BASE}) b JOIN {_values((c, e) for c, e in _MONTHS.items())} AS m(category, every_n) ON n % m.every_n = 0",
     # what an earlier run had left on the local rows
     "earlier_matches": "SELECT 1000001 + o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey + 10 END AS upstream_id, CASE WHEN o_orderkey % 7 = 0 THEN 'יובא מוויקיפדיה' ELSE 'ללא התאמה' END AS match_type, o_orderkey % 21 = 0 AS maybe_deleted_upstream, o_orderkey % 28 = 0 AS normalization_match, CASE WHEN o_orderkey % 28 = 0 THEN 'תבנית_מיון' END AS normalization_method, CASE WHEN o_orderkey % 28 = 0 THEN 'old' END AS title_normalized FROM orders",
     "page_info": f"SELECT {_title(1)} AS title, CASE n % 5 WHEN 0 THEN 'none' WHEN 1 THEN 'create' WHEN 2 THEN 'read' WHEN 3 THEN 'edit' END AS allevel, n % 2 = 0 AS missing, 5000000 + n AS page_id FROM ({_BASE}) b WHERE n % 9 >= 7 AND n % 6 <> 5",

@@ -143,7 +143,7 @@ def test_json_answers(spark):
     listing = spark.createDataFrame([(0, '{"query": {"allpages": [{"title": "a", "pageid": 1}, {"title": "b", "pageid": 2}]}, "continue": {"apcontinue": "c"}}'), (1, "{}")], "pos long, body string")
     assert [(r.batch, r.id, r.title) for r in json_answers.listing_rows(listing).collect()] == [(0, 1, "a"), (0, 2, "b")]
     category = spark.createDataFrame([("k", 0, '{"query": {"categorymembers": [{"title": "a", "pageid": 1}]}}')], "category string, pos long, body string")
-    assert [tuple(r) for r in json_answers.category_rows(category).collect()] == [("k", 0, "a", 1)]
+    assert [tuple(r) for r in json_answers.category_rows(category).collect()] == [("k", 0, 0, "a", 1)]
 
 
 @pytest.mark.parametrize("name", ["orphans", "domains", "duplicates"])
