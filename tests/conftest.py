@@ -22,4 +22,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from catalink.operators.work import cleared
+
+    cleared(session)
     session.stop()

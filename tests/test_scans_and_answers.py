@@ -6,7 +6,7 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from catalink.functions.normal_form import composed
-from catalink.operators import batches, continuation, ingest
+from catalink.operators import batches, continuation, ingest, work
 from catalink.operators.counters import Counters
 from catalink.sources import json_answers
 
@@ -142,3 +142,15 @@ def test_counters_count_what_is_written(spark):
     counters.written(kept.filter("id > 97"), "few", few=F.count(F.lit(1)))
     counters.written(kept.filter("false"), "none", none=F.count(F.lit(1)))
     assert counters.counts() == {"n": 100, "even": 50, "few": 2, "none": 0} and kept.count() == 100
+
+
+def test_tables_of_a_session_are_deleted(spark, monkeypatch):
+    """All tables lie in one folder of the session, which one call deletes."""
+    from pathlib import Path
+
+    folder = work.work_dir(spark)
+    monkeypatch.setattr(work, "work_dir", lambda _: folder + "-test")
+    kept = work.saved(spark.range(10), "ten")
+    assert kept.count() == 10 and Path(folder + "-test").is_dir()
+    work.cleared(spark)
+    assert not Path(folder + "-test").exists()
