@@ -23,7 +23,7 @@ every other run of numbers. Such windows are left out of an item on both sides o
 other windows is looked up by its words as they are, values included.
 
 Defined cases: null and empty texts leak nothing. In ``leaked_items`` rows with one doc_id count as one
-document, and so do rows with a null doc_id; ``without_leaks`` judges each text for itself. Repeated items of one item_id
+document, and so do rows with a null doc_id; items that differ in the values of their slots alone are one family with one row for a document; ``without_leaks`` judges each text for itself. Repeated items of one item_id
 count as one, a null item_id as one more. An empty table gives an empty
 result. Further columns are ignored.
 """
@@ -180,11 +180,29 @@ def words_of(rows: DataFrame, key: str) -> DataFrame:
     return placed.select(key, "place", F.when(slot, F.substring("word", 1, 1)).otherwise("").alias("slot"), F.when(slot, F.expr("substr(word, 3)")).otherwise(F.col("word")).alias("value"))
 
 
+def item_families(benchmark: DataFrame) -> DataFrame:
+    """(item_id, family): items with the same words and slots at the same places, and equal values at the same places, are a family, named by its smallest item_id.
+
+    Whether a document leaks an item doesn't depend on the values themselves, so it leaks all of a family or none."""
+    placed = words_of(benchmark.select("item_id", "text"), "item_id").distinct()
+    first = F.min("place").over(Window.partitionBy("item_id", "slot", "value"))
+    placed = placed.withColumn("what", F.when(F.col("slot") == "", F.col("value")).otherwise(first.cast("string")))
+    likeness = placed.groupBy("item_id").agg(F.sha2(F.to_json(F.sort_array(F.collect_list(F.struct("place", "slot", "what")))), 256).alias("likeness"))
+    return likeness.select("item_id", F.min("item_id").over(Window.partitionBy("likeness")).alias("family"))
+
+
 def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = LEAST_COVER, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
-    """doc_id, item_id, item_windows, found_windows, coverage, slots, conflicts and changed (slots with another value)
-    of each item that a document of ``docs`` (doc_id, text) leaks. ``benchmark``: item_id, text."""
-    items = saved(item_windows(benchmark, window), "leak-windows")
+    """doc_id, item_id, n_items, item_windows, found_windows, coverage, slots, conflicts and changed (slots with another value than in the item)
+    of each family of items that a document of ``docs`` (doc_id, text) leaks: a row has the smallest item_id of the family and the number of its
+    items, which ``item_families`` lists. ``benchmark``: item_id, text. Items that are looked up by their values are families of their own."""
+    single = saved(item_windows(benchmark, window), "leak-item-windows")
+    families = item_families(benchmark).withColumnRenamed("item_id", "i")
+    named = single.join(families, F.col("item_id").eqNullSafe(F.col("i")), "left").withColumn("own", F.when(F.col("verbatim"), F.col("item_id")).otherwise(F.col("family")))
+    named = saved(named.select(F.col("item_id").alias("member"), F.col("own").alias("item_id"), "size", "at", "hash", "verbatim"), "leak-families")
+    sizes_of = named.select("item_id", "member").distinct().groupBy("item_id").agg(F.count(F.lit(1)).alias("n_items"))
+    items = saved(named.drop("member").distinct(), "leak-windows")
     totals = items.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"), F.max("size").alias("size"))
+    totals = totals.join(sizes_of.withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i"))).drop("i")
     kinds = items.select("size", "verbatim").distinct().collect()  # at most twice ``window`` rows
     sizes = sorted({r["size"] for r in kinds})
     lookup = items.drop("verbatim")
@@ -233,7 +251,7 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     judged = judged.join(literals, F.col("doc_id").eqNullSafe(F.col("ld")) & F.col("item_id").eqNullSafe(F.col("li")), "left")
     judged = judged.filter((F.coalesce("literals", F.lit(0)) >= LEAST_WORDS) | (F.coalesce("conflicts", F.lit(0)) <= F.coalesce("slots", F.lit(0)) * MOST_CONFLICTS))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
-    return judged.select("doc_id", "item_id", "item_windows", "found_windows", (F.col("found_windows") / F.col("item_windows")).alias("coverage"), zero("slots"), zero("conflicts"), zero("changed"))
+    return judged.select("doc_id", "item_id", "n_items", "item_windows", "found_windows", (F.col("found_windows") / F.col("item_windows")).alias("coverage"), zero("slots"), zero("conflicts"), zero("changed"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -365,3 +365,19 @@ def test_plain_call(spark, prose, tmp_path):
     got = op3_token_records(spark, str(tmp_path)).collect()
     assert {(r.doc_id, r.ids_crc32) for r in got} == want
     assert next(r.n_tokens for r in got if r.doc_id == 0) == len(tokenizer.encode(rows[0][1], add_special_tokens=False).ids) + 1
+
+
+def test_families_of_items(spark, documents):
+    """Items that differ in values alone are met as one: rows grow with documents and families, not with documents times items."""
+    names = ["Anna", "Bob", "Carl", "Dora", "Emil"]
+    item = lambda i, same=False: f"In the market {names[i % 5]} buys {i + 20} apples and then gives {i + 20 if same else i + 50} of them to {names[(i + 1) % 5]} before going home again."
+    items = [(i, item(i)) for i in range(60)] + [(100 + i, item(i, same=True)) for i in range(5)] + [(200, "7 8 9 10 11 12"), (201, "7 8 9 10 11 13"), (None, item(3))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    families = {r.item_id: r.family for r in Le.item_families(bench).collect()}
+    assert all(families[i] == 0 for i in range(60)) and all(families[100 + i] == 100 for i in range(5))
+    docs = [(i, f"Some words first. {item(i + 7)} And some words after it.") for i in range(40)] + [(90, "nothing of it at all, only prose"), (91, "so 7 8 9 10 11 12 it is")]
+    got = Le.leaked_items(documents(docs), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_items) for r in got if r.item_id == 0) == [(i, 0, 61) for i in range(40)]
+    assert sorted((r.doc_id, r.item_id, r.n_items) for r in got if r.item_id not in (0, 100)) == [(91, 200, 1)]
+    kept = Le.without_leaks(documents(docs), bench)
+    assert [r.doc_id for r in kept.collect()] == [90]
