@@ -1,12 +1,15 @@
 """Licence scan with a positional index of rare licence words.
 
-Templates are short passages that licences or licence notices contain. Their
-words carry IDF weights from the document frequencies of all documents. The
+Templates are short passages of licence notices (``TEMPLATES``) and whole licence texts
+(``license_texts.WHOLE``). Their words carry IDF weights from the document frequencies of all documents. The
 index holds, for each template, its words of the highest IDF with their
-positions. A document's occurrences of index words are looked up, and the
+positions: ``INDEX_WORDS`` of a passage, one in ``INDEX_SHARE`` of a whole text. A document's occurrences of index words are looked up, and the
 postings are intersected by relative position: word at p, template position q
-vote for a start at p - q. A start with enough weight is verified: mandatory
-key phrases have to stand at their places, word by word.
+vote for a start at p - q. Copies of a whole text have words of their own between its parts, such as the
+name of a holder, so the places of its words may drift by one in ``SLACK_SHARE`` of its length: votes are gathered in cells of that
+width, twice over, half a width apart. A start with enough weight is verified: the words that stand at their
+places have to hold enough of the template's whole weight, and each mandatory
+key phrase has to stand at its place, word by word.
 
 Base phrases are plain sequences of words; each place counts, and their labels
 always stay.
@@ -22,6 +25,7 @@ empty table gives an empty result. Further columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, batches_of, byte_table, in_arrow, sliced
+from .license_texts import WHOLE
 
 IS_WORD = byte_table(keep=string.ascii_lowercase + string.digits)
 
@@ -60,14 +65,23 @@ TEMPLATES = (
 )
 
 INDEX_WORDS = 4
-"""Words of a template that the index holds, those of the highest IDF."""
+"""Words of a passage that the index holds, those of the highest IDF."""
+INDEX_SHARE = 8
+"""The index holds one in this many words of a whole text."""
+SLACK_SHARE = 8
+"""The words of a whole text may be off their places by its length divided by this."""
 LEAST_WEIGHT = 0.6
 """Share of a template's indexed weight, and of its whole weight, that a place has to have."""
 
 
+def plain(text: str) -> str:
+    """The words of a template, parted by spaces."""
+    return " ".join(re.findall("[a-z0-9]+", text.lower()))
+
+
 def vocabulary() -> list[str]:
-    words = {w for p in BASE for w in p.split()} | {w for _, p, _ in TEMPLATES for w in p.split()}
-    return sorted(words)
+    texts = [*BASE, *(p for _, p, _ in TEMPLATES), *(plain(t) for t, _ in WHOLE.values())]
+    return sorted({w for t in texts for w in t.split()})
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
@@ -104,29 +118,75 @@ def document_frequencies(batches: Iterator[pa.RecordBatch], words: list[str]) ->
         yield pa.RecordBatch.from_arrays([pa.array([*range(len(words)), -1]), pa.array(counts)], ["word", "n"])
 
 
+@dataclass
+class Template:
+    """A template as word numbers, the bounds of its mandatory phrases, and how far its words may be off their places."""
+
+    label: str
+    tokens: np.ndarray
+    weights: np.ndarray
+    phrases: list[tuple[int, int]]
+    slack: int
+    indexed: float = 0.0
+
+    def share(self, numbers: np.ndarray, low: int, high: int, start: int) -> float:
+        """The share of its weight that stands at its places from ``start`` on, within the document from
+        ``low`` to ``high``; 0 if a mandatory phrase doesn't."""
+        at = start + np.arange(len(self.tokens))[:, None] + np.arange(-self.slack, self.slack + 1)
+        same = (numbers[np.clip(at, low, high - 1)] == self.tokens[:, None]) & (at >= low) & (at < high)
+        if not all(same[a:b].all(axis=0).any() for a, b in self.phrases):
+            return 0.0
+        return float(self.weights[same.any(axis=1)].sum() / self.weights.sum())
+
+
 @dataclass
 class Index:
-    """Templates as word numbers, weights, mandatory phrases, and postings of the rare words."""
+    """Templates, and postings (template, position) of the rare words."""
 
-    words: list[str]
     idf: list[float]
-    postings: dict[int, list[tuple[int, int, float]]] = field(default_factory=dict)
-    templates: list[tuple[str, list[int], list[tuple[int, int]]]] = field(default_factory=list)
-    indexed: list[float] = field(default_factory=list)
+    postings: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
+    templates: list[Template] = field(default_factory=list)
 
     @classmethod
     def build(cls, words: list[str], idf: list[float]) -> Index:
-        out, number = cls(words, idf), {w: i for i, w in enumerate(words)}
-        for t, (label, passage, key) in enumerate(TEMPLATES):
-            tokens, phrase = [number[w] for w in passage.split()], [number[w] for w in key.split()]
-            at = next(i for i in range(len(tokens)) if tokens[i : i + len(phrase)] == phrase)
-            out.templates.append((label, tokens, [(at + i, w) for i, w in enumerate(phrase)]))
-            rare = sorted(range(len(tokens)), key=lambda i: (-idf[tokens[i]], i))[:INDEX_WORDS]
-            for q in rare:
-                out.postings.setdefault(tokens[q], []).append((t, q, idf[tokens[q]]))
-            out.indexed.append(sum(idf[tokens[q]] for q in rare))
+        out, number = cls(idf), {w: i for i, w in enumerate(words)}
+        for label, passage, key in TEMPLATES:
+            out._add(label, [number[w] for w in passage.split()], [[number[w] for w in key.split()]], INDEX_WORDS, 0)
+        for label, (text, keys) in WHOLE.items():
+            tokens = [number[w] for w in plain(text).split()]
+            out._add(label, tokens, [[number[w] for w in k.split()] for k in keys], len(tokens) // INDEX_SHARE, len(tokens) // SLACK_SHARE)
         return out
 
+    def _add(self, label: str, tokens: list[int], keys: list[list[int]], n_indexed: int, slack: int) -> None:
+        starts = [next(i for i in range(len(tokens)) if tokens[i : i + len(k)] == k) for k in keys]
+        weights = np.array([self.idf[w] for w in tokens])
+        rare = sorted(range(len(tokens)), key=lambda i: (-weights[i], i))[:n_indexed]
+        for q in rare:
+            self.postings.setdefault(tokens[q], []).append((len(self.templates), q))
+        phrases = [(a, a + len(k)) for a, k in zip(starts, keys, strict=True)]
+        self.templates.append(Template(label, np.array(tokens), weights, phrases, slack, float(weights[rare].sum())))
+
+    def candidates(self, places: np.ndarray, documents: np.ndarray, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(document, template, start) that enough of the index words at ``places`` vote for."""
+        votes: dict[tuple[int, int, int, int], dict[int, int]] = {}
+        for p, d, w in zip(places.tolist(), documents.tolist(), numbers.tolist(), strict=True):
+            for t, q in self.postings[w]:
+                width = max(1, self.templates[t].slack)
+                for series in (0, width // 2) if width > 1 else (0,):
+                    votes.setdefault((d, t, series, (p - q + series) // width), {}).setdefault(q, p - q)
+        seen = set()
+        for (d, t, _, _), starts in votes.items():
+            template = self.templates[t]
+            if sum(template.weights[q] for q in starts) < LEAST_WEIGHT * template.indexed:
+                continue
+            weight: dict[int, float] = {}
+            for q, start in starts.items():
+                weight[start] = weight.get(start, 0.0) + template.weights[q]
+            best = min(weight, key=lambda s: (-weight[s], s))  # the start that most of the weight asks for
+            if (d, t, best) not in seen:
+                seen.add((d, t, best))
+                yield d, t, best
+
 
 SCANNED = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
@@ -151,24 +211,12 @@ def scan_texts(texts: list[str | None], index: Index, lexicon: Lexicon) -> Itera
                     labels.setdefault(d, set()).add(label)
         more: dict[int, dict[str, float]] = {}
         at = np.flatnonzero(np.isin(numbers, list(index.postings)))
-        votes: dict[tuple[int, int, int], float] = {}
-        for p, d, w in zip(at.tolist(), document(at).tolist(), numbers[at].tolist(), strict=True):
-            for t, q, weight in index.postings[w]:
-                key = (d, t, p - q)
-                votes[key] = votes.get(key, 0.0) + weight
-        for (d, t, start), weight in votes.items():
-            if weight < LEAST_WEIGHT * index.indexed[t]:
-                continue
-            label, tokens, phrase = index.templates[t]
-            low, high = int(first[d]), int(first[d + 1])
-            there = lambda q, w: low <= start + q < high and numbers[start + q] == w  # noqa: B023, E731
-            if not all(there(q, w) for q, w in phrase):
-                continue
-            whole = sum(index.idf[w] for w in tokens)
-            share = sum(index.idf[w] for q, w in enumerate(tokens) if there(q, w)) / whole
+        for d, t, start in index.candidates(at, document(at), numbers[at]):
+            template = index.templates[t]
+            share = template.share(numbers, int(first[d]), int(first[d + 1]), start)
             if share >= LEAST_WEIGHT:
                 best = more.setdefault(d, {})
-                best[label] = max(best.get(label, 0.0), share)
+                best[template.label] = max(best.get(template.label, 0.0), share)
         for d in range(len(run)):
             own, of_method, spots = labels.get(d, set()), more.get(d, {}), places.get(d, [])
             yield (

@@ -319,6 +319,41 @@ def test_positional_votes_brute_force(spark, documents):
     assert len(set(want)) > 10 and sum(not w for w in want[:120]) > 5
 
 
+def test_whole_licenses(spark, documents, prose):
+    """Each whole text is found with other words before, between and in it, and not without a mandatory phrase, in part or shuffled."""
+    draw, rows, want = random.Random(8), [], []
+    for label, (text, keys) in Li.WHOLE.items():
+        clean = Li.plain(text)
+        assert all(f" {k} " in f" {clean} " for k in keys)
+        held = np.zeros(len(clean.split()), dtype=bool)
+        for key in keys:
+            at = len(clean[: clean.index(key)].split())
+            held[at : at + len(key.split())] = True
+        for _ in range(4):
+            words = clean.split()
+            free = np.flatnonzero(~held).tolist()
+            for q in draw.sample(free, len(words) // 12):
+                words[q] = "changed"
+            words[draw.choice([q for q in free if q and not held[q - 1]])] += " of Some Holder Inc"
+            rows.append("# " + prose(40).replace(" ", "\n * ") + "\n * ".join(words).upper() + " " + prose(30))
+            want.append({label})
+        for key in keys:
+            rows.append(clean.replace(key, "other words stand here"))
+            want.append(set())
+        half, mixed = clean.split(), clean.split()
+        draw.shuffle(mixed)
+        rows += [" ".join(half[: len(half) // 3]), " ".join(mixed)]
+        want += [set(), set()]
+    got = {r.doc_id: r for r in Li.scan_licenses(documents(list(enumerate(rows)))).collect()}
+    short = {label for label, _, _ in Li.TEMPLATES} | set(Li.BASE.values())
+    for i, labels in enumerate(want):
+        found = set(got[i].labels.split(",")) - {""}
+        if labels:
+            assert labels <= found and got[i].score > 0.6, (i, found)
+        # the notices inside a text still count: only labels that no notice gives have to be gone
+        assert found - labels <= short, (i, found)
+
+
 def leaks(spark, documents, item, texts):
     """The numbers of the texts that leak the item."""
     got = Le.leaked_items(documents(list(enumerate(texts))), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
