@@ -12,20 +12,21 @@ Payload: one byte of flags (1: doc_id is null), doc_id as signed 64 bits, then
 the ids, 16 bits each if the vocabulary fits, else 32 bits. All numbers are
 little-endian. The checksum is CRC-32, rotated and offset by a constant
 ("masked"), so that a checksum of data that holds checksums stays sound.
-Frames stand in ascending order of doc_id over the shards ``part-<number>``, or in
-the order of columns that the caller names (``file_order``: as the files have the rows).
+Frames stand in ascending order of doc_id over the shards, or in
+the order of columns that the caller names (``file_order``: as the files have the rows). A shard has
+one file or more, its pieces: ``piece=<number>/part-<shard>...``.
 
 The frames go through Spark's text writer (the closing byte is its line
 separator) and come back through its binary reader, so any store that Spark
 reaches can hold them, and committed shards survive lost executors. The index
-is made from the files: a row for each frame with shard, byte offset and
+is made from the files: a row for each frame with shard, piece, byte offset in its file and
 length, so that a reader can fetch frames in any order.
 
 Defined cases: a null or empty text has the end id alone. Of rows with one
 doc_id, the order follows a hash of the text, then the input partition, and these bound
 a shard too: rows with one doc_id, null among them, spread over shards, and so do equal rows, by their
 input partitions. A null doc_id comes first. An empty table writes no frame. Further columns of the
-input are ignored. A shard is read as one value, so it stays below 2 GB: a text may have up to 1 GB.
+input are ignored. A piece is read as one value, so it stays below 2 GB: a text may have up to 1 GB.
 """
 
 from __future__ import annotations
@@ -99,14 +100,14 @@ def frames(content: bytes) -> Iterator[tuple[int, int, bytes]]:
         at = end
 
 
-def index_rows(shard: int, content: bytes, width: str) -> Iterator[tuple]:
-    """The rows of the index that a shard's bytes give."""
+def index_rows(shard: int, piece: int, content: bytes, width: str) -> Iterator[tuple]:
+    """The rows of the index that the bytes of a piece of a shard give."""
     before = 0
     for place, (offset, length, payload) in enumerate(frames(content)):
         null, doc_id = PAYLOAD.unpack_from(payload)
         ids = np.frombuffer(payload, dtype=width, offset=PAYLOAD.size)
         crc = zlib.crc32(ids.astype("<u4", copy=False).tobytes())
-        yield shard, place, None if null else doc_id, offset, length, len(ids), before, crc
+        yield shard, piece, place, None if null else doc_id, offset, length, len(ids), before, crc
         before += len(ids)
 
 
@@ -278,7 +279,9 @@ def file_order(docs: DataFrame) -> list[Column]:
 def write_records(
     docs: DataFrame, path: str, tokenizer_json: str, end_id: int, vocabulary: int, shard_bytes: int = 8 << 20, special_as_text: bool = True, order: Sequence[Column] = ()
 ) -> None:
-    """Writes the frames of ``docs`` (doc_id, text) to the folder ``path``, in shards of about ``shard_bytes`` of text.
+    """Writes the frames of ``docs`` (doc_id, text) to the folder ``path``, in shards of about ``shard_bytes`` of text, but
+    no more than ``MOST_SHARDS``. A shard is a partition; its files, the pieces, end at the latest with the frame that
+    fills ``2 * shard_bytes``, so files stay small enough to be read whole, however much the shards hold.
 
     ``order``: what the frames are ordered by, before doc_id, a hash of the text and the input partition."""
     spark = docs.sparkSession
@@ -286,38 +289,46 @@ def write_records(
     source = spark.sparkContext.broadcast(tokenizer_json)
     end = np.array([end_id], dtype=width).tobytes()
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
+    shards = min(max(1, -(-total // shard_bytes)), MOST_SHARDS)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(source.value, width, special_as_text)
+        known, written, done = encoder(source.value, width, special_as_text), 0, 0
         for batch in sliced(batches):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at, to in runs(texts):
                 rows = zip(ids[at:to], known.encode([t or "" for t in texts[at:to]]), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([frame(i, body + end) for i, body in rows], pa.binary())], ["frame"])
+                framed = [frame(i, body + end) for i, body in rows]
+                ends = written + np.cumsum([len(f) for f in framed])
+                pieces = np.append(written, ends[:-1]) // (2 * shard_bytes)
+                columns = [pa.array(pieces, pa.int32()), pa.array(range(done, done + len(framed)), pa.int64()), pa.array(framed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["piece", "place", "frame"])
+                written, done = int(ends[-1]), done + len(framed)
 
     keys = {f"key_{i}": c for i, c in enumerate([*order, F.col("doc_id"), F.xxhash64("text"), F.spark_partition_id()])}
     rows = docs.select("doc_id", "text", *[c.alias(k) for k, c in keys.items()])
     rows = rows.repartitionByRange(int(shards), *keys).sortWithinPartitions(*keys).select("doc_id", "text")
-    framed = in_arrow(rows, encoded, "frame binary")
-    framed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
+    # the order is there already; said again, so that the writer, which wants the pieces of a shard in order, needn't sort by these alone
+    framed = in_arrow(rows, encoded, "piece int, place long, frame binary").sortWithinPartitions("piece", "place")
+    framed.select("piece", F.col("frame").cast("string").alias("value")).write.partitionBy("piece").option("lineSep", "\n").text(path)
 
 
-SHARD_GROUP = 4096
-INDEX = "shard int, place long, doc_id long, offset long, length long, n_tokens long, before long, ids_crc32 long"
+MOST_SHARDS = 20_000
+"""More partitions than this are a burden to the driver; at 100 TB a shard has 5 GB of text."""
+INDEX = "shard int, piece int, place long, doc_id long, offset long, length long, n_tokens long, before long, ids_crc32 long"
 
 
 def read_index(spark: SparkSession, path: str, vocabulary: int, end_id: int) -> DataFrame:
-    """A row for each frame of the shards in ``path``, read and verified from the files: shard, place in it,
-    doc_id, offset and length in bytes, n_tokens, ids before it in the shard, CRC-32 of its ids as 32-bit integers."""
+    """A row for each frame of the shards in ``path``, read and verified from the files: shard, piece of it, place in the piece,
+    doc_id, offset and length in bytes, n_tokens, ids before it in the piece, CRC-32 of its ids as 32-bit integers."""
     width = "<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4"
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows = list(index_rows(int(re.search(r"part-(\d+)", name.rsplit("/", 1)[1])[1]), content.as_py(), width))
+                piece, shard = re.search(r"piece=(\d+)/part-(\d+)[^/]*$", name).groups()
+                rows = list(index_rows(int(shard), int(piece), content.as_py(), width))
                 if rows:
-                    types = [pa.int32()] + [pa.int64()] * 7
+                    types = [pa.int32()] * 2 + [pa.int64()] * 7
                     names = [c.split()[0] for c in INDEX.split(", ")]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
@@ -328,22 +339,22 @@ def read_index(spark: SparkSession, path: str, vocabulary: int, end_id: int) ->
 def with_starts(index: DataFrame) -> DataFrame:
     """The index with ``start``: the ids of all frames before, over all shards.
 
-    Prefix sums run over groups of ``SHARD_GROUP`` shards, and over the groups, so that no task sees all shards."""
+    Prefix sums run over the pieces of each shard, and over the shards, of which there are ``MOST_SHARDS`` at most."""
 
     def before(column: str, window: WindowSpec) -> Column:
         return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    shards = index.groupBy("shard").agg(F.sum("n_tokens").alias("in_shard")).withColumn("of", F.floor(F.col("shard") / SHARD_GROUP))
-    groups = shards.groupBy("of").agg(F.sum("in_shard").alias("in_group"))
-    groups = groups.select("of", before("in_group", Window.orderBy("of")).alias("group_base"))
-    bases = shards.select("shard", "of", before("in_shard", Window.partitionBy("of").orderBy("shard")).alias("base"))
-    bases = bases.join(groups, "of").select("shard", (F.col("base") + F.col("group_base")).alias("base"))
-    return index.join(bases, "shard").withColumn("start", F.col("base") + F.col("before")).drop("base")
+    pieces = index.groupBy("shard", "piece").agg(F.sum("n_tokens").alias("in_piece"))
+    shards = pieces.groupBy("shard").agg(F.sum("in_piece").alias("in_shard"))
+    shards = shards.select("shard", before("in_shard", Window.orderBy("shard")).alias("shard_base"))
+    bases = pieces.select("shard", "piece", before("in_piece", Window.partitionBy("shard").orderBy("piece")).alias("base"))
+    bases = bases.join(shards, "shard").select("shard", "piece", (F.col("base") + F.col("shard_base")).alias("base"))
+    return index.join(bases, ["shard", "piece"]).withColumn("start", F.col("base") + F.col("before")).drop("base")
 
 
 def token_records(docs: DataFrame, tokenizer_path: str, end_id: int = 2, path: str | None = None, shard_bytes: int = 8 << 20, special_as_text: bool = True, order: Sequence[Column] = ()) -> DataFrame:
     """Writes ``docs`` as records to ``path`` (default: the work folder), their index beside it, and returns the
-    index with starts: doc_id, start, n_tokens, ids_crc32, shard, place, offset, length.
+    index with starts: doc_id, start, n_tokens, ids_crc32, shard, piece, place, offset, length.
 
     ``special_as_text``: whether special tokens that a text spells out are encoded like any other characters. Without
     it the ids are those of the tokenizer's plain call, which the registered queries give. ``order``: see ``write_records``."""
@@ -355,4 +366,4 @@ def token_records(docs: DataFrame, tokenizer_path: str, end_id: int = 2, path: s
     path = path or work_path(spark, "token-records")
     write_records(docs, path, text, end_id, vocabulary, shard_bytes, special_as_text, order)
     index = saved(read_index(spark, path, vocabulary, end_id), "token-index")
-    return with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "place", "offset", "length")
+    return with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "piece", "place", "offset", "length")

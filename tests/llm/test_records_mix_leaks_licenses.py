@@ -44,7 +44,7 @@ def test_round_trip(spark, documents, prose, tmp_path):
     assert ids[0] is None and ids[1:] == sorted(ids[1:])
     # a reader that only has the index fetches a frame by its offset
     r = next(r for r in got if r.doc_id == 8)
-    shard = next(Path(path).glob(f"part-{r.shard:05d}*"))
+    shard = next(Path(path).glob(f"piece={r.piece}/part-{r.shard:05d}*"))
     (_, _, payload), *rest = R.frames(shard.read_bytes()[r.offset : r.offset + r.length])
     assert not rest and R.PAYLOAD.unpack_from(payload)[1] == 8
     assert R.token_records(documents([]), str(TOKENIZER)).count() == 0
@@ -84,6 +84,24 @@ def test_hot_ids_and_given_order(spark, prose, tmp_path):
     assert len({r.shard for r in index}) > 2 and [r.doc_id for r in sorted(index, key=lambda r: r.start)] == [100 - i for i in range(100)]
 
 
+@needs_tokenizer
+def test_shards_of_many_pieces(spark, documents, prose, tmp_path, monkeypatch):
+    """However few the shards, their files stay small, and the frames go on over pieces and shards in order."""
+    monkeypatch.setattr(R, "MOST_SHARDS", 3)
+    path = str(tmp_path / "pieces")
+    rows = [(i, prose(1 + i * 7 % 120)) for i in range(300)]
+    got = sorted(R.token_records(documents(rows), str(TOKENIZER), path=path, shard_bytes=2_000).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [i for i, _ in rows] and len({r.shard for r in got}) <= 3
+    assert [(r.shard, r.piece, r.place) for r in got] == sorted((r.shard, r.piece, r.place) for r in got)
+    files = list(Path(path).glob("piece=*/part-*"))
+    assert len(files) == len({(r.shard, r.piece) for r in got}) > 9
+    assert max(f.stat().st_size for f in files) < 2 * 2_000 + 2 * max(r.length for r in got)
+    start = 0
+    for r in got:
+        assert r.start == start
+        start += r.n_tokens
+
+
 def test_damage_is_seen():
     data = R.frame(1, b"abcd") + b"\n"
     assert [p for *_, p in R.frames(data)] == [R.PAYLOAD.pack(0, 1) + b"abcd"]
