@@ -36,6 +36,8 @@ from .common import saved
 
 BLOCK_TOKENS = 1 << 18
 BLOCK_GROUP = 4096
+SALTS = 32
+"""Tasks that the rows of one source are dealt over where they meet its budget."""
 POINTS = 16
 """Exponents that one pass over the source totals tries; a pass narrows the bracket that much."""
 PASSES = 5
@@ -155,8 +157,12 @@ def mixed(
     def block(of: str = "blocks") -> F.Column:
         return F.pmod("mix_hash", of)
 
+    # a row of the plan for each salt, so that the rows of a large source meet it in many tasks
+    salted = plan.select("mix_source", "blocks", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("mix_salt"))
+    salt = F.pmod(F.shiftright("mix_hash", 32), F.lit(SALTS)).cast("int").alias("mix_salt")
+
     # which blocks the part of an epoch takes
-    in_block = sized.join(plan.select("mix_source", "blocks"), "mix_source").groupBy("mix_source", block().alias("mix_block")).agg(F.sum("mix_tokens").alias("in_block"))
+    in_block = sized.select("*", salt).join(salted, ["mix_source", "mix_salt"]).groupBy("mix_source", block().alias("mix_block")).agg(F.sum("mix_tokens").alias("in_block"))
     placed = in_block.join(plan.select("mix_source", "blocks", "full", "part"), "mix_source")
     taken = sums_before(placed.withColumn("place", block_place("full", seed)))
     taken = taken.select("mix_source", "mix_block", "full", (F.col("part") - F.col("before")).alias("left"), "in_block")
@@ -164,7 +170,7 @@ def mixed(
 
     # the input's columns travel as one, so that no name of theirs meets one used here
     rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("mix_row"), source_key().alias("mix_source"), tokens_of(F.col("text")).alias("mix_tokens"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("mix_hash"))
-    rows = rows.join(plan.select("mix_source", "blocks"), "mix_source").withColumn("mix_block", block()).drop("blocks")
+    rows = rows.select("*", salt).join(salted, ["mix_source", "mix_salt"]).withColumn("mix_block", block()).drop("blocks", "mix_salt")
     rows = rows.join(taken, ["mix_source", "mix_block"])
     cut = (F.col("left") > 0) & (F.col("left") < F.col("in_block"))
     within = Window.partitionBy("mix_source", "mix_block").orderBy(row_place("full"), "mix_row.doc_id").rowsBetween(Window.unboundedPreceding, -1)
