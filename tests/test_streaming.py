@@ -6,6 +6,7 @@ import pytest
 
 from catalink.operators.ingest import upsert_fold
 from catalink.sources import cursor
+from catalink.streaming import state_fold
 from catalink.streaming.fold import folded_table, start_fold
 from catalink.streaming.state_fold import start_state_fold, table_of
 
@@ -54,6 +55,21 @@ def test_state_fold_equals_the_fold_of_the_whole_log(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
 
 
+def test_state_is_one_value_for_each_bucket(spark, tmp_path, monkeypatch):
+    """Many keys in few buckets, in two batches: the state store is asked once a bucket, not once a key, and the table is that of the fold."""
+    monkeypatch.setattr(state_fold, "BUCKETS", 3, raising=False)
+    landing, out, checkpoint = (str(tmp_path / x) for x in ("landing", "out", "checkpoint"))
+    draw = random.Random(5)
+    schema = "pos long, batch long, id long, title string"
+    rows = [(p, 0, draw.randrange(60), f't"{draw.randrange(60)}\u05d0') for p in range(200)]
+    for part in (rows[:120], rows[120:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(landing)
+    query = start_state_fold(spark, landing, out, checkpoint, 1)
+    query.awaitTermination()
+    assert sorted(map(tuple, table_of(spark, out).collect())) == sorted(map(tuple, upsert_fold(spark.createDataFrame(rows, schema)).collect()))
+    assert [s.numRowsTotal for p in query.recentProgress for s in p.stateOperators if p.numInputRows][-2:] == [3, 3]
+
+
 ANSWERS = [
     (None, '{"query": {"allpages": [{"pageid": 1, "title": "a"}, {"pageid": 2, "title": "b"}]}, "continue": {"apcontinue": "c d/é={^%}"}}'),
     ("c d/é={^%}", '{"query": {}, "continue": {"apcontinue": "f"}}'),
