@@ -20,11 +20,16 @@ def first_page(table: DataFrame, after: int, size: int) -> DataFrame:
 
 
 def numbered(table: DataFrame, after: int = 0) -> DataFrame:
-    """The rows above ``after`` with ``number``, their place in the order of id, from 0. Ids are unique, as those of a keyset scan must be.
+    """The rows above ``after`` with ``number``, their place in the order of id, from 0. Ids are unique, as those of a keyset scan must be."""
+    return in_sequence(scanned(table, after), "id")
+
+
+def in_sequence(table: DataFrame, column: str) -> DataFrame:
+    """The rows with ``number``, their place in the order of a column of unique values, from 0.
 
     Rows are sorted over all partitions and keep their place in their own; the rows of the partitions before come from one count for each
     partition. No window holds the table."""
-    rows = scanned(table, after).repartitionByRange("id").sortWithinPartitions("id")
+    rows = table.repartitionByRange(column).sortWithinPartitions(column)
     rows = saved(rows.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "numbered")
     parts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     # a row for each partition, so one small window, and a broadcast that is bounded by their number

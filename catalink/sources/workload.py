@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import labels as L
+from ..operators.ingest import in_sequence
 
 _RLM, _EN_DASH = "\u200f", "\u2013"
 
@@ -62,10 +63,15 @@ _NEXT = "CASE WHEN nxt IS NOT NULL THEN concat('k', CAST(nxt AS STRING)) WHEN l
 
 _HALVES = 3
 
+_SELECTED = f"SELECT n, {_title(2)} AS title, concat('content ', base) AS content, n % 31 = 7 OR n % 37 = 5 AS denied"
+_SELECTED_FROM = f" FROM ({_BASE}) b WHERE n % 9 >= 6"
+#: The selected titles with their place r in the order of n.
+_ASKED = f"{_SELECTED}, row_number() OVER (ORDER BY n) - 1 AS r{_SELECTED_FROM}"
+
 
 def _halves() -> str:
     """Titles of batches of 8 with the codes, sizes and places of the halves that hold them, level by level."""
-    sql = f"SELECT n, title, content, denied, CAST(floor(r / 8) AS BIGINT) AS batch, r % 8 AS p0, count(*) OVER (PARTITION BY floor(r / 8)) AS s0, '' AS c0 FROM (SELECT n, {_title(2)} AS title, concat('content ', base) AS content, n % 31 = 7 OR n % 37 = 5 AS denied, row_number() OVER (ORDER BY n) - 1 AS r FROM ({_BASE}) b WHERE n % 9 >= 6) x"
+    sql = f"SELECT n, title, content, denied, CAST(floor(r / 8) AS BIGINT) AS batch, r % 8 AS p0, count(*) OVER (PARTITION BY floor(r / 8)) AS s0, '' AS c0 FROM ({_ASKED}) x"
     for i in range(_HALVES):
         half = f"CAST(floor(s{i} / 2) AS BIGINT)"
         sql = f"SELECT *, CASE WHEN s{i} > 1 THEN concat(c{i}, CASE WHEN p{i} < {half} THEN '0' ELSE '1' END) END AS c{i + 1}, CASE WHEN p{i} < {half} THEN p{i} ELSE p{i} - {half} END AS p{i + 1}, CASE WHEN p{i} < {half} THEN {half} ELSE s{i} - {half} END AS s{i + 1} FROM ({sql}) x{i}"
@@ -143,6 +149,18 @@ def relation(spark: SparkSession, sf_dir: str, name: str, stood: DataFrame | Non
     """A derived relation over the ``orders`` table in ``sf_dir``; over ``stood``, a table (id, title), if that is given."""
     if stood is not None:
         return spark.sql(RELATIONS[name].replace("FROM stood", "FROM {stood}"), stood=stood)
-    # braces of the text itself are doubled, as the parameter is named by braces
-    text = RELATIONS[name].replace("{", "{{").replace("}", "}}").replace("FROM orders", "FROM {orders}")
-    return spark.sql(text, orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    if _ASKED in RELATIONS[name]:
+        # the window over all rows would hold them in one task; the same places come from a sort over all partitions
+        asked = in_sequence(_over(spark, f"{_SELECTED}{_SELECTED_FROM}", orders=orders), "n").withColumnRenamed("number", "r")
+        return _over(spark, RELATIONS[name].replace(_ASKED, "SELECT * FROM asked"), asked=asked)
+    return _over(spark, RELATIONS[name], orders=orders)
+
+
+def _over(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
+    """The rows of a query over the named frames."""
+    # braces of the text itself are doubled, as the parameters are named by braces
+    text = sql.replace("{", "{{").replace("}", "}}")
+    for table in tables:
+        text = text.replace(f"FROM {table}", f"FROM {{{table}}}")
+    return spark.sql(text, **tables)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalink.functions.normal_form import composed
 from catalink.operators import batches, continuation, ingest, work
 from catalink.operators.counters import Counters
-from catalink.sources import json_answers
+from catalink.sources import json_answers, workload
 
 
 def walk(answers):
@@ -54,6 +54,17 @@ def test_chains_in_any_order(spark):
     assert continuation.ranked(frame.filter("false")).count() == 0
 
 
+def test_titles_of_batches_are_numbered_by_all_tasks(spark, tmp_path):
+    """The places are those of the window, which would hold all titles in one task."""
+    spark.range(500, 0, -1).selectExpr("id * 3 AS o_orderkey", "concat('1-P', id % 5) AS o_orderpriority").repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    for name in ("asked_titles", "batch_pages"):
+        got = workload.relation(spark, str(tmp_path), name)
+        assert "row_number" not in got._jdf.queryExecution().optimizedPlan().toString()
+        text = workload.RELATIONS[name].replace("{", "{{").replace("}", "}}").replace("FROM orders", "FROM {orders}")
+        want = spark.sql(text, orders=spark.read.parquet(str(tmp_path / "orders.parquet")))
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect())) != []
+
+
 def test_numbered_pages(spark):
     draw = random.Random(1)
     ids = draw.sample(range(-50, 5000), 1000)
