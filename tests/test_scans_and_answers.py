@@ -54,6 +54,29 @@ def test_chains_in_any_order(spark):
     assert continuation.ranked(frame.filter("false")).count() == 0
 
 
+def test_chains_by_contraction(spark, monkeypatch):
+    """With few pointers left to doubling, the same places as by doubling alone, in lists with gaps, loops and merges, and tables that shrink round by round."""
+    draw = random.Random(9)
+    answers, pos = [], 0
+    for name in range(8):
+        tokens = [None, *[f"{name}-{i}" for i in range(draw.randint(20, 90))]]
+        for i, token in enumerate(tokens):
+            following = tokens[i + 1] if i + 1 < len(tokens) else (tokens[draw.randrange(1, len(tokens))] if name % 4 == 1 else None)
+            if name % 4 == 2 and i == len(tokens) // 2:
+                continue
+            answers.append((f"l{name}", token, following, pos := pos + 1, draw.randint(0, 3)))
+        if name % 4 == 3:
+            answers.append((f"l{name}", "odd", tokens[5], pos := pos + 1, 1))
+            answers.append((f"l{name}", "self", "self", pos := pos + 1, 1))
+    draw.shuffle(answers)
+    written = []
+    monkeypatch.setattr(continuation, "saved", lambda df, name: written.append((name, work.saved(df, name))) or written[-1][1])
+    got = continuation.ranked(spark.createDataFrame(answers, "list string, asked string, next string, pos long, n int"), few=4)
+    assert {(r.list, None if r["at"] == "^" else r["at"][1:]): (r["rank"], r.before) for r in got.collect()} == walk(answers)[0]
+    sizes = [df.count() for name, df in written if name == "contracted"]
+    assert len(sizes) > 5 and sum(sizes) < 6 * len(answers) and sizes[-1] < len(answers) / 4
+
+
 def test_titles_of_batches_are_numbered_by_all_tasks(spark, tmp_path):
     """The places are those of the window, which would hold all titles in one task."""
     spark.range(500, 0, -1).selectExpr("id * 3 AS o_orderkey", "concat('1-P', id % 5) AS o_orderpriority").repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
