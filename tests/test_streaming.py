@@ -112,3 +112,19 @@ def test_cursors_and_progress(spark, tmp_path):
     assert listed(spark, path + "-out") == [(0, 0, 3, "f")]
     with pytest.raises(Exception, match="is no listing"):
         cursor.load(spark, path, path + "-out2", path + "-ck2")
+
+
+def test_tasks_of_a_batch_share_its_answers(spark, tmp_path):
+    """A bound of few answers is one of tasks, not of batches: all answers come in one batch, several tasks read them, and a load that goes on takes what is new."""
+    path, out, checkpoint = (str(tmp_path / x) for x in ("answers", "out", "checkpoint"))
+    body = lambda i, last: f'{{"query": {{"allpages": [{{"pageid": {i}, "title": "t{i}"}}]}}' + ("}" if last else f', "continue": {{"apcontinue": "k{i + 1}"}}}}')
+    rows = [(None if i == 0 else f"k{i}", body(i, i == 49)) for i in range(50)]
+    frame = lambda some: spark.createDataFrame(some, "asked string, body string")
+    cursor.landed(frame(rows[:37]), path)
+    query = cursor.load(spark, path, out, checkpoint, answers=2)
+    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [37]
+    assert len(list((tmp_path / "out").glob("*.parquet"))) == 19
+    cursor.landed(frame(rows[37:]), path)
+    query = cursor.load(spark, path, out, checkpoint, answers=2, tasks=3)
+    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [6, 6, 1]
+    assert listed(spark, out) == [(i, 0, i, f"t{i}") for i in range(50)]
