@@ -22,9 +22,13 @@ TRANSLATE_FROM, TRANSLATE_TO = QUOTES_FROM + DASHES + NBSP, QUOTES_TO + "-" * le
 _STABLE = r"^[\x{0}-\x{2ff}\x{5be}\x{5d0}-\x{5ea}\x{5f3}\x{5f4}\x{200e}-\x{201f}\x{202a}-\x{202e}]*$"
 
 
+#: Strings of these characters alone, with single spaces inside, are what hygiene makes of them.
+_PLAIN = r"\A[\x20-\x7e\x{5d0}-\x{5ea}]*+\z"
+
+
 def nfc(title: Column) -> Column:
     """Unicode normal form C. A title that can't change isn't taken apart."""
-    return F.coalesce(composed(F.when(~title.rlike(_STABLE), title)), title)
+    return F.when(title.rlike(_STABLE), title).otherwise(composed(title))
 
 
 def collapsed(text: Column) -> Column:
@@ -33,21 +37,32 @@ def collapsed(text: Column) -> Column:
 
 
 def hygiene(title: Column) -> Column:
-    """Normal form, marks deleted, quotes and dashes folded, white space collapsed, in this order. Null stays null."""
-    return collapsed(F.translate(nfc(title), TRANSLATE_FROM + MARKS, TRANSLATE_TO))
+    """Normal form, marks deleted, quotes and dashes folded, white space collapsed, in this order. Null stays null. A title that can't change is only looked at."""
+    plain = title.rlike(_PLAIN) & ~title.contains("  ") & ~title.startswith(" ") & ~title.endswith(" ")
+    return F.when(plain, title).otherwise(collapsed(F.translate(nfc(title), TRANSLATE_FROM + MARKS, TRANSLATE_TO)))
+
+
+def _where(title: Column, any_of: tuple[str, ...], new: Column) -> Column:
+    """``new`` for titles with one of the strings, without which the patterns of a rule can't match; a search costs a tenth of a pattern."""
+    found = title.contains(any_of[0])
+    for text in any_of[1:]:
+        found = found | title.contains(text)
+    return F.when(found, new).otherwise(title)
 
 
 def _final_letters(title: Column) -> Column:
     # a Hebrew year ends with the final form of its last letter
+    new = title
     for letter, final in zip("כמנפצ", "ךםןףץ", strict=True):
-        title = F.regexp_replace(title, f"([א-ה]'[א-ת]+\"){letter}(?![א-ת])", f"$1{final}")
-    return title
+        new = F.regexp_replace(new, f"([א-ה]'[א-ת]+\"){letter}(?![א-ת])", f"$1{final}")
+    return _where(title, tuple(f'"{letter}' for letter in "כמנפצ"), new)
 
 
 def _spelling_of_god(title: Column) -> Column:
-    for stem in ("אלוק", "אלק"):
-        title = F.regexp_replace(title, rf"(?<![א-ת]){stem}(ים|י|ינו|יכם|יכן|יו|יה)?(?![א-ת])", "אלוה$1")
-    return title
+    new, stems = title, ("אלוק", "אלק")
+    for stem in stems:
+        new = F.regexp_replace(new, rf"(?<![א-ת]){stem}(ים|י|ינו|יכם|יכן|יו|יה)?(?![א-ת])", "אלוה$1")
+    return _where(title, stems, new)
 
 
 def _literal(*pairs: tuple[str, str]) -> Callable[[Column], Column]:
@@ -59,27 +74,28 @@ def _literal(*pairs: tuple[str, str]) -> Callable[[Column], Column]:
     return apply
 
 
-def _pattern(pattern: str, new: str) -> Callable[[Column], Column]:
-    return lambda title: F.regexp_replace(title, pattern, new)
+def _pattern(pattern: str, new: str, literal: str) -> Callable[[Column], Column]:
+    """A rule by a pattern, every match of which holds ``literal``."""
+    return lambda title: _where(title, (literal,), F.regexp_replace(title, pattern, new))
 
 
 # The patterns, their replacements and the names of the rules, here and in the functions above and below.
 #: Rewrite rules in the order in which they apply: (name, function). The order matters.
 RULES: tuple[tuple[str, Callable[[Column], Column]], ...] = (
-    ("מירכאות_קדוש", _pattern(r"""(["'])(קדוש(?:ה|ים)?)\1""", "$2")),
-    ("אליל_לאל", _pattern(r"(?<![א-ת])אליל([א-ת]*)", "אל$1")),
+    ("מירכאות_קדוש", _pattern(r"""(["'])(קדוש(?:ה|ים)?)\1""", "$2", "קדוש")),
+    ("אליל_לאל", _pattern(r"(?<![א-ת])אליל([א-ת]*)", "אל$1", "אליל")),
     ("כתיב_אלוהים", _spelling_of_god),
     ("מקף_שובר", _literal(("א-ל", "אל"), ("י-ה", "יה"))),
     ("אות_סופית_שנה", _final_letters),
     ("דמות_מקראית", _literal(('(אישיות מהתנ"ך)', '(דמות מקראית)'))),
     ("ישו", _literal(("אותו האיש", "ישו"))),
-    ("מרכז_לבית_כנסת", _pattern(r"מרכז ה(נאולוגי|רפורמי|קראי|קונסרבטיבי)", "בית הכנסת ה$1")),
-    ("קרבן_לקורבן", _pattern(r"(?<![א-ת])קרבן", "קורבן")),
+    ("מרכז_לבית_כנסת", _pattern(r"מרכז ה(נאולוגי|רפורמי|קראי|קונסרבטיבי)", "בית הכנסת ה$1", "מרכז ה")),
+    ("קרבן_לקורבן", _pattern(r"(?<![א-ת])קרבן", "קורבן", "קרבן")),
 )
 
 
-def with_rewritten(df: DataFrame, title: str, text: str, applied: str) -> DataFrame:
-    """Adds the title after hygiene and all rules, and the names of the rules that changed it, joined by ``+``.
+def with_rewritten(df: DataFrame, title: str, text: str, applied: str, key: str | None = None) -> DataFrame:
+    """Adds the title after hygiene and all rules, and the names of the rules that changed it, joined by ``+``; also the title after hygiene alone, if ``key`` names it.
 
     One projection for each rule, so that no rule is evaluated twice."""
     df = df.withColumn("_t0", hygiene(F.col(title)))
@@ -87,6 +103,7 @@ def with_rewritten(df: DataFrame, title: str, text: str, applied: str) -> DataFr
         df = df.withColumn(f"_t{i + 1}", rule(F.col(f"_t{i}")))
     changed = [F.when(F.col(f"_t{i + 1}") != F.col(f"_t{i}"), F.lit(name)) for i, (name, _) in enumerate(RULES)]
     df = df.withColumn(text, F.col(f"_t{len(RULES)}")).withColumn(applied, F.concat_ws("+", *changed))
+    df = df if key is None else df.withColumn(key, F.col("_t0"))
     return df.drop(*[f"_t{i}" for i in range(len(RULES) + 1)])
 
 

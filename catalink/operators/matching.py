@@ -39,19 +39,21 @@ def match_type_of(status: Column) -> Column:
     return F.when(status.isin(*L.NOT_IMPORTED), L.MATCH_UNRELATED).otherwise(L.MATCH_IMPORTED)
 
 
+def by_title(rows: DataFrame) -> DataFrame:
+    """Rows dealt by title over a fixed number of parts, which joins by title after it keep: the keys of ``with_candidates`` are much work for few bytes, and would else end up in few tasks."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "title")
+
+
 def with_candidates(local: DataFrame, content: DataFrame) -> DataFrame:
     """Local rows with the keys of the three lookups: key_0 (hygiene), key_1 (rules, if one applied), key_2 (template).
 
-    Of several contents of one title the last one counts."""
-    # an exchange of its own, with a fixed number of parts, for the join below: else this work, which is much for few bytes, would end up in few tasks
-    parts = int(local.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = with_rewritten(scanned(local).repartition(parts, "title"), "title", "rewritten", "applied")
+    Of several contents of one title the last one counts. ``local`` should be dealt ``by_title`` where its titles are looked up first."""
+    rows = with_rewritten(scanned(local), "title", "rewritten", "applied", "key_0")
     pages = last_of(content, "title", "content", "denied").withColumnRenamed("title", "_title")
     rows = rows.join(pages, rows["title"] == F.col("_title"), "left").drop("_title")
-    rows = rows.withColumn("denied", F.coalesce("denied", F.lit(False))).withColumn("value", F.when(~F.col("denied"), template_value(F.col("content"))))
+    rows = rows.withColumn("denied", F.coalesce("denied", F.lit(False))).withColumn("value", F.when(~F.col("denied"), template_value(F.col("content")))).drop("content")
     return rows.withColumns(
         {
-            "key_0": hygiene(F.col("title")),
             "key_1": F.when(F.col("applied") != "", hygiene(F.col("rewritten"))),
             "key_2": hygiene(F.col("value")),
         }
@@ -128,6 +130,28 @@ def decided(rows: DataFrame, upstream: DataFrame, manual: DataFrame) -> DataFram
     return rows.select(*[new[c].alias(c) if c in new else F.col(c) for c in names], "stage")
 
 
+def references(rows: DataFrame) -> DataFrame:
+    """(id, linkable, kept, found) of ``prepared`` rows, in which curated links play no part yet.
+
+    ``found``: the upstream id that the row refers to without a link; ``kept``: with one whose target isn't there; a row without a title takes no link."""
+    rank = F.col("hit.rank")
+    hit = (F.col("title") != "") & (rank.isin(0, 1) | ((rank == 2) & ~F.col("denied")))
+    return scanned(rows).select("id", (~F.coalesce(F.col("title") == "", F.lit(False))).alias("linkable"), F.col("upstream_id").alias("kept"), F.when(hit, F.col("hit.upstream_id")).otherwise(F.col("upstream_id")).alias("found"))
+
+
+def targets(manual: DataFrame, upstream: DataFrame) -> DataFrame:
+    """The links (local_page_id, upstream_page_id) with ``exists``: whether the target is an upstream page."""
+    there = scanned(upstream).select(F.col("id").alias("upstream_page_id"), F.lit(True).alias("exists"))
+    return saved(manual.join(there, "upstream_page_id", "left").select("local_page_id", "upstream_page_id", F.coalesce("exists", F.lit(False)).alias("exists")), "targets")
+
+
+def referred(refs: DataFrame, links: DataFrame) -> DataFrame:
+    """(id) of the upstream pages that the cascade makes local rows refer to, by their ``references`` and the ``targets`` of links; ids may come again."""
+    rows = refs.join(links.filter("upstream_page_id is not null"), refs["id"] == links["local_page_id"], "left").withColumn("link", F.col("linkable") & F.col("exists"))
+    ref = F.when(F.col("link"), F.col("upstream_page_id")).when(F.col("linkable") & ~F.col("exists"), F.col("kept")).otherwise(F.col("found"))
+    return rows.select(ref.alias("id")).filter("id is not null")
+
+
 def stage_counts(matched: DataFrame) -> DataFrame:
     """(stage, n)."""
     return matched.groupBy("stage").agg(F.count(F.lit(1)).alias("n"))

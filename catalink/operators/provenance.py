@@ -56,16 +56,17 @@ def month_map(subcategories: DataFrame) -> DataFrame:
 def membership(members: DataFrame) -> DataFrame:
     """One boolean column for each role, one row for each title."""
     roles = (*NOT_DATED, MISSING_SORT, ATTENTION, DICTIONARY)
-    return category_pages(members).groupBy("title").agg(*[F.max(F.col("category") == r).alias(r) for r in roles])
+    # a maximum takes repeated members without a distinct before it
+    return direct_members(members, namespace=0).groupBy("title").agg(*[F.max(F.col("category") == r).alias(r) for r in roles])
 
 
 def _is(role: str) -> Column:
     return F.coalesce(F.col(role), F.lit(False))
 
 
-def classified(pages: DataFrame, members: DataFrame, months: DataFrame) -> DataFrame:
-    """(id, title) with status, source_type, last_update_month, needs_attention and is_dictionary_entry."""
-    joined = pages.select("id", "title").join(membership(members), "title", "left").join(months, "title", "left")
+def classified(pages: DataFrame, members: DataFrame, months: DataFrame, *columns: str) -> DataFrame:
+    """(id, title) with status, source_type, last_update_month, needs_attention, is_dictionary_entry, and further columns of the pages that are named."""
+    joined = pages.select("id", "title", *columns).join(membership(members), "title", "left").join(months, "title", "left")
 
     def first_match(of: int, documented: str, missing: str, unknown: str) -> Column:
         out = F.when(_is(PRECEDENCE[0][0]), PRECEDENCE[0][of])
@@ -84,4 +85,5 @@ def classified(pages: DataFrame, members: DataFrame, months: DataFrame) -> DataF
         F.when(~undated, F.col("month")).alias("last_update_month"),
         _is(ATTENTION).alias("needs_attention"),
         _is(DICTIONARY).alias("is_dictionary_entry"),
+        *columns,
     )
