@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import locks, matching, reports
+from . import locks, matching
 from .counters import Counters
 from .work import saved
 
@@ -29,32 +29,52 @@ def rounds(rows: DataFrame, upstream: DataFrame, manual: DataFrame, blocked: Dat
     """Runs one after the other, each with the curated rows that the locks of the one before gave.
 
     A link that a run adds may take a local page from its former target, which is missing in the next run. What doesn't depend on curated rows is
-    ``rows`` (from ``matching.prepared``), made once; a round joins ids alone. A round's new rows are those that the tables don't have yet, and
-    the rounds end when there are none. Two pages that are locked for reading and name one local page would take it from each other for ever: so ``most`` bounds
-    the rounds. Within a round the smallest upstream id gets the local page."""
+    made once: what each of the ``rows`` (from ``matching.prepared``) refers to, which links have a target, and the lock of each upstream title; a round joins ids alone. A
+    round's new rows are those that the tables don't have yet, and the rounds end when there are none. Two pages that are locked for reading and name one local page would
+    take it from each other for ever: so ``most`` bounds the rounds. Within a round the smallest upstream id gets the local page."""
     manual = manual.select("local_page_id", "upstream_page_id")
     blocked = blocked.select("title")
+    refs = saved(matching.references(rows), "references")
+    links = matching.targets(manual, upstream)
+    locked = saved(_locked(upstream.join(blocked, "title", "left_anti"), info), "locked")
+    shut_before = None
     log: list[tuple[int, int, int, int]] = []
     while len(log) < most:
         counters = Counters()
-        matched = matching.decided(rows, upstream, manual)
-        missing = counters.written(reports.missing_locally(upstream, matched, blocked), "missing", missing=F.count(F.lit(1)))
-        routes = saved(locks.routed(missing, info), "routes")
-        shut = locks.to_blocked(routes).select("title").distinct().join(blocked, "title", "left_anti")
-        shut = counters.written(shut, "blocked", new_blocked=F.count(F.lit(1)))
-        taken = locks.to_manual(routes).filter("local_page_id is not null").groupBy("local_page_id").agg(F.min("upstream_page_id").alias("upstream_page_id"))
+        missing = locked.join(matching.referred(refs, links), "id", "left_anti")
+        if shut_before is not None:
+            # of the titles that runs have blocked all are locked against creation, and no others have a value here
+            missing = missing.join(shut_before, "shut", "left_anti")
+        missing = counters.written(missing, "missing", missing=F.count(F.lit(1)))
+        shut = counters.written(missing.filter("shut is not null").select("shut").distinct(), "blocked", new_blocked=F.count(F.lit(1)))
+        taken = missing.filter("page_id is not null").groupBy(F.col("page_id").alias("local_page_id")).agg(F.min("id").alias("upstream_page_id"))
         taken = counters.written(taken.join(manual, ["local_page_id", "upstream_page_id"], "left_anti"), "links", new_manual=F.count(F.lit(1)))
         n = counters.counts()
         log.append((len(log) + 1, n["missing"], n["new_blocked"], n["new_manual"]))
         if not n["new_blocked"] and not n["new_manual"]:
             break
-        blocked = saved(blocked.unionByName(shut), "blocked")
-        manual = saved(manual.join(taken.select("local_page_id"), "local_page_id", "left_anti").unionByName(taken.select(*manual.columns)), "manual")
+        blocked = blocked.unionByName(shut.withColumnRenamed("shut", "title"))
+        shut_before = shut if shut_before is None else saved(shut_before.unionByName(shut), "shut")
+        # a page that was missing is an upstream page, so a new link has its target
+        new = taken.withColumn("exists", F.lit(True))
+        links = saved(links.join(taken.select("local_page_id"), "local_page_id", "left_anti").unionByName(new.select(*links.columns)), "manual")
+        manual = links.select("local_page_id", "upstream_page_id")
     names = ("round", "missing", "new_blocked", "new_manual")
     table = rows.sparkSession.range(1).select(F.inline(F.array(*[F.struct(*[F.lit(v).cast("long").alias(c) for c, v in zip(names, r, strict=True)]) for r in log])))
     return Rounds(manual, blocked, table, not any(log[-1][2:]))
 
 
+def _locked(upstream: DataFrame, info: DataFrame) -> DataFrame:
+    """(id, shut, page_id) of upstream pages: the title if it is locked against creation, the local page if it is locked against reading."""
+    routes = locks.routed(upstream, info)
+    locked = routes.select(
+        F.col("upstream_id").alias("id"), F.when(F.col("route") == "create_locked", F.col("title")).alias("shut"), F.when(F.col("route") == "read_locked", F.col("page_id")).alias("page_id")
+    )
+    # pages that a scan doesn't see have no route, but may be missing
+    unseen = upstream.filter(~(F.coalesce("id", F.lit(0)) > 0)).select("id", F.lit(None).cast("string").alias("shut"), F.lit(None).cast("long").alias("page_id"))
+    return locked.unionByName(unseen)
+
+
 def _bucket(key: str) -> F.Column:
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 

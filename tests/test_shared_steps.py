@@ -54,3 +54,26 @@ def test_plain_titles_are_only_looked_at(spark):
     got = rows.select("x", T.hygiene(F.col("x")).alias("a"), long_way.alias("b"), F.col("x").rlike(plain).alias("p")).collect()
     assert [r.a for r in got] == [r.b for r in got]
     assert [r.x for r in got if r.p] == ["a b", " a", "a ", "a  b", "", " ", "~", "א-ב", "'\""]
+
+
+def test_rounds_write_ids(spark, orders, written):
+    """Rounds read a table of references and one of locks; none writes rows with titles of what isn't locked, and the locks are looked up once."""
+    registry.queries()["curated_rounds"](spark, orders).count()
+    names = [n for n, _ in written]
+    assert names.count("missing") > 2 and names.count("references") == names.count("locked") == 1 and "routes" not in names
+    assert {tuple(sorted(c)) for n, c in written if n == "missing"} == {("id", "page_id", "shut")}
+
+
+def test_references_are_those_of_the_cascade(spark):
+    """For links with and without a target, rows without a title, denied contents and hits of every rank."""
+    schema = "id long, title string, status string, last_update_month string, upstream_id long, match_type string, maybe_deleted_upstream boolean, normalization_match boolean, normalization_method string, title_normalized string, needs_attention boolean, is_dictionary_entry boolean, source_type string"
+    titles = ["a", "", "b", "קרבן", "t", "d", "x", None, "c", ""]
+    local = spark.createDataFrame([(i + 1, t, L.STATUS_DOCUMENTED, None, 900 + i, L.MATCH_NONE, False, False, None, None, False, False, "s") for i, t in enumerate(titles)], schema)
+    upstream = spark.createDataFrame([(1, "a"), (2, "b"), (3, "קורבן"), (4, "u"), (5, "v"), (-6, "c")], "id long, title string")
+    content = spark.createDataFrame([("t", "{{מיון ויקיפדיה|דף=u}}", False), ("d", "{{מיון ויקיפדיה|דף=v}}", True)], "title string, content string, denied boolean")
+    rows = matching.prepared(local, upstream, content)
+    for links in ([], [(1, 2), (2, 2), (3, 77), (6, 5), (7, 4), (8, 3), (9, -6), (10, 77)]):
+        manual = spark.createDataFrame(links, "local_page_id long, upstream_page_id long")
+        want = matching.decided(rows, upstream, manual).filter("upstream_id is not null").select("upstream_id")
+        got = matching.referred(matching.references(rows), matching.targets(manual, upstream))
+        assert sorted(r[0] for r in got.collect()) == sorted(r[0] for r in want.collect())
