@@ -72,6 +72,11 @@ def test_rounds_write_ids(spark, orders, written):
     assert {tuple(sorted(c)) for n, c in written if n == "missing"} == {("id", "page_id", "shut")}
 
 
+def test_a_run_folds_the_upstream_log_once(spark, orders, written):
+    registry.queries()["run_counters"](spark, orders).count()
+    assert [n for n, _ in written].count("upstream") == 1
+
+
 def test_references_are_those_of_the_cascade(spark):
     """For links with and without a target, rows without a title, denied contents and hits of every rank."""
     schema = "id long, title string, status string, last_update_month string, upstream_id long, match_type string, maybe_deleted_upstream boolean, normalization_match boolean, normalization_method string, title_normalized string, needs_attention boolean, is_dictionary_entry boolean, source_type string"
